@@ -93,3 +93,77 @@ def r1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('{WIKI}/page/Order_', k) AS url",
         f"{R1_HTML} AS html",
     )
+
+
+# ---------------------------------------------------------------- R5
+
+EDIT_BATCH = 25
+
+_R5_ENTRY_CAMEL = """to_json(named_struct(
+  'id', id, 'slug', slug, 'userId', user_id, 'status', status, 'type', event_type,
+  'originalContent', '', 'proposedContent', props, 'sectionTitle', section_title,
+  'createdAt', created, 'updatedAt', updated, 'upvoteCount', upvotes, 'reviewReason', CAST(NULL AS STRING)),
+  map('ignoreNullFields', 'false'))"""
+
+_R5_ENTRY_SNAKE = """to_json(named_struct(
+  'id', id, 'slug', slug, 'user_id', user_id, 'status', status, 'type', event_type,
+  'original_content', '', 'proposed_content', props, 'section_title', section_title,
+  'created_at_utc', created, 'updated_at_utc', updated, 'upvote_count', upvotes))"""
+
+
+def r5_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit entries derived from events, with their page position (newest first)."""
+    from folia.operators.ranking import position_in_group
+
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props").withColumn(
+        "ts", F.col("ts").cast("timestamp")  # stored without zone; the session zone is UTC
+    )
+    ranked = position_in_group(
+        ev, ["user_id"], F.to_date("ts"), -F.unix_date(F.to_date("ts")), [F.col("ts").desc(), F.col("event_id")]
+    )
+    # Even ids carry epoch seconds, odd ids an ISO string; created/updated a minute apart.
+    return ranked.selectExpr(
+        "concat('User_', user_id) AS slug", "user_id", "pos", "event_id AS id", "event_type", "props",
+        "concat('EDIT_REQUEST_STATUS_', upper(event_type)) AS status",
+        "CASE WHEN event_type = 'error' THEN ' ' ELSE event_type END AS section_title",
+        "CAST(floor(value) AS BIGINT) AS upvotes",
+        "parse_json(CASE WHEN event_id % 2 = 0 THEN CAST(unix_seconds(ts) AS STRING) "
+        "ELSE concat('\"', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), '\"') END) AS created",
+        "parse_json(CASE WHEN event_id % 2 = 0 THEN CAST(unix_seconds(ts) + 60 AS STRING) "
+        "ELSE concat('\"', date_format(ts + INTERVAL 60 SECONDS, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), '\"') END) AS updated",
+    )
+
+
+def r5_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5: edit-history payloads (slug, offset, payload): batches of 25 per
+    user, camelCase keys in even batches and snake_case in odd ones, a stray
+    batch after the last one, and two malformed payloads."""
+    entries = r5_entries(spark, sf_dir).withColumn("batch", F.floor((F.col("pos") - 1) / EDIT_BATCH))
+    totals = entries.groupBy("slug").agg(F.count(F.lit(1)).alias("total"))
+    docs = entries.selectExpr(
+        "slug", "batch", "pos",
+        f"CASE WHEN batch % 2 = 0 THEN {_R5_ENTRY_CAMEL} ELSE {_R5_ENTRY_SNAKE} END AS doc",
+    )
+    batches = docs.groupBy("slug", "batch").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "doc"))).alias("items")
+    ).join(totals, "slug")
+    payloads = batches.selectExpr(
+        "slug", f"CAST(batch * {EDIT_BATCH} AS BIGINT) AS offset",
+        "CASE WHEN batch % 2 = 0 THEN concat('{\"editRequests\":[', array_join(transform(items, i -> i.doc), ','), "
+        f"'],\"totalCount\":', total, ',\"hasMore\":', CASE WHEN (batch + 1) * {EDIT_BATCH} < total THEN 'true' ELSE 'false' END, '}}') "
+        "ELSE concat('{\"edit_requests\":[', array_join(transform(items, i -> i.doc), ','), "
+        f"'],\"total_count\":', total, ',\"has_more\":', CASE WHEN (batch + 1) * {EDIT_BATCH} < total THEN 'true' ELSE 'false' END, '}}') END AS payload",
+    )
+    newest = entries.where("pos = 1").selectExpr(
+        "slug", "id + 1000000000 AS id", "user_id", "status", "event_type", "props", "section_title", "upvotes",
+        "created", "updated",
+    )
+    stray = newest.join(totals, "slug").selectExpr(
+        "slug", "CAST(total AS BIGINT) AS offset",
+        f"concat('{{\"editRequests\":[', {_R5_ENTRY_CAMEL}, '],\"totalCount\":', total, ',\"hasMore\":false}}') AS payload",
+    )
+    bad = spark.createDataFrame(
+        [("Bad_object", 0, '{"editRequests": {}, "totalCount": 1}'), ("Bad_array", 0, "[]")],
+        "slug string, offset bigint, payload string",
+    )
+    return payloads.unionByName(stray).unionByName(bad)

@@ -215,3 +215,57 @@ ORACLE: dict[str, str] = {
         SELECT k AS page_id, title, (n + 1)::BIGINT AS n_references, '2026-01-01T00:00:00Z' AS fetched_at_utc,
           CASE WHEN k % 4 <> 0 THEN 'Figure ' || k END AS caption FROM g""",
 }
+
+
+R5 = """
+ev AS (SELECT *, 'User_' || user_id AS slug,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS pos FROM events),
+tot AS (SELECT slug, count(*) AS total FROM ev GROUP BY slug)"""
+
+_R5_FIELDS = """CAST(e.event_id AS VARCHAR) AS id, e.slug, CAST(e.user_id AS VARCHAR) AS user_id,
+  'EDIT_REQUEST_STATUS_' || upper(e.event_type) AS status, e.event_type AS type, '' AS summary,
+  CAST(NULL AS VARCHAR) AS original_content, e.props AS proposed_content,
+  CASE WHEN e.event_type = 'error' THEN NULL ELSE e.event_type END AS section_title,
+  date_trunc('second', e.ts) AS created_at_utc, date_trunc('second', e.ts) + INTERVAL 60 SECOND AS updated_at_utc,
+  CAST(floor(e.value) AS BIGINT) AS upvote_count, 0::BIGINT AS downvote_count, CAST(NULL AS VARCHAR) AS review_reason"""
+
+ORACLE.update({
+    "edit_payload_read": None,
+    "edit_batches": _with(R5) + """
+        SELECT ev.slug, (((pos - 1) // 25) * 25)::BIGINT AS offset, count(*)::BIGINT AS n, any_value(total)::BIGINT AS total_count,
+          ((pos - 1) // 25 + 1) * 25 < any_value(total) AS has_more, CAST(NULL AS VARCHAR) AS error
+        FROM ev JOIN tot USING (slug) GROUP BY ev.slug, (pos - 1) // 25
+        UNION ALL SELECT slug, total, 1, total, false, NULL FROM tot
+        UNION ALL SELECT 'Bad_object', 0, 0, 1, false, 'editRequests must be an array'
+        UNION ALL SELECT 'Bad_array', 0, 0, 0, false, 'payload must decode to an object'""",
+    "edit_entries": _with(R5) + f"""
+        SELECT e.slug AS page_slug, (((e.pos - 1) // 25) * 25)::BIGINT AS offset, ((e.pos - 1) % 25 + 1)::BIGINT AS pos,
+          {_R5_FIELDS} FROM ev e
+        UNION ALL
+        SELECT e.slug, t.total::BIGINT, 1::BIGINT, CAST(e.event_id + 1000000000 AS VARCHAR), e.slug, CAST(e.user_id AS VARCHAR),
+          'EDIT_REQUEST_STATUS_' || upper(e.event_type), e.event_type, '', NULL, e.props,
+          CASE WHEN e.event_type = 'error' THEN NULL ELSE e.event_type END,
+          date_trunc('second', e.ts), date_trunc('second', e.ts) + INTERVAL 60 SECOND,
+          CAST(floor(e.value) AS BIGINT), 0::BIGINT, NULL
+        FROM ev e JOIN tot t USING (slug) WHERE e.pos = 1""",
+    "edit_stitch": _with(R5) + """
+        SELECT slug, ((total + 24) // 25)::BIGINT AS n_batches, total::BIGINT AS n_entries, total::BIGINT AS total_count,
+          false AS has_more, true AS contiguous, true AS valid, true AS complete FROM tot
+        UNION ALL SELECT 'Bad_object', 1, 0, 1, false, true, false, false
+        UNION ALL SELECT 'Bad_array', 1, 0, 0, false, true, false, false""",
+    "edit_page": _with(R5) + """
+        SELECT slug AS page_slug, pos::BIGINT AS rank, CAST(event_id AS VARCHAR) AS id FROM ev WHERE pos BETWEEN 6 AND 15""",
+    "edit_summary": _with(R5) + """
+        SELECT slug AS page_slug, 'EDIT_REQUEST_STATUS_' || upper(event_type) AS status, count(*) AS n,
+          sum(CAST(floor(value) AS BIGINT)) AS net_votes,
+          max(date_trunc('second', ts) + INTERVAL 60 SECOND) AS last_updated
+        FROM ev GROUP BY ALL""",
+    "edit_payload_write": _with(R5) + """
+        SELECT slug, (((pos - 1) // 25) * 25)::BIGINT AS offset, count(*)::BIGINT AS n_entries,
+          any_value(total)::BIGINT AS total_count,
+          CAST(arg_min(event_id, pos) AS VARCHAR) AS first_id,
+          strftime(date_trunc('second', arg_min(ts, pos)), '%Y-%m-%dT%H:%M:%SZ') AS first_created
+        FROM ev JOIN tot USING (slug) GROUP BY slug, (pos - 1) // 25""",
+})
+
+ORACLE["edit_payload_read"] = ORACLE["edit_batches"]

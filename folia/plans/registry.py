@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folia.plans import edits as ED
 from folia.plans import pages as PG
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,5 +59,13 @@ def queries() -> dict[str, Query]:
         "markdown_render": PG.r1_markdown,
         "page_json_write": PG.r1_json_write,
         "page_json_read": PG.r1_json_roundtrip,
+        # fixture R5: edit-history payloads rendered from events
+        "edit_payload_read": ED.edit_batches,
+        "edit_batches": ED.edit_batches,
+        "edit_entries": ED.edit_entries,
+        "edit_stitch": ED.edit_stitch,
+        "edit_page": ED.edit_page,
+        "edit_summary": ED.edit_summary,
+        "edit_payload_write": ED.edit_payload_write,
     }
     return q

@@ -167,3 +167,31 @@ def r5_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slug string, offset bigint, payload string",
     )
     return payloads.unionByName(stray).unionByName(bad)
+
+
+# ---------------------------------------------------------------- R3
+
+ROBOTS_AGENT = "corpusbot/1.0"
+
+R3_TEXT = r"""CASE length(host) % 3
+  WHEN 0 THEN 'User-agent: *\nDisallow: /fr/\nDisallow: /de/\n'
+  WHEN 1 THEN '# site rules\nUser-agent: *\nAllow: /en/\nDisallow: /\n'
+  ELSE 'User-agent: corpusbot\nDisallow: /en/9\nAllow: /\nDisallow: /es/\n\nUser-agent: *\nDisallow: /\n' END"""
+
+
+def r3_robots_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3: one robots.txt response per origin of ``pages``:
+    (robots_url, status, text); hosts whose length is a multiple of 7 answer 503."""
+    from folia.functions import urls as U
+
+    origins = (
+        table(spark, sf_dir, "pages", "url")
+        .selectExpr(f"{U.url_robots('url')} AS robots_url", f"{U.url_part('url', 'netloc')} AS host")
+        .where("robots_url IS NOT NULL")
+        .distinct()
+    )
+    return origins.selectExpr(
+        "robots_url",
+        "CASE WHEN length(host) % 7 = 0 THEN 503 ELSE 200 END AS status",
+        f"{R3_TEXT} AS text",
+    )

@@ -269,3 +269,29 @@ ORACLE.update({
 })
 
 ORACLE["edit_payload_read"] = ORACLE["edit_batches"]
+
+
+R3 = f"""
+o AS (SELECT DISTINCT lower(regexp_extract(url, {_URL}, 1)) || '://' || regexp_extract(url, {_URL}, 2) || '/robots.txt' AS robots_url,
+        regexp_extract(url, {_URL}, 2) AS host FROM pages),
+r AS (SELECT robots_url, length(host) % 3 AS cls FROM o WHERE length(host) % 7 <> 0),
+pg AS (SELECT page_id, url, regexp_extract(url, {_URL}, 2) AS host, regexp_extract(url, {_URL}, 3) AS path FROM pages)"""
+
+ORACLE.update({
+    "robots_rules": _with(R3) + """
+        SELECT robots_url, x.entry_no::BIGINT AS entry_no, x.is_default, x.agents, x.seq::BIGINT AS seq, x.allow, x.prefix
+        FROM r JOIN (VALUES
+          (0, 1, true, '*', 1, false, '/fr/'), (0, 1, true, '*', 2, false, '/de/'),
+          (1, 1, true, '*', 1, true, '/en/'), (1, 1, true, '*', 2, false, '/'),
+          (2, 1, false, 'corpusbot', 1, false, '/en/9'), (2, 1, false, 'corpusbot', 2, true, '/'),
+          (2, 1, false, 'corpusbot', 3, false, '/es/'), (2, 2, true, '*', 1, false, '/'))
+          AS x(cls, entry_no, is_default, agents, seq, allow, prefix) ON x.cls = r.cls""",
+    "robots_gate": _with(R3) + """
+        SELECT page_id, CASE WHEN length(host) % 7 = 0 THEN 'unavailable'
+          WHEN length(host) % 3 = 0 THEN CASE WHEN starts_with(path, '/fr/') OR starts_with(path, '/de/') THEN 'disallowed' ELSE 'allowed' END
+          WHEN length(host) % 3 = 1 THEN CASE WHEN starts_with(path, '/en/') THEN 'allowed' ELSE 'disallowed' END
+          ELSE CASE WHEN starts_with(path, '/en/9') THEN 'disallowed' ELSE 'allowed' END END AS verdict
+        FROM pg""",
+    "robots_fail_closed": _with(R3) + " SELECT page_id, url FROM pg WHERE length(host) % 7 = 0",
+    "robots_bypass": "SELECT page_id, 'allowed' AS verdict FROM pages",
+})

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folia.plans import edits as ED
 from folia.plans import pages as PG
+from folia.plans import robots as RB
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,5 +68,10 @@ def queries() -> dict[str, Query]:
         "edit_page": ED.edit_page,
         "edit_summary": ED.edit_summary,
         "edit_payload_write": ED.edit_payload_write,
+        # fixture R3: robots.txt documents for the hosts of pages
+        "robots_rules": RB.robots_rules,
+        "robots_gate": RB.robots_gate,
+        "robots_fail_closed": RB.robots_fail_closed,
+        "robots_bypass": RB.robots_bypass,
     }
     return q

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from folia.functions import nodes as N
 from folia.functions import urls as U
+from folia.functions.text import py_strip
 from folia.functions.sql import filter_, let, transform
 
 SEARCH_BASE = "https://wiki.example.org"
+SEARCH_RESULTS = 25
 
 
 def html_hits(shredded: DataFrame, base_col: str | None = None, base_url: str | None = None,
@@ -49,3 +51,65 @@ def html_hits(shredded: DataFrame, base_col: str | None = None, base_url: str |
     return shredded.selectExpr(*key_cols, f"{let(hrefs, keep)} AS hits").selectExpr(
         *key_cols, "posexplode(hits) AS (pos, page_url)"
     ).selectExpr(*key_cols, "CAST(pos + 1 AS BIGINT) AS pos", "page_url")
+
+
+def api_hits(api: DataFrame, base_url: str = SEARCH_BASE) -> DataFrame:
+    """(query, payload) -> valid queries' hits (query, pos, page_url) and the
+    set of queries with a valid payload (even an empty one).
+
+    A payload is valid when it parses to an object with a ``results`` array;
+    non-object entries and blank or non-string slugs are skipped; hits are
+    unique by canonical URL key, the first spelling kept, in result order.
+    """
+    parsed = api.selectExpr("query", "try_parse_json(payload) AS v").selectExpr(
+        "query",
+        "CASE WHEN v IS NOT NULL AND schema_of_variant(v) LIKE 'OBJECT%' "
+        "THEN try_variant_get(v, '$.results', 'array<variant>') END AS results",
+    )
+    valid = parsed.where("results IS NOT NULL").select("query")
+    entries = parsed.where("results IS NOT NULL").selectExpr("query", "posexplode(results) AS (i, x)").selectExpr(
+        "query", "i",
+        "CASE WHEN schema_of_variant(x) LIKE 'OBJECT%' AND schema_of_variant(variant_get(x, '$.slug')) = 'STRING' "
+        "THEN try_variant_get(x, '$.slug', 'string') END AS slug",
+    ).where(f"slug IS NOT NULL AND {py_strip('slug')} <> ''")
+    urls = entries.selectExpr("query", "i", f"{U.slug_url('slug', base_url)} AS page_url")
+    keyed = urls.selectExpr("query", "i", "page_url", f"{U.url_canonical('page_url')} AS key")
+    first = keyed.groupBy("query", "key").agg(F.min_by("page_url", "i").alias("page_url"), F.min("i").alias("i"))
+    w = Window.partitionBy("query").orderBy("i")
+    hits = first.select("query", F.row_number().over(w).cast("bigint").alias("pos"), "page_url")
+    return hits, valid
+
+
+def fallback(api_result: DataFrame, valid_queries: DataFrame, html_result: DataFrame) -> DataFrame:
+    """API hits for every query with a valid payload (even an empty one); the
+    HTML hits for the others."""
+    from_html = html_result.join(valid_queries, "query", "left_anti")
+    return api_result.select("query", "pos", "page_url").unionByName(from_html.select("query", "pos", "page_url"))
+
+
+def limit_results(hits: DataFrame, n: int) -> DataFrame:
+    """The first n hits of each query (0 allowed)."""
+    if n < 0:
+        raise ValueError("limit must be >= 0")
+    return hits.where(F.col("pos") <= n)
+
+
+def corpus_search(docs: DataFrame, queries: DataFrame, k: int = SEARCH_RESULTS, max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Keyword search of a document table: (query, doc_id, rank, n_terms, tf).
+
+    Documents and queries are tokenised alike (lower-case, runs of letters or
+    digits).  Query terms are small: they are broadcast when their count is
+    checked below ``max_broadcast_rows``, otherwise joined by shuffle (AQE
+    splits skewed terms).  Ranking: distinct query terms matched, then total
+    term frequency, then doc_id; the top ``k`` per query are kept with a
+    row_number filter that Spark applies per map task before the shuffle.
+    """
+    terms = queries.selectExpr("query", "explode(array_distinct(filter(split(lower(query), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> ''))) AS term")
+    tokens = docs.selectExpr("doc_id", "explode(filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> '')) AS term")
+    if terms.count() <= max_broadcast_rows:
+        terms = F.broadcast(terms)
+    scored = tokens.join(terms, "term").groupBy("query", "doc_id").agg(
+        F.countDistinct("term").alias("n_terms"), F.count(F.lit(1)).alias("tf")
+    )
+    w = Window.partitionBy("query").orderBy(F.col("n_terms").desc(), F.col("tf").desc(), F.col("doc_id"))
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

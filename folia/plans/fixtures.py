@@ -195,3 +195,61 @@ def r3_robots_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN length(host) % 7 = 0 THEN 503 ELSE 200 END AS status",
         f"{R3_TEXT} AS text",
     )
+
+
+# ---------------------------------------------------------------- R4
+
+SEARCH_LIMIT = 25  # results per API call (limit=25, offset=0)
+
+
+def _r4_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 25 parts (by key) of each brand: the API's one page of results.
+    ``row_number() <= 25`` lets Spark cut each brand to 25 rows per map task
+    before the shuffle, so a large brand never reaches one task whole."""
+    from pyspark.sql import Window
+
+    from folia.functions import urls as U
+
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand")
+    w = Window.partitionBy("p_brand").orderBy("p_partkey")
+    top = parts.withColumn("rn", F.row_number().over(w)).where(f"rn <= {SEARCH_LIMIT}")
+    return top.selectExpr(
+        "p_brand AS query", "rn", "p_partkey",
+        f"CASE WHEN p_partkey % 3 = 0 THEN concat({U.title_slug('p_name')}, ';v', p_partkey) "
+        f"ELSE {U.title_slug('p_name')} END AS slug",
+    )
+
+
+def r4_search_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """R4: (api, html) search responses per brand query.
+
+    api(query, payload): JSON with ``results`` in key order, a blank slug for
+    keys divisible by 50 and a bare number for keys divisible by 70; brands
+    ending in 5 get an unparsable payload, brands ending in 0 a valid empty one.
+    html(page_id, query, url, html): result pages with '#section' duplicates,
+    an off-site link and a non-/page/ link.
+    """
+    res = _r4_results(spark, sf_dir)
+    entries = res.selectExpr(
+        "query", "rn",
+        "CASE WHEN p_partkey % 70 = 0 THEN CAST(p_partkey AS STRING) "
+        "WHEN p_partkey % 50 = 0 THEN '{\"slug\": \"   \"}' "
+        "ELSE to_json(named_struct('slug', slug)) END AS item",
+    )
+    api = entries.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rn", "item"))).alias("items")).selectExpr(
+        "query",
+        "CASE WHEN endswith(query, '5') THEN '<html>temporarily unavailable</html>' "
+        "WHEN endswith(query, '0') THEN '{\"results\": []}' "
+        "ELSE concat('{\"results\": [', array_join(transform(items, i -> i.item), ', '), ']}') END AS payload",
+    )
+    links = res.where("p_partkey % 70 <> 0 AND p_partkey % 50 <> 0").selectExpr(
+        "query", "rn",
+        "concat('<li><a href=\"/page/', slug, '\">', slug, '</a> <a href=\"/page/', slug, '#section\">more</a></li>') AS li",
+    )
+    html = links.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rn", "li"))).alias("lis")).selectExpr(
+        "CAST(regexp_extract(query, '([0-9]+)$', 1) AS BIGINT) AS page_id", "query",
+        "concat('https://wiki.example.org/search?q=', url_encode(query)) AS url",
+        "concat('<html><body><a href=\"https://other.example.org/page/X\">x</a><ul>', "
+        "array_join(transform(lis, l -> l.li), ''), '</ul><a href=\"/about\">about</a></body></html>') AS html",
+    )
+    return api, html

@@ -295,3 +295,35 @@ ORACLE.update({
     "robots_fail_closed": _with(R3) + " SELECT page_id, url FROM pg WHERE length(host) % 7 = 0",
     "robots_bypass": "SELECT page_id, 'allowed' AS verdict FROM pages",
 })
+
+
+R4 = f"""
+p AS (SELECT p_partkey, p_brand AS query, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn,
+        nullif(replace({_norm('p_name')}, ' ', '_'), '') AS t FROM part),
+top AS (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN t || ';v' || p_partkey ELSE t END AS slug FROM p WHERE rn <= 25),
+api_ok AS (SELECT * FROM top WHERE NOT ends_with(query, '5') AND NOT ends_with(query, '0')
+             AND p_partkey % 70 <> 0 AND p_partkey % 50 <> 0),
+api_first AS (SELECT query, t, arg_min(slug, rn) AS slug, min(rn) AS rn FROM api_ok GROUP BY query, t),
+api_hits AS (SELECT query, row_number() OVER (PARTITION BY query ORDER BY rn)::BIGINT AS pos,
+               'https://wiki.example.org/page/' || {_quote('slug')} AS page_url FROM api_first),
+html_first AS (SELECT query, t, min(rn) AS rn FROM top WHERE p_partkey % 70 <> 0 AND p_partkey % 50 <> 0 GROUP BY query, t),
+html_hits AS (SELECT query, row_number() OVER (PARTITION BY query ORDER BY rn)::BIGINT AS pos,
+               'https://wiki.example.org/page/' || t AS page_url FROM html_first),
+fb AS (SELECT * FROM api_hits UNION ALL SELECT * FROM html_hits WHERE ends_with(query, '5'))"""
+
+_TOK = "list_filter(regexp_split_to_array(lower({e}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+
+ORACLE.update({
+    "search_api_hits": _with(R4) + " SELECT query, pos, page_url FROM api_hits",
+    "search_payload_read": _with(R4) + " SELECT query, pos, page_url FROM api_hits",
+    "search_html_read": _with(R4) + " SELECT query, pos, page_url FROM html_hits",
+    "search_fallback": _with(R4) + " SELECT query, pos, page_url FROM fb",
+    "search_limit": _with(R4) + " SELECT query, pos, page_url FROM fb WHERE pos <= 5",
+    "corpus_search": f"""
+        WITH q AS (SELECT DISTINCT array_to_string({_TOK.format(e='text')}[1:3], ' ') AS query FROM benchmark),
+        qt AS (SELECT DISTINCT query, unnest({_TOK.format(e='query')}) AS term FROM q WHERE query <> ''),
+        dt AS (SELECT doc_id, unnest({_TOK.format(e='text')}) AS term FROM documents),
+        s AS (SELECT query, doc_id, count(DISTINCT term) AS n_terms, count(*) AS tf FROM dt JOIN qt USING (term) GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY n_terms DESC, tf DESC, doc_id) AS rank FROM s)
+        SELECT query, doc_id, rank::BIGINT AS rank, n_terms::BIGINT AS n_terms, tf::BIGINT AS tf FROM r WHERE rank <= 25""",
+})

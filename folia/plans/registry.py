@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from folia.plans import edits as ED
 from folia.plans import pages as PG
 from folia.plans import robots as RB
+from folia.plans import search as SE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,5 +74,13 @@ def queries() -> dict[str, Query]:
         "robots_gate": RB.robots_gate,
         "robots_fail_closed": RB.robots_fail_closed,
         "robots_bypass": RB.robots_bypass,
+        # fixture R4: search responses rendered from part
+        "search_payload_read": SE.search_api_hits,
+        "search_api_hits": SE.search_api_hits,
+        "search_html_read": SE.search_html_results,
+        "search_fallback": SE.search_fallback,
+        "search_limit": SE.search_limit,
+        # keyword search over documents
+        "corpus_search": SE.corpus_search,
     }
     return q

@@ -253,3 +253,76 @@ def r4_search_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
         "array_join(transform(lis, l -> l.li), ''), '</ul><a href=\"/about\">about</a></body></html>') AS html",
     )
     return api, html
+
+
+# ---------------------------------------------------------------- R2
+
+SITEMAP_BASE = "https://assets.example.org"
+SITEMAP_INDEX = f"{SITEMAP_BASE}/sitemap-index.xml"
+SITEMAP_MAX_URLS = 50_000  # the sitemap protocol's per-file limit
+
+
+def _r2_locs(spark: SparkSession, sf_dir: str, drop_nation: int | None = None) -> DataFrame:
+    """Child sitemap entries: (child, custkey, variant, loc).  Each customer is
+    listed in its nation's child; keys divisible by 10 also in the next
+    nation's child with a lower-case host; by 30 again in their own child
+    with an upper-case host (last spelling wins); by 45 an exact repeat."""
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    path = "concat('/page/', replace(c_name, '#', '%23'))"
+    own = cust.selectExpr("c_nationkey AS nation", "c_custkey", "0 AS variant", f"concat('https://Wiki.example.org', {path}) AS loc")
+    upper = cust.where("c_custkey % 30 = 0").selectExpr(
+        "c_nationkey AS nation", "c_custkey", "1 AS variant", f"concat('https://WIKI.EXAMPLE.ORG', {path}) AS loc"
+    )
+    repeat = cust.where("c_custkey % 45 = 0").selectExpr(
+        "c_nationkey AS nation", "c_custkey", "2 AS variant", f"concat('https://Wiki.example.org', {path}) AS loc"
+    )
+    foreign = cust.where("c_custkey % 10 = 0").selectExpr(
+        "(c_nationkey + 1) % 25 AS nation", "c_custkey", "3 AS variant", f"concat('https://wiki.example.org', {path}) AS loc"
+    )
+    locs = own.unionByName(upper).unionByName(repeat).unionByName(foreign)
+    return locs if drop_nation is None else locs.where(F.col("nation") != drop_nation)
+
+
+def r2_sitemap_docs(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> DataFrame:
+    """R2: sitemap documents (sitemap_url, xml): an index of one child per
+    nation (split every 50,000 entries), namespaced child documents, and one
+    malformed document.  Snapshot 2 drops nation 24 and adds an empty child."""
+    from folia.operators.ranking import position_in_group
+
+    locs = _r2_locs(spark, sf_dir, drop_nation=24 if snapshot == 2 else None)
+    ranked = position_in_group(
+        locs, ["nation"], F.floor(F.col("c_custkey") / 100000), F.floor(F.col("c_custkey") / 100000),
+        [F.col("c_custkey"), F.col("variant")],
+    ).withColumn("part", F.floor((F.col("pos") - 1) / SITEMAP_MAX_URLS))
+    child_url = (
+        f"CASE WHEN part = 0 THEN concat('{SITEMAP_BASE}/sitemap-', nation, '.xml') "
+        f"ELSE concat('{SITEMAP_BASE}/sitemap-', nation, '-', part, '.xml') END"
+    )
+    children = ranked.groupBy("nation", "part").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "loc"))).alias("items")
+    ).selectExpr(
+        "nation", "part", f"{child_url} AS sitemap_url",
+        "concat('<?xml version=\"1.0\" encoding=\"UTF-8\"?>"
+        "<urlset xmlns=\"http://www.sitemaps.org/schemas/sitemap/0.9\">', "
+        "array_join(transform(items, i -> concat('<url><loc> ', i.loc, ' </loc></url>')), ''), '</urlset>') AS xml",
+    )
+    listed = children.select("nation", "part", "sitemap_url")
+    if snapshot == 2:
+        listed = listed.unionByName(
+            spark.createDataFrame([(99, 0, f"{SITEMAP_BASE}/sitemap-new.xml")], "nation int, part long, sitemap_url string")
+        )
+    index = listed.agg(F.array_sort(F.collect_list(F.struct("nation", "part", "sitemap_url"))).alias("c")).selectExpr(
+        f"'{SITEMAP_INDEX}' AS sitemap_url",
+        "concat('<?xml version=\"1.0\"?><sitemapindex xmlns=\"http://www.sitemaps.org/schemas/sitemap/0.9\">', "
+        "array_join(transform(c, s -> concat('<sitemap><loc>', s.sitemap_url, '</loc></sitemap>')), ''), '</sitemapindex>') AS xml",
+    )
+    docs = index.unionByName(children.select("sitemap_url", "xml"))
+    if snapshot == 2:
+        docs = docs.unionByName(
+            spark.createDataFrame([(f"{SITEMAP_BASE}/sitemap-new.xml", "<urlset></urlset>")], "sitemap_url string, xml string")
+        )
+    broken = spark.createDataFrame(
+        [(f"{SITEMAP_BASE}/sitemap-broken.xml", "<urlset><url><loc>https://wiki.example.org/page/X")],
+        "sitemap_url string, xml string",
+    )
+    return docs.unionByName(broken)

@@ -327,3 +327,41 @@ ORACLE.update({
         r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY n_terms DESC, tf DESC, doc_id) AS rank FROM s)
         SELECT query, doc_id, rank::BIGINT AS rank, n_terms::BIGINT AS n_terms, tf::BIGINT AS tf FROM r WHERE rank <= 25""",
 })
+
+
+R2 = """
+v AS (
+  SELECT c_nationkey AS nation, c_custkey, 0 AS variant, 'https://Wiki.example.org/page/' || replace(c_name, '#', '%23') AS loc FROM customer
+  UNION ALL SELECT c_nationkey, c_custkey, 1, 'https://WIKI.EXAMPLE.ORG/page/' || replace(c_name, '#', '%23') FROM customer WHERE c_custkey % 30 = 0
+  UNION ALL SELECT c_nationkey, c_custkey, 2, 'https://Wiki.example.org/page/' || replace(c_name, '#', '%23') FROM customer WHERE c_custkey % 45 = 0
+  UNION ALL SELECT (c_nationkey + 1) % 25, c_custkey, 3, 'https://wiki.example.org/page/' || replace(c_name, '#', '%23') FROM customer WHERE c_custkey % 10 = 0),
+d AS (SELECT nation, loc, min(c_custkey * 10 + variant) AS o FROM v GROUP BY nation, loc),
+ch AS (SELECT nation, 'https://assets.example.org/sitemap-' || nation || '.xml' AS sitemap_url,
+         dense_rank() OVER (ORDER BY nation)::BIGINT AS sitemap_pos FROM (SELECT DISTINCT nation FROM v)),
+m AS (SELECT ch.sitemap_url, ch.sitemap_pos, row_number() OVER (PARTITION BY d.nation ORDER BY d.o)::BIGINT AS loc_pos, d.loc AS page_url
+      FROM d JOIN ch USING (nation)),
+k AS (SELECT 'https://wiki.example.org' || url_decode(regexp_extract(page_url, '^https://[^/]*(.*)$', 1)) AS key, sitemap_url, sitemap_pos,
+        arg_max(page_url, loc_pos) AS page_url FROM m GROUP BY ALL)"""
+
+ORACLE.update({
+    "sitemap_locs": _with(R2) + """
+        SELECT sitemap_url, loc_pos, page_url AS loc, CAST(NULL AS VARCHAR) AS error FROM m
+        UNION ALL SELECT 'https://assets.example.org/sitemap-index.xml', sitemap_pos, sitemap_url, NULL FROM ch
+        UNION ALL SELECT 'https://assets.example.org/sitemap-broken.xml', NULL, NULL, 'unparsable XML'""",
+    "sitemap_manifest": _with(R2) + " SELECT sitemap_url, sitemap_pos, loc_pos, page_url FROM m",
+    "sitemap_index": _with(R2) + " SELECT key, sitemap_url, page_url FROM k",
+    "sitemap_lookup": _with(R2, """
+        t AS (SELECT c_name AS title, 'https://wiki.example.org/page/' || c_name AS key FROM customer
+              UNION ALL SELECT c_name || ' Missing', 'https://wiki.example.org/page/' || c_name || '_Missing' FROM customer
+              WHERE c_custkey % 100 = 0),
+        b AS (SELECT key, arg_min(page_url, sitemap_pos) AS page_url FROM k GROUP BY key)""") + """
+        SELECT t.title, b.page_url FROM t LEFT JOIN b USING (key)""",
+    "sitemap_sync": _with(R2) + """
+        SELECT sitemap_url AS item, CASE WHEN nation = 24 THEN 'removed' ELSE 'kept' END AS change FROM ch
+        UNION ALL SELECT 'https://assets.example.org/sitemap-new.xml', 'added'
+        UNION ALL SELECT 'https://wiki.example.org/page/' || c_name, 'key_lost' FROM customer
+          WHERE c_nationkey = 24 AND c_custkey % 10 <> 0""",
+    "sitemap_refresh": _with(R2) + """
+        SELECT sitemap_url, sitemap_pos, 0::BIGINT AS n_urls FROM ch WHERE nation <> 24
+        UNION ALL SELECT 'https://assets.example.org/sitemap-new.xml', (SELECT count(*) FROM ch WHERE nation <> 24) + 1, 0""",
+})

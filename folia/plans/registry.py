@@ -14,6 +14,7 @@ from folia.plans import edits as ED
 from folia.plans import pages as PG
 from folia.plans import robots as RB
 from folia.plans import search as SE
+from folia.plans import sitemaps as SMP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,5 +83,12 @@ def queries() -> dict[str, Query]:
         "search_limit": SE.search_limit,
         # keyword search over documents
         "corpus_search": SE.corpus_search,
+        # fixture R2: sitemaps rendered from customer
+        "sitemap_locs": SMP.sitemap_locs,
+        "sitemap_manifest": SMP.sitemap_manifest,
+        "sitemap_index": SMP.sitemap_index,
+        "sitemap_lookup": SMP.sitemap_lookup,
+        "sitemap_sync": SMP.sitemap_sync,
+        "sitemap_refresh": SMP.sitemap_refresh,
     }
     return q

@@ -252,7 +252,7 @@ def shred(pages: DataFrame, min_partitions: int | None = None) -> DataFrame:
     )
     spark = pages.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if slim.rdd.getNumPartitions() < want:
+    if not pages.isStreaming and slim.rdd.getNumPartitions() < want:
         slim = slim.repartition(want)
     return slim.mapInArrow(_shred_batches, SPARK_SCHEMA)
 

@@ -365,3 +365,14 @@ ORACLE.update({
         SELECT sitemap_url, sitemap_pos, 0::BIGINT AS n_urls FROM ch WHERE nation <> 24
         UNION ALL SELECT 'https://assets.example.org/sitemap-new.xml', (SELECT count(*) FROM ch WHERE nation <> 24) + 1, 0""",
 })
+
+
+ORACLE.update({
+    "stream_pages": ORACLE["page_heads"],
+    "stream_url_dedupe": f"""
+        SELECT DISTINCT lower(regexp_extract(url, {_URL}, 1)) || '://' || lower(regexp_extract(url, {_URL}, 2))
+          || url_decode(regexp_extract(url, {_URL}, 3)) AS key FROM pages""",
+    "stream_edits_latest": """
+        SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, CAST(max(ts) AS TIMESTAMP) AS ts,
+          arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id""",
+})

@@ -15,6 +15,7 @@ from folia.plans import pages as PG
 from folia.plans import robots as RB
 from folia.plans import search as SE
 from folia.plans import sitemaps as SMP
+from folia.streaming import jobs as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,5 +91,9 @@ def queries() -> dict[str, Query]:
         "sitemap_lookup": SMP.sitemap_lookup,
         "sitemap_sync": SMP.sitemap_sync,
         "sitemap_refresh": SMP.sitemap_refresh,
+        # Structured Streaming forms (run with availableNow, read back)
+        "stream_pages": ST.stream_pages,
+        "stream_url_dedupe": ST.stream_url_dedupe,
+        "stream_edits_latest": ST.stream_edits_latest,
     }
     return q

@@ -197,14 +197,58 @@ def _resolve(base: str, ref: str) -> str:
     return let(f"named_struct({', '.join(fields)})", body)
 
 
+def parse_base(e: str) -> str:
+    """A base URL parsed once: named_struct(url, scheme, netloc, path, query),
+    to resolve many references against (see ``resolve_with``)."""
+    return (
+        f"named_struct('url', {e}, 'scheme', {url_part(e, 'scheme')}, 'netloc', {url_part(e, 'netloc')}, "
+        f"'path', {url_part(e, 'path')}, 'query', {url_part(e, 'query')})"
+    )
+
+
+# References that need no merge: absolute with an authority, or rooted paths
+# without dot segments; neither may end in an empty '?' or '#', which
+# urlunsplit would drop.
+_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]"
+_ROOTED_PLAIN = r"^/[^/]"
+_DOT_SEGMENT = r"(^|/)\.\.?($|[/?#])"
+_UNSAFE = r"[\t\r\n]|\?#|[?#]$|\?$"
+
+
+def resolve_with(base: str, ref: str) -> str:
+    """urljoin(base.url, ref) for a base from ``parse_base``.
+
+    Common shapes are answered directly (an absolute reference keeps its
+    text, with the scheme lower-cased when urljoin re-assembles it; a rooted
+    path without dot segments is appended to the base's scheme and
+    authority); everything else goes through the full merge of ``_resolve``.
+    """
+    scheme = f"lower(substring_index({ref}, ':', 1))"
+    absolute = (
+        f"CASE WHEN {scheme} = {base}.scheme AND {scheme} IN ({lits(USES_RELATIVE)}) AND {scheme} IN ({lits(USES_NETLOC)}) "
+        f"THEN concat({scheme}, substring({ref}, instr({ref}, ':'))) ELSE {ref} END"
+    )
+    return (
+        f"CASE WHEN coalesce({base}.url, '') = '' THEN {ref} "
+        f"WHEN {ref} RLIKE {lit(_UNSAFE)} THEN {_resolve(f'{base}.url', ref)} "
+        f"WHEN {ref} RLIKE {lit(_ABSOLUTE)} THEN {absolute} "
+        f"WHEN {ref} RLIKE {lit(_ROOTED_PLAIN)} AND NOT {ref} RLIKE {lit(_DOT_SEGMENT)} "
+        f"AND {base}.scheme IN ({lits(USES_NETLOC)}) AND {base}.scheme <> '' "
+        f"THEN concat({base}.scheme, '://', {base}.netloc, {ref}) "
+        f"ELSE {_resolve(f'{base}.url', ref)} END"
+    )
+
+
 def url_resolve(base: str, ref: str) -> str:
     """urllib.parse.urljoin(base, ref)."""
-    return let(f"named_struct('b', {base}, 'r', {ref})", lambda v: _resolve(f"{v}.b", f"{v}.r"))
+    return let(f"named_struct('b', {parse_base(base)}, 'r', {ref})", lambda v: resolve_with(f"{v}.b", f"{v}.r"))
 
 
-def normalize_image_url(raw_src: str, base: str) -> str:
+def normalize_image_url(raw_src: str, base: str, parsed_base: bool = False) -> str:
     """Resolve an image src; a /_next/image wrapper yields its ``url`` query
-    value, form-decoded then percent-decoded, and resolved again."""
+    value, form-decoded then percent-decoded, and resolved again.  ``base``
+    is a URL, or a ``parse_base`` struct when ``parsed_base``."""
+    b = base if parsed_base else parse_base(base)
 
     def unwrap(v: str) -> str:
         resolved = f"{v}.resolved"
@@ -213,8 +257,9 @@ def normalize_image_url(raw_src: str, base: str) -> str:
         inner_raw = f"regexp_extract({query}, {lit('(?:^|&)url=([^&]+)')}, 1)"
         inner = unquote(unquote_plus(inner_raw))
         return (
-            f"CASE WHEN {path} = '/_next/image' AND {inner_raw} <> '' "
-            f"THEN {url_resolve(f'{v}.base', inner)} ELSE {resolved} END"
+            f"CASE WHEN contains({resolved}, '/_next/image') AND {path} = '/_next/image' AND {inner_raw} <> '' "
+            f"THEN {let(inner, lambda i: resolve_with(f'{v}.base', i))} ELSE {resolved} END"
         )
 
-    return let(f"named_struct('resolved', {url_resolve(base, raw_src)}, 'base', {base})", unwrap)
+    return let(f"named_struct('base', {b}, 'r', {raw_src})", lambda p: let(
+        f"named_struct('resolved', {resolve_with(f'{p}.base', f'{p}.r')}, 'base', {p}.base)", unwrap))

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from folia.functions import nodes as N
 from folia.functions.sql import filter_, first, let, transform
 from folia.functions.text import py_strip, ws_normalize
-from folia.functions.urls import normalize_image_url, page_slug, url_resolve
+from folia.functions.urls import normalize_image_url, page_slug, parse_base, resolve_with
 
 
-def figure_data(fig: str, base: str, nodes: str = N.NODES) -> str:
-    """First img (src, else first srcset candidate), first figcaption, alt;
-    null when there is no usable image URL."""
+def figure_data(fig: str, nodes: str = N.NODES) -> str:
+    """First img (src, else first srcset candidate), first figcaption, alt:
+    named_struct(raw_src, caption, alt_text), null when there is no usable
+    image.  The src is resolved later (``normalize_image_url``), once per
+    kept figure, outside the array lambdas."""
 
     def with_img(img: str) -> str:
         src = py_strip(N.attr(img, "src"))
@@ -32,7 +34,7 @@ def figure_data(fig: str, base: str, nodes: str = N.NODES) -> str:
         return let(
             raw_src,
             lambda s: f"CASE WHEN {img} IS NOT NULL AND {s} <> '' THEN named_struct("
-            f"'image_url', {normalize_image_url(s, base)}, 'caption', {caption}, 'alt_text', {alt}) END",
+            f"'raw_src', {s}, 'caption', {caption}, 'alt_text', {alt}) END",
         )
 
     return let(N.first_tag(N.descendants(fig, nodes), "img"), with_img)
@@ -42,7 +44,7 @@ def _block(n: str, base: str, nodes: str = N.NODES) -> str:
     is_list = f"{n}.tag IN ('ul', 'ol')"
     is_heading = f"{n}.tag IN ('h1', 'h2', 'h3')"
     parts = (
-        f"named_struct('fig', CASE WHEN {n}.tag = 'figure' THEN {figure_data(n, base, nodes)} END, "
+        f"named_struct('fig', CASE WHEN {n}.tag = 'figure' THEN {figure_data(n, nodes)} END, "
         f"'items', CASE WHEN {is_list} THEN {N.list_items(n, nodes)} END)"
     )
 
@@ -62,7 +64,7 @@ def _block(n: str, base: str, nodes: str = N.NODES) -> str:
             f"named_struct('bpos', {n}.pos, 'kind', {kind}, "
             f"'level', CASE WHEN {is_heading} THEN CAST(substring({n}.tag, 2, 1) AS INT) END, "
             f"'heading_id', CASE WHEN {is_heading} THEN nullif({N.attr(n, 'id')}, '') END, "
-            f"'text', {text}, 'image_url', {v}.fig.image_url, 'caption', {v}.fig.caption, "
+            f"'text', {text}, 'raw_src', {v}.fig.raw_src, 'caption', {v}.fig.caption, "
             f"'alt_text', {v}.fig.alt_text, 'ordered', {ordered}, 'items', {v}.items)"
         )
 
@@ -75,7 +77,7 @@ def article_blocks(article: str, base: str, nodes: str = N.NODES) -> str:
     built = transform(candidates, lambda n: _block(n, base, nodes))
     return filter_(
         built,
-        lambda b: f"CASE WHEN {b}.kind = 'figure' THEN {b}.image_url IS NOT NULL ELSE {b}.text <> '' END",
+        lambda b: f"CASE WHEN {b}.kind = 'figure' THEN {b}.raw_src IS NOT NULL ELSE {b}.text <> '' END",
     )
 
 
@@ -113,13 +115,14 @@ def links(article: str, base: str, nodes: str = N.NODES) -> str:
         transform(filter_(N.descendants(article, nodes), lambda n: f"{n}.tag = 'a'"), lambda a: py_strip(N.attr(a, "href"))),
         lambda h: f"{h} <> ''",
     )
-    return f"array_distinct({transform(hrefs, lambda h: url_resolve(base, h))})"
+    return f"array_distinct({transform(hrefs, lambda h: resolve_with(base, h))})"
 
 
-def lead_figure(article: str, base: str, nodes: str = N.NODES) -> str:
+def lead_figure_raw(article: str, nodes: str = N.NODES) -> str:
+    """The first figure of the article with a usable image (src unresolved)."""
     figs = transform(
         filter_(N.descendants(article, nodes), lambda n: f"{n}.tag = 'figure'"),
-        lambda f: figure_data(f, base, nodes),
+        lambda f: figure_data(f, nodes),
     )
     return first(filter_(figs, lambda f: f"{f} IS NOT NULL"))
 
@@ -144,19 +147,25 @@ def page_frame(shredded: DataFrame) -> DataFrame:
         f"{N.head_keywords('_head')} AS keywords",
     ).drop("_head")
     df = df.selectExpr("*", "coalesce(nullif(source_url, ''), canonical_url, '') AS url")
+    df = df.selectExpr("*", f"{parse_base('url')} AS _base")
     df = df.selectExpr(
         "*",
-        f"{article_blocks('article', 'url')} AS blocks",
+        f"{article_blocks('article', '_base')} AS blocks",
         f"{infobox('article')} AS infobox",
-        f"{links('article', 'url')} AS links",
-        f"{lead_figure('article', 'url')} AS lead_figure",
+        f"{links('article', '_base')} AS links",
+        f"{lead_figure_raw('article')} AS _lead",
         f"{page_slug('url')} AS slug",
     )
     first_h2 = first(transform(filter_("blocks", lambda b: f"({b}.kind = 'heading' AND {b}.level = 2)"), lambda b: f"{b}.bpos"))
     df = df.selectExpr("*", f"{first_h2} AS _first_h2")
     h1 = first(filter_("blocks", lambda b: f"({b}.kind = 'heading' AND {b}.level = 1)"))
     intro = first(filter_("blocks", lambda b: f"({b}.kind = 'paragraph' AND (_first_h2 IS NULL OR {b}.bpos < _first_h2))"))
-    df = df.selectExpr("*", f"coalesce({h1}.text, head_title) AS title", f"{intro}.text AS intro_text")
+    df = df.selectExpr(
+        "*", f"coalesce({h1}.text, head_title) AS title", f"{intro}.text AS intro_text",
+        f"CASE WHEN _lead IS NOT NULL THEN named_struct('image_url', "
+        f"{normalize_image_url('_lead.raw_src', '_base', parsed_base=True)}, "
+        f"'caption', _lead.caption, 'alt_text', _lead.alt_text) END AS lead_figure",
+    )
     quarantine = (
         "CASE WHEN parse_error IS NOT NULL THEN 'unparsable' WHEN article IS NULL THEN 'no_article' "
         "WHEN title IS NULL OR title = '' THEN 'no_title' END"

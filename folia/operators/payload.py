@@ -10,7 +10,8 @@ rows that ``sections.section_media`` merges after the figures.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from folia.functions.sql import aggregate, filter_, first, let, lit, transform
 from folia.functions.text import py_strip, split_lines, ws_normalize
@@ -143,7 +144,13 @@ _HIT = "struct<no:int,sec_no:int,sub_no:int,alt:string,raw_url:string,caption:st
 
 
 def cursor_hits(lines: str, secs: str) -> str:
-    """The reference's line scan as a fold: '## ' moves the section cursor,
+    """The reference's line scan as a fold over a payload's raw lines."""
+    return cursor_fold(_line_kind(lines), secs)
+
+
+def cursor_fold(events: str, secs: str) -> str:
+    """The reference's line scan as a fold over classified line events
+    (no, kind, title, alt, raw_url, caption): '## ' moves the section cursor,
     '### ' the subsection cursor inside it, an image attaches to the current
     target.  Returns the attached images with their (sec_no, sub_no)."""
     init = f"named_struct('sc', -1, 'cur', -1, 'ssc', -1, 'csub', -1, 'out', CAST(array() AS array<{_HIT}>))"
@@ -177,7 +184,7 @@ def cursor_hits(lines: str, secs: str) -> str:
             f"ELSE {acc} END"
         )
 
-    return f"{aggregate(_line_kind(lines), init, step)}.out"
+    return f"{aggregate(events, init, step)}.out"
 
 
 def _with_payloads(frame: DataFrame) -> DataFrame:
@@ -198,16 +205,49 @@ def payloads(frame: DataFrame) -> DataFrame:
     )
 
 
+def _classified_lines(payload_rows: DataFrame) -> DataFrame:
+    """(page_id, pno, payload) -> one row per line with its kind, heading
+    title, image alt / raw URL and caption, computed with row-level
+    expressions; the caption looks at the next four lines via ``lead``."""
+    lines = payload_rows.selectExpr("page_id", "pno", f"posexplode({split_lines('payload')}) AS (no, line)")
+    stripped = lines.selectExpr("page_id", "pno", "no", f"{py_strip('line')} AS s")
+    w = Window.partitionBy("page_id", "pno").orderBy("no")
+    ahead = stripped.select("*", *[F.lead("s", k).over(w).alias(f"n{k}") for k in range(1, 5)])
+    nxt = "coalesce(" + ", ".join(f"nullif(n{k}, '')" for k in range(1, 5)) + ")"
+    img = f"regexp_extract(s, {lit(MD_IMAGE_RE)}, 0)"
+    link = ws_normalize(f"regexp_extract(s, {lit(MD_IMAGE_RE)}, 2)")
+    return ahead.selectExpr(
+        "page_id", "pno", "no",
+        f"CASE WHEN s = '' THEN 'other' WHEN startswith(s, '## ') THEN 'h2' WHEN startswith(s, '### ') THEN 'h3' "
+        f"WHEN {img} <> '' THEN 'img' ELSE 'other' END AS kind",
+        f"CASE WHEN startswith(s, '## ') THEN lower({ws_normalize('substring(s, 4)')}) "
+        f"WHEN startswith(s, '### ') THEN lower({ws_normalize('substring(s, 5)')}) END AS title",
+        f"nullif({ws_normalize(f'regexp_extract(s, {lit(MD_IMAGE_RE)}, 1)')}, '') AS alt",
+        f"CASE WHEN {link} = '' THEN NULL WHEN startswith({link}, '<') AND contains({link}, '>') "
+        f"THEN substring_index(substring({link}, 2), '>', 1) ELSE nullif(substring_index({link}, ' ', 1), '') END AS raw_url",
+        f"CASE WHEN {nxt} IS NULL OR startswith({nxt}, '##') OR startswith({nxt}, '![') THEN NULL "
+        f"WHEN startswith({nxt}, '*') AND endswith({nxt}, '*') AND char_length({nxt}) > 2 "
+        f"THEN nullif({ws_normalize(f'substring({nxt}, 2, char_length({nxt}) - 2)')}, '') END AS caption",
+    )
+
+
 def payload_media(frame: DataFrame) -> DataFrame:
     """Candidate media from payloads: page_id, sec_no, sub_no, src_rank 1,
-    seq (payload, line), image_url, caption, alt_text."""
-    df = (
-        _with_payloads(frame.where("quarantine IS NULL"))
-        .where("size(payloads) > 0 AND size(secs) > 0")
-        .selectExpr("page_id", "url", "secs", "posexplode(payloads) AS (pno, payload)")
+    seq (payload, line), image_url, caption, alt_text.
+
+    Lines are classified row by row; only heading and image events go into
+    the per-payload fold, grouped on (page_id, pno) -- the frame is already
+    partitioned by page_id, so neither the window nor the group-by shuffles.
+    """
+    pages = _with_payloads(frame.where("quarantine IS NULL")).where("size(payloads) > 0 AND size(secs) > 0")
+    rows = pages.selectExpr("page_id", "posexplode(payloads) AS (pno, payload)")
+    events = _classified_lines(rows).where("kind IN ('h2', 'h3', 'img')")
+    grouped = events.groupBy("page_id", "pno").agg(
+        F.array_sort(F.collect_list(F.struct("no", "kind", "title", "alt", "raw_url", "caption"))).alias("events")
     )
-    hits = df.selectExpr(
-        "page_id", "url", "pno", f"{cursor_hits(split_lines('payload'), 'secs')} AS hits"
+    per_page = pages.select("page_id", "url", "secs")
+    hits = grouped.join(per_page, "page_id").selectExpr(
+        "page_id", "url", "pno", f"{cursor_fold('events', 'secs')} AS hits"
     ).selectExpr("page_id", "url", "pno", "explode(hits) AS h")
     return hits.selectExpr(
         "page_id", "h.sec_no AS sec_no", "h.sub_no AS sub_no", "1 AS src_rank",

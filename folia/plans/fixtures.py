@@ -326,3 +326,20 @@ def r2_sitemap_docs(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> Data
         "sitemap_url string, xml string",
     )
     return docs.unionByName(broken)
+
+
+def r3_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3: a crawl-response log for ``pages``: (url, status, headers, body,
+    fetched_at).  Keys ending in 3 answer 404, in 7 answer 503; the body is
+    UTF-8 with a declared, missing or quoted-unknown charset, or Latin-1
+    with a declared charset (by key modulo 4)."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return pages.selectExpr(
+        "page_id", "url",
+        "CASE WHEN page_id % 10 = 3 THEN 404 WHEN page_id % 10 = 7 THEN 503 ELSE 200 END AS status",
+        "map('Content-Type', CASE page_id % 4 WHEN 0 THEN 'text/html; charset=utf-8' "
+        "WHEN 1 THEN 'text/html; charset=ISO-8859-1' WHEN 2 THEN 'text/html' "
+        "ELSE 'text/html; charset=\"x-unknown\"' END) AS headers",
+        "CASE WHEN page_id % 4 IN (1, 3) THEN encode(html, 'ISO-8859-1') ELSE encode(html, 'UTF-8') END AS body",
+        "TIMESTAMP'2026-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, page_id) AS fetched_at",
+    )

@@ -29,7 +29,7 @@ def _text(e: str) -> str:
 _URL = "'^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)'"
 
 PAGES_ART = f"""
-art AS (SELECT page_id, url, html, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+art AS (SELECT page_id, url, html, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages_src),
 heads AS (SELECT page_id, url,
     {_text("regexp_extract(a, '(?s)<h1>(.*?)</h1>', 1)")} AS title,
     {_text("regexp_extract(a, '(?s)</h1>.*?<p>(.*)$', 1)")} AS intro_text
@@ -59,7 +59,10 @@ g AS (
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",".join(ctes)
+    sql = "WITH " + ",".join(ctes)
+    if "pages_src" in sql and "pages_src AS" not in sql:
+        sql = sql.replace("WITH ", "WITH pages_src AS (SELECT page_id, url, html FROM pages),", 1)
+    return sql
 
 
 _MD = f"""'# ' || title
@@ -376,3 +379,28 @@ ORACLE.update({
         SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, CAST(max(ts) AS TIMESTAMP) AS ts,
           arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id""",
 })
+
+
+R3_RESP = f"""
+resp AS (SELECT page_id, url, CASE WHEN page_id % 10 = 3 THEN 404 WHEN page_id % 10 = 7 THEN 503 ELSE 200 END AS status,
+           CASE WHEN page_id % 4 = 3 THEN regexp_replace(html, '[^\\x{{00}}-\\x{{7f}}]', chr(65533), 'g') ELSE html END AS text
+         FROM pages),
+ok AS (SELECT lower(regexp_extract(url, {_URL}, 1)) || '://' || lower(regexp_extract(url, {_URL}, 2))
+          || url_decode(regexp_extract(url, {_URL}, 3)) AS key, page_id, url, text FROM resp WHERE status < 400),
+newest AS (SELECT key, max(page_id) AS page_id FROM ok GROUP BY key),
+ingested AS (SELECT ok.key, ok.page_id, ok.url, ok.text FROM ok JOIN newest USING (key, page_id))"""
+
+ORACLE.update({
+    "response_ingest": _with(R3_RESP) + " SELECT key, page_id, text FROM ingested",
+    "response_status": """
+        SELECT CASE WHEN page_id % 10 = 3 THEN 'not_found' WHEN page_id % 10 = 7 THEN 'http_error' ELSE 'ok' END AS status_class,
+          count(*) AS n FROM pages GROUP BY ALL""",
+    "crawl_pages": _with(R3_RESP, "pages_src AS (SELECT page_id, url, text AS html FROM ingested)", PAGES_ART, R3) + f"""
+        SELECT h.page_id, h.url, regexp_replace(regexp_extract(h.url, {_URL}, 3), '^/+|/+$', '', 'g') AS slug,
+          h.title, h.intro_text
+        FROM heads h JOIN pg ON pg.page_id = h.page_id
+        WHERE NOT (length(pg.host) % 7 = 0)
+          AND CASE WHEN length(pg.host) % 3 = 0 THEN NOT (starts_with(pg.path, '/fr/') OR starts_with(pg.path, '/de/'))
+                   WHEN length(pg.host) % 3 = 1 THEN starts_with(pg.path, '/en/')
+                   ELSE NOT starts_with(pg.path, '/en/9') END""",
+})

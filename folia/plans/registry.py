@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folia.plans import crawl as CR
 from folia.plans import edits as ED
 from folia.plans import pages as PG
 from folia.plans import robots as RB
@@ -71,7 +72,10 @@ def queries() -> dict[str, Query]:
         "edit_page": ED.edit_page,
         "edit_summary": ED.edit_summary,
         "edit_payload_write": ED.edit_payload_write,
-        # fixture R3: robots.txt documents for the hosts of pages
+        # fixture R3: crawl responses and robots.txt documents for the hosts of pages
+        "response_ingest": CR.response_ingest,
+        "response_status": CR.response_status,
+        "crawl_pages": CR.crawl_pages,
         "robots_rules": RB.robots_rules,
         "robots_gate": RB.robots_gate,
         "robots_fail_closed": RB.robots_fail_closed,

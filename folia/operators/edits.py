@@ -10,7 +10,7 @@ dropped silently.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions.text import py_strip
@@ -110,26 +110,34 @@ def entries(batches: DataFrame) -> DataFrame:
     )
 
 
+def _read_batches(batches: DataFrame) -> DataFrame:
+    """Batches the --all loop reads: per page, those at or before the first
+    batch that stops it (hasMore=false, no entries, or unparsable).  The
+    stop offset is a keyed min (map-side combined), not a window, so a page
+    with very many batches is never sorted in one task."""
+    stops = batches.where("NOT has_more OR n = 0 OR error IS NOT NULL").groupBy("slug").agg(
+        F.min("offset").alias("_stop_at")
+    )
+    return batches.join(stops, "slug", "left").where("_stop_at IS NULL OR offset <= _stop_at").drop("_stop_at")
+
+
 def stitch(batches: DataFrame) -> DataFrame:
     """The --all loop as a table: per page, batches in offset order up to and
     including the first with hasMore=false or no entries; total and has_more
-    from the last batch read; contiguity (each offset = previous offset +
-    previous n) and completeness (entries read = total) flagged.  Pages with
-    a quarantined batch in their chain are flagged, not dropped."""
-    w = Window.partitionBy("slug").orderBy("offset")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    stop = F.expr("NOT has_more OR n = 0 OR error IS NOT NULL")
-    marked = batches.select(
-        "slug", "offset", "n", "total_count", "has_more", "error",
-        F.coalesce(F.max(stop.cast("int")).over(before), F.lit(0)).alias("_stopped"),
-        F.lag(F.col("offset") + F.col("n")).over(w).alias("_expected"),
-    ).where("_stopped = 0")
-    return marked.groupBy("slug").agg(
+    from the last batch read; contiguity (every batch after the first starts
+    where another read batch ends) and completeness (entries read = total)
+    flagged.  Pages with a quarantined batch in their chain are flagged, not
+    dropped."""
+    read = _read_batches(batches)
+    ends = read.selectExpr("slug", "offset + n AS offset").distinct().withColumn("_joined", F.lit(True))
+    linked = read.join(ends, ["slug", "offset"], "left")
+    firsts = read.groupBy("slug").agg(F.min("offset").alias("_first"))
+    return linked.join(firsts, "slug").groupBy("slug").agg(
         F.count(F.lit(1)).alias("n_batches"),
         F.sum("n").alias("n_entries"),
         F.max_by("total_count", "offset").alias("total_count"),
         F.max_by("has_more", "offset").alias("has_more"),
-        F.bool_and(F.expr("_expected IS NULL OR offset = _expected")).alias("contiguous"),
+        F.bool_and(F.expr("offset = _first OR _joined IS NOT NULL")).alias("contiguous"),
         F.bool_and(F.expr("error IS NULL")).alias("valid"),
     ).withColumn("complete", F.expr("valid AND contiguous AND n_entries = total_count"))
 
@@ -137,13 +145,7 @@ def stitch(batches: DataFrame) -> DataFrame:
 def stitched_entries(batches: DataFrame) -> DataFrame:
     """Entries of the batches that ``stitch`` reads, with their rank in the
     combined history (offset + position)."""
-    w = Window.partitionBy("slug").orderBy("offset")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    stop = F.expr("NOT has_more OR n = 0 OR error IS NOT NULL")
-    read = batches.withColumn("_stopped", F.coalesce(F.max(stop.cast("int")).over(before), F.lit(0))).where(
-        "_stopped = 0"
-    ).drop("_stopped")
-    return entries(read).withColumn("rank", F.col("offset") + F.col("pos"))
+    return entries(_read_batches(batches)).withColumn("rank", F.col("offset") + F.col("pos"))
 
 
 def page_slice(stitched: DataFrame, limit: int = 25, offset: int = 0) -> DataFrame:

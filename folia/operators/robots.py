@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from folia.functions import urls as U
 from folia.functions.text import py_strip, split_lines
+from folia.session import broadcast_if_small
 
 
 def _py_quote(e: str) -> str:
@@ -92,8 +93,12 @@ def robots_rules(docs: DataFrame) -> DataFrame:
 
 
 def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robots: bool = True,
-                allow_override: bool = False) -> DataFrame:
-    """(page_id, url) -> (page_id, url, verdict in allowed/disallowed/unavailable)."""
+                allow_override: bool = False, max_broadcast_rules: int = 1_000_000) -> DataFrame:
+    """(page_id, url) -> (page_id, url, verdict in allowed/disallowed/unavailable).
+
+    The rules of the chosen entries are broadcast when their count is checked
+    below ``max_broadcast_rules``; beyond that the join shuffles on the robots
+    URL, and AQE splits origins that hold many URLs."""
     token = user_agent.split("/")[0].lower()
     targets = urls.selectExpr(
         "page_id", "url", f"{U.url_robots('url')} AS robots_url",
@@ -114,7 +119,10 @@ def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robot
         .agg(F.min(F.expr("struct(NOT named AS fallback, entry_no)")).alias("_k"))
         .selectExpr("robots_url", "_k.entry_no AS entry_no")
     )
-    chosen_rules = rules.join(chosen, ["robots_url", "entry_no"]).select("robots_url", "seq", "allow", "prefix")
+    chosen_rules = broadcast_if_small(
+        rules.join(chosen, ["robots_url", "entry_no"]).select("robots_url", "seq", "allow", "prefix"),
+        max_broadcast_rules,
+    )
     matched = (
         targets.join(chosen_rules, "robots_url", "left")
         .where("prefix IS NULL OR startswith(path_q, prefix)")

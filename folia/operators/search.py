@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from folia.functions import nodes as N
 from folia.functions import urls as U
 from folia.functions.text import py_strip
+from folia.session import broadcast_if_small
 from folia.functions.sql import filter_, let, transform
 
 SEARCH_BASE = "https://wiki.example.org"
@@ -106,8 +107,7 @@ def corpus_search(docs: DataFrame, queries: DataFrame, k: int = SEARCH_RESULTS,
     """
     terms = queries.selectExpr("query", "explode(array_distinct(filter(split(lower(query), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> ''))) AS term")
     tokens = docs.selectExpr("doc_id", "explode(filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> '')) AS term")
-    if terms.count() <= max_broadcast_rows:
-        terms = F.broadcast(terms)
+    terms = broadcast_if_small(terms, max_broadcast_rows)
     scored = tokens.join(terms, "term").groupBy("query", "doc_id").agg(
         F.countDistinct("term").alias("n_terms"), F.count(F.lit(1)).alias("tf")
     )

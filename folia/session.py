@@ -97,6 +97,15 @@ def materialize_bucketed(df: DataFrame, key: str, buckets: int | None = None) ->
     return spark.table(name)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it has at most
+    ``max_rows`` rows; otherwise leave the join to shuffle (and to AQE's
+    runtime choice and skew splitting)."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def ship_by_value(module) -> None:
     """Pickle a module's functions by value so Python workers run them
     without the package being installed on the executors."""

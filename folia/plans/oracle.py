@@ -404,3 +404,20 @@ ORACLE.update({
                    WHEN length(pg.host) % 3 = 1 THEN starts_with(pg.path, '/en/')
                    ELSE NOT starts_with(pg.path, '/en/9') END""",
 })
+
+
+ORACLE.update({
+    "html_nodes": ORACLE["shred"],
+    "link_hosts": _with(R1, """
+        s AS (SELECT DISTINCT k, unnest(lines).sk AS sk FROM g)""") + """
+        SELECT 'wiki.example.org' AS host, count(*) AS n_links, count(DISTINCT k) AS n_pages FROM (
+          SELECT k FROM g UNION ALL SELECT k FROM s)
+        UNION ALL SELECT 'ext.example.com', count(*), count(*) FROM g""",
+    "infobox_labels": _with(R1) + """
+        SELECT label, count(*) AS n FROM (SELECT 'Status' AS label FROM g UNION ALL SELECT 'Priority' FROM g
+          UNION ALL SELECT 'Customer' FROM g) GROUP BY label""",
+    "page_stats_rollup": _with(R1) + """
+        SELECT scheme, host, count(*) AS pages, sum(n + 1) AS references, sum(4) AS media, max(2) AS max_sections
+        FROM (SELECT 'https' AS scheme, 'wiki.example.org' AS host, n FROM g)
+        GROUP BY ROLLUP (scheme, host)""",
+})

@@ -282,3 +282,37 @@ def r1_json_write(spark, sf_dir):
         "get_json_object(json, '$.metadata.fetched_at_utc') AS fetched_at_utc",
         "get_json_object(json, '$.lead_figure.caption') AS caption",
     )
+
+
+# ---------------------------------------------------------------- rollups
+
+def r1_link_hosts(spark, sf_dir):
+    from folia.operators.rollups import link_hosts
+
+    return link_hosts(_r1(spark, sf_dir))
+
+
+def r1_infobox_labels(spark, sf_dir):
+    from folia.operators.rollups import infobox_labels
+
+    return infobox_labels(_r1(spark, sf_dir))
+
+
+def r1_stats_by_host(spark, sf_dir):
+    from folia.operators.rollups import stats_by_host
+
+    records = _r1_records(spark, sf_dir)
+    return stats_by_host(records, A.page_stats(records))
+
+
+def html_nodes_sql(spark, sf_dir):
+    """Tag counts through the SQL table function (LATERAL html_nodes)."""
+    from folia.functions.udtf import register
+
+    register(spark)
+    _pages(spark, sf_dir).createOrReplaceTempView("folia_pages")
+    return spark.sql(
+        "SELECT p.page_id, n.tag, count(*) AS n FROM folia_pages p, LATERAL html_nodes(p.html) n "
+        "WHERE n.tag IN ('head', 'meta', 'title', 'script', 'ul', 'li', 'a', 'article', 'h1', 'p') "
+        "GROUP BY p.page_id, n.tag"
+    )

@@ -64,6 +64,10 @@ def queries() -> dict[str, Query]:
         "markdown_render": PG.r1_markdown,
         "page_json_write": PG.r1_json_write,
         "page_json_read": PG.r1_json_roundtrip,
+        "link_hosts": PG.r1_link_hosts,
+        "infobox_labels": PG.r1_infobox_labels,
+        "page_stats_rollup": PG.r1_stats_by_host,
+        "html_nodes": PG.html_nodes_sql,
         # fixture R5: edit-history payloads rendered from events
         "edit_payload_read": ED.edit_batches,
         "edit_batches": ED.edit_batches,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from folia.functions import urls as U
 from folia.functions.text import py_strip, split_lines
-from folia.session import broadcast_if_small
+from folia.session import broadcast_if_small, materialize
 
 
 def _py_quote(e: str) -> str:
@@ -63,32 +63,29 @@ def robots_rules(docs: DataFrame) -> DataFrame:
         F.last(F.when(F.col("ev").isin("ua", "blank"), F.col("ev")), ignorenulls=True).over(upto).alias("anchor"),
     ).withColumn("starts", F.expr("ev = 'ua' AND (prev_ev IS NULL OR prev_ev <> 'ua')"))
     marked = marked.withColumn("entry", F.sum(F.col("starts").cast("int")).over(upto))
-    agents = marked.where("ev = 'ua'").groupBy("robots_url", "entry").agg(
-        F.array_sort(F.collect_list(F.struct("ln", "value"))).alias("_a")
-    ).selectExpr("robots_url", "entry", "transform(_a, a -> a.value) AS agents")
-    rules = marked.where("ev = 'rule' AND anchor = 'ua'")
-    kept = rules.groupBy("robots_url", "entry").agg(F.count(F.lit(1)).alias("_n"))
-    entries = agents.join(kept, ["robots_url", "entry"]).withColumn(
-        "_star", F.expr("array_contains(agents, '*')")
-    )
-    first_star = entries.where("_star").groupBy("robots_url").agg(F.min("entry").alias("_default"))
-    entries = entries.join(first_star, "robots_url", "left").selectExpr(
-        "robots_url", "entry", "agents",
-        "coalesce(entry = _default, false) AS is_default",
-        "_star AS has_star",
-        "dense_rank() OVER (PARTITION BY robots_url ORDER BY entry) AS entry_no",
+    # One aggregate per entry (agents in order, number of recorded rules),
+    # then per-document windows over the few entries: the first entry naming
+    # '*' is the default, later '*' entries are dropped, entries are numbered.
+    per_entry = marked.groupBy("robots_url", "entry").agg(
+        F.array_sort(F.collect_list(F.when(F.col("ev") == "ua", F.struct("ln", "value")))).alias("_a"),
+        F.count(F.when(F.expr("ev = 'rule' AND anchor = 'ua'"), 1)).alias("_n"),
+    ).where("_n > 0").selectExpr("robots_url", "entry", "transform(_a, a -> a.value) AS agents")
+    doc = Window.partitionBy("robots_url")
+    entries = per_entry.withColumn("has_star", F.expr("array_contains(agents, '*')")).withColumn(
+        "_default", F.min(F.when(F.col("has_star"), F.col("entry"))).over(doc)
+    ).selectExpr(
+        "robots_url", "entry", "agents", "coalesce(entry = _default, false) AS is_default", "has_star",
+    ).where("is_default OR NOT has_star").withColumn(
+        "entry_no", F.dense_rank().over(doc.orderBy("entry"))
     )
-    path_rules = rules.where("key IN ('allow', 'disallow')").selectExpr(
+    path_rules = marked.where("ev = 'rule' AND anchor = 'ua' AND key IN ('allow', 'disallow')").selectExpr(
         "robots_url", "entry", "ln",
         "key = 'allow' OR value = '' AS allow",
         f"{_py_quote('value')} AS prefix",
     )
     seq = Window.partitionBy("robots_url", "entry").orderBy("ln")
-    return (
-        path_rules.join(entries, ["robots_url", "entry"])
-        .where("is_default OR NOT has_star")
-        .select("robots_url", "entry_no", "is_default", "agents",
-                F.row_number().over(seq).alias("seq"), "allow", "prefix")
+    return path_rules.join(entries, ["robots_url", "entry"]).select(
+        "robots_url", "entry_no", "is_default", "agents", F.row_number().over(seq).alias("seq"), "allow", "prefix"
     )
 
 
@@ -106,7 +103,7 @@ def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robot
     )
     if not respect_robots or allow_override:
         return targets.selectExpr("page_id", "url", "'allowed' AS verdict")
-    rules = robots_rules(docs)
+    rules = materialize(robots_rules(docs))  # small, read by several branches
     # The entry used for this crawler, per origin: first non-default entry
     # naming it, else the default entry.
     chosen = (

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from folia.operators import edits as E
 from folia.plans.fixtures import r5_payloads
+from folia.session import materialize
+
+
+_BATCHES: dict = {}
 
 
 def _batches(spark, sf_dir):
-    return E.parse_batches(r5_payloads(spark, sf_dir))
+    """Parsed batches (the ``edit_batches`` table), computed and checkpointed
+    once per session: stitching, slices and rollups all read it."""
+    key = (id(spark), sf_dir)
+    if key not in _BATCHES:
+        _BATCHES[key] = materialize(E.parse_batches(r5_payloads(spark, sf_dir)))
+    return _BATCHES[key]
 
 
 def edit_batches(spark, sf_dir):

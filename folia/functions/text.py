@@ -22,11 +22,6 @@ def py_strip(e: str) -> str:
     return f"regexp_replace({e}, {lit('^' + WS_CLASS + '+|' + WS_CLASS + '+$')}, '')"
 
 
-def strip_newlines(e: str) -> str:
-    """``s.strip("\\n")``."""
-    return f"regexp_replace({e}, {lit('^[\\n]+|[\\n]+$')}, '')"
-
-
 def split_lines(e: str) -> str:
     """``s.splitlines()``: split on line breaks, minus one trailing empty piece."""
     parts = f"split({e}, {lit(LINE_BREAK)}, -1)"

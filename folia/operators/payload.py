@@ -1,11 +1,14 @@
 """Markdown media carried in ``self.__next_f.push([n, "..."])`` script payloads.
 
-Everything is a projection of the page row (no shuffle): scripts come from
-the page's ``nodes``, section titles from its ``blocks``; the heading cursor
-of the reference's line scan is an ``aggregate`` fold over the payload lines,
-so duplicate section titles resolve exactly as in the reference (next match
-after the cursor, else the first).  The result is exploded to candidate media
-rows that ``sections.section_media`` merges after the figures.
+Payload texts are taken from the page's ``nodes`` (script raw text, regex,
+JSON unescape) and section titles from its ``blocks`` while the page is still
+one row.  The line scan then runs on rows: payload lines are exploded and
+classified with row-level expressions (heading, image alt/link, caption from
+the next four lines via ``lead``), and only the heading and image events of
+each payload go into an ``aggregate`` fold that replays the reference's
+heading cursor exactly (next title match after the cursor, else the first).
+The fold's hits become candidate media rows that ``sections.section_media``
+merges after the figures.
 """
 
 from __future__ import annotations
@@ -58,40 +61,6 @@ def payload_texts(nodes: str = "nodes") -> str:
     return filter_(decoded, lambda d: f"(contains({d}, '## ') AND contains({d}, '!['))")
 
 
-def _line_kind(lines: str) -> str:
-    """Classify each line: h2 / h3 / img / other, with title or image parts."""
-
-    def one(line: str, i: str) -> str:
-        def parsed(s: str) -> str:
-            img = f"regexp_extract({s}, {lit(MD_IMAGE_RE)}, 0)"
-            alt = f"regexp_extract({s}, {lit(MD_IMAGE_RE)}, 1)"
-            link = ws_normalize(f"regexp_extract({s}, {lit(MD_IMAGE_RE)}, 2)")
-            url = let(
-                link,
-                lambda v: f"CASE WHEN {v} = '' THEN NULL "
-                f"WHEN startswith({v}, '<') AND contains({v}, '>') THEN substring_index(substring({v}, 2), '>', 1) "
-                f"ELSE nullif(substring_index({v}, ' ', 1), '') END",
-            )
-            caption = let(
-                first(filter_(transform(f"slice({lines}, {i} + 2, 4)", py_strip), lambda c: f"{c} <> ''")),
-                lambda c: f"CASE WHEN {c} IS NULL OR startswith({c}, '##') OR startswith({c}, '![') THEN NULL "
-                f"WHEN startswith({c}, '*') AND endswith({c}, '*') AND char_length({c}) > 2 "
-                f"THEN nullif({ws_normalize(f'substring({c}, 2, char_length({c}) - 2)')}, '') END",
-            )
-            return (
-                f"named_struct('no', {i}, "
-                f"'kind', CASE WHEN {s} = '' THEN 'other' WHEN startswith({s}, '## ') THEN 'h2' "
-                f"WHEN startswith({s}, '### ') THEN 'h3' WHEN {img} <> '' THEN 'img' ELSE 'other' END, "
-                f"'title', CASE WHEN startswith({s}, '## ') THEN lower({ws_normalize(f'substring({s}, 4)')}) "
-                f"WHEN startswith({s}, '### ') THEN lower({ws_normalize(f'substring({s}, 5)')}) END, "
-                f"'alt', nullif({ws_normalize(alt)}, ''), 'raw_url', {url}, 'caption', {caption})"
-            )
-
-        return let(py_strip(line), parsed)
-
-    return transform(lines, one, arity=2)
-
-
 def section_titles(blocks: str = "blocks") -> str:
     """Sections as the block walk builds them, in order: array of
     (sec_no, title, subs array of (sub_no, title)); titles lower-cased."""
@@ -143,11 +112,6 @@ def _match(items: str, title: str, start: str) -> str:
 _HIT = "struct<no:int,sec_no:int,sub_no:int,alt:string,raw_url:string,caption:string>"
 
 
-def cursor_hits(lines: str, secs: str) -> str:
-    """The reference's line scan as a fold over a payload's raw lines."""
-    return cursor_fold(_line_kind(lines), secs)
-
-
 def cursor_fold(events: str, secs: str) -> str:
     """The reference's line scan as a fold over classified line events
     (no, kind, title, alt, raw_url, caption): '## ' moves the section cursor,

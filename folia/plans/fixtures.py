@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from folia.session import table
 
 WIKI = "https://wiki.example.org"
-IMG = "https://img.example.org"
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from folia.operators import sitemaps as SM
 from folia.plans.fixtures import SITEMAP_INDEX, r2_sitemap_docs

@@ -71,32 +71,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
-    """Write ``df`` once as a parquet table bucketed (and sorted) on ``key``
-    in the shared checkpoint folder and read it back.
-
-    One pass computes the frame (a reliable checkpoint of an uncached
-    Dataset would compute it twice); the bucketed scan reports hash
-    partitioning on ``key``, so later windows, group-bys and joins on
-    ``key`` run without another shuffle.
-    """
-    import uuid
-
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"folia_frame_{uuid.uuid4().hex}"
-    path = os.path.join(checkpoint_dir(spark), "tables", name)
-    (
-        df.repartition(n, key)
-        .write.mode("overwrite")
-        .option("path", path)
-        .bucketBy(n, key)
-        .sortBy(key)
-        .saveAsTable(name)
-    )
-    return spark.table(name)
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it has at most
     ``max_rows`` rows; otherwise leave the join to shuffle (and to AQE's

@@ -50,17 +50,16 @@ _REF_T = "array<struct<index:int,text:string,url:string>>"
 
 
 def assembled_parts(frame: DataFrame) -> dict[str, DataFrame]:
-    """Flat tables of the good pages: sections, media, references, nested sections."""
+    """Tables of the good pages: placed blocks, section targets (sections
+    with text and media), references, nested sections."""
     good = frame.where("quarantine IS NULL")
     placed = S.placed_blocks(S.block_rows(good))
-    media = S.section_media(S.figure_media(placed).unionByName(P.payload_media(good)))
-    secs = S.section_rows(placed)
+    targets = S.section_targets(placed, P.payload_media(good))
     return {
         "placed": placed,
-        "sections": secs,
-        "media": media,
+        "targets": targets,
         "references": S.references(placed),
-        "nested": S.nest_sections(secs, media),
+        "nested": S.nest_targets(targets),
     }
 
 

@@ -218,13 +218,13 @@ def r1_lead_figure(spark, sf_dir):
 
 
 def r1_sections(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["sections"].selectExpr(
+    return A.assembled_parts(_r1(spark, sf_dir))["targets"].selectExpr(
         "page_id", "CAST(sec_no AS BIGINT) AS sec_no", "CAST(sub_no AS BIGINT) AS sub_no", "level", "id", "title"
     )
 
 
 def r1_section_text(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["sections"].selectExpr(
+    return A.assembled_parts(_r1(spark, sf_dir))["targets"].selectExpr(
         "page_id", "CAST(sec_no AS BIGINT) AS sec_no", "CAST(sub_no AS BIGINT) AS sub_no", "text"
     )
 
@@ -236,7 +236,9 @@ def r1_references(spark, sf_dir):
 
 
 def r1_section_media(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["media"].selectExpr(
+    return A.assembled_parts(_r1(spark, sf_dir))["targets"].selectExpr(
+        "page_id", "sec_no", "sub_no", "inline(media)"
+    ).selectExpr(
         "page_id", "CAST(sec_no AS BIGINT) AS sec_no", "CAST(sub_no AS BIGINT) AS sub_no",
         "CAST(index AS BIGINT) AS index", "image_url", "caption", "alt_text",
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from folia.functions import nodes as N
-from folia.functions.sql import filter_, first, let, transform
+from folia.functions.sql import exists, filter_, first, let, transform
 from folia.functions.text import py_strip, ws_normalize
 from folia.functions.urls import normalize_image_url, page_slug, parse_base, resolve_with
 
@@ -118,13 +118,26 @@ def links(article: str, base: str, nodes: str = N.NODES) -> str:
     return f"array_distinct({transform(hrefs, lambda h: resolve_with(base, h))})"
 
 
-def lead_figure_raw(article: str, nodes: str = N.NODES) -> str:
-    """The first figure of the article with a usable image (src unresolved)."""
-    figs = transform(
-        filter_(N.descendants(article, nodes), lambda n: f"{n}.tag = 'figure'"),
-        lambda f: figure_data(f, nodes),
-    )
-    return first(filter_(figs, lambda f: f"{f} IS NOT NULL"))
+def lead_figure_raw(article: str, blocks: str, nodes: str = N.NODES) -> str:
+    """The first figure of the article with a usable image (src unresolved).
+
+    Usually that is the first usable figure block, already built; only when
+    a figure that is not a block (inside a paragraph, list or skipped tag)
+    comes before it are all figures of the article examined."""
+    figures = filter_(N.descendants(article, nodes), lambda n: f"{n}.tag = 'figure'")
+    everything = first(filter_(transform(figures, lambda f: figure_data(f, nodes)), lambda f: f"{f} IS NOT NULL"))
+
+    def pick(cand: str) -> str:
+        hidden_before = exists(
+            figures,
+            lambda f: f"(({cand} IS NULL OR {f}.pos < {cand}.bpos) AND NOT {N.is_block(f, article)})",
+        )
+        return (
+            f"CASE WHEN {hidden_before} THEN {everything} WHEN {cand} IS NOT NULL THEN "
+            f"named_struct('raw_src', {cand}.raw_src, 'caption', {cand}.caption, 'alt_text', {cand}.alt_text) END"
+        )
+
+    return let(first(filter_(blocks, lambda b: f"{b}.kind = 'figure'")), pick)
 
 
 def page_frame(shredded: DataFrame) -> DataFrame:
@@ -153,9 +166,9 @@ def page_frame(shredded: DataFrame) -> DataFrame:
         f"{article_blocks('article', '_base')} AS blocks",
         f"{infobox('article')} AS infobox",
         f"{links('article', '_base')} AS links",
-        f"{lead_figure_raw('article')} AS _lead",
         f"{page_slug('url')} AS slug",
     )
+    df = df.selectExpr("*", f"{lead_figure_raw('article', 'blocks')} AS _lead")
     first_h2 = first(transform(filter_("blocks", lambda b: f"({b}.kind = 'heading' AND {b}.level = 2)"), lambda b: f"{b}.bpos"))
     df = df.selectExpr("*", f"{first_h2} AS _first_h2")
     h1 = first(filter_("blocks", lambda b: f"({b}.kind = 'heading' AND {b}.level = 1)"))

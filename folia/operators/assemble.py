@@ -1,9 +1,10 @@
 """Page records: the nested ``Page`` of the reference, assembled per corpus.
 
 Plan shape: ``pages -> shred -> page_frame`` is narrow; the slim frame (no
-``nodes``) is hash-partitioned on ``page_id`` once and checkpointed, so the
-Python shred stage runs once per page however many branches read the frame,
-and the windows and group-bys keyed on ``page_id`` find it partitioned.
+``nodes``) is checkpointed where it stands (no shuffle), so the Python shred
+stage runs once per page however many branches read it.  Block rows are then
+hash-partitioned on ``page_id`` once for the section windows, and the
+section parts once for the per-section and per-page aggregates.
 """
 
 from __future__ import annotations
@@ -29,14 +30,14 @@ DEFAULT_FETCHED_AT = "2026-01-01 00:00:00"
 
 
 def corpus_frame(pages: DataFrame) -> DataFrame:
-    """pages -> slim page frame, hash-partitioned by page_id.
+    """pages -> slim page frame, checkpointed in the shared checkpoint folder.
 
     Payload texts and section titles are taken while ``nodes`` is still in
-    the row; ``nodes`` itself does not cross the shuffle.
+    the row; ``nodes`` itself is never written or shuffled.
     """
     frame = page_frame(shred(pages))
     slim = frame.selectExpr(*FRAME_COLUMNS, f"{P.payload_texts()} AS payloads", f"{P.section_titles()} AS secs")
-    return materialize(slim.repartition("page_id"))
+    return materialize(slim)
 
 
 def _empty(type_sql: str) -> str:

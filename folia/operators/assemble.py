@@ -36,7 +36,9 @@ def corpus_frame(pages: DataFrame) -> DataFrame:
     the row; ``nodes`` itself is never written or shuffled.
     """
     frame = page_frame(shred(pages))
-    slim = frame.selectExpr(*FRAME_COLUMNS, f"{P.payload_texts()} AS payloads", f"{P.section_titles()} AS secs")
+    with_payloads = frame.selectExpr(*FRAME_COLUMNS, f"{P.payload_texts()} AS payloads")
+    # Section titles matter only to pages that carry payload media.
+    slim = with_payloads.selectExpr("*", f"CASE WHEN size(payloads) > 0 THEN {P.section_titles()} END AS secs")
     return materialize(slim)
 
 

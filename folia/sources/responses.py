@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import urls as U
+from folia.functions.sql import lit
+
+HIGH_BYTES = r"[\x{80}-\x{ff}]"
+REPLACEMENT = "\ufffd"
 
 # Fixed value: charset labels decoded with Spark's decode(), by canonical name.
 KNOWN_CHARSETS = {
-    "us-ascii": "US-ASCII", "ascii": "US-ASCII",
     "iso-8859-1": "ISO-8859-1", "latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso8859-1": "ISO-8859-1",
     "utf-16": "UTF-16", "utf-16be": "UTF-16BE", "utf-16le": "UTF-16LE", "utf-32": "UTF-32",
 }
@@ -25,14 +28,21 @@ KNOWN_CHARSETS = {
 
 def decode_bodies(responses: DataFrame) -> DataFrame:
     """Adds charset, text and status_class."""
+    # Header names are case-insensitive; a missing header means no charset.
     content_type = (
-        "coalesce(element_at(map_filter(headers, (k, v) -> lower(k) = 'content-type'), "
-        "element_at(map_keys(map_filter(headers, (k, v) -> lower(k) = 'content-type')), 1)), '')"
+        "coalesce(try_element_at(map_values(map_filter(coalesce(headers, map()), "
+        "(k, v) -> lower(k) = 'content-type')), 1), '')"
     )
     charset = f"lower(regexp_extract({content_type}, '(?i)charset\\\\s*=\\\\s*\"?([^\";\\\\s]+)', 1))"
     branches = " ".join(
         f"WHEN _cs = '{label}' THEN decode(body, '{name}')" for label, name in KNOWN_CHARSETS.items()
     )
+    # ASCII: bytes above 127 become U+FFFD, one per byte, as Python's
+    # errors="replace" gives (decode() would raise under ANSI).
+    branches = (
+        f"WHEN _cs IN ('us-ascii', 'ascii') THEN regexp_replace(decode(body, 'ISO-8859-1'), {lit(HIGH_BYTES)}, "
+        f"{lit(REPLACEMENT)}) " + branches
+    )
     return responses.selectExpr("*", f"{charset} AS _cs").selectExpr(
         "*",
         f"CASE {branches} ELSE make_valid_utf8(CAST(body AS STRING)) END AS text",

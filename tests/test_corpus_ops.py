@@ -99,3 +99,29 @@ def test_edit_payloads_aliases_times_and_stitch(spark):
     assert st["B"].valid is False
     ranks = sorted(x.rank for x in E.stitched_entries(batches).where("page_slug = 'A'").collect())
     assert ranks == [1, 2, 3]
+
+
+def test_response_decoding_routing_and_newest(spark):
+    from folia.sources import responses as RS
+
+    text = "Café naïve"
+    rows = [
+        (1, "https://x.example/page/A", 200, {"Content-Type": "text/html; charset=utf-8"}, text.encode("utf-8"), 1),
+        (2, "https://x.example/page/B", 200, {"content-type": "text/html; charset=ISO-8859-1"}, text.encode("latin-1"), 1),
+        (3, "https://x.example/page/C", 200, {"Content-Type": 'text/html; charset="x-unknown"'}, text.encode("latin-1"), 1),
+        (4, "https://x.example/page/D", 200, {}, text.encode("utf-8"), 1),
+        (5, "https://x.example/page/A?ref=1", 200, {}, b"newer", 2),
+        (6, "https://x.example/page/E", 404, {}, b"", 1),
+        (7, "https://x.example/page/F", 503, {}, b"", 1),
+    ]
+    df = spark.createDataFrame(
+        [(i, u, s, h, bytearray(b), t) for i, u, s, h, b, t in rows],
+        "page_id long, url string, status int, headers map<string,string>, body binary, t int",
+    ).selectExpr("page_id", "url", "status", "headers", "body", "timestamp_seconds(t) AS fetched_at")
+    got = {r.key: (r.page_id, r.text) for r in RS.ingest(df).collect()}
+    assert got["https://x.example/page/A"] == (5, "newer")
+    assert got["https://x.example/page/B"][1] == text
+    assert got["https://x.example/page/C"][1] == bytes(text, "latin-1").decode("utf-8", errors="replace")
+    assert got["https://x.example/page/D"][1] == text
+    counts = {r.status_class: r.n for r in RS.status_counts(df).collect()}
+    assert counts == {"ok": 5, "not_found": 1, "http_error": 1}

@@ -31,10 +31,12 @@ def _s(v: str) -> str:
 
 
 def _time(v: str) -> str:
-    """Epoch seconds (integer) or an ISO-8601 string ('Z' or offset; naive = UTC)."""
+    """Epoch seconds (integer, years 1-9999) or an ISO-8601 string ('Z' or
+    offset; naive = UTC); null otherwise, which quarantines the batch."""
     text = _s(v)
     return (
-        f"CASE WHEN schema_of_variant({v}) IN {_INT_TYPES} THEN timestamp_seconds(try_variant_get({v}, '$', 'bigint')) "
+        f"CASE WHEN schema_of_variant({v}) IN {_INT_TYPES} THEN (CASE WHEN try_variant_get({v}, '$', 'bigint') "
+        f"BETWEEN -62135596800 AND 253402300799 THEN timestamp_seconds(try_variant_get({v}, '$', 'bigint')) END) "
         f"WHEN schema_of_variant({v}) = 'STRING' THEN coalesce("
         f"try_to_timestamp(regexp_replace(trim({text}), 'Z$', '+00:00')), try_to_timestamp(trim({text}))) END"
     )

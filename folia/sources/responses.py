@@ -1,53 +1,84 @@
 """Crawl-response logs -> clean page tables.
 
 A response row is (url, status, headers, body BINARY, fetched_at).  Bodies are
-decoded by the Content-Type charset (default UTF-8): UTF-8 with invalid bytes
-replaced by U+FFFD; the charsets Spark's ``decode`` knows (ASCII, Latin-1,
-UTF-16/32) decoded directly; an unknown charset falls back to UTF-8 with
-replacement, as the reference does.  Status routing: 404 -> not_found (page
-requests), other >= 400 -> http_error, else ok.
+decoded by the Content-Type charset (default UTF-8) as the reference does:
+strictly, else with replacement characters; an unknown charset falls back to
+UTF-8 with replacement.  UTF-8, Latin-1 and ASCII stay in the JVM; other
+charsets use Python's codecs in an Arrow UDF on their own rows.  Status
+routing: 404 -> not_found (page requests), other >= 400 -> http_error,
+else ok.
 """
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from folia.functions import urls as U
-from folia.functions.sql import lit
+from folia.functions.sql import lit, lits
+from folia.session import ship_by_value
 
 HIGH_BYTES = r"[\x{80}-\x{ff}]"
+CHARSET_PARAM = r'(?i)charset\s*=\s*"?([^";\s]+)'
 REPLACEMENT = "\ufffd"
 
-# Fixed value: charset labels decoded with Spark's decode(), by canonical name.
-KNOWN_CHARSETS = {
-    "iso-8859-1": "ISO-8859-1", "latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso8859-1": "ISO-8859-1",
-    "utf-16": "UTF-16", "utf-16be": "UTF-16BE", "utf-16le": "UTF-16LE", "utf-32": "UTF-32",
-}
+# Charset labels decoded in the JVM.
+UTF8_LABELS = ["", "utf-8", "utf8"]
+LATIN1_LABELS = ["iso-8859-1", "latin-1", "latin1", "iso8859-1", "l1"]
+ASCII_LABELS = ["us-ascii", "ascii"]
+
+
+@pandas_udf(StringType())
+def decode_like_python(body: pd.Series, charset: pd.Series) -> pd.Series:
+    """Bytes -> text with Python's codecs: strict first, then with
+    replacement; an unknown charset falls back to UTF-8 with replacement."""
+    out = []
+    for raw, name in zip(body, charset):
+        if raw is None:
+            out.append(None)
+            continue
+        data = bytes(raw)
+        try:
+            out.append(data.decode(name or "utf-8"))
+        except LookupError:
+            out.append(data.decode("utf-8", errors="replace"))
+        except UnicodeDecodeError:
+            out.append(data.decode(name, errors="replace"))
+    return pd.Series(out, dtype=object)
 
 
 def decode_bodies(responses: DataFrame) -> DataFrame:
-    """Adds charset, text and status_class."""
+    """Adds charset, text and status_class.
+
+    UTF-8 (invalid bytes -> U+FFFD), Latin-1 and ASCII are decoded with JVM
+    expressions; every other declared charset goes through
+    ``decode_like_python`` on its own branch, so the Arrow UDF only sees
+    those rows.
+    """
     # Header names are case-insensitive; a missing header means no charset.
     content_type = (
         "coalesce(try_element_at(map_values(map_filter(coalesce(headers, map()), "
         "(k, v) -> lower(k) = 'content-type')), 1), '')"
     )
-    charset = f"lower(regexp_extract({content_type}, '(?i)charset\\\\s*=\\\\s*\"?([^\";\\\\s]+)', 1))"
-    branches = " ".join(
-        f"WHEN _cs = '{label}' THEN decode(body, '{name}')" for label, name in KNOWN_CHARSETS.items()
+    charset = f"lower(regexp_extract({content_type}, {lit(CHARSET_PARAM)}, 1))"
+    tagged = responses.selectExpr("*", f"{charset} AS charset")
+    jvm = f"charset IN ({lits(UTF8_LABELS + LATIN1_LABELS + ASCII_LABELS)})"
+    fast = tagged.where(jvm).selectExpr(
+        "*",
+        f"CASE WHEN charset IN ({lits(LATIN1_LABELS)}) THEN decode(body, 'ISO-8859-1') "
+        f"WHEN charset IN ({lits(ASCII_LABELS)}) THEN regexp_replace(decode(body, 'ISO-8859-1'), "
+        f"{lit(HIGH_BYTES)}, {lit(REPLACEMENT)}) "
+        "ELSE make_valid_utf8(CAST(body AS STRING)) END AS text",
     )
-    # ASCII: bytes above 127 become U+FFFD, one per byte, as Python's
-    # errors="replace" gives (decode() would raise under ANSI).
-    branches = (
-        f"WHEN _cs IN ('us-ascii', 'ascii') THEN regexp_replace(decode(body, 'ISO-8859-1'), {lit(HIGH_BYTES)}, "
-        f"{lit(REPLACEMENT)}) " + branches
+    slow = tagged.where(f"NOT ({jvm})").withColumn("text", decode_like_python("body", "charset"))
+    return fast.unionByName(slow).selectExpr(
+        "*", "CASE WHEN status = 404 THEN 'not_found' WHEN status >= 400 THEN 'http_error' ELSE 'ok' END AS status_class"
     )
-    return responses.selectExpr("*", f"{charset} AS _cs").selectExpr(
-        "*",
-        f"CASE {branches} ELSE make_valid_utf8(CAST(body AS STRING)) END AS text",
-        "CASE WHEN status = 404 THEN 'not_found' WHEN status >= 400 THEN 'http_error' ELSE 'ok' END AS status_class",
-    ).withColumnRenamed("_cs", "charset")
 
 
 def ingest(responses: DataFrame) -> DataFrame:
@@ -64,3 +95,6 @@ def ingest(responses: DataFrame) -> DataFrame:
 
 def status_counts(responses: DataFrame) -> DataFrame:
     return decode_bodies(responses).groupBy("status_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+ship_by_value(sys.modules[__name__])

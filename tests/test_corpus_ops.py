@@ -125,3 +125,20 @@ def test_response_decoding_routing_and_newest(spark):
     assert got["https://x.example/page/D"][1] == text
     counts = {r.status_class: r.n for r in RS.status_counts(df).collect()}
     assert counts == {"ok": 5, "not_found": 1, "http_error": 1}
+
+
+def test_response_other_charsets_use_python_codecs(spark):
+    from folia.sources import responses as RS
+
+    bodies = [
+        (1, "text/html; charset=utf-16", "Grüße".encode("utf-16")),
+        (2, "text/html; charset=windows-1252", "“quoted” café".encode("cp1252")),
+        (3, "text/html; charset=UTF-16BE", b"\x00A\x00B\xff"),
+    ]
+    df = spark.createDataFrame(
+        [(i, f"https://x.example/{i}", 200, {"Content-Type": ct}, bytearray(b)) for i, ct, b in bodies],
+        "page_id long, url string, status int, headers map<string,string>, body binary",
+    ).selectExpr("*", "current_timestamp() AS fetched_at")
+    got = {r.page_id: r.text for r in RS.decode_bodies(df).collect()}
+    assert got[1] == "Grüße" and got[2] == "“quoted” café"
+    assert got[3] == b"\x00A\x00B\xff".decode("utf-16-be", errors="replace")

@@ -12,18 +12,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import urls as U
+from folia.functions.sql import lit
 from folia.functions.text import py_strip
 
 LOC_PATH = '//*[local-name()="loc"]/text()'
 # ``xpath`` raises on malformed XML, so documents are first checked to close
-# the element they open (truncated documents are the usual failure).
+# the root element they open and to close every loc they open (truncated
+# documents are the usual failure).
 WELL_FORMED = r"(?s)^\s*(<\?xml[^>]*\?>\s*)?<([A-Za-z_][\w:.\-]*)[^>]*>.*</\2\s*>\s*$"
+LOC_OPEN = r"<(?:[\w.\-]+:)?loc(?:\s[^>]*)?>"
+LOC_CLOSE = r"</(?:[\w.\-]+:)?loc\s*>"
 
 
 def sitemap_locs(docs: DataFrame) -> DataFrame:
     """(sitemap_url, xml) -> (sitemap_url, locs, error): every loc in any
     namespace, stripped, non-empty, unique in first-seen order."""
-    ok = f"xml RLIKE '{WELL_FORMED.replace(chr(92), chr(92) * 2)}'"
+    opened = f"size(regexp_extract_all(xml, {lit(LOC_OPEN)}, 0))"
+    closed = f"size(regexp_extract_all(xml, {lit(LOC_CLOSE)}, 0))"
+    ok = f"(xml RLIKE {lit(WELL_FORMED)} AND {opened} = {closed})"
     locs = f"array_distinct(filter(transform(xpath(xml, '{LOC_PATH}'), x -> {py_strip('x')}), x -> x <> ''))"
     return docs.selectExpr(
         "sitemap_url",

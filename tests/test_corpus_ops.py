@@ -41,13 +41,15 @@ def test_sitemap_locs_lookup_and_sync(spark):
     idx = lambda *cs: "<sitemapindex>" + "".join(f"<sitemap><loc>{c}</loc></sitemap>" for c in cs) + "</sitemapindex>"
     docs = spark.createDataFrame(
         [(index, idx("https://s.example/1.xml", "https://s.example/2.xml")), ("https://s.example/1.xml", child1),
-         ("https://s.example/2.xml", child2), ("https://s.example/bad.xml", "<urlset><loc>x")],
+         ("https://s.example/2.xml", child2), ("https://s.example/bad.xml", "<urlset><loc>x"),
+         ("https://s.example/bad2.xml", "<urlset><url><loc>x</url></urlset>")],
         "sitemap_url string, xml string",
     )
     locs = {r.sitemap_url: (r.locs, r.error) for r in SM.sitemap_locs(docs).collect()}
     assert locs["https://s.example/1.xml"][0] == ["https://W.example/page/Alpha", "https://w.example/page/%22Q%22",
                                                   "https://WW.example/x"]
     assert locs["https://s.example/bad.xml"] == (None, "unparsable XML")
+    assert locs["https://s.example/bad2.xml"] == (None, "unparsable XML")
     titles = spark.createDataFrame([("Alpha",), ('"Q"',), ("Missing",)], "title string")
     found = {r.title: r.page_url for r in SM.lookup(titles, SM.key_index(SM.manifest(docs, index)), "https://w.example").collect()}
     assert found == {"Alpha": "https://W.example/page/Alpha", '"Q"': "https://w.example/page/%22Q%22", "Missing": None}

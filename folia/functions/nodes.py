@@ -126,8 +126,15 @@ def is_block(n: str, article: str) -> str:
 
 
 def first_href(li: str, nodes: str = NODES) -> str:
-    hrefs = transform(filter_(subtree(li, nodes), lambda n: f"{n}.tag = 'a'"), lambda a: py_strip(attr(a, "href")))
-    return first(filter_(hrefs, lambda h: f"{h} <> ''"))
+    """First non-empty (stripped) href of an a inside the item, unresolved;
+    items without any a skip the search."""
+
+    def search(anchors: str) -> str:
+        hrefs = transform(anchors, lambda a: py_strip(attr(a, "href")))
+        found = first(filter_(hrefs, lambda h: f"{h} <> ''"))
+        return f"CASE WHEN size({anchors}) > 0 THEN {found} END"
+
+    return let(filter_(subtree(li, nodes), lambda n: f"{n}.tag = 'a'"), search)
 
 
 def list_items(lst: str, nodes: str = NODES) -> str:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, urlfilter
+from . import decontaminate, mixing, simhash, urlfilter
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op2_urlfilter": urlfilter.op2_urlfilter,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_mixing": mixing.op6_mixing,

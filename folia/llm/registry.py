@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, simhash, urlfilter
+from . import decontaminate, mixing, simhash, substrings, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_urlfilter": urlfilter.op2_urlfilter,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_mixing": mixing.op6_mixing,
+    "op8_substrings": substrings.op8_substrings,
 }
 ORACLE = {"op2_urlfilter": urlfilter.ORACLE}

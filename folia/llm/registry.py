@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, simhash, substrings, urlfilter
+from . import decontaminate, mixing, rules, simhash, substrings, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,5 +10,6 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_mixing": mixing.op6_mixing,
     "op8_substrings": substrings.op8_substrings,
+    "op9_rules": rules.op9_rules,
 }
 ORACLE = {"op2_urlfilter": urlfilter.ORACLE}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, rules, simhash, substrings, urlfilter
+from . import decontaminate, mixing, pii, rules, simhash, substrings, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -11,5 +11,6 @@ QUERIES = {
     "op6_mixing": mixing.op6_mixing,
     "op8_substrings": substrings.op8_substrings,
     "op9_rules": rules.op9_rules,
+    "op10_pii": pii.op10_pii,
 }
 ORACLE = {"op2_urlfilter": urlfilter.ORACLE}

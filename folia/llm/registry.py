@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, pii, rules, simhash, substrings, urlfilter
+from . import classifier, decontaminate, mixing, pii, rules, simhash, substrings, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_urlfilter": urlfilter.op2_urlfilter,
+    "op4_classifier": classifier.op4_classifier,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_mixing": mixing.op6_mixing,
     "op8_substrings": substrings.op8_substrings,

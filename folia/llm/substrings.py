@@ -8,14 +8,16 @@ task gives equal runs and pairs the same name without a shuffle, and equal
 passages get equal symbols in their interior; only near the ends do outside
 words matter. For each symbol the span of words that fixes it (its context)
 is kept. Of the symbols whose context lies within a window of 13 words, the
-one of the highest round, then of the largest name, is the window's anchor:
+one of the highest round (then of the largest hash) is the window's anchor:
 it depends on the window's words alone, neighbouring windows mostly share it,
-and a single word is always there to serve.
+and a single word is always there to serve. An anchor is known by its round
+and the hash of its whole context, so two places share one only where about
+eight words or more are equal.
 
 1. One pass names every document's symbols and keeps its distinct anchors.
    Documents with equal words are one class from here on.
 2. Spark groups the anchors: only those in two documents can reveal a repeat.
-3. A second pass hashes the windows of shared anchors (128 bits); Spark finds
+3. A second pass hashes the windows of shared anchors (96 bits); Spark finds
    each window's smallest document, and which others have it.
 4. A last pass over the documents with such windows removes the covered words.
 
@@ -32,12 +34,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, documents, session, staged
+from .common import by_value, documents, staged, written
+from .urlfilter import possibly_in
 
 WINDOW = 13
 #: Enough for symbols of about four words; more rounds leave more anchors, fewer make them less telling.
 ROUNDS = 3
 _LOW = np.uint64((1 << 60) - 1)
+_BASE = 0x5851F42D4C957F2D
+_BASE_INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
+_BASE = np.uint64(_BASE)
+#: Anchors travel as 48 bits: two that agree by chance only add windows to compare.
+_SHORT = np.uint64(16)
 _SEPARATOR = np.uint64(0xD6E8FEB86659FD93)
 by_value(__name__)
 
@@ -67,13 +75,14 @@ def anchors(word: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.
     by_width = [np.zeros(n, np.uint64) for _ in range(window + 1)]
     by_width[1] = _stir(word) & _LOW
     sym, lo, hi = word, np.arange(n), np.arange(1, n + 1)
+    content = _spans(word)
     for r in range(1, rounds + 1):
         sym, lo, hi = _pairs(*_runs(sym, lo, hi, n), n, r)
         fits = (lo >= 0) & (hi <= n) & (hi - lo <= window)
         if not fits.any():
             break
         width, at = (hi - lo)[fits], lo[fits]
-        key = (_stir(sym[fits]) & _LOW) | np.uint64(r << 60)
+        key = (content(at, width) & _LOW) | np.uint64(r << 60)
         for c in np.unique(width):
             np.maximum.at(by_width[c], at[width == c], key[width == c])
     best = by_width[1]
@@ -82,6 +91,14 @@ def anchors(word: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.
     return best
 
 
+def _spans(word: np.ndarray):
+    """A function (starts, widths) -> hashes of these spans of words."""
+    powers = np.cumprod(np.full(len(word), _BASE), dtype=np.uint64)
+    back = np.cumprod(np.full(len(word) + 1, _BASE_INVERSE), dtype=np.uint64)
+    upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_stir(word) * powers, dtype=np.uint64)))
+    return lambda at, width: _stir((upto[at + width] - upto[at]) * back[at] + width.astype(np.uint64))
+
+
 def _runs(sym, lo, hi, n):
     """Names runs: in a a a a the inner a's, those with equal neighbours on
     both sides, become one symbol; the outer two stay, so that what stands
@@ -126,14 +143,14 @@ def _pairs(sym, lo, hi, n, r):
 
 
 def window_hashes(word: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every window."""
+    """A 64-bit and a 32-bit hash of every window."""
     n = max(0, len(word) - window + 1)
     a, b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     x, y = _stir(word), _stir(word ^ np.uint64(0xE7037ED1A0B428DB))
     for j in range(window):
         a = _stir(a + x[j : j + n])
         b = b * np.uint64(0x9FB21C651E98DF25) + y[j : j + n]
-    return a.view(np.int64), _stir(b).view(np.int64)
+    return a.view(np.int64), (_stir(b) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _digest(words) -> str:
@@ -165,7 +182,7 @@ def _first_pass(window):
         for b in batches:
             x = _Texts(b.column(1), seen)
             best = anchors(x.string, window)
-            keys = [np.unique(x.windows(best, k, window)).view(np.int64) for k in range(len(x.words))]
+            keys = [np.unique(x.windows(best, k, window) >> _SHORT).view(np.int64) for k in range(len(x.words))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x.counts), pa.array([_digest(w) for w in x.words], pa.string()), pa.array(keys, pa.list_(pa.int64()))],
                                              names=["doc_id", "n_words", "whole", "keys"])
     return run
@@ -176,14 +193,14 @@ def _second_pass(window):
         seen = _Hashes()
         for b in batches:
             x = _Texts(b.column(1), seen)
-            best, (ha, hb) = anchors(x.string, window).view(np.int64), window_hashes(x.string, window)
+            best, (ha, hb) = (anchors(x.string, window) >> _SHORT).view(np.int64), window_hashes(x.string, window)
             out = [[], [], []]
             for k, (i, keys) in enumerate(zip(b.column(0), b.column(2))):
                 shared = np.isin(x.windows(best, k, window), keys.values.to_numpy())
                 h, at = np.unique(x.windows(ha, k, window)[shared], return_index=True)
                 for c, v in zip(out, (np.full(len(h), i.as_py(), np.int64), h, x.windows(hb, k, window)[shared][at])):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], names=["doc_id", "ha", "hb"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), kind) for c, kind in zip(out, (pa.int64(), pa.int64(), pa.int32()))], names=["doc_id", "ha", "hb"])
     return run
 
 
@@ -219,13 +236,19 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wi
     table gives no rows; other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
-    all_docs = staged(texts.mapInArrow(_first_pass(window), "doc_id long, n_words long, whole string, keys array<long>"))
-    classes = all_docs.where(f"doc_id IS NOT NULL AND n_words >= {window}").groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
-    classes = staged(classes)
-    uses = classes.select("doc_id", F.explode("keys").alias("key"))
-    shared = uses.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key")
-    suspects = uses.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))  # of one document
-    windows = staged(texts.join(suspects, "doc_id").select("doc_id", "t", "keys").mapInArrow(_second_pass(window), "doc_id long, ha long, hb long"))
+    all_docs = written(texts.mapInArrow(_first_pass(window), "doc_id long, n_words long, whole string, keys array<long>"))
+    live = all_docs.where(f"doc_id IS NOT NULL AND n_words >= {window}")
+    classes = staged(live.groupBy("whole").agg(F.min("doc_id").alias("doc_id")))
+    uses = live.select(F.xxhash64("whole").alias("class"), F.explode("keys").alias("key"))
+    shared = uses.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z").select("key")
+    shared = staged(shared)
+    uses = possibly_in(uses, shared, F.col("key")).where("maybe")
+    suspects = uses.join(shared, "key").select("class", "key").distinct().groupBy("class").agg(F.collect_list("key").alias("keys"))  # of one text
+    suspects = suspects.join(classes.select("doc_id", F.xxhash64("whole").alias("class")), "class")
+    # two texts of one document are looked at with the anchors of both
+    suspects = suspects.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
+    # read twice below; made twice rather than kept, since the shuffle of the texts before it is shared and the windows are many
+    windows = texts.join(suspects, "doc_id").select("doc_id", "t", "keys").mapInArrow(_second_pass(window), "doc_id long, ha long, hb int")
     first = windows.groupBy("ha", "hb").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
     later = windows.join(first.select("ha", "hb", "a"), ["ha", "hb"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_set("ha").alias("hashes"))
     cut = texts.join(later, "doc_id").select("doc_id", "t", "hashes").mapInArrow(_last_pass(window), "doc_id long, whole string, n_removed long, kept_sha256 string")

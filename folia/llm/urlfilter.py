@@ -68,6 +68,22 @@ def bloom(keys: DataFrame, n_blocks: int) -> DataFrame:
     return k.groupBy("block").agg(*[F.bit_or(f"m{w}").alias(f"w{w}") for w in range(4)])
 
 
+def possibly_in(rows: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """``rows`` plus ``maybe``: false only where ``key`` is not among the
+    distinct ``keys`` (key). The filter is broadcast; it has at most
+    MAX_BLOCKS rows of 40 bytes whatever the number of keys."""
+    wanted, n_blocks = keys.count() // KEYS_PER_BLOCK + 1, 1
+    while n_blocks < min(wanted, MAX_BLOCKS):
+        n_blocks *= 2
+    columns = rows.columns
+    u = rows.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(n_blocks)))
+    u = u.join(F.broadcast(bloom(keys, n_blocks).withColumnRenamed("block", "__block")), "__block", "left")
+    maybe = F.lit(True)
+    for w, m in enumerate(_masks(key)):
+        maybe = maybe & (F.col(f"w{w}").bitwiseAND(m) == m)
+    return u.select(*columns, F.coalesce(maybe, F.lit(False)).alias("maybe"))
+
+
 def judge(urls: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES, *,
           id_col: str = "page_id", url_col: str = "url", listed_col: str = "url") -> DataFrame:
     """Verdict of every URL: (page_id, host, path, rule, verdict, key, is_listed).
@@ -81,18 +97,10 @@ def judge(urls: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] =
     join: the list's keys are distinct.
     """
     keys = staged(listed.select(canonical(F.col(listed_col)).alias("key")).where("key != ''").distinct())
-    wanted, n_blocks = keys.count() // KEYS_PER_BLOCK + 1, 1
-    while n_blocks < min(wanted, MAX_BLOCKS):
-        n_blocks *= 2
     u = urls.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("__u"))
     u = u.select("page_id", host(F.col("__u")).alias("host"), path(F.col("__u")).alias("path"), canonical(F.col("__u")).alias("key"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    u = u.select("*", rule.alias("rule"), verdict.alias("said"), F.pmod(F.xxhash64("key"), F.lit(n_blocks)).alias("block"))
-    u = u.join(F.broadcast(bloom(keys, n_blocks)), "block", "left")
-    maybe = F.col("key") != ""
-    for w, m in enumerate(_masks(F.col("key"))):
-        maybe = maybe & (F.col(f"w{w}").bitwiseAND(m) == m)
-    u = u.select("page_id", "host", "path", "key", "rule", "said", F.coalesce(maybe, F.lit(False)).alias("maybe"))
+    u = possibly_in(u.select("*", rule.alias("rule"), verdict.alias("said")), keys, F.col("key")).withColumn("maybe", F.col("maybe") & (F.col("key") != ""))
     hits = keys.withColumn("is_listed", F.lit(True))
     checked = u.where("maybe").join(hits, "key", "left").select("page_id", "host", "path", "key", "rule", "said", F.coalesce("is_listed", F.lit(False)).alias("is_listed"))
     passed = u.where("NOT maybe").select("page_id", "host", "path", "key", "rule", "said", F.lit(False).alias("is_listed"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classifier, decontaminate, mixing, pii, rules, simhash, substrings, urlfilter
+from . import classifier, decontaminate, mixing, pii, rules, simhash, substrings, tokens, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_classifier": classifier.op4_classifier,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_mixing": mixing.op6_mixing,
+    "op7_tokens": tokens.op7_tokens,
     "op8_substrings": substrings.op8_substrings,
     "op9_rules": rules.op9_rules,
     "op10_pii": pii.op10_pii,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import classifier, decontaminate, mixing, pii, rules, simhash, substrings, tokens, urlfilter
+from . import classifier, decontaminate, htmltext, mixing, pii, rules, simhash, substrings, tokens, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_urlfilter": urlfilter.op2_urlfilter,
+    "op3_html": htmltext.op3_html,
     "op4_classifier": classifier.op4_classifier,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_mixing": mixing.op6_mixing,

@@ -11,13 +11,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import decontaminate, mixing
+from folia.llm import classifier, decontaminate, mixing, pii, simhash
 from folia.llm.common import session
 from folia.session import checkpoint_dir
 
 STAGES = [
+    ("quality classifier", classifier.stage),
+    ("SimHash near-dedup", simhash.stage),
     ("benchmark decontamination", decontaminate.stage),
-    ("mixing sources", mixing.stage),
+    ("PII", pii.stage),
+    ("mixing sources to target weights", mixing.stage),
 ]
 
 #: Model training, Hamming links and hash thresholds have no SQL form: the

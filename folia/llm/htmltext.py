@@ -196,11 +196,11 @@ def slots(children, parts, path=(), main=False):
     flat = _flat(parts)
     for k, p in enumerate(flat):
         places.setdefault(p[0], []).append(k)
-    at = 0
+    at = -1
     for c in children:
         known = places.get(c[0])
-        if known:
-            at = next((k for k in known if k >= at), known[0])  # on in the sequence, or back to the start of a repeat
+        if known:  # on in the sequence, here again if this repeats, or back to the start of a repeated group
+            at = next((k for k in known if k > at or k == at and flat[k][1] & REPEATED), known[0])
         here = (*path, at if known else "?")
         if c[0] == "#":
             yield c[1], c[2], here, main

@@ -1,0 +1,292 @@
+import collections
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from folia.llm import classifier, common, decontaminate, htmltext, mixing, pii, rules, simhash, substrings, tokens, urlfilter
+
+from . import brute
+from .conftest import DATA, ODD
+
+PAIRS = [(r[0], r[1]) for r in ODD]
+
+
+def same(got, want):
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+@pytest.fixture(autouse=True)
+def _settings(spark):
+    common.session(spark)
+
+
+# ---- near-duplicates
+
+def test_simhash(spark, odd, none, texts):
+    same(simhash.op1_simhash(spark, DATA).collect(), brute.simhash(texts))
+    got = simhash.near_duplicates(odd).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id")
+    same(got.collect(), brute.simhash(PAIRS))
+    assert simhash.near_duplicates(none).count() == 0
+
+
+def test_trees_find_every_pair(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**64, 200, dtype=np.uint64)
+    cloud = [base]
+    for _ in range(6):
+        x = cloud[-1].copy()
+        for _ in range(rng.integers(1, 6)):
+            x ^= np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64)
+        cloud.append(x)
+    dense = base[0] ^ rng.integers(0, 1 << 14, 500, dtype=np.uint64)  # one crowded spot
+    u = np.unique(np.concatenate([*cloud, dense, np.zeros(1, np.uint64)]))
+    near = [(i, int(j)) for i in range(len(u)) for j in np.flatnonzero(np.bitwise_count(u ^ u[i]) <= 4) if j != i]
+    df = spark.createDataFrame([(int(x),) for x in u.view(np.int64)], "fp long")
+    root = {r.node: r.root for r in simhash.components(simhash.links(df, sample=128, shard=100)).collect()}
+    of = [root.get(int(x), int(x)) for x in u.view(np.int64)]
+    assert all(of[i] == of[j] for i, j in near)
+    links = collections.defaultdict(set)
+    for i, j in near:
+        links[i].add(j)
+    for group in (g for g in (set(np.flatnonzero(np.array(of) == r)) for r in set(of)) if len(g) > 1):
+        seen, todo = set(), [next(iter(group))]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += links[x]
+        assert seen == group
+
+
+def test_near_duplicate_stage_keeps_one_of_each(spark, odd):
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    kept = [r.doc_id for r in simhash.stage(spark, docs, DATA).collect()]
+    component = {i: c for i, _, c in brute.simhash([p for p in PAIRS if p[0] is not None])}
+    assert sorted(i for i in kept if i is not None) == sorted(set(component.values()))
+    assert kept.count(None) == 1
+
+
+# ---- URLs
+
+def test_urls(spark, none):
+    odd = ["http://A.example.org:80/en/12?utm_x=1&b=2#f", "https://b.example.org/es/", "x.org/a", None, "", "ftp://COM/fr/x", "http://org", "http://notexample.org/es/1", "http://u@h.net/p/?q", "http://u@h.net/p?q#z"]
+    df = spark.createDataFrame([(k, u, 1) for k, u in enumerate(odd)], "page_id long, url string, block int")
+    got = {r.page_id: r for r in urlfilter.judge(df, spark.createDataFrame([("https://u@h.net/p/?q",), (None,), ("nothing",)], "url string")).collect()}
+    assert [got[k].rule for k in range(10)] == [None, "example.org/es/", None, None, None, "com/fr/", None, "org/", None, None]
+    assert [got[k].verdict for k in range(10)] == ["allow", "block", "allow", "allow", "allow", "allow", "allow", "allow", "block", "block"]
+    assert (got[0].host, got[0].path, got[0].key) == ("a.example.org:80", "/en/12", "a.example.org/en/12?b=2")
+    assert urlfilter.judge(df.where("false"), df).count() == 0
+    assert urlfilter.judge(df, df.where("false")).where("is_listed").count() == 0
+
+
+def test_bloom_has_no_false_negatives(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
+    rows = spark.range(10000).select(F.concat(F.lit("k"), "id").alias("key"))
+    got = urlfilter.possibly_in(rows, keys, F.col("key")).withColumn("i", F.substring("key", 2, 9).cast("int"))
+    assert got.where("i < 5000 AND NOT maybe").count() == 0
+    assert got.where("i >= 5000 AND maybe").count() < 250
+
+
+# ---- HTML
+
+PAGE = """<!DOCTYPE html><title>no</title><script>var a="</p>";</script><header><p>no</p></header><nav><li>no<li><a href=/>no</a></nav>
+<article><h1>A &amp; b</h1><p>one <b>two<br>three</b><p>x&nbsp;&lt;y<div class="share">no</div><ul><li>i<li>ii</ul><form>no</form><section id="comments"><p>no</section></article><aside>no</aside><footer>no</footer>"""
+
+
+def test_marked_article(spark):
+    df = spark.createDataFrame([(1, "http://h.org/1", PAGE, 1), (1, "http://h.org/1", PAGE, 1), (2, None, None, 1), (None, "", "", 1), (3, "http://h.org/2", "<p>" * 3000 + "deep", 1)], "page_id long, url string, html string, row int")
+    got = sorted((str(r.page_id), r.url, r.text) for r in htmltext.extract(df).collect())
+    text = "A & b\n\none two three\n\nx <y\n\ni\n\nii"
+    assert got == [("1", "http://h.org/1", text)] * 2 + [("2", None, ""), ("3", "http://h.org/2", "deep"), ("None", "", "")]
+    assert htmltext.extract(df.where("false")).count() == 0
+
+
+def test_unmarked_article_is_found_by_its_host(spark):
+    page = lambda i: f"<body><div><a href=/>home</a> <a href=/x>more</a></div><div><h2>Title {i}</h2><p>Text {i} with a few more words, {i * 7} of them.</p>{'<p>also ' + str(i) + '</p>' if i % 2 else ''}</div><div>All rights reserved</div>"
+    df = spark.createDataFrame([(i, f"http://h.net/{i}", page(i)) for i in range(12)], "page_id long, url string, html string")
+    for r in htmltext.extract(df).collect():
+        i = r.page_id
+        assert r.text == f"Title {i}\n\nText {i} with a few more words, {i * 7} of them." + (f"\n\nalso {i}" if i % 2 else "")
+
+
+def test_alignment():
+    p = lambda *parts: tuple((x, 0, ()) if isinstance(x, str) else x for x in parts)
+    assert htmltext.fold(p("a", "a", "b")) == (("a", 2, ()), ("b", 0, ()))
+    assert htmltext.fold(p("a", "b", "a", "b")) == (("()", 2, p("a", "b")),)
+    assert htmltext.align(p("a", "c"), p("a", "b", "c")) == (("a", 0, ()), ("b", 1, ()), ("c", 0, ()))
+
+
+# ---- classifier
+
+def test_estimate_recovers_accuracies():
+    rnd = random.Random(1)
+    rates, seen = [0.9, 0.8, 0.7], collections.Counter()
+    for _ in range(20000):
+        bad = rnd.random() < 0.3
+        seen[tuple((classifier.BAD if bad == (rnd.random() < r) else classifier.GOOD) if rnd.random() < 0.8 else classifier.ABSTAIN for r in rates)] += 1
+    share, theta, post = classifier.estimate(sorted(seen.items()))
+    assert abs(share - 0.3) < 0.05
+    for j, r in enumerate(rates):
+        voted = theta[:, j, 1:] / theta[:, j, 1:].sum(axis=1, keepdims=True)
+        assert abs(voted[0, 0] - r) < 0.06 and abs(voted[1, 1] - r) < 0.06
+    assert post[(2, 2, 2)] > 0.9 > 0.1 > post[(1, 1, 1)]
+
+
+def test_classifier_on_held_out_labels(spark):
+    sf = DATA.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    held = labels.where("pmod(xxhash64(doc_id, 9), 4) = 0").withColumn("bad", F.expr("quality = 0 OR toxic = 1"))
+    got = classifier.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels.where("pmod(xxhash64(doc_id, 9), 4) <> 0"))
+    got = got.select("row.doc_id", "rejected").join(held, "doc_id").groupBy("bad").agg(F.avg(F.col("rejected").cast("int")).alias("r"), F.count("*").alias("n"))
+    rate = {r.bad: r.r for r in got.collect()}
+    assert rate[False] < 0.05 and rate[True] > 0.5  # 300 labels: most toxic words are met once or never
+
+
+def test_classifier_takes_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(1, 0, 0), (1, 1, None), (None, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    assert classifier.classify(odd, labels).count() == len(ODD)
+    assert classifier.classify(odd, labels.where("false")).where("rejected IS NULL").count() == 0
+    assert classifier.classify(none, labels).count() == 0
+
+
+# ---- decontamination
+
+def test_contamination(spark, odd, none, texts):
+    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    want = brute.contamination(texts, items)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for size in (32 << 20, 500):  # one block, and many
+        same(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontaminate.contamination(docs, bench, block_bytes=size).collect()), want)
+    odd_items = [(1, "two three"), (1, "a"), (None, "Éa"), (2, None), (3, "!"), (4, "a a a a a a a a a a a a b")]
+    df = spark.createDataFrame(odd_items, "item_id long, text string")
+    want = brute.contamination(PAIRS, [("null" if i is None else i, t) for i, t in odd_items])
+    for size in (32 << 20, 3):
+        same(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontaminate.contamination(odd, df, block_bytes=size).collect()), want)
+    assert decontaminate.contamination(none, df).count() == 0
+    assert decontaminate.contamination(odd, df.where("false")).where("n_hit > 0").count() == 0
+
+
+# ---- mixing
+
+def test_targets(spark):
+    for sizes in ({"a": 10, "b": 1, None: 500, "c": 3}, {"a": 0, "b": 0}, {"x": 7}, {"a": 1, "b": 1, "c": 1000, "d": 1, "e": 50}):
+        df = spark.createDataFrame(list(sizes.items()), "src string, source_size long")
+        got = {r.src: r.target for r in mixing.targets(df).collect()}
+        assert got == pytest.approx(brute.targets(sizes))
+
+
+def test_mix(spark, odd, none):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    a, b = (sorted(map(tuple, mixing.mix(d).collect())) for d in (docs, docs.repartition(7)))
+    assert a == b  # however the rows are dealt
+    taken, goal, largest = collections.Counter(), {}, collections.Counter()
+    for _, src, size, _, target, copies, *_ in a:
+        assert 0 <= copies <= 3
+        taken[src] += size * copies
+        goal[src], largest[src] = target, max(largest[src], size)
+    assert all(abs(taken[s] - goal[s]) <= largest[s] for s in goal)
+    assert mixing.mix(odd).count() == len(ODD) and mixing.mix(none).count() == 0
+    # within a source the mix takes whole rounds, then the documents with the smallest hashes
+    for src in goal:
+        own = sorted((r[7], r[5]) for r in a if r[1] == src)
+        assert [c for _, c in own] == sorted((c for _, c in own), reverse=True)
+
+
+# ---- tokens
+
+def test_automaton():
+    rnd = random.Random(2)
+    for _ in range(200):
+        vocabulary = {bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 6))) for _ in range(rnd.randint(1, 12))}
+        automaton = tokens.Automaton(vocabulary)
+        for _ in range(20):
+            word = bytes(rnd.choice(b"abc") for _ in range(rnd.randint(0, 20)))
+            assert automaton.count(word) == brute.pieces(vocabulary, word)
+
+
+def test_token_counts(spark, odd, none, texts):
+    vocabulary = tokens.entries()
+    known = set(vocabulary)
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in tokens.op7_tokens(spark, DATA).collect()}
+    for i, t in texts[:40]:
+        words = brute.SPACED.findall(t)
+        assert got[i] == (len(words), sum(brute.pieces(known, tokens.MARK + w.encode()) for w in words))
+    assert tokens.token_counts(odd, vocabulary).count() == len(ODD) and tokens.token_counts(none, vocabulary).count() == 0
+
+
+# ---- substrings
+
+def test_anchors_depend_on_their_window_alone():
+    rnd = random.Random(5)
+    seen = substrings._Hashes()
+    for letters, n in ((2, 30), (3, 40), (20, 60)):
+        for _ in range(60):
+            noise = lambda: [rnd.randrange(letters) for _ in range(rnd.randint(0, n))]
+            core = []
+            while len(core) < 30:
+                core += [rnd.randrange(letters)] * rnd.choice([1, 1, 2, 3, rnd.randint(1, 18)])
+            found = {}
+            for seq in (noise() + core + noise(), noise() + core + noise()):
+                a = substrings.anchors(np.array([seen[str(x).encode()] for x in seq], np.uint64))
+                for p in range(len(seq) - 12):
+                    assert found.setdefault(tuple(seq[p : p + 13]), a[p]) == a[p]
+
+
+def test_substrings(spark, odd, none, texts):
+    same(substrings.op8_substrings(spark, DATA).collect(), brute.substrings(texts))
+    same(substrings.dedup(odd).collect(), brute.substrings(PAIRS))
+    assert substrings.dedup(none).count() == 0
+
+
+# ---- rules
+
+def test_rule_measures(spark, odd, none, texts):
+    j = rules.op9_rules(spark, DATA)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    same(j.select(*names).collect(), [(i, *brute.measures(t)) for i, t in texts])
+    labels = spark.createDataFrame([(1, 0), (None, 0), (5, None)], "doc_id long, quality int")
+    same(rules.judge(odd, labels).select(*names).collect(), [(i, *brute.measures(t)) for i, t in PAIRS])
+    assert rules.judge(none, labels).count() == 0
+
+
+def test_learned_rules_find_a_planted_one():
+    rng = np.random.default_rng(1)
+    cells = rng.integers(0, 10, (4000, 3))
+    bad = ((cells[:, 0] >= 6) & (cells[:, 1] < 3)).astype(float)
+    found = rules.cover(cells, bad, 1 - bad, rng.random(4000) < 0.33, [10, 10, 10])
+    assert sorted(found[0]) == [(0, ">=", 6), (1, "<", 3)]
+
+
+# ---- personal data
+
+EXTRA = ["a@b.c_d@e.f x@y.z@q.w  é😀 1.2.3.4.5 +1 (555) 123-4567 4111 1111 1111 1111 1111", "1" * 30000, "+" * 500 + "1 2", "a" * 30000, "a@b.c " * 700, "1.2.3.400 001.2.3.4 4111-1111-1111-1111"]
+
+
+def test_base_spans(spark, odd, none, texts):
+    p = pii.op10_pii(spark, DATA)
+    names = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
+    same(p.select(*names).collect(), [(i, *brute.pii(t)) for i, t in texts])
+    rows = spark.createDataFrame(list(enumerate(EXTRA)), "doc_id long, text string")
+    got = pii.find(rows.unionByName(odd.select("doc_id", "text")))
+    got = got.select("doc_id", *[F.expr(f"size(filter(base, x -> x.kind = {k}))") for k in range(4)], F.sha2(pii._joined(F.col("base")), 256))
+    same(got.collect(), [(i, *brute.pii(t)) for i, t in [*enumerate(EXTRA), *PAIRS]])
+    assert pii.find(none).count() == 0
+
+
+def test_context_finds_what_no_expression_knows(spark):
+    key = lambda i: f"{i * 7919:08d}abcdef{i:06d}"
+    rows = [(i, f"some words login_key={key(i)} and more") for i in range(20)] + [(100, "here login_key=short99 ends"), (101, "no key, room b12345 only")]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    start = len("here login_key=")
+    assert [tuple(x) for x in got[100].added] == [(4, start, start + 7)]
+    assert got[101].added == [] and len(got[3].added) == 1
+
+
+def test_redaction(spark):
+    rows = [(1, "é x@y.org, 1.2.3.4!", 1), (2, None, 2), (None, "plain", 3)]
+    got = pii.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), DATA).collect()
+    same(got, [(1, "é <email>, <ip>!", 16), (2, None, None), (None, "plain", 5)])

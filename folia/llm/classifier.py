@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ L1 = 2e-5
 _WORD = re.compile(r"[^\W\d_]+")
 TASKS = {"junk": ("symbols", "shouting", "variety", "loops", "layout", "length", "quality label"),
          "toxic": ("words", "words of the other half", "word stems", "toxic label")}
-STEM = 5
+#: Lengths of the word beginnings that stand for a word's family.
+STEMS = (5, 6, 7)
 ABSTAIN, GOOD, BAD = 0, 1, 2
 _NO_DIGITS = dict.fromkeys(range(48, 58))
 by_value(__name__)
@@ -55,6 +57,7 @@ class Text:
         self.tokens = t.split()
         self.n = len(self.tokens)
         self.words = set(_WORD.findall(t.lower()))
+        self.stems = {w[:k] for w in self.words for k in STEMS if len(w) > k}
         n, chars = max(1, self.n), max(1, len(t))
         self.symbols = sum(t.count(c) for c in "#*$%&|<>{}[]~^\\") / n
         self.marks = (t.count("!") + t.count("?")) / n
@@ -67,7 +70,6 @@ class Text:
     def votes(self, lexicon: list[frozenset], quality: int | None, toxic: int | None) -> tuple[list[int], list[int]]:
         say = lambda bad, good: BAD if bad else GOOD if good else ABSTAIN
         hits = [not self.words.isdisjoint(half) for half in lexicon[:2]]
-        stems = {w[:STEM] for w in self.words if len(w) > STEM}
         junk = [
             say(self.symbols > 0.3, self.symbols < 0.05),
             say(self.upper > 0.5 or self.marks > 0.5, self.upper < 0.1 and self.marks < 0.1),
@@ -77,7 +79,7 @@ class Text:
             say(self.n < 3, self.n >= 20),
             ABSTAIN if quality is None else GOOD if quality else BAD,
         ]
-        return junk, [*(say(h, True) for h in hits), say(not stems.isdisjoint(lexicon[2]), True), ABSTAIN if toxic is None else BAD if toxic else GOOD]
+        return junk, [*(say(h, True) for h in hits), say(not self.stems.isdisjoint(lexicon[2]), True), ABSTAIN if toxic is None else BAD if toxic else GOOD]
 
     def features(self) -> np.ndarray:
         """Distinct hash buckets of the words and of the statistics, in steps."""
@@ -85,7 +87,7 @@ class Text:
         extra = [step("symbols", self.symbols * 10), step("marks", self.marks * 10), step("upper", self.upper * 10), step("variety", self.variety * 20, 20),
                  step("spread", self.variety * math.sqrt(max(1, self.n)), 20), step("loops", self.loops * 20), step("mean", self.mean, 25), step("digits", self.digits * 50),
                  step("length", math.log2(self.n + 1), 20)]
-        return np.unique(np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in (*self.words, *{"\1" + w[:STEM] for w in self.words if len(w) > STEM}, *extra)), np.uint32) & np.uint32(BUCKETS - 1)).astype(np.int32)
+        return np.unique(np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in (*self.words, *("\1" + w for w in self.stems), *extra)), np.uint32) & np.uint32(BUCKETS - 1)).astype(np.int32)
 
 
 # ---------------------------------------------------------------- weak labels
@@ -100,7 +102,7 @@ def lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = LEXICON_ROWS) ->
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0)))
     half = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)).cast("int")
-    stems = F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > STEM), lambda w: F.substring(w, 1, STEM)))
+    stems = F.array_distinct(F.flatten(F.array(*[F.transform(F.filter(words, partial(lambda k, w: F.length(w) > k, k)), partial(lambda k, w: F.substring(w, 1, k), k)) for k in STEMS])))
     told = rows.select("toxic", half.alias("part"), F.explode(words).alias("w")).unionByName(rows.select("toxic", F.lit(2).alias("part"), F.explode(stems).alias("w")))
     counts = told.groupBy("part", "w").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where("bad >= IF(part = 2, 8, 5) AND bad >= 0.95 * n")
     return [frozenset(r.w for r in counts.where(F.col("part") == k).orderBy(F.desc("bad"), "w").limit(LEXICON_WORDS).collect()) for k in range(3)]

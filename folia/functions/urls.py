@@ -34,9 +34,15 @@ URL_RE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^
 _PART = {"scheme": 1, "netloc": 2, "path": 3, "query": 4, "fragment": 5}
 
 
+def clean(e: str) -> str:
+    """What URL parsing drops first: leading blanks and control characters
+    (and trailing ones), and line breaks and tabs anywhere."""
+    return f"regexp_replace({e}, {lit(r'^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]')}, '')"
+
+
 def url_part(e: str, name: str) -> str:
     """One urlsplit component ("" when absent); the scheme is lower-cased."""
-    cleaned = f"regexp_replace({e}, '[\\\\t\\\\r\\\\n]', '')"
+    cleaned = clean(e)
     extracted = f"regexp_extract({cleaned}, {lit(URL_RE)}, {_PART[name]})"
     return f"lower({extracted})" if name == "scheme" else extracted
 
@@ -138,6 +144,17 @@ def _unparse(scheme: str, netloc: str, path: str, query: str, fragment: str) ->
     )
 
 
+def reassemble(e: str, relative: bool = False) -> str:
+    """urlunparse(urlparse(e)): empty params, query and fragment go.
+    ``relative`` leaves out the scheme and the authority."""
+    def body(p: str) -> str:
+        path = f"CASE WHEN {p}.s IN ({lits(USES_PARAMS)}) THEN regexp_replace({p}.p, {lit('(?s)^((?:.*/)?[^/;]*);$')}, '$1') ELSE {p}.p END"
+        return let(path, lambda x: _unparse("''" if relative else f"{p}.s", "''" if relative else f"{p}.n", x, f"{p}.q", f"{p}.f"))
+
+    parts = {"s": "scheme", "n": "netloc", "p": "path", "q": "query", "f": "fragment"}
+    return let(e, lambda u: let(f"named_struct({', '.join(f"'{k}', {url_part(u, v)}" for k, v in parts.items())})", body))
+
+
 def _merge_paths(base_path: str, ref_path: str) -> str:
     """urljoin's path merge with dot-segment removal."""
     base_parts = f"split({base_path}, '/', -1)"

@@ -1,86 +1,48 @@
-"""Page records: the nested ``Page`` of the reference, assembled per corpus.
+"""Page records: the nested page, assembled in the row.
 
-Plan shape: ``pages -> shred -> page_frame`` is narrow; the slim frame (no
-``nodes``) is checkpointed where it stands (no shuffle), so the Python shred
-stage runs once per page however many branches read it.  Block rows are then
-hash-partitioned on ``page_id`` once for the section windows, and the
-section parts once for the per-section and per-page aggregates.
+``pages -> shred -> page_frame -> corpus_frame -> page_records`` is narrow
+from the scan on: no exchange, no join, no staging. A row never needs another
+row, so repeated page ids are harmless.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from folia.functions.urls import parse_base
 from folia.operators import payload as P
 from folia.operators import sections as S
 from folia.operators.extract import page_frame
 from folia.operators.shred import shred
-from folia.session import materialize
 
 FRAME_COLUMNS = [
     "page_id", "url", "source_url", "slug", "title", "intro_text", "canonical_url", "description",
     "keywords", "head_title", "lead_figure", "infobox", "links", "blocks", "quarantine", "parse_error",
 ]
 
-# Default metadata of pages read from a table (the reference stamps the fetch
-# time; a batch job takes it as a parameter so results are reproducible).
+# Default metadata of pages read from a table; a batch job takes the fetch
+# time as a parameter, so results are reproducible.
 DEFAULT_STATUS = 200
 DEFAULT_FETCHED_AT = "2026-01-01 00:00:00"
 
 
 def corpus_frame(pages: DataFrame) -> DataFrame:
-    """pages -> slim page frame, checkpointed in the shared checkpoint folder.
-
-    Payload texts and section titles are taken while ``nodes`` is still in
-    the row; ``nodes`` itself is never written or shuffled.
-    """
-    frame = page_frame(shred(pages))
-    with_payloads = frame.selectExpr(*FRAME_COLUMNS, f"{P.payload_texts()} AS payloads")
-    # Section titles matter only to pages that carry payload media.
-    slim = with_payloads.selectExpr("*", f"CASE WHEN size(payloads) > 0 THEN {P.section_titles()} END AS secs")
-    return materialize(slim)
-
-
-def _empty(type_sql: str) -> str:
-    return f"CAST(array() AS {type_sql})"
-
-
-_MEDIA_T = "array<struct<index:int,image_url:string,caption:string,alt_text:string>>"
-_SUB_T = f"array<struct<id:string,title:string,level:int,text:string,media:{_MEDIA_T},subsections:array<string>>>"
-_SEC_T = f"array<struct<id:string,title:string,level:int,text:string,media:{_MEDIA_T},subsections:{_SUB_T}>>"
-_REF_T = "array<struct<index:int,text:string,url:string>>"
-
-
-def assembled_parts(frame: DataFrame) -> dict[str, DataFrame]:
-    """Tables of the good pages: placed blocks, section targets (sections
-    with text and media), references, nested sections."""
-    good = frame.where("quarantine IS NULL")
-    placed = S.placed_blocks(S.block_rows(good))
-    targets = S.section_targets(placed, P.payload_media(good))
-    return {
-        "placed": placed,
-        "targets": targets,
-        "references": S.references(placed),
-        "nested": S.nest_targets(targets),
-    }
+    """pages -> page frame without ``nodes``, with the payload texts, the
+    headings and the payload images placed under them (``hits``)."""
+    df = page_frame(shred(pages)).selectExpr(*FRAME_COLUMNS, f"{P.payload_texts()} AS payloads", f"{S.heads()} AS heads")
+    df = df.selectExpr("*", f"{parse_base('url')} AS _base", f"{P.section_titles()} AS secs")
+    return df.selectExpr("*", f"{P.payload_hits()} AS hits").drop("secs")
 
 
 def page_records(frame: DataFrame, status_code: int = DEFAULT_STATUS, fetched_at: str = DEFAULT_FETCHED_AT) -> DataFrame:
-    """Good pages -> page_id + every Page field (nested, reference field order)."""
-    parts = assembled_parts(frame)
-    refs = parts["references"].groupBy("page_id").agg(
-        F.array_sort(F.collect_list(F.struct("list_no", "item_no", "index", "text", "url"))).alias("_refs")
-    )
-    good = frame.where("quarantine IS NULL")
-    joined = good.join(parts["nested"], "page_id", "left").join(refs, "page_id", "left")
-    return joined.selectExpr(
+    """Good pages -> page_id + every page field (nested, in record order)."""
+    return frame.where("quarantine IS NULL").selectExpr(
         "page_id",
         "url", "slug", "title", "intro_text",
         "infobox",
         "lead_figure",
-        f"coalesce(sections, {_empty(_SEC_T)}) AS sections",
-        f"coalesce(transform(_refs, r -> named_struct('index', r.index, 'text', r.text, 'url', r.url)), {_empty(_REF_T)}) AS references",
+        f"{S.nested()} AS sections",
+        f"{S.references()} AS references",
         "links",
         f"named_struct('status_code', {int(status_code)}, 'fetched_at_utc', TIMESTAMP'{fetched_at}', "
         "'canonical_url', canonical_url, 'description', description, 'keywords', keywords) AS metadata",
@@ -88,8 +50,8 @@ def page_records(frame: DataFrame, status_code: int = DEFAULT_STATUS, fetched_at
 
 
 def page_stats(records: DataFrame) -> DataFrame:
-    """Per-page counts the reference logs: sections, references, media
-    (sections + subsections), keywords."""
+    """Per-page counts: sections, references, media (sections +
+    subsections), keywords."""
     return records.selectExpr(
         "page_id",
         "size(sections) AS n_sections",

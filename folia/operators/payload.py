@@ -1,20 +1,17 @@
 """Markdown media carried in ``self.__next_f.push([n, "..."])`` script payloads.
 
-Payload texts are taken from the page's ``nodes`` (script raw text, regex,
-JSON unescape) and section titles from its ``blocks`` while the page is still
-one row.  The line scan then runs on rows: payload lines are exploded and
-classified with row-level expressions (heading, image alt/link, caption from
-the next four lines via ``lead``), and only the heading and image events of
-each payload go into an ``aggregate`` fold that replays the reference's
-heading cursor exactly (next title match after the cursor, else the first).
-The fold's hits become candidate media rows that ``sections.section_media``
-merges after the figures.
+Everything happens in the page's row: payload texts come from the script
+nodes (regex, JSON unescape), their lines are classified with array
+expressions (heading, image, caption from the next four lines), and the
+heading and image events of each payload go through an ``aggregate`` fold
+that moves the heading cursor (next title match after the cursor, else the
+first). The images it attaches are merged after the figures by
+``sections.nested``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from folia.functions.sql import aggregate, filter_, first, let, lit, transform
 from folia.functions.text import py_strip, split_lines, ws_normalize
@@ -25,9 +22,22 @@ from folia.functions.urls import normalize_image_url
 # overflows its stack on payloads of a few thousand characters.
 PUSH_RE = r'(?sU)self\.__next_f\.push\(\[\s*\d+\s*,\s*"((?:[^"\\]++|\\.)*+)"\s*\]\s*\);'
 
-# First well-formed ![alt](link): parentheses balanced to two levels, with
-# backslash-escaped parentheses ignored.
-MD_IMAGE_RE = r"!\[([^\]]*)\]\(((?>\\[()]|[^()]|\((?>\\[()]|[^()])*+\))*+)\)"
+# Fixed value: where an image may begin; its link ends at the parenthesis that
+# closes the one opened here, found by ``link_of``.
+MD_IMAGE_START = r"(?s)!\[([^\]]*)\]\((.*)$"
+
+
+def link_of(rest: str) -> str:
+    """The text up to the parenthesis that closes a link, at any depth;
+    escaped parentheses do not count. Null if none closes it."""
+    init = "named_struct('d', 1, 'i', 0, 'end', -1, 'prev', '')"
+
+    def step(a: str, c: str) -> str:
+        depth = f"({a}.d + CASE WHEN {a}.prev = '\\\\' THEN 0 WHEN {c} = '(' THEN 1 WHEN {c} = ')' THEN -1 ELSE 0 END)"
+        return (f"CASE WHEN {a}.end >= 0 THEN {a} ELSE named_struct('d', {depth}, 'i', {a}.i + 1, "
+                f"'end', CASE WHEN {depth} = 0 THEN {a}.i ELSE -1 END, 'prev', {c}) END")
+
+    return let(f"{aggregate(f"split({rest}, '')", init, step)}.end", lambda e: f"CASE WHEN {e} >= 0 THEN substring({rest}, 1, {e}) END")
 
 
 def _json_unescape(e: str) -> str:
@@ -61,42 +71,21 @@ def payload_texts(nodes: str = "nodes") -> str:
     return filter_(decoded, lambda d: f"(contains({d}, '## ') AND contains({d}, '!['))")
 
 
-def section_titles(blocks: str = "blocks") -> str:
-    """Sections as the block walk builds them, in order: array of
-    (sec_no, title, subs array of (sub_no, title)); titles lower-cased."""
-    heads = filter_(blocks, lambda b: f"({b}.kind = 'heading' AND {b}.level IN (2, 3))")
-
-    def with_opens(hs: str) -> str:
-        return transform(
-            hs,
-            lambda h, i: f"named_struct('level', {h}.level, 'title', lower({ws_normalize(f'{h}.text')}), "
-            f"'opens', {h}.level = 2 OR {i} = 0)",
+def section_titles(heads: str = "heads") -> str:
+    """Sections of ``sections.heads``, in order: array of (sec_no, title, subs
+    array of (sub_no, title)); titles normalised and lower-cased."""
+    def section(o: str, j: str) -> str:
+        subs = transform(
+            filter_(heads, lambda h: f"({h}.level = 3 AND {h}.sec = {j} + 1)"),
+            lambda h, k: f"named_struct('sub_no', {k} + 1, 'title', lower({ws_normalize(f'{h}.title')}))",
             arity=2,
         )
-
-    def with_sec(hs: str) -> str:
-        return transform(
-            hs,
-            lambda h, i: f"named_struct('level', {h}.level, 'title', {h}.title, 'opens', {h}.opens, "
-            f"'sec', size({filter_(f'slice({hs}, 1, {i} + 1)', lambda x: f'{x}.opens')}))",
-            arity=2,
+        return (
+            f"named_struct('sec_no', {j} + 1, "
+            f"'title', CASE WHEN {o}.level = 2 THEN lower({ws_normalize(f'{o}.title')}) ELSE 'overview' END, 'subs', {subs})"
         )
 
-    def nest(hs: str) -> str:
-        def section(o: str, j: str) -> str:
-            subs = transform(
-                filter_(hs, lambda h: f"({h}.level = 3 AND {h}.sec = {j} + 1)"),
-                lambda h, k: f"named_struct('sub_no', {k} + 1, 'title', {h}.title)",
-                arity=2,
-            )
-            return (
-                f"named_struct('sec_no', {j} + 1, "
-                f"'title', CASE WHEN {o}.level = 2 THEN {o}.title ELSE 'overview' END, 'subs', {subs})"
-            )
-
-        return transform(filter_(hs, lambda h: f"{h}.opens"), section, arity=2)
-
-    return let(let(let(heads, with_opens), with_sec), nest)
+    return transform(filter_(heads, lambda h: f"{h}.opens"), section, arity=2)
 
 
 def _match(items: str, title: str, start: str) -> str:
@@ -151,71 +140,58 @@ def cursor_fold(events: str, secs: str) -> str:
     return f"{aggregate(events, init, step)}.out"
 
 
-def _with_payloads(frame: DataFrame) -> DataFrame:
-    cols = frame.columns
-    exprs = ["*"]
-    if "payloads" not in cols:
-        exprs.append(f"{payload_texts()} AS payloads")
-    if "secs" not in cols:
-        exprs.append(f"{section_titles()} AS secs")
-    return frame.selectExpr(*exprs) if len(exprs) > 1 else frame
-
-
 def payloads(frame: DataFrame) -> DataFrame:
     """payload_markdown: page_id, pno, payload (decoded markdown)."""
+    return frame.where("quarantine IS NULL").selectExpr("page_id", "posexplode(payloads) AS (pno, payload)")
+
+
+def _classify(lines: str, s: str, i: str) -> str:
+    """Line i as an event: kind, heading title, image alt, raw URL, caption."""
+    ahead = f"coalesce({', '.join(f"nullif(get({lines}, {i} + {k}), '')" for k in range(1, 5))})"
+    caption = let(ahead, lambda n: (
+        f"CASE WHEN {n} IS NULL OR startswith({n}, '##') OR startswith({n}, '![') THEN NULL "
+        f"WHEN startswith({n}, '*') AND endswith({n}, '*') AND char_length({n}) > 2 "
+        f"THEN nullif({ws_normalize(f'substring({n}, 2, char_length({n}) - 2)')}, '') END"))
+    none = "CAST(NULL AS STRING)"
+
+    def image(x: str) -> str:
+        raw = let(ws_normalize(f"{x}.link"), lambda v: (
+            f"CASE WHEN {v} = '' THEN NULL WHEN startswith({v}, '<') AND contains({v}, '>') "
+            f"THEN substring_index(substring({v}, 2), '>', 1) ELSE nullif(substring_index({v}, ' ', 1), '') END"))
+        return (f"named_struct('no', {i}, 'kind', CASE WHEN {x}.link IS NULL THEN 'other' ELSE 'img' END, 'title', {none}, "
+                f"'alt', nullif({ws_normalize(f'{x}.alt')}, ''), 'raw_url', {raw}, 'caption', {caption})")
+
+    def plain(kind: str, title: str) -> str:
+        return f"named_struct('no', {i}, 'kind', {kind}, 'title', {title}, 'alt', {none}, 'raw_url', {none}, 'caption', {none})"
+
+    found = let(
+        f"regexp_extract({s}, {lit(MD_IMAGE_START)}, 2)",
+        lambda rest: f"named_struct('alt', regexp_extract({s}, {lit(MD_IMAGE_START)}, 1), 'link', CASE WHEN {rest} <> '' THEN {link_of(rest)} END)",
+    )
     return (
-        _with_payloads(frame.where("quarantine IS NULL"))
-        .selectExpr("page_id", "posexplode(payloads) AS (pno, payload)")
+        f"CASE WHEN startswith({s}, '## ') THEN {plain("'h2'", f"lower({ws_normalize(f'substring({s}, 4)')})")} "
+        f"WHEN startswith({s}, '### ') THEN {plain("'h3'", f"lower({ws_normalize(f'substring({s}, 5)')})")} "
+        f"WHEN contains({s}, '![') THEN {let(found, image)} ELSE {plain("'other'", none)} END"
     )
 
 
-def _classified_lines(payload_rows: DataFrame) -> DataFrame:
-    """(page_id, pno, payload) -> one row per line with its kind, heading
-    title, image alt / raw URL and caption, computed with row-level
-    expressions; the caption looks at the next four lines via ``lead``."""
-    lines = payload_rows.selectExpr("page_id", "pno", f"posexplode({split_lines('payload')}) AS (no, line)")
-    stripped = lines.selectExpr("page_id", "pno", "no", f"{py_strip('line')} AS s")
-    w = Window.partitionBy("page_id", "pno").orderBy("no")
-    ahead = stripped.select("*", *[F.lead("s", k).over(w).alias(f"n{k}") for k in range(1, 5)])
-    nxt = "coalesce(" + ", ".join(f"nullif(n{k}, '')" for k in range(1, 5)) + ")"
-    img = f"regexp_extract(s, {lit(MD_IMAGE_RE)}, 0)"
-    link = ws_normalize(f"regexp_extract(s, {lit(MD_IMAGE_RE)}, 2)")
-    return ahead.selectExpr(
-        "page_id", "pno", "no",
-        f"CASE WHEN s = '' THEN 'other' WHEN startswith(s, '## ') THEN 'h2' WHEN startswith(s, '### ') THEN 'h3' "
-        f"WHEN {img} <> '' THEN 'img' ELSE 'other' END AS kind",
-        f"CASE WHEN startswith(s, '## ') THEN lower({ws_normalize('substring(s, 4)')}) "
-        f"WHEN startswith(s, '### ') THEN lower({ws_normalize('substring(s, 5)')}) END AS title",
-        f"nullif({ws_normalize(f'regexp_extract(s, {lit(MD_IMAGE_RE)}, 1)')}, '') AS alt",
-        f"CASE WHEN {link} = '' THEN NULL WHEN startswith({link}, '<') AND contains({link}, '>') "
-        f"THEN substring_index(substring({link}, 2), '>', 1) ELSE nullif(substring_index({link}, ' ', 1), '') END AS raw_url",
-        f"CASE WHEN {nxt} IS NULL OR startswith({nxt}, '##') OR startswith({nxt}, '![') THEN NULL "
-        f"WHEN startswith({nxt}, '*') AND endswith({nxt}, '*') AND char_length({nxt}) > 2 "
-        f"THEN nullif({ws_normalize(f'substring({nxt}, 2, char_length({nxt}) - 2)')}, '') END AS caption",
-    )
+def events(payload: str) -> str:
+    """The heading and image lines of a payload as events, in order."""
+    stripped = transform(split_lines(payload), py_strip)
+    return let(stripped, lambda ls: filter_(transform(ls, lambda s, i: _classify(ls, s, i), arity=2), lambda e: f"{e}.kind <> 'other'"))
+
+
+def payload_hits(payloads: str = "payloads", secs: str = "secs", base: str = "_base") -> str:
+    """The payloads' images in order, placed under the page's headings:
+    array of (sec_no, sub_no, image_url, caption, alt_text)."""
+    hits = f"flatten({transform(payloads, lambda p: let(events(p), lambda e: cursor_fold(e, secs)))})"
+    return transform(hits, lambda h: (
+        f"named_struct('sec_no', {h}.sec_no, 'sub_no', {h}.sub_no, "
+        f"'image_url', {normalize_image_url(f'{h}.raw_url', base, parsed_base=True)}, 'caption', {h}.caption, 'alt_text', {h}.alt)"))
 
 
 def payload_media(frame: DataFrame) -> DataFrame:
-    """Candidate media from payloads: page_id, sec_no, sub_no, src_rank 1,
-    seq (payload, line), image_url, caption, alt_text.
-
-    Lines are classified row by row; only heading and image events go into
-    the per-payload fold, grouped on (page_id, pno) -- the frame is already
-    partitioned by page_id, so neither the window nor the group-by shuffles.
-    """
-    pages = _with_payloads(frame.where("quarantine IS NULL")).where("size(payloads) > 0 AND size(secs) > 0")
-    rows = pages.selectExpr("page_id", "posexplode(payloads) AS (pno, payload)")
-    events = _classified_lines(rows).where("kind IN ('h2', 'h3', 'img')")
-    grouped = events.groupBy("page_id", "pno").agg(
-        F.array_sort(F.collect_list(F.struct("no", "kind", "title", "alt", "raw_url", "caption"))).alias("events")
-    )
-    per_page = pages.select("page_id", "url", "secs")
-    hits = grouped.join(per_page, "page_id").selectExpr(
-        "page_id", "url", "pno", f"{cursor_fold('events', 'secs')} AS hits"
-    ).selectExpr("page_id", "url", "pno", "explode(hits) AS h")
-    return hits.selectExpr(
-        "page_id", "h.sec_no AS sec_no", "h.sub_no AS sub_no", "1 AS src_rank",
-        "CAST(pno AS BIGINT) * 4294967296 + h.no AS seq",
-        f"{normalize_image_url('h.raw_url', 'url')} AS image_url",
-        "h.caption AS caption", "h.alt AS alt_text",
-    )
+    """The payload images of good pages, a row each: page_id, sec_no, sub_no,
+    image_url, caption, alt_text."""
+    # the outer form: Spark would otherwise test size(hits) in a filter and build the hits twice
+    return frame.where("quarantine IS NULL").selectExpr("page_id", "inline_outer(hits)").where("sec_no IS NOT NULL")

@@ -1,28 +1,28 @@
-"""robots.txt: rule extraction and the per-URL crawl gate.
-
-``robots_rules`` replays the standard library's robots parser as window
-functions over the document's lines: an entry starts at a user-agent line
-unless the previous user-agent / rule / blank line was a user-agent line; a
-rule line counts only while an entry is open (its last user-agent or blank
-anchor is a user-agent); a blank line closes the entry; entries without rules
-are dropped; the first entry naming '*' is the default entry.
-
-``robots_gate`` joins URLs to the rules of their origin (equi-join on the
-robots URL, prefix test as a residual filter): the first non-default entry
-whose agent is a substring of the crawler token is used, else the default
-entry; inside it the first rule whose path prefixes the URL decides; no rule,
-no entry or no match means allowed.  A missing, failed (>= 400) or
-unparsable robots.txt makes the URL ``unavailable`` (fail closed).
+"""robots.txt: one row of entries per origin, and the per-URL crawl gate.
+
+A document is parsed in its row: its lines become events, and a fold over the
+events replays the standard library's states. User-agent lines collect until a
+rule follows; a blank line or the next user-agent line after a rule closes the
+entry; a blank line after user-agent lines alone drops them; allow, disallow,
+crawl-delay and request-rate lines are rules, but only the first two leave a
+path. The first entry naming '*' is the default entry, later ones are dropped.
+
+The gate joins every URL to its origin's row and decides there: the first
+entry that names the crawler, else the default one, and in it the first path
+that prefixes the URL. No rule, no entry or no match means allowed. A missing
+or failed (>= 400) robots.txt makes the URL ``unavailable`` (fail closed).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from folia.functions import urls as U
+from folia.functions.sql import aggregate, exists, filter_, first, let, lit, transform
 from folia.functions.text import py_strip, split_lines
-from folia.session import broadcast_if_small, materialize
+
+_RULES_T = "array<struct<allow:boolean,prefix:string>>"
+_ENTRY_T = f"struct<agents:array<string>,rules:{_RULES_T}>"
 
 
 def _py_quote(e: str) -> str:
@@ -33,118 +33,78 @@ def _py_quote(e: str) -> str:
     return f"replace({out}, '*', '%2A')"
 
 
+def _event(line: str) -> str:
+    """A line as (blank, key, value); key is null for a line without a colon."""
+    body = py_strip(f"substring_index({line}, '#', 1)")
+    return let(body, lambda b: (
+        f"named_struct('blank', {line} = '', 'key', CASE WHEN contains({b}, ':') THEN lower({py_strip(f"substring_index({b}, ':', 1)")}) END, "
+        f"'value', CASE WHEN contains({b}, ':') THEN {U.unquote(py_strip(f"substring({b}, instr({b}, ':') + 1)"))} END)"))
+
+
+def parse_entries(text: str) -> str:
+    """The document's entries in order: array of (agents, rules)."""
+    none, no_rules, no_agents = f"CAST(array() AS array<{_ENTRY_T}>)", f"CAST(array() AS {_RULES_T})", "CAST(array() AS array<string>)"
+    init = f"named_struct('state', 0, 'agents', {no_agents}, 'rules', {no_rules}, 'out', {none})"
+
+    def state(s: str, agents: str, rules: str, out: str) -> str:
+        return f"named_struct('state', {s}, 'agents', {agents}, 'rules', {rules}, 'out', {out})"
+
+    def step(a: str, x: str) -> str:
+        closed = f"concat({a}.out, array(named_struct('agents', {a}.agents, 'rules', {a}.rules)))"
+        rule = f"array(named_struct('allow', {x}.key = 'allow' OR {x}.value = '', 'prefix', {_py_quote(U.reassemble(f'{x}.value'))}))"
+        return (
+            f"CASE WHEN {x}.blank AND {a}.state = 2 THEN {state('0', no_agents, no_rules, closed)} "
+            f"WHEN {x}.blank THEN {state('0', no_agents, no_rules, f'{a}.out')} "
+            f"WHEN {x}.key = 'user-agent' AND {a}.state = 2 THEN {state('1', f'array({x}.value)', no_rules, closed)} "
+            f"WHEN {x}.key = 'user-agent' THEN {state('1', f'concat({a}.agents, array({x}.value))', f'{a}.rules', f'{a}.out')} "
+            f"WHEN {a}.state = 0 THEN {a} "
+            f"WHEN {x}.key IN ('allow', 'disallow') THEN {state('2', f'{a}.agents', f'concat({a}.rules, {rule})', f'{a}.out')} "
+            f"WHEN {x}.key IN ('crawl-delay', 'request-rate') THEN {state('2', f'{a}.agents', f'{a}.rules', f'{a}.out')} ELSE {a} END"
+        )
+
+    end = aggregate(transform(split_lines(text), _event), init, step)
+    return let(end, lambda a: f"CASE WHEN {a}.state = 2 THEN concat({a}.out, array(named_struct('agents', {a}.agents, 'rules', {a}.rules))) ELSE {a}.out END")
+
+
+def robots_entries(docs: DataFrame) -> DataFrame:
+    """(robots_url, status, text) -> one row for each successful document:
+    robots_url, entries (agents, rules, is_default), in order."""
+    def keep(es: str) -> str:
+        star = filter_(transform(es, lambda e, i: f"CASE WHEN array_contains({e}.agents, '*') THEN {i} END", arity=2), lambda i: f"{i} IS NOT NULL")
+        return let(f"coalesce({first(star)}, -1)", lambda d: filter_(
+            transform(es, lambda e, i: f"named_struct('agents', {e}.agents, 'rules', {e}.rules, 'is_default', {i} = {d})", arity=2),
+            lambda e: f"({e}.is_default OR NOT array_contains({e}.agents, '*'))"))
+
+    good = docs.where("status < 400 AND text IS NOT NULL")
+    return good.selectExpr("robots_url", f"{let(parse_entries('text'), keep)} AS entries")
+
+
 def robots_rules(docs: DataFrame) -> DataFrame:
-    """(robots_url, status, text) -> rules(robots_url, entry_no, is_default,
-    agents, seq, allow, prefix), for documents fetched successfully."""
-    lines = docs.where("status < 400 AND text IS NOT NULL").selectExpr(
-        "robots_url", f"posexplode({split_lines('text')}) AS (ln, line)"
-    )
-    uncommented = "CASE WHEN contains(line, '#') THEN substring_index(line, '#', 1) ELSE line END"
-    key = py_strip("substring_index(body, ':', 1)")
-    value = U.unquote(py_strip("substring(body, instr(body, ':') + 1)"))
-    parsed = lines.selectExpr(
-        "robots_url", "ln", "line = '' AS blank", f"{py_strip(uncommented)} AS body",
-    ).selectExpr(
-        "robots_url", "ln", "blank",
-        f"CASE WHEN contains(body, ':') THEN lower({key}) END AS key",
-        f"CASE WHEN contains(body, ':') THEN {value} END AS value",
-    )
-    events = parsed.selectExpr(
-        "*",
-        "CASE WHEN key = 'user-agent' THEN 'ua' "
-        "WHEN key IN ('allow', 'disallow', 'crawl-delay', 'request-rate') THEN 'rule' "
-        "WHEN blank THEN 'blank' END AS ev",
-    ).where("ev IS NOT NULL")
-    w = Window.partitionBy("robots_url").orderBy("ln")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = events.select(
-        "*",
-        F.lag("ev").over(w).alias("prev_ev"),
-        F.last(F.when(F.col("ev").isin("ua", "blank"), F.col("ev")), ignorenulls=True).over(upto).alias("anchor"),
-    ).withColumn("starts", F.expr("ev = 'ua' AND (prev_ev IS NULL OR prev_ev <> 'ua')"))
-    marked = marked.withColumn("entry", F.sum(F.col("starts").cast("int")).over(upto))
-    # One aggregate per entry (agents in order, number of recorded rules),
-    # then per-document windows over the few entries: the first entry naming
-    # '*' is the default, later '*' entries are dropped, entries are numbered.
-    per_entry = marked.groupBy("robots_url", "entry").agg(
-        F.array_sort(F.collect_list(F.when(F.col("ev") == "ua", F.struct("ln", "value")))).alias("_a"),
-        F.count(F.when(F.expr("ev = 'rule' AND anchor = 'ua'"), 1)).alias("_n"),
-    ).where("_n > 0").selectExpr("robots_url", "entry", "transform(_a, a -> a.value) AS agents")
-    doc = Window.partitionBy("robots_url")
-    entries = per_entry.withColumn("has_star", F.expr("array_contains(agents, '*')")).withColumn(
-        "_default", F.min(F.when(F.col("has_star"), F.col("entry"))).over(doc)
-    ).selectExpr(
-        "robots_url", "entry", "agents", "coalesce(entry = _default, false) AS is_default", "has_star",
-    ).where("is_default OR NOT has_star").withColumn(
-        "entry_no", F.dense_rank().over(doc.orderBy("entry"))
-    )
-    path_rules = marked.where("ev = 'rule' AND anchor = 'ua' AND key IN ('allow', 'disallow')").selectExpr(
-        "robots_url", "entry", "ln",
-        "key = 'allow' OR value = '' AS allow",
-        f"{_py_quote('value')} AS prefix",
-    )
-    seq = Window.partitionBy("robots_url", "entry").orderBy("ln")
-    return path_rules.join(entries, ["robots_url", "entry"]).select(
-        "robots_url", "entry_no", "is_default", "agents", F.row_number().over(seq).alias("seq"), "allow", "prefix"
-    )
-
-
-def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robots: bool = True,
-                allow_override: bool = False, max_broadcast_rules: int = 1_000_000) -> DataFrame:
+    """(robots_url, entry_no, is_default, agents, seq, allow, prefix): a row for
+    each path rule; an entry without any has one row with nulls."""
+    entries = robots_entries(docs).selectExpr("robots_url", "posexplode(entries) AS (p, e)")
+    rows = entries.selectExpr("robots_url", "p + 1 AS entry_no", "e.is_default AS is_default", "e.agents AS agents", "posexplode_outer(e.rules) AS (s, r)")
+    return rows.selectExpr("robots_url", "entry_no", "is_default", "agents", "s + 1 AS seq", "r.allow AS allow", "r.prefix AS prefix")
+
+
+def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robots: bool = True, allow_override: bool = False) -> DataFrame:
     """(page_id, url) -> (page_id, url, verdict in allowed/disallowed/unavailable).
 
-    The rules of the chosen entries are broadcast when their count is checked
-    below ``max_broadcast_rules``; beyond that the join shuffles on the robots
-    URL, and AQE splits origins that hold many URLs."""
-    token = user_agent.split("/")[0].lower()
-    targets = urls.selectExpr(
-        "page_id", "url", f"{U.url_robots('url')} AS robots_url",
-        f"{_robot_path('url')} AS path_q",
-    )
+    One equi-join on the robots URL; Spark picks broadcast or shuffle from
+    measured sizes and splits an origin that holds many URLs."""
     if not respect_robots or allow_override:
-        return targets.selectExpr("page_id", "url", "'allowed' AS verdict")
-    rules = materialize(robots_rules(docs))  # small, read by several branches
-    # The entry used for this crawler, per origin: first non-default entry
-    # naming it, else the default entry.
-    chosen = (
-        rules.selectExpr(
-            "robots_url", "entry_no", "is_default",
-            f"exists(agents, a -> contains('{token}', lower(a))) AND NOT is_default AS named",
-        )
-        .where("named OR is_default")
-        .groupBy("robots_url")
-        .agg(F.min(F.expr("struct(NOT named AS fallback, entry_no)")).alias("_k"))
-        .selectExpr("robots_url", "_k.entry_no AS entry_no")
-    )
-    chosen_rules = broadcast_if_small(
-        rules.join(chosen, ["robots_url", "entry_no"]).select("robots_url", "seq", "allow", "prefix"),
-        max_broadcast_rules,
-    )
-    matched = (
-        targets.join(chosen_rules, "robots_url", "left")
-        .where("prefix IS NULL OR startswith(path_q, prefix)")
-        .groupBy("page_id")
-        .agg(F.min_by("allow", "seq").alias("allow"))
-    )
-    ok_docs = docs.where("status < 400").select("robots_url", F.lit(True).alias("_ok"))
-    return (
-        targets.join(ok_docs, "robots_url", "left")
-        .join(matched, "page_id", "left")
-        .selectExpr(
-            "page_id", "url",
-            "CASE WHEN robots_url IS NULL OR _ok IS NULL THEN 'unavailable' "
-            "WHEN coalesce(allow, true) THEN 'allowed' ELSE 'disallowed' END AS verdict",
-        )
-    )
+        return urls.selectExpr("page_id", "url", "'allowed' AS verdict")
+    token = lit(user_agent.split("/")[0].lower())
+    targets = urls.selectExpr("page_id", "url", f"{U.url_robots('url')} AS robots_url", f"{_robot_path('url')} AS path_q")
+    named = first(filter_("entries", lambda e: f"(NOT {e}.is_default AND {exists(f'{e}.agents', lambda a: f'contains({token}, lower({a}))')})"))
+    default = first(filter_("entries", lambda e: f"{e}.is_default"))
+    joined = targets.join(robots_entries(docs), "robots_url", "left").selectExpr("*", f"coalesce({named}, {default}) AS entry")
+    decides = first(filter_("entry.rules", lambda r: f"startswith(path_q, {r}.prefix)"))
+    return joined.selectExpr("page_id", "url", "entries IS NOT NULL AS known", f"coalesce({decides}.allow, true) AS allow").selectExpr(
+        "page_id", "url", "CASE WHEN NOT known THEN 'unavailable' WHEN allow THEN 'allowed' ELSE 'disallowed' END AS verdict")
 
 
 def _robot_path(e: str) -> str:
-    """can_fetch's target: path, params, query and fragment of the unquoted
-    URL, re-quoted; '/' when empty."""
-    u = U.unquote(e)
-    p = U.url_parts(u)
-    rel = (
-        f"concat({p['path']}, CASE WHEN {p['query']} <> '' THEN concat('?', {p['query']}) ELSE '' END, "
-        f"CASE WHEN {p['fragment']} <> '' THEN concat('#', {p['fragment']}) ELSE '' END)"
-    )
-    return f"coalesce(nullif({_py_quote(rel)}, ''), '/')"
+    """The gate's target: path, params, query and fragment of the unquoted
+    URL, re-assembled and quoted; '/' when empty."""
+    return let(U.unquote(e), lambda u: f"coalesce(nullif({_py_quote(U.reassemble(u, relative=True))}, ''), '/')")

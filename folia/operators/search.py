@@ -7,19 +7,29 @@ query terms matched, then total term frequency, then page_id.
 
 from __future__ import annotations
 
+import heapq
+import sys
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folia.functions import nodes as N
 from folia.functions import urls as U
 from folia.functions.text import py_strip
-from folia.session import broadcast_if_small
+from folia.session import ship_by_value
 from folia.functions.sql import filter_, let, transform
 
 SEARCH_BASE = "https://wiki.example.org"
 SEARCH_RESULTS = 25
 
 
+def first_href(n: str) -> str:
+    """An anchor's first non-empty href, where the attribute is repeated."""
+    return f"coalesce(nullif({n}.first_href, ''), nullif({N.attr(n, 'href')}, ''))"
+
+
 def html_hits(shredded: DataFrame, base_col: str | None = None, base_url: str | None = None,
               path_prefix: str = "/page/", key_cols: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Result links of HTML documents: every a[href] of the whole document,
@@ -31,8 +41,8 @@ def html_hits(shredded: DataFrame, base_col: str | None = None, base_url: str |
     """
     base = f"concat({N.lit(base_url.strip().rstrip('/'))}, '/')" if base_url else base_col
     hrefs = transform(
-        filter_("nodes", lambda n: f"({n}.tag = 'a' AND {N.attr(n, 'href')} <> '')"),
-        lambda n: U.url_resolve(base, N.attr(n, "href")),
+        filter_("nodes", lambda n: f"({n}.tag = 'a' AND {first_href(n)} IS NOT NULL)"),
+        lambda n: U.url_resolve(base, first_href(n)),
     )
 
     def keep(resolved: str) -> str:
@@ -54,38 +64,40 @@ def html_hits(shredded: DataFrame, base_col: str | None = None, base_url: str |
     ).selectExpr(*key_cols, "CAST(pos + 1 AS BIGINT) AS pos", "page_url")
 
 
-def api_hits(api: DataFrame, base_url: str = SEARCH_BASE) -> DataFrame:
-    """(query, payload) -> valid queries' hits (query, pos, page_url) and the
-    set of queries with a valid payload (even an empty one).
+REQUEST = ["query", "offset"]
+
+
+def api_hits(api: DataFrame, base_url: str = SEARCH_BASE) -> tuple[DataFrame, DataFrame]:
+    """(query, offset, status, refused, payload), a row for each request ->
+    hits (query, offset, pos, page_url) and the requests with a valid answer
+    (even an empty one).
 
-    A payload is valid when it parses to an object with a ``results`` array;
-    non-object entries and blank or non-string slugs are skipped; hits are
-    unique by canonical URL key, the first spelling kept, in result order.
+    An answer is valid when robots rules did not refuse the request, its
+    status is below 400 and its payload parses to an object with a
+    ``results`` array. Non-object entries and blank or non-string slugs are
+    skipped; hits are unique by canonical URL key, the first spelling kept,
+    in result order.
     """
-    parsed = api.selectExpr("query", "try_parse_json(payload) AS v").selectExpr(
-        "query",
+    parsed = api.selectExpr(*REQUEST, "CASE WHEN status < 400 AND NOT refused THEN try_parse_json(payload) END AS v").selectExpr(
+        *REQUEST,
         "CASE WHEN v IS NOT NULL AND schema_of_variant(v) LIKE 'OBJECT%' "
         "THEN try_variant_get(v, '$.results', 'array<variant>') END AS results",
-    )
-    valid = parsed.where("results IS NOT NULL").select("query")
-    entries = parsed.where("results IS NOT NULL").selectExpr("query", "posexplode(results) AS (i, x)").selectExpr(
-        "query", "i",
-        "CASE WHEN schema_of_variant(x) LIKE 'OBJECT%' AND schema_of_variant(variant_get(x, '$.slug')) = 'STRING' "
-        "THEN try_variant_get(x, '$.slug', 'string') END AS slug",
-    ).where(f"slug IS NOT NULL AND {py_strip('slug')} <> ''")
-    urls = entries.selectExpr("query", "i", f"{U.slug_url('slug', base_url)} AS page_url")
-    keyed = urls.selectExpr("query", "i", "page_url", f"{U.url_canonical('page_url')} AS key")
-    first = keyed.groupBy("query", "key").agg(F.min_by("page_url", "i").alias("page_url"), F.min("i").alias("i"))
-    w = Window.partitionBy("query").orderBy("i")
-    hits = first.select("query", F.row_number().over(w).cast("bigint").alias("pos"), "page_url")
-    return hits, valid
-
-
-def fallback(api_result: DataFrame, valid_queries: DataFrame, html_result: DataFrame) -> DataFrame:
-    """API hits for every query with a valid payload (even an empty one); the
-    HTML hits for the others."""
-    from_html = html_result.join(valid_queries, "query", "left_anti")
-    return api_result.select("query", "pos", "page_url").unionByName(from_html.select("query", "pos", "page_url"))
+    ).where("results IS NOT NULL")
+    slugs = transform("results", lambda x: (
+        f"CASE WHEN schema_of_variant({x}) LIKE 'OBJECT%' AND schema_of_variant(variant_get({x}, '$.slug')) = 'STRING' "
+        f"THEN try_variant_get({x}, '$.slug', 'string') END"))
+    urls = transform(filter_(slugs, lambda x: f"({x} IS NOT NULL AND {py_strip(x)} <> '')"), lambda x: U.slug_url(x, base_url))
+    keyed = parsed.selectExpr(*REQUEST, f"{urls} AS urls").selectExpr("*", f"{transform('urls', U.url_canonical)} AS keys")
+    unique = filter_("urls", lambda u, i: f"array_position(keys, get(keys, {i})) = {i} + 1", arity=2)
+    hits = keyed.selectExpr(*REQUEST, f"posexplode({unique}) AS (i, page_url)").selectExpr(*REQUEST, "CAST(i + 1 AS BIGINT) AS pos", "page_url")
+    return hits, parsed.select(*REQUEST)
+
+
+def fallback(api_result: DataFrame, valid: DataFrame, html_result: DataFrame) -> DataFrame:
+    """API hits for every request with a valid answer (even an empty one); the
+    HTML hits for the others: HTTP errors, robots refusals, bad payloads."""
+    columns = [*REQUEST, "pos", "page_url"]
+    return api_result.select(*columns).unionByName(html_result.join(valid, REQUEST, "left_anti").select(*columns))
 
 
 def limit_results(hits: DataFrame, n: int) -> DataFrame:
@@ -95,21 +107,66 @@ def limit_results(hits: DataFrame, n: int) -> DataFrame:
     return hits.where(F.col("pos") <= n)
 
 
-def corpus_search(docs: DataFrame, queries: DataFrame, k: int = SEARCH_RESULTS, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Keyword search of a document table: (query, doc_id, rank, n_terms, tf).
+def _tokens(e: str) -> str:
+    return f"filter(split(lower({e}), '[^\\\\p{{L}}\\\\p{{N}}]+'), t -> t <> '')"
+
+
+def _best(shared, k: int):
+    """The best k documents of each query in a partition of (doc_id, tokens)."""
+    def run(batches):
+        queries = shared.value
+        wanted = {t for _, terms in queries for t in terms}
+        best: list[list] = [[] for _ in queries]
+        for batch in batches:
+            for doc, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = Counter(t for t in tokens or () if t in wanted)
+                if not counts:
+                    continue
+                for q, (_, terms) in enumerate(queries):
+                    found = [counts[t] for t in terms if t in counts]
+                    if found:
+                        # larger is better; a smaller id wins a tie, a null id loses it
+                        best[q].append((len(found), sum(found), doc is not None, -(doc or 0), doc))
+                        if len(best[q]) >= 4 * k + 100:
+                            best[q] = heapq.nlargest(k, best[q])
+        rows = [(queries[q][0], e[4], e[0], e[1]) for q in range(len(queries)) for e in heapq.nlargest(k, best[q])]
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["query", "doc_id", "n_terms", "tf"])
+    return run
+
+
+def corpus_search(docs: DataFrame, queries: DataFrame, limit: int = SEARCH_RESULTS, offset: int = 0, block_bytes: int = 8 << 20) -> DataFrame:
+    """Keyword search of a document table: (query, doc_id, rank, n_terms, tf),
+    ranks offset + 1 to offset + limit of every query.
 
     Documents and queries are tokenised alike (lower-case, runs of letters or
-    digits).  Query terms are small: they are broadcast when their count is
-    checked below ``max_broadcast_rows``, otherwise joined by shuffle (AQE
-    splits skewed terms).  Ranking: distinct query terms matched, then total
-    term frequency, then doc_id; the top ``k`` per query are kept with a
-    row_number filter that Spark applies per map task before the shuffle.
+    digits). Ranking: distinct query terms matched, then total term
+    frequency, then doc_id. A document's query terms are counted in its row,
+    each task keeps its best rows of each query, and one shuffle of those
+    gives the ranks. Queries go out in blocks of ``block_bytes`` of text, a
+    pass over the documents for each.
     """
-    terms = queries.selectExpr("query", "explode(array_distinct(filter(split(lower(query), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> ''))) AS term")
-    tokens = docs.selectExpr("doc_id", "explode(filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> '')) AS term")
-    terms = broadcast_if_small(terms, max_broadcast_rows)
-    scored = tokens.join(terms, "term").groupBy("query", "doc_id").agg(
-        F.countDistinct("term").alias("n_terms"), F.count(F.lit(1)).alias("tf")
-    )
-    w = Window.partitionBy("query").orderBy(F.col("n_terms").desc(), F.col("tf").desc(), F.col("doc_id"))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if limit < 0 or offset < 0:
+        raise ValueError("limit and offset must be >= 0")
+    spark, keep = docs.sparkSession, limit + offset
+    tokens = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", f"{_tokens('text')} AS tokens")
+    rows = queries.select("query").distinct().selectExpr("query", f"array_distinct({_tokens('query')}) AS terms").where("size(terms) > 0").orderBy("query")
+    found, block, size = None, [], 0
+
+    def search(block):
+        part = tokens.mapInArrow(_best(spark.sparkContext.broadcast(block), keep), "query string, doc_id long, n_terms long, tf long")
+        return part if found is None else found.unionByName(part)
+
+    for r in rows.toLocalIterator():
+        block.append((r.query, r.terms))
+        size += len(r.query)
+        if size >= block_bytes:
+            found, block, size = search(block), [], 0
+    if block or found is None:
+        found = search(block)
+    w = Window.partitionBy("query").orderBy(F.desc("n_terms"), F.desc("tf"), F.asc_nulls_last("doc_id"))
+    ranked = found.withColumn("rank", F.row_number().over(w)).where((F.col("rank") > offset) & (F.col("rank") <= keep))
+    return ranked.select("query", "doc_id", "rank", "n_terms", "tf")
+
+
+ship_by_value(sys.modules[__name__])

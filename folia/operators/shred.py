@@ -16,8 +16,10 @@ Tree rules (they decide every extracted value):
 * the tokenizer is fed but never closed, so an unterminated trailing tag is
   lost, as is an unterminated script.
 
-The fold is iterative (an explicit open-element stack), so page depth never
-touches the Python recursion limit.
+The fold is iterative and linear: all text of a page lies in two shared lists
+of pieces, an open element only remembers where its part began, and text is
+joined only for the nodes that a later stage can read. Unclosed ``<p>`` or
+``<li>`` runs, which nest, therefore cost no more than closed ones.
 """
 
 from __future__ import annotations
@@ -48,12 +50,10 @@ EMIT_TAGS = frozenset(
      "figure", "img", "figcaption", "ul", "ol", "li", "pre", "code",
      "blockquote", "dt", "dd", "a", "script"]
 )
-# Emitted tags that carry their whitespace-normalised inline text.
-TEXT_TAGS = frozenset(
-    ["h1", "h2", "h3", "p", "span", "figcaption", "li", "blockquote", "dt", "dd", "a", "code"]
-)
-# Emitted tags that carry raw text (whitespace kept, skipped tags dropped).
-RAW_TAGS = frozenset(["title", "pre", "code", "script"])
+#: A script is only read where its text holds this call.
+PUSH_MARK = "self.__next_f.push("
+#: Output batches are closed at about this many characters of HTML.
+BATCH_CHARS = 4 << 20
 
 NODE_TYPE = pa.struct(
     [
@@ -68,6 +68,7 @@ NODE_TYPE = pa.struct(
         ("text", pa.string()),
         ("raw", pa.string()),
         ("stop_anc", pa.int32()),   # pos of the nearest block/skip ancestor
+        ("first_href", pa.string()),  # of an anchor with several, the first that is not empty
     ]
 )
 OUT_SCHEMA = pa.schema(
@@ -77,204 +78,211 @@ OUT_SCHEMA = pa.schema(
 SPARK_SCHEMA = (
     "page_id long, url string, nodes array<struct<idx:int,span:int,pos:int,end_pos:int,"
     "parent_pos:int,depth:int,tag:string,attrs:map<string,string>,text:string,raw:string,"
-    "stop_anc:int>>, parse_error string"
+    "stop_anc:int,first_href:string>>, parse_error string"
 )
 
 
-# Per-tag flags, looked up once per start tag:
-# (emitted, owns inline text, owns raw text, stops the block walk, void).
-_FLAGS: dict[str, tuple[bool, bool, bool, bool, bool]] = {}
-
-
-def _flags(tag: str) -> tuple[bool, bool, bool, bool, bool]:
-    found = _FLAGS.get(tag)
-    if found is None:
-        emit = tag in EMIT_TAGS and tag != "span"
-        found = (
-            emit,
-            tag in SKIP_INLINE_TAGS or tag in ("a", "code", "br") or (emit and tag in TEXT_TAGS),
-            tag in SKIP_INLINE_TAGS or (emit and tag in RAW_TAGS),
-            tag in BLOCK_TAGS or tag in SKIP_SUBTREE_TAGS,
-            tag in VOID_TAGS,
-        )
-        _FLAGS[tag] = found
-    return found
-
-
 def _norm(text: str) -> str:
     return " ".join(text.split())
 
 
-class _Frame:
-    __slots__ = ("pos", "tag", "attrs", "inl", "raw", "own_inl", "own_raw", "node", "child_stop", "first_idx")
+class _Open:
+    """An open element. ``inl0`` and ``raw0`` are the lengths of the piece
+    lists when it was opened; ``definition`` is the last dt or dd child,
+    ``items`` whether a list has a li child."""
+
+    __slots__ = ("pos", "tag", "href", "inl0", "raw0", "node", "wanted", "stop", "article", "definition", "items", "captioned")
 
-    def __init__(self, pos, tag, attrs, inl, raw, own_inl, own_raw, node, child_stop, first_idx):
-        self.pos = pos
-        self.tag = tag
-        self.attrs = attrs
-        self.inl = inl
-        self.raw = raw
-        self.own_inl = own_inl
-        self.own_raw = own_raw
-        self.node = node
-        self.child_stop = child_stop
-        self.first_idx = first_idx
+    def __init__(self, pos, tag, href, inl0, raw0, node, wanted, stop, article):
+        self.pos, self.tag, self.href = pos, tag, href
+        self.inl0, self.raw0 = inl0, raw0
+        self.node, self.wanted = node, wanted
+        self.stop, self.article = stop, article
+        self.definition, self.items, self.captioned = "", False, False
 
 
 class _Folder(HTMLParser):
     """Builds the flat node list while the tokenizer streams events."""
 
-    def __init__(self) -> None:
+    def __init__(self, keep_all: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.keep_all = keep_all
         self.nodes: list[dict] = []
         self.count = 0
-        root_inl: list[str] = []
-        root_raw: list[str] = []
-        self.stack = [_Frame(-1, "#document", {}, root_inl, root_raw, True, True, None, -1, 0)]
+        self.inl: list[str] = []
+        self.raw: list[str] = []
+        self.path = [_Open(-1, "", None, 0, 0, None, False, -1, -1)]
+        self.open_at: dict[str, list[int]] = {}  # places in ``path`` by tag
 
-    # -- events -----------------------------------------------------------
-    def handle_starttag(self, tag, attrs):
-        self._open(tag, attrs, leaf=False)
+    def handle_data(self, data):
+        self.inl.append(data)
+        self.raw.append(data)
 
     def handle_startendtag(self, tag, attrs):
-        self._open(tag, attrs, leaf=True)
+        self._begin(tag, attrs)
+        self._end_last(False)
 
-    def handle_endtag(self, tag):
-        target = tag.lower()
-        stack = self.stack
-        for index in range(len(stack) - 1, 0, -1):
-            if stack[index].tag == target:
-                while len(stack) > index:
-                    self._close(stack.pop())
-                return
+    def handle_starttag(self, tag, attrs):
+        self._begin(tag, attrs)
+        if tag in VOID_TAGS:
+            self._end_last(False)
 
-    def handle_data(self, data):
-        if data:
-            top = self.stack[-1]
-            top.inl.append(data)
-            top.raw.append(data)
-
-    # -- fold -------------------------------------------------------------
-    def _open(self, tag, attrs, leaf):
-        tag = tag.lower()
-        emit, own_inl, own_raw, is_stop, void = _flags(tag)
-        attr_map = None
-        if emit or tag == "span":
-            attr_map = {key.lower(): (value or "") for key, value in attrs}
-            if tag == "span" and attr_map.get("data-tts-block") == "true":
-                emit = own_inl = is_stop = True
-        parent = self.stack[-1]
-        pos = self.count
+    def handle_endtag(self, tag):
+        places = self.open_at.get(tag)
+        if places:
+            first = places[-1]
+            while len(self.path) > first:
+                self._end_last(len(self.path) - 1 == first)
+
+    def _begin(self, tag, attrs):
+        parent, pos = self.path[-1], self.count
         self.count += 1
+        attr_map = {name: value or "" for name, value in attrs}
+        spoken = tag == "span" and attr_map.get("data-tts-block") == "true"
+        block = tag in BLOCK_TAGS or spoken
         node = None
-        if emit:
+        if self.keep_all or spoken or (tag in EMIT_TAGS and tag != "span"):
             node = {
-                "idx": len(self.nodes) + 1, "span": 1, "pos": pos, "end_pos": pos,
-                "parent_pos": parent.pos, "depth": len(self.stack), "tag": tag,
-                "attrs": list(attr_map.items()), "text": None, "raw": None,
-                "stop_anc": parent.child_stop,
+                "idx": len(self.nodes) + 1, "span": 1, "pos": pos, "end_pos": pos, "parent_pos": parent.pos,
+                "depth": len(self.path), "tag": tag, "attrs": list(attr_map.items()), "text": None, "raw": None,
+                "stop_anc": parent.stop, "first_href": None,
             }
+            if tag == "a" and len(attrs) > len(attr_map):
+                node["first_href"] = next((v for name, v in attrs if name == "href" and v), None)
             self.nodes.append(node)
-        frame = _Frame(
-            pos, tag, attr_map,
-            [] if own_inl else parent.inl,
-            [] if own_raw else parent.raw,
-            own_inl, own_raw, node,
-            pos if is_stop else parent.child_stop,
-            len(self.nodes),
+        if tag == "br":
+            self.inl.append("\n")
+        here = _Open(
+            pos, tag, attr_map.get("href", "") if tag == "a" else None, len(self.inl), len(self.raw), node,
+            node is not None and self._reads(tag, spoken, parent),
+            pos if block or tag in SKIP_SUBTREE_TAGS else parent.stop,
+            pos if tag == "article" else parent.article,
         )
-        if leaf or void:
-            self._close(frame, parent)
-        else:
-            self.stack.append(frame)
-
-    def _close(self, frame, parent=None):
-        parent = parent if parent is not None else self.stack[-1]
-        tag = frame.tag
-        if frame.own_inl:
-            children = "".join(frame.inl)
-            if tag in SKIP_INLINE_TAGS:
-                rendered = ""
-            elif tag == "br":
-                rendered = "\n"
-            elif tag == "a":
-                rendered = _norm(children) or (frame.attrs or {}).get("href", "").strip()
-            elif tag == "code":
-                rendered = _norm(children)
-            else:
-                rendered = children
-            parent.inl.append(rendered)
-        else:
-            rendered = None
-        raw_text = None
-        if frame.own_raw:
-            raw_text = "".join(frame.raw)
-            if tag not in SKIP_INLINE_TAGS:
-                parent.raw.append(raw_text)
-        node = frame.node
+        if tag in ("dt", "dd"):
+            parent.definition = tag
+        elif tag == "li":
+            parent.items = True
+        self.open_at.setdefault(tag, []).append(len(self.path))
+        self.path.append(here)
+
+    def _reads(self, tag, spoken, parent) -> bool:
+        """Whether some later stage can read this node's text or raw text."""
+        if spoken or tag in ("h1", "h2", "h3", "p", "blockquote", "pre"):
+            # a block of an article (or of a page without one): no block in between
+            return parent.stop <= parent.article or tag in ("h2", "h3")
+        if tag == "li":  # a list's own items; where it has none, every item inside
+            lists = [at for kind in ("ul", "ol") for at in self.open_at.get(kind, ())[-1:]]
+            return parent.tag in ("ul", "ol") or not lists or not self.path[max(lists)].items
+        if tag == "dd":
+            return parent.definition == "dt"
+        if tag == "figcaption":  # the first one of some open figure
+            bare = [self.path[at] for at in self.open_at.get("figure", ()) if not self.path[at].captioned]
+            for figure in bare:
+                figure.captioned = True
+            return bool(bare)
+        return tag in ("dt", "title", "script") or (tag == "code" and parent.tag == "pre")
+
+    def _end_last(self, by_own_tag):
+        here = self.path.pop()
+        self.open_at[here.tag].pop()
+        tag, node, inl, raw = here.tag, here.node, self.inl, self.raw
         if node is not None:
             node["end_pos"] = self.count - 1
-            node["span"] = len(self.nodes) - frame.first_idx + 1
-            if tag in TEXT_TAGS:
-                node["text"] = _norm(rendered if rendered is not None else "".join(frame.inl))
-            if tag in RAW_TAGS:
-                node["raw"] = raw_text
+            node["span"] = len(self.nodes) - node["idx"] + 1
+            if here.wanted:
+                self._write(here, by_own_tag)
+        if tag in SKIP_INLINE_TAGS:
+            del inl[here.inl0:], raw[here.raw0:]
+        elif tag == "a":
+            inl[here.inl0:] = [_norm("".join(inl[here.inl0:])) or here.href.strip()]
+        elif tag == "code":
+            inl[here.inl0:] = [_norm("".join(inl[here.inl0:]))]
+
+    def _write(self, here, by_own_tag):
+        tag, node = here.tag, here.node
+        if tag in ("title", "pre", "code"):
+            node["raw"] = "".join(self.raw[here.raw0:])
+        elif tag == "script":
+            text = "".join(self.raw[here.raw0:])
+            node["raw"] = text if PUSH_MARK in text else ""
+        elif tag == "dt" and not by_own_tag:
+            node["text"] = ""  # its parent ends too: no dd can follow
+        elif tag in ("h2", "h3") and node["stop_anc"] > here.article:
+            # inside another block only "references" is ever looked for
+            node["text"] = self._short_text(here.inl0, len("references"))
+        else:
+            node["text"] = _norm("".join(self.inl[here.inl0:]))
+
+    def _short_text(self, start, most) -> str:
+        """The text from ``start`` if it has at most ``most`` characters besides white space, else ""."""
+        seen, n = [], 0
+        for k in range(start, len(self.inl)):
+            piece = self.inl[k]
+            n += sum(map(len, piece.split()))
+            if n > most:
+                return ""
+            seen.append(piece)
+        return _norm("".join(seen))
 
     def finish(self) -> list[dict]:
         # The tokenizer is deliberately not closed; still-open elements end
         # with the document.
-        while len(self.stack) > 1:
-            self._close(self.stack.pop())
+        while len(self.path) > 1:
+            self._end_last(False)
         return self.nodes
 
 
-def shred_html(html: str | None) -> tuple[list[dict], str | None]:
-    """HTML text -> (nodes, parse_error)."""
+def shred_html(html: str | None, keep_all: bool = False) -> tuple[list[dict], str | None]:
+    """HTML text -> (nodes, parse_error). ``keep_all`` writes every element,
+    not only those that later stages read."""
     if html is None:
         return [], "unparsable: no html"
-    folder = _Folder()
+    folder = _Folder(keep_all)
     try:
         folder.feed(html)
-    except Exception as exc:  # the reference raises ParseError here
+    except Exception as exc:  # one bad page is quarantined, never the task
         return [], f"unparsable: {exc}"
     return folder.finish(), None
 
 
-def _shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("page_id").to_pylist()
-        urls = batch.column("url").to_pylist()
-        htmls = batch.column("html").to_pylist()
-        all_nodes, errors = [], []
-        for html in htmls:
-            nodes, error = shred_html(html)
-            all_nodes.append(nodes)
-            errors.append(error)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(urls, pa.string()),
-             pa.array(all_nodes, pa.list_(NODE_TYPE)), pa.array(errors, pa.string())],
-            schema=OUT_SCHEMA,
-        )
+def _shred_batches(keep_all: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            size = 0
+            for page_id, url, html in zip(*(batch.column(c) for c in ("page_id", "url", "html"))):
+                text = html.as_py()
+                rows.append((page_id.as_py(), url.as_py(), *shred_html(text, keep_all)))
+                size += len(text or "")
+                if size > BATCH_CHARS:
+                    yield _batch(rows)
+                    rows, size = [], 0
+            yield _batch(rows)
+
+    return run
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else ([], [], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, OUT_SCHEMA)], schema=OUT_SCHEMA)
 
 
-def shred(pages: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def shred(pages: DataFrame, partitions: int | None = None, keep_all: bool = False) -> DataFrame:
     """pages(page_id, url, html) -> shredded(page_id, url, nodes, parse_error).
 
-    Only the three columns the stage needs cross into Python.  A scan with
-    fewer partitions than the cluster has cores (one small parquet file) is
-    spread round-robin first; a large scan is left as it is, so no HTML is
-    shuffled at scale.
+    Only the three columns the stage needs cross into Python. The scan keeps
+    its own partitions, so no HTML is shuffled; ``partitions`` (or the session
+    setting ``folia.shred.partitions``) deals a table of few files out anew.
     """
     slim = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").alias("html"),
     )
-    spark = pages.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if not pages.isStreaming and slim.rdd.getNumPartitions() < want:
-        slim = slim.repartition(want)
-    return slim.mapInArrow(_shred_batches, SPARK_SCHEMA)
+    wanted = partitions or int(pages.sparkSession.conf.get("folia.shred.partitions", "0"))
+    if wanted and not pages.isStreaming:
+        slim = slim.repartition(wanted)
+    return slim.mapInArrow(_shred_batches(keep_all), SPARK_SCHEMA)
 
 
 # Python workers need not have the package installed: the stage's code goes

@@ -58,7 +58,7 @@ R1_HTML = r"""concat(
  '<figure><img src="https://img.example.org/o/', k, '/a.png" alt="dup"></figure>',
  '<figure><img srcset="https://img.example.org/o/', k, '/b.png 1x, https://img.example.org/o/', k, '/b2.png 2x">',
  '<figcaption>B ', k, '</figcaption></figure>',
- '<ul>', array_join(transform(slice(lines, 1, 3), (l, i) -> concat('<li>Line ', l.l_linenumber, '</li>',
+ '<ul>', array_join(transform(lines, (l, i) -> concat('<li>Line ', l.l_linenumber, '</li>',
         CASE WHEN i = 0 THEN '<li> </li>' ELSE '' END)), ''), '</ul>',
  '<pre><code>\norder ', k, '\n  lines ', size(lines), '\n</code></pre>',
  '<blockquote>Quote ', k, '</blockquote>',
@@ -172,10 +172,12 @@ def r5_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ROBOTS_AGENT = "corpusbot/1.0"
 
-R3_TEXT = r"""CASE length(host) % 3
+R3_TEXT = r"""CASE length(host) % 5
   WHEN 0 THEN 'User-agent: *\nDisallow: /fr/\nDisallow: /de/\n'
   WHEN 1 THEN '# site rules\nUser-agent: *\nAllow: /en/\nDisallow: /\n'
-  ELSE 'User-agent: corpusbot\nDisallow: /en/9\nAllow: /\nDisallow: /es/\n\nUser-agent: *\nDisallow: /\n' END"""
+  WHEN 2 THEN 'User-agent: corpusbot\nDisallow: /en/9\nAllow: /\nDisallow: /es/\n\nUser-agent: *\nDisallow: /\n'
+  WHEN 3 THEN 'User-agent: corpusbot\nCrawl-delay: 5\n\nUser-agent: *\nDisallow: /\n'
+  ELSE 'User-agent: *\nDisallow: /en/1?\nDisallow: /de/2;\nDisallow: /es/#\n' END"""
 
 
 def r3_robots_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,56 +200,59 @@ def r3_robots_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- R4
 
-SEARCH_LIMIT = 25  # results per API call (limit=25, offset=0)
+SEARCH_PAGE = 25  # results per API request
 
 
 def _r4_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 25 parts (by key) of each brand: the API's one page of results.
-    ``row_number() <= 25`` lets Spark cut each brand to 25 rows per map task
-    before the shuffle, so a large brand never reaches one task whole."""
-    from pyspark.sql import Window
-
+    """All parts of each brand in key order, as successive result pages:
+    (query, offset, rn within the page, p_partkey, slug). Positions are found
+    without putting a brand into one task."""
     from folia.functions import urls as U
+    from folia.operators.ranking import position_in_group
 
     parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand")
-    w = Window.partitionBy("p_brand").orderBy("p_partkey")
-    top = parts.withColumn("rn", F.row_number().over(w)).where(f"rn <= {SEARCH_LIMIT}")
-    return top.selectExpr(
-        "p_brand AS query", "rn", "p_partkey",
+    slot = F.floor(F.col("p_partkey") / 100000)
+    placed = position_in_group(parts, ["p_brand"], slot, slot, [F.col("p_partkey")])
+    return placed.selectExpr(
+        "p_brand AS query", f"CAST(floor((pos - 1) / {SEARCH_PAGE}) * {SEARCH_PAGE} AS BIGINT) AS offset",
+        f"(pos - 1) % {SEARCH_PAGE} + 1 AS rn", "p_partkey",
         f"CASE WHEN p_partkey % 3 = 0 THEN concat({U.title_slug('p_name')}, ';v', p_partkey) "
         f"ELSE {U.title_slug('p_name')} END AS slug",
     )
 
 
 def r4_search_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """R4: (api, html) search responses per brand query.
-
-    api(query, payload): JSON with ``results`` in key order, a blank slug for
-    keys divisible by 50 and a bare number for keys divisible by 70; brands
-    ending in 5 get an unparsable payload, brands ending in 0 a valid empty one.
-    html(page_id, query, url, html): result pages with '#section' duplicates,
-    an off-site link and a non-/page/ link.
+    """R4: (api, html) search responses per request (brand query, offset).
+
+    api(query, offset, status, refused, payload): JSON with ``results`` in
+    key order, a blank slug for keys divisible by 50 and a bare number for
+    keys divisible by 70; brands ending in 5 get an unparsable payload, in 0
+    a valid empty one, in 3 status 500 with a valid body, in 4 a robots
+    refusal. html(page_id, query, offset, url, html): result pages with
+    '#section' duplicates, an off-site link, a non-/page/ link and, on the
+    first hit, a repeated href with leading blanks.
     """
     res = _r4_results(spark, sf_dir)
     entries = res.selectExpr(
-        "query", "rn",
+        "query", "offset", "rn",
         "CASE WHEN p_partkey % 70 = 0 THEN CAST(p_partkey AS STRING) "
         "WHEN p_partkey % 50 = 0 THEN '{\"slug\": \"   \"}' "
         "ELSE to_json(named_struct('slug', slug)) END AS item",
     )
-    api = entries.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rn", "item"))).alias("items")).selectExpr(
-        "query",
+    api = entries.groupBy("query", "offset").agg(F.array_sort(F.collect_list(F.struct("rn", "item"))).alias("items")).selectExpr(
+        "query", "offset", "CASE WHEN endswith(query, '3') THEN 500 ELSE 200 END AS status", "endswith(query, '4') AS refused",
         "CASE WHEN endswith(query, '5') THEN '<html>temporarily unavailable</html>' "
         "WHEN endswith(query, '0') THEN '{\"results\": []}' "
         "ELSE concat('{\"results\": [', array_join(transform(items, i -> i.item), ', '), ']}') END AS payload",
     )
     links = res.where("p_partkey % 70 <> 0 AND p_partkey % 50 <> 0").selectExpr(
-        "query", "rn",
-        "concat('<li><a href=\"/page/', slug, '\">', slug, '</a> <a href=\"/page/', slug, '#section\">more</a></li>') AS li",
+        "query", "offset", "rn",
+        "concat('<li><a href=\"', CASE WHEN p_partkey % 4 = 0 THEN ' ' ELSE '' END, '/page/', slug, '\"', "
+        "CASE WHEN p_partkey % 5 = 0 THEN ' href=\"/page/other\"' ELSE '' END, '>', slug, '</a> <a href=\"/page/', slug, '#section\">more</a></li>') AS li",
     )
-    html = links.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rn", "li"))).alias("lis")).selectExpr(
-        "CAST(regexp_extract(query, '([0-9]+)$', 1) AS BIGINT) AS page_id", "query",
-        "concat('https://wiki.example.org/search?q=', url_encode(query)) AS url",
+    html = links.groupBy("query", "offset").agg(F.array_sort(F.collect_list(F.struct("rn", "li"))).alias("lis")).selectExpr(
+        "CAST(regexp_extract(query, '([0-9]+)$', 1) AS BIGINT) * 1000000000 + offset AS page_id", "query", "offset",
+        "concat('https://wiki.example.org/search?q=', url_encode(query), '&offset=', offset) AS url",
         "concat('<html><body><a href=\"https://other.example.org/page/X\">x</a><ul>', "
         "array_join(transform(lis, l -> l.li), ''), '</ul><a href=\"/about\">about</a></body></html>') AS html",
     )

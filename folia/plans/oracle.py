@@ -50,7 +50,7 @@ g AS (
     CASE WHEN k % 13 <> 0 OR k % 3 = 0 THEN 'Order ' || k ELSE 'Order ' || k || ' og' END AS title,
     CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS e,
     'Line count ' || n || '.'
-      || CASE WHEN n > 0 THEN {NL2} || array_to_string(list_transform(lines[1:3], lambda x: '- Line ' || x.ln), {NL}) ELSE '' END
+      || CASE WHEN n > 0 THEN {NL2} || array_to_string(list_transform(lines, lambda x: '- Line ' || x.ln), {NL}) ELSE '' END
       || {NL2} || 'order ' || k || {NL} || '  lines ' || n || {NL2} || 'Quote ' || k AS details_text,
     CASE WHEN n > 0 THEN array_to_string(list_transform(range(1, n + 1), lambda i:
            (i + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) || '. Part ' || lines[i].pk || ' qty ' || CAST(lines[i].q AS BIGINT)), {NL}) || {NL2}
@@ -65,6 +65,39 @@ def _with(*ctes: str) -> str:
     return sql
 
 
+def _js(e: str) -> str:
+    """A value as JSON text: strings quoted, null as null."""
+    return f"coalesce(CAST(to_json({e}) AS VARCHAR), 'null')"
+
+
+def _media_js(index: int, url: str, caption: str, alt: str) -> str:
+    return f"""'{{"index":{index},"image_url":' || {_js(url)} || ',"caption":' || {_js(caption)} || ',"alt_text":' || {_js(alt)} || '}}'"""
+
+
+_IMG = "'https://img.example.org/o/' || k || "
+_J_INFOBOX = """'[{"label":"Status","value":' || to_json(st) || '},{"label":"Priority","value":' || to_json(pr) || '},{"label":"Customer","value":"' || custkey || '"}]'"""
+_J_LEAD = f"""'{{"image_url":"https://wiki.example.org/images/order_' || k || '.png?v=1","caption":' || {_js("CASE WHEN k % 4 <> 0 THEN 'Figure ' || k END")} || ',"alt_text":"Order ' || k || ' image"}}'"""
+_J_SECTIONS = f"""'[{{"id":' || {_js("CASE WHEN k % 7 <> 0 THEN 'overview' END")} || ',"title":"Overview","level":2,"text":'
+  || {_js("CASE WHEN k % 7 <> 0 THEN 'Status ' || st || ' and priority ' || pr || '.' ELSE '' END")} || ',"media":['
+  || {_media_js(1, _IMG + "'/chart.png'", "'Chart ' || k", "'Chart ' || k")} || '],"subsections":[{{"id":"details","title":"Details","level":3,"text":'
+  || {_js("details_text")} || ',"media":[' || {_media_js(1, _IMG + "'/a.png'", "CAST(NULL AS VARCHAR)", "'a'")} || ','
+  || {_media_js(2, _IMG + "'/b.png'", "'B ' || k", "CAST(NULL AS VARCHAR)")} || ',' || {_media_js(3, _IMG + "'/c_(1).png'", "CAST(NULL AS VARCHAR)", "'paren'")}
+  || '],"subsections":[]}}]}},{{"id":null,"title":"References","level":2,"text":' || {_js("refs_text")} || ',"media":[],"subsections":[]}}]'"""
+_J_REFS = """'[' || array_to_string(list_concat(list_transform(range(1, n + 1), lambda i: '{"index":' || (i + e) || ',"text":"Part ' || lines[i].pk || ' qty '
+  || CAST(lines[i].q AS BIGINT) || '","url":"/page/Supplier_' || lines[i].sk || '"}'),
+  ['{"index":' || (n + 1) || ',"text":"Extra ' || k || ' src","url":"https://ext.example.com/o/' || k || '"}']), ',') || ']'"""
+_J_LINKS = """'[' || array_to_string(list_transform(list_concat(['https://wiki.example.org/page/' || replace(cname, '#', '%23')],
+  list_transform(list_filter(range(1, n + 1), lambda i: list_position(list_transform(lines, lambda x: x.sk), lines[i].sk) = i),
+    lambda i: 'https://wiki.example.org/page/Supplier_' || lines[i].sk), ['https://ext.example.com/o/' || k]), lambda u: CAST(to_json(u) AS VARCHAR)), ',') || ']'"""
+_CANONICAL = "'https://wiki.example.org/page/Order_' || k || CASE WHEN k % 2 = 0 THEN '' ELSE '?via=og' END"
+_DESCRIPTION = "CASE WHEN k % 4 <> 3 THEN 'Order of ' || pr || ' priority' END"
+_J_KEYWORDS = "CASE WHEN k % 11 <> 0 THEN '[' || to_json(st) || ',' || to_json(pr) || ']' END"
+_INTRO = "'Order ' || k || ' placed by ' || cname || '.'"
+_JSON = f"""'{{"url":"https://wiki.example.org/page/Order_' || k || '","slug":"Order_' || k || '","title":' || {_js("title")} || ',"intro_text":' || {_js(_INTRO)}
+  || ',"infobox":' || {_J_INFOBOX} || ',"lead_figure":' || {_J_LEAD} || ',"sections":' || {_J_SECTIONS} || ',"references":' || {_J_REFS}
+  || ',"links":' || {_J_LINKS} || ',"metadata":{{"status_code":200,"fetched_at_utc":"2026-01-01T00:00:00Z","canonical_url":' || {_js(_CANONICAL)}
+  || ',"description":' || {_js(_DESCRIPTION)} || ',"keywords":' || coalesce({_J_KEYWORDS}, 'null') || '}}}}'"""
+
 _MD = f"""'# ' || title
   || {NL2} || 'Order ' || k || ' placed by ' || cname || '.'
   || {NL2} || '## Infobox' || {NL} || '- **Status:** ' || st || {NL} || '- **Priority:** ' || pr || {NL} || '- **Customer:** ' || custkey
@@ -100,9 +133,11 @@ ORACLE: dict[str, str] = {
         FROM heads""",
     "pages_scan": "SELECT page_id, url FROM pages",
     "shred": """
+        WITH bare AS (SELECT page_id, html, regexp_replace(html, '(?s)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g') AS h FROM pages)
         SELECT page_id, tag, count(*)::BIGINT AS n FROM (
-          SELECT page_id, unnest(regexp_extract_all(html, '<(head|meta|title|script|ul|li|a|article|h1|p)[\\s/>]', 1)) AS tag
-          FROM pages) GROUP BY page_id, tag""",
+          SELECT page_id, unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[\\s/>]', 1)) AS tag FROM bare
+          UNION ALL SELECT page_id, unnest(regexp_extract_all(html, '<(script|style)[\\s>]', 1)) FROM bare)
+        GROUP BY page_id, tag""",
     "article_select": """
         SELECT page_id, len(regexp_extract_all(html, '<article[\\s>]'))::BIGINT AS n_articles,
           regexp_extract(html, '<article[^>]*class="([^"]*)"', 1) AS article_class FROM pages""",
@@ -161,9 +196,10 @@ ORACLE: dict[str, str] = {
     "head_keywords": _with(R1) + """
         SELECT k AS page_id, 1::BIGINT AS pos, st AS keyword FROM g WHERE k % 11 <> 0
         UNION ALL SELECT k, 2::BIGINT, pr FROM g WHERE k % 11 <> 0""",
-    "page_assemble": _with(R1) + """
-        SELECT k AS page_id, 'https://wiki.example.org/page/Order_' || k AS url, 'Order_' || k AS slug, title,
-          'Order ' || k || ' placed by ' || cname || '.' AS intro_text FROM g""",
+    "page_assemble": _with(R1) + f"""
+        SELECT k AS page_id, 'https://wiki.example.org/page/Order_' || k AS url, 'Order_' || k AS slug, title, {_INTRO} AS intro_text,
+          {_J_INFOBOX} AS infobox, {_J_LEAD} AS lead_figure, {_J_SECTIONS} AS sections, {_J_REFS} AS references, {_J_LINKS} AS links,
+          200 AS status_code, {_CANONICAL} AS canonical_url, {_DESCRIPTION} AS description, {_J_KEYWORDS} AS keywords FROM g""",
     "link_edges": _with(R1, """
         s AS (SELECT k, sk, min(i) AS first_i FROM (SELECT k, unnest(lines).sk AS sk, unnest(range(1, n + 1)) AS i FROM g) GROUP BY k, sk),
         sr AS (SELECT k, sk, row_number() OVER (PARTITION BY k ORDER BY first_i) AS r, count(*) OVER (PARTITION BY k) AS m FROM s)""") + """
@@ -214,9 +250,7 @@ ORACLE: dict[str, str] = {
           (CASE WHEN k % 11 <> 0 THEN 2 ELSE 0 END)::BIGINT AS n_keywords FROM g""",
     "markdown_render": _with(R1) + f" SELECT k AS page_id, {_MD} AS markdown FROM g",
     "page_json_read": _with(R1) + f" SELECT k AS page_id, {_MD} AS markdown FROM g",
-    "page_json_write": _with(R1) + """
-        SELECT k AS page_id, title, (n + 1)::BIGINT AS n_references, '2026-01-01T00:00:00Z' AS fetched_at_utc,
-          CASE WHEN k % 4 <> 0 THEN 'Figure ' || k END AS caption FROM g""",
+    "page_json_write": _with(R1) + f" SELECT k AS page_id, {_JSON} AS json FROM g",
 }
 
 
@@ -277,8 +311,15 @@ ORACLE["edit_payload_read"] = ORACLE["edit_batches"]
 R3 = f"""
 o AS (SELECT DISTINCT lower(regexp_extract(url, {_URL}, 1)) || '://' || regexp_extract(url, {_URL}, 2) || '/robots.txt' AS robots_url,
         regexp_extract(url, {_URL}, 2) AS host FROM pages),
-r AS (SELECT robots_url, length(host) % 3 AS cls FROM o WHERE length(host) % 7 <> 0),
-pg AS (SELECT page_id, url, regexp_extract(url, {_URL}, 2) AS host, regexp_extract(url, {_URL}, 3) AS path FROM pages)"""
+r AS (SELECT robots_url, length(host) % 5 AS cls FROM o WHERE length(host) % 7 <> 0),
+pg AS (SELECT page_id, url, regexp_extract(url, {_URL}, 2) AS host, regexp_extract(url, {_URL}, 3) AS path FROM pages),
+gate AS (SELECT page_id, url, CASE WHEN length(host) % 7 = 0 THEN 'unavailable' ELSE CASE length(host) % 5
+    WHEN 0 THEN CASE WHEN starts_with(path, '/fr/') OR starts_with(path, '/de/') THEN 'disallowed' ELSE 'allowed' END
+    WHEN 1 THEN CASE WHEN starts_with(path, '/en/') THEN 'allowed' ELSE 'disallowed' END
+    WHEN 2 THEN CASE WHEN starts_with(path, '/en/9') THEN 'disallowed' ELSE 'allowed' END
+    WHEN 3 THEN 'allowed'
+    ELSE CASE WHEN starts_with(path, '/en/1') OR starts_with(path, '/de/2') OR starts_with(path, '/es/') THEN 'disallowed' ELSE 'allowed' END
+  END END AS verdict FROM pg)"""
 
 ORACLE.update({
     "robots_rules": _with(R3) + """
@@ -287,14 +328,11 @@ ORACLE.update({
           (0, 1, true, '*', 1, false, '/fr/'), (0, 1, true, '*', 2, false, '/de/'),
           (1, 1, true, '*', 1, true, '/en/'), (1, 1, true, '*', 2, false, '/'),
           (2, 1, false, 'corpusbot', 1, false, '/en/9'), (2, 1, false, 'corpusbot', 2, true, '/'),
-          (2, 1, false, 'corpusbot', 3, false, '/es/'), (2, 2, true, '*', 1, false, '/'))
+          (2, 1, false, 'corpusbot', 3, false, '/es/'), (2, 2, true, '*', 1, false, '/'),
+          (3, 1, false, 'corpusbot', NULL, NULL, NULL), (3, 2, true, '*', 1, false, '/'),
+          (4, 1, true, '*', 1, false, '/en/1'), (4, 1, true, '*', 2, false, '/de/2'), (4, 1, true, '*', 3, false, '/es/'))
           AS x(cls, entry_no, is_default, agents, seq, allow, prefix) ON x.cls = r.cls""",
-    "robots_gate": _with(R3) + """
-        SELECT page_id, CASE WHEN length(host) % 7 = 0 THEN 'unavailable'
-          WHEN length(host) % 3 = 0 THEN CASE WHEN starts_with(path, '/fr/') OR starts_with(path, '/de/') THEN 'disallowed' ELSE 'allowed' END
-          WHEN length(host) % 3 = 1 THEN CASE WHEN starts_with(path, '/en/') THEN 'allowed' ELSE 'disallowed' END
-          ELSE CASE WHEN starts_with(path, '/en/9') THEN 'disallowed' ELSE 'allowed' END END AS verdict
-        FROM pg""",
+    "robots_gate": _with(R3) + " SELECT page_id, verdict FROM gate",
     "robots_fail_closed": _with(R3) + " SELECT page_id, url FROM pg WHERE length(host) % 7 = 0",
     "robots_bypass": "SELECT page_id, 'allowed' AS verdict FROM pages",
 })
@@ -303,30 +341,33 @@ ORACLE.update({
 R4 = f"""
 p AS (SELECT p_partkey, p_brand AS query, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn,
         nullif(replace({_norm('p_name')}, ' ', '_'), '') AS t FROM part),
-top AS (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN t || ';v' || p_partkey ELSE t END AS slug FROM p WHERE rn <= 25),
-api_ok AS (SELECT * FROM top WHERE NOT ends_with(query, '5') AND NOT ends_with(query, '0')
-             AND p_partkey % 70 <> 0 AND p_partkey % 50 <> 0),
-api_first AS (SELECT query, t, arg_min(slug, rn) AS slug, min(rn) AS rn FROM api_ok GROUP BY query, t),
-api_hits AS (SELECT query, row_number() OVER (PARTITION BY query ORDER BY rn)::BIGINT AS pos,
+top AS (SELECT *, ((rn - 1) // 25 * 25)::BIGINT AS "offset", CASE WHEN p_partkey % 3 = 0 THEN t || ';v' || p_partkey ELSE t END AS slug FROM p),
+api_valid AS (SELECT DISTINCT query, "offset" FROM top WHERE right(query, 1) NOT IN ('3', '4', '5')),
+api_ok AS (SELECT * FROM top WHERE right(query, 1) NOT IN ('0', '3', '4', '5') AND p_partkey % 70 <> 0 AND p_partkey % 50 <> 0),
+api_first AS (SELECT query, "offset", t, arg_min(slug, rn) AS slug, min(rn) AS rn FROM api_ok GROUP BY query, "offset", t),
+api_hits AS (SELECT query, "offset", row_number() OVER (PARTITION BY query, "offset" ORDER BY rn)::BIGINT AS pos,
                'https://wiki.example.org/page/' || {_quote('slug')} AS page_url FROM api_first),
-html_first AS (SELECT query, t, min(rn) AS rn FROM top WHERE p_partkey % 70 <> 0 AND p_partkey % 50 <> 0 GROUP BY query, t),
-html_hits AS (SELECT query, row_number() OVER (PARTITION BY query ORDER BY rn)::BIGINT AS pos,
+html_first AS (SELECT query, "offset", t, min(rn) AS rn FROM top WHERE p_partkey % 70 <> 0 AND p_partkey % 50 <> 0 GROUP BY query, "offset", t),
+html_hits AS (SELECT query, "offset", row_number() OVER (PARTITION BY query, "offset" ORDER BY rn)::BIGINT AS pos,
                'https://wiki.example.org/page/' || t AS page_url FROM html_first),
-fb AS (SELECT * FROM api_hits UNION ALL SELECT * FROM html_hits WHERE ends_with(query, '5'))"""
+fb AS (SELECT * FROM api_hits UNION ALL SELECT * FROM html_hits WHERE right(query, 1) IN ('3', '4', '5'))"""
 
 _TOK = "list_filter(regexp_split_to_array(lower({e}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 
 ORACLE.update({
-    "search_api_hits": _with(R4) + " SELECT query, pos, page_url FROM api_hits",
-    "search_payload_read": _with(R4) + " SELECT query, pos, page_url FROM api_hits",
-    "search_html_read": _with(R4) + " SELECT query, pos, page_url FROM html_hits",
-    "search_fallback": _with(R4) + " SELECT query, pos, page_url FROM fb",
-    "search_limit": _with(R4) + " SELECT query, pos, page_url FROM fb WHERE pos <= 5",
+    "search_api_hits": _with(R4) + ''' SELECT query, "offset", pos, page_url FROM api_hits''',
+    "search_payload_read": _with(R4) + """
+        SELECT query, "offset", (query, "offset") IN (SELECT (query, "offset") FROM api_valid) AS valid, coalesce(n, 0)::BIGINT AS n_hits
+        FROM (SELECT DISTINCT query, "offset" FROM top) LEFT JOIN (SELECT query, "offset", count(*) AS n FROM api_hits GROUP BY ALL) USING (query, "offset")""",
+    "search_html_read": _with(R4) + ''' SELECT query, "offset", pos, page_url FROM html_hits''',
+    "search_fallback": _with(R4) + ''' SELECT query, "offset", pos, page_url FROM fb''',
+    "search_limit": _with(R4) + ''' SELECT query, "offset", pos, page_url FROM fb WHERE pos <= 5''',
     "corpus_search": f"""
-        WITH q AS (SELECT DISTINCT array_to_string({_TOK.format(e='text')}[1:3], ' ') AS query FROM benchmark),
-        qt AS (SELECT DISTINCT query, unnest({_TOK.format(e='query')}) AS term FROM q WHERE query <> ''),
+        WITH q AS (SELECT DISTINCT text AS query FROM benchmark WHERE text IS NOT NULL),
+        qt AS (SELECT DISTINCT query, unnest({_TOK.format(e='query')}) AS term FROM q),
         dt AS (SELECT doc_id, unnest({_TOK.format(e='text')}) AS term FROM documents),
-        s AS (SELECT query, doc_id, count(DISTINCT term) AS n_terms, count(*) AS tf FROM dt JOIN qt USING (term) GROUP BY ALL),
+        dc AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY ALL),
+        s AS (SELECT query, doc_id, count(*) AS n_terms, sum(tf) AS tf FROM dc JOIN qt USING (term) GROUP BY ALL),
         r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY n_terms DESC, tf DESC, doc_id) AS rank FROM s)
         SELECT query, doc_id, rank::BIGINT AS rank, n_terms::BIGINT AS n_terms, tf::BIGINT AS tf FROM r WHERE rank <= 25""",
 })
@@ -398,11 +439,7 @@ ORACLE.update({
     "crawl_pages": _with(R3_RESP, "pages_src AS (SELECT page_id, url, text AS html FROM ingested)", PAGES_ART, R3) + f"""
         SELECT h.page_id, h.url, regexp_replace(regexp_extract(h.url, {_URL}, 3), '^/+|/+$', '', 'g') AS slug,
           h.title, h.intro_text
-        FROM heads h JOIN pg ON pg.page_id = h.page_id
-        WHERE NOT (length(pg.host) % 7 = 0)
-          AND CASE WHEN length(pg.host) % 3 = 0 THEN NOT (starts_with(pg.path, '/fr/') OR starts_with(pg.path, '/de/'))
-                   WHEN length(pg.host) % 3 = 1 THEN starts_with(pg.path, '/en/')
-                   ELSE NOT starts_with(pg.path, '/en/9') END""",
+        FROM heads h JOIN gate USING (page_id) WHERE gate.verdict = 'allowed'""",
 })
 
 

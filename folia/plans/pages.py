@@ -19,7 +19,7 @@ from folia.operators import sections as S
 from folia.operators.extract import page_frame
 from folia.operators.shred import shred
 from folia.plans.fixtures import r1_pages
-from folia.session import table
+from folia.session import materialize, table
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,15 +30,8 @@ def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_frame(shred(_pages(spark, sf_dir)))
 
 
-_R1_CACHE: dict = {}
-
-
 def _r1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1 corpus frame, shredded and checkpointed once per session."""
-    key = (id(spark), sf_dir)
-    if key not in _R1_CACHE:
-        _R1_CACHE[key] = A.corpus_frame(r1_pages(spark, sf_dir))
-    return _R1_CACHE[key]
+    return A.corpus_frame(r1_pages(spark, sf_dir))
 
 
 def _r1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,15 +50,13 @@ def pages_scan(spark, sf_dir):
 
 
 def shred_tags(spark, sf_dir):
-    """Element counts per page and tag (start tags of the listed kinds)."""
-    counted = shred(_pages(spark, sf_dir)).selectExpr(
+    """Element counts per page and tag, every element of the page."""
+    counted = shred(_pages(spark, sf_dir), keep_all=True).selectExpr(
         "page_id",
         "transform(array_distinct(transform(nodes, n -> n.tag)), "
         "t -> named_struct('tag', t, 'n', size(filter(nodes, n -> n.tag = t)))) AS counts",
     )
-    return counted.selectExpr("page_id", "inline(counts)").where(
-        "tag IN ('head', 'meta', 'title', 'script', 'ul', 'li', 'a', 'article', 'h1', 'p')"
-    ).selectExpr("page_id", "tag", "CAST(n AS BIGINT) AS n")
+    return counted.selectExpr("page_id", "inline(counts)").selectExpr("page_id", "tag", "CAST(n AS BIGINT) AS n")
 
 
 def article_select(spark, sf_dir):
@@ -195,7 +186,14 @@ def r1_keywords(spark, sf_dir):
 
 
 def r1_assemble(spark, sf_dir):
-    return _r1_records(spark, sf_dir).select("page_id", "url", "slug", "title", "intro_text")
+    """The whole record: its nested fields as JSON, so that all of it is compared."""
+    nested = ["infobox", "lead_figure", "sections", "references", "links"]
+    return _r1_records(spark, sf_dir).selectExpr(
+        "page_id", "url", "slug", "title", "intro_text",
+        *[f"to_json({c}, map('ignoreNullFields', 'false')) AS {c}" for c in nested],
+        "metadata.status_code AS status_code", "metadata.canonical_url AS canonical_url", "metadata.description AS description",
+        "to_json(metadata.keywords) AS keywords",
+    )
 
 
 def r1_links(spark, sf_dir):
@@ -218,29 +216,22 @@ def r1_lead_figure(spark, sf_dir):
 
 
 def r1_sections(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["targets"].selectExpr(
-        "page_id", "CAST(sec_no AS BIGINT) AS sec_no", "CAST(sub_no AS BIGINT) AS sub_no", "level", "id", "title"
-    )
+    return S.target_rows(_r1_records(spark, sf_dir)).select("page_id", "sec_no", "sub_no", "level", "id", "title")
 
 
 def r1_section_text(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["targets"].selectExpr(
-        "page_id", "CAST(sec_no AS BIGINT) AS sec_no", "CAST(sub_no AS BIGINT) AS sub_no", "text"
-    )
+    return S.target_rows(_r1_records(spark, sf_dir)).select("page_id", "sec_no", "sub_no", "text")
 
 
 def r1_references(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["references"].selectExpr(
+    return _r1_records(spark, sf_dir).selectExpr("page_id", "inline(references)").selectExpr(
         "page_id", "CAST(index AS BIGINT) AS index", "text", "url"
     )
 
 
 def r1_section_media(spark, sf_dir):
-    return A.assembled_parts(_r1(spark, sf_dir))["targets"].selectExpr(
-        "page_id", "sec_no", "sub_no", "inline(media)"
-    ).selectExpr(
-        "page_id", "CAST(sec_no AS BIGINT) AS sec_no", "CAST(sub_no AS BIGINT) AS sub_no",
-        "CAST(index AS BIGINT) AS index", "image_url", "caption", "alt_text",
+    return S.target_rows(_r1_records(spark, sf_dir)).selectExpr("page_id", "sec_no", "sub_no", "inline(media)").selectExpr(
+        "page_id", "sec_no", "sub_no", "CAST(index AS BIGINT) AS index", "image_url", "caption", "alt_text"
     )
 
 
@@ -270,20 +261,16 @@ def r1_json_roundtrip(spark, sf_dir):
     """page_json_write -> page_json_read -> markdown must equal the original."""
     from folia.sources import pagejson as J
 
-    written = J.page_json_write(_r1_records(spark, sf_dir))
+    written = materialize(J.page_json_write(_r1_records(spark, sf_dir)))  # documents in a store, as a reader finds them
     back = J.page_json_read(written.selectExpr("page_id", "json"))
     return R.with_markdown(back.where("error IS NULL")).select("page_id", "markdown")
 
 
 def r1_json_write(spark, sf_dir):
+    """The whole JSON document of every page."""
     from folia.sources import pagejson as J
 
-    return J.page_json_write(_r1_records(spark, sf_dir)).selectExpr(
-        "page_id", "get_json_object(json, '$.title') AS title",
-        "CAST(json_array_length(get_json_object(json, '$.references')) AS BIGINT) AS n_references",
-        "get_json_object(json, '$.metadata.fetched_at_utc') AS fetched_at_utc",
-        "get_json_object(json, '$.lead_figure.caption') AS caption",
-    )
+    return J.page_json_write(_r1_records(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- rollups
@@ -308,13 +295,11 @@ def r1_stats_by_host(spark, sf_dir):
 
 
 def html_nodes_sql(spark, sf_dir):
-    """Tag counts through the SQL table function (LATERAL html_nodes)."""
+    """Tag counts through the SQL table function."""
     from folia.functions.udtf import register
 
     register(spark)
     _pages(spark, sf_dir).createOrReplaceTempView("folia_pages")
     return spark.sql(
-        "SELECT p.page_id, n.tag, count(*) AS n FROM folia_pages p, LATERAL html_nodes(p.html) n "
-        "WHERE n.tag IN ('head', 'meta', 'title', 'script', 'ul', 'li', 'a', 'article', 'h1', 'p') "
-        "GROUP BY p.page_id, n.tag"
+        "SELECT page_id, tag, count(*) AS n FROM html_nodes(TABLE(SELECT page_id, html FROM folia_pages)) GROUP BY page_id, tag"
     )

@@ -85,7 +85,7 @@ def queries() -> dict[str, Query]:
         "robots_fail_closed": RB.robots_fail_closed,
         "robots_bypass": RB.robots_bypass,
         # fixture R4: search responses rendered from part
-        "search_payload_read": SE.search_api_hits,
+        "search_payload_read": SE.search_payload_read,
         "search_api_hits": SE.search_api_hits,
         "search_html_read": SE.search_html_results,
         "search_fallback": SE.search_fallback,

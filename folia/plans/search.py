@@ -14,7 +14,7 @@ LIMIT = 5
 def _html_hits(spark, sf_dir):
     _, html = r4_search_payloads(spark, sf_dir)
     hits = SR.html_hits(shred(html.select("page_id", "url", "html")), base_url=SR.SEARCH_BASE, path_prefix="/page/")
-    return hits.join(html.select("page_id", "query"), "page_id").select("query", "pos", "page_url")
+    return hits.join(html.select("page_id", *SR.REQUEST), "page_id").select(*SR.REQUEST, "pos", "page_url")
 
 
 def search_api_hits(spark, sf_dir):
@@ -40,13 +40,19 @@ def search_limit(spark, sf_dir):
     return SR.limit_results(_fallback(spark, sf_dir), LIMIT)
 
 
+def search_payload_read(spark, sf_dir):
+    """How each API answer was read: valid or not, and its number of hits."""
+    api, _ = r4_search_payloads(spark, sf_dir)
+    hits, valid = SR.api_hits(api)
+    n = hits.groupBy(*SR.REQUEST).count()
+    answers = api.select(*SR.REQUEST).join(valid.selectExpr(*SR.REQUEST, "true AS ok"), SR.REQUEST, "left").join(n, SR.REQUEST, "left")
+    return answers.selectExpr(*SR.REQUEST, "coalesce(ok, false) AS valid", "coalesce(count, 0) AS n_hits")
+
+
 def corpus_search(spark, sf_dir):
-    """Keyword search of documents; the queries are the first three words of
-    each benchmark passage."""
+    """Keyword search of documents; the queries are the benchmark passages."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    queries = table(spark, sf_dir, "benchmark", "text").selectExpr(
-        "array_join(slice(filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), t -> t <> ''), 1, 3), ' ') AS query"
-    ).where("query <> ''").distinct()
+    queries = table(spark, sf_dir, "benchmark", "text").selectExpr("text AS query").where("query IS NOT NULL")
     return SR.corpus_search(docs, queries).selectExpr(
-        "query", "doc_id", "CAST(rank AS BIGINT) AS rank", "CAST(n_terms AS BIGINT) AS n_terms", "CAST(tf AS BIGINT) AS tf"
+        "query", "doc_id", "CAST(rank AS BIGINT) AS rank", "n_terms", "tf"
     )

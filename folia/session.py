@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,21 +39,28 @@ def get_session(master: str | None = None, app: str = "folia", **conf: str) -> S
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the jobs rely on (UTC, AQE)."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
-        spark.conf.set(key, _SESSION_DEFAULTS[key])
+    """Set the runtime SQL settings the jobs rely on. On a local master the
+    shred stage deals pages out over the cores; on a cluster the scan's own
+    splits stand unless ``folia.shred.partitions`` is set."""
+    for key, value in _SESSION_DEFAULTS.items():
+        spark.conf.set(key, value)
+    if spark.sparkContext.master.startswith("local[") and spark.conf.get("folia.shred.partitions", None) is None:
+        spark.conf.set("folia.shred.partitions", str(spark.sparkContext.defaultParallelism))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (local tests) is a private one created.
+    A private one is made only on a local master; on a cluster a
+    driver-local folder would be lost to the executors, so that fails.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="folia-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -60,24 +68,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Used where one expensive intermediate (the shredded corpus) feeds several
-    branches of a plan; the checkpointed plan keeps its output partitioning,
-    so downstream operators keyed on the same columns do not shuffle again.
-    Lost executors re-read the checkpoint files instead of recomputing.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most
-    ``max_rows`` rows; otherwise leave the join to shuffle (and to AQE's
-    runtime choice and skew splitting)."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """``df`` written once as Parquet to the shared checkpoint folder and read
+    from there: several branches read it by column, and a lost executor
+    re-reads files instead of recomputing."""
+    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/frame-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def ship_by_value(module) -> None:

@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.functions.sql import aggregate
 from folia.functions.text import py_strip
+from folia.functions.times import ISO_TEXT, iso_time
 
 _INT_TYPES = "('BIGINT', 'INT', 'SMALLINT', 'TINYINT', 'BOOLEAN')"
 
@@ -33,49 +35,53 @@ def _s(v: str) -> str:
 def _time(v: str) -> str:
     """Epoch seconds (integer, years 1-9999) or an ISO-8601 string ('Z' or
     offset; naive = UTC); null otherwise, which quarantines the batch."""
-    text = _s(v)
     return (
         f"CASE WHEN schema_of_variant({v}) IN {_INT_TYPES} THEN (CASE WHEN try_variant_get({v}, '$', 'bigint') "
         f"BETWEEN -62135596800 AND 253402300799 THEN timestamp_seconds(try_variant_get({v}, '$', 'bigint')) END) "
-        f"WHEN schema_of_variant({v}) = 'STRING' THEN coalesce("
-        f"try_to_timestamp(regexp_replace(trim({text}), 'Z$', '+00:00')), try_to_timestamp(trim({text}))) END"
+        f"WHEN schema_of_variant({v}) = 'STRING' THEN {iso_time(_s(v))} END"
     )
 
 
 def _count(v: str) -> str:
-    return f"CASE WHEN {v} IS NULL THEN 0 ELSE try_variant_get({v}, '$', 'bigint') END"
+    """A vote count: 0 where the key is missing; a number cut to an integer,
+    or a string of digits; null for anything else, null values included."""
+    return (
+        f"CASE WHEN {v} IS NULL THEN 0 WHEN schema_of_variant({v}) = 'STRING' THEN "
+        f"(CASE WHEN {_s(v)} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim({_s(v)}) AS bigint) END) "
+        f"ELSE try_variant_get({v}, '$', 'bigint') END"
+    )
 
 
 def parse_batches(payloads: DataFrame) -> DataFrame:
     """(slug, offset, payload) -> edit_batches: slug, offset, n, total_count,
     has_more, error, items (entry VARIANTs, valid batches only)."""
-    v = payloads.selectExpr("slug", "offset", "try_parse_json(payload) AS v")
+    kept = [c for c in payloads.columns if c == "fetched_at"]
+    v = payloads.selectExpr("slug", "offset", *kept, "try_parse_json(payload) AS v")
     reqs = _pick("v", "editRequests", "edit_requests")
     total = _pick("v", "totalCount", "total_count")
     more = _pick("v", "hasMore", "has_more")
     shaped = v.selectExpr(
-        "slug", "offset", "v",
+        "slug", "offset", *kept, "v",
         f"{reqs} AS reqs", f"{total} AS total_v", f"{more} AS more_v",
     ).selectExpr(
         "*",
         "CASE WHEN reqs IS NULL OR is_variant_null(reqs) THEN CAST(array() AS array<variant>) "
         "ELSE try_variant_get(reqs, '$', 'array<variant>') END AS items",
     )
+    votes = " OR ".join(f"({_count(_pick('x', camel, snake))}) IS NULL" for camel, snake in (("upvoteCount", "upvote_count"), ("downvoteCount", "downvote_count")))
     error = (
-        "CASE WHEN v IS NULL THEN 'invalid JSON' "
-        "WHEN schema_of_variant(v) NOT LIKE 'OBJECT%' THEN 'payload must decode to an object' "
-        f"WHEN total_v IS NOT NULL AND schema_of_variant(total_v) NOT IN {_INT_TYPES} THEN 'totalCount must be an integer' "
-        "WHEN more_v IS NOT NULL AND schema_of_variant(more_v) <> 'BOOLEAN' THEN 'hasMore must be a boolean' "
-        "WHEN items IS NULL THEN 'editRequests must be an array' "
-        "WHEN exists(items, x -> schema_of_variant(x) NOT LIKE 'OBJECT%') THEN 'edit history entries must be objects' "
+        "CASE WHEN v IS NULL THEN 'not_json' "
+        "WHEN schema_of_variant(v) NOT LIKE 'OBJECT%' THEN 'not_object' "
+        f"WHEN total_v IS NOT NULL AND schema_of_variant(total_v) NOT IN {_INT_TYPES} THEN 'bad_total' "
+        "WHEN more_v IS NOT NULL AND schema_of_variant(more_v) <> 'BOOLEAN' THEN 'bad_has_more' "
+        "WHEN items IS NULL THEN 'entries_not_array' "
+        "WHEN exists(items, x -> schema_of_variant(x) NOT LIKE 'OBJECT%') THEN 'entry_not_object' "
         f"WHEN exists(items, x -> {_time(_pick('x', 'createdAt', 'created_at_utc'))} IS NULL "
-        f"OR {_time(_pick('x', 'updatedAt', 'updated_at_utc'))} IS NULL) THEN 'entry times must be epoch seconds or ISO' "
-        "WHEN exists(items, x -> (variant_get(x, '$.upvoteCount') IS NOT NULL AND is_variant_null(variant_get(x, '$.upvoteCount'))) "
-        "OR (variant_get(x, '$.downvoteCount') IS NOT NULL AND is_variant_null(variant_get(x, '$.downvoteCount')))) "
-        "THEN 'vote counts must be integers' END"
+        f"OR {_time(_pick('x', 'updatedAt', 'updated_at_utc'))} IS NULL) THEN 'bad_time' "
+        f"WHEN exists(items, x -> {votes}) THEN 'bad_votes' END"
     )
     return shaped.selectExpr(
-        "slug", "offset",
+        "slug", "offset", *kept,
         "CAST(CASE WHEN items IS NULL THEN 0 ELSE size(items) END AS BIGINT) AS n",
         "coalesce(try_variant_get(total_v, '$', 'bigint'), 0) AS total_count",
         "coalesce(try_variant_get(more_v, '$', 'boolean'), false) AS has_more",
@@ -112,42 +118,58 @@ def entries(batches: DataFrame) -> DataFrame:
     )
 
 
-def _read_batches(batches: DataFrame) -> DataFrame:
-    """Batches the --all loop reads: per page, those at or before the first
-    batch that stops it (hasMore=false, no entries, or unparsable).  The
-    stop offset is a keyed min (map-side combined), not a window, so a page
-    with very many batches is never sorted in one task."""
-    stops = batches.where("NOT has_more OR n = 0 OR error IS NOT NULL").groupBy("slug").agg(
-        F.min("offset").alias("_stop_at")
-    )
-    return batches.join(stops, "slug", "left").where("_stop_at IS NULL OR offset <= _stop_at").drop("_stop_at")
+def newest_batches(batches: DataFrame) -> DataFrame:
+    """One batch for each (slug, offset): the one fetched last where there is
+    a ``fetched_at`` column, else one of several chosen by content."""
+    order = "struct(fetched_at, to_json(items))" if "fetched_at" in batches.columns else "struct(error IS NULL, n, to_json(items))"
+    columns = [c for c in batches.columns if c not in ("slug", "offset")]
+    picked = batches.groupBy("slug", "offset").agg(F.max_by(F.struct(*columns), F.expr(order)).alias("b"))
+    return picked.select("slug", "offset", "b.*")
+
+
+_CHAIN_T = "array<struct<offset:bigint,n:bigint,total_count:bigint,has_more:boolean,valid:boolean>>"
+
+
+def chains(batches: DataFrame) -> DataFrame:
+    """The pagination loop as a table: per page the batches it reads, in order.
+
+    The loop starts at the page's first offset, goes on at offset + n, and
+    stops at a batch that says so, is empty or cannot be parsed, or where no
+    batch starts. One narrow struct for each batch (25 entries) is gathered
+    per page; the entries themselves are not."""
+    meta = F.struct("offset", "n", "total_count", "has_more", F.expr("error IS NULL AS valid"))
+    per_page = batches.groupBy("slug").agg(F.array_sort(F.collect_list(meta)).alias("all"))
+
+    def step(a: str, b: str) -> str:
+        # sorted by offset, so what the loop asks for next lies ahead or is missing
+        going = f"{b}.has_more AND {b}.n > 0 AND {b}.valid"
+        return (f"CASE WHEN {a}.next = {b}.offset THEN named_struct('next', CASE WHEN {going} THEN {b}.offset + {b}.n END, "
+                f"'out', concat({a}.out, array({b}))) ELSE {a} END")
+
+    run = aggregate("all", f"named_struct('next', all[0].offset, 'out', CAST(array() AS {_CHAIN_T}))", step)
+    return per_page.selectExpr("slug", f"{run} AS r").selectExpr("slug", "r.out AS chain", "r.next IS NOT NULL AS cut")
 
 
 def stitch(batches: DataFrame) -> DataFrame:
-    """The --all loop as a table: per page, batches in offset order up to and
-    including the first with hasMore=false or no entries; total and has_more
-    from the last batch read; contiguity (every batch after the first starts
-    where another read batch ends) and completeness (entries read = total)
-    flagged.  Pages with a quarantined batch in their chain are flagged, not
-    dropped."""
-    read = _read_batches(batches)
-    ends = read.selectExpr("slug", "offset + n AS offset").distinct().withColumn("_joined", F.lit(True))
-    linked = read.join(ends, ["slug", "offset"], "left")
-    firsts = read.groupBy("slug").agg(F.min("offset").alias("_first"))
-    return linked.join(firsts, "slug").groupBy("slug").agg(
-        F.count(F.lit(1)).alias("n_batches"),
-        F.sum("n").alias("n_entries"),
-        F.max_by("total_count", "offset").alias("total_count"),
-        F.max_by("has_more", "offset").alias("has_more"),
-        F.bool_and(F.expr("offset = _first OR _joined IS NOT NULL")).alias("contiguous"),
-        F.bool_and(F.expr("error IS NULL")).alias("valid"),
-    ).withColumn("complete", F.expr("valid AND contiguous AND n_entries = total_count"))
+    """Per page: batches and entries read, total and has_more of the last
+    batch read, whether the loop found every batch it asked for
+    (``contiguous``), whether all could be parsed (``valid``) and whether the
+    history is complete (entries read = total)."""
+    rows = chains(newest_batches(batches)).selectExpr(
+        "slug", "CAST(size(chain) AS BIGINT) AS n_batches",
+        f"{aggregate('chain', '0L', lambda a, b: f'{a} + {b}.n')} AS n_entries",
+        "element_at(chain, -1).total_count AS total_count", "element_at(chain, -1).has_more AS has_more",
+        "NOT cut AS contiguous", "forall(chain, b -> b.valid) AS valid",
+    )
+    return rows.withColumn("complete", F.expr("valid AND contiguous AND n_entries = total_count"))
 
 
 def stitched_entries(batches: DataFrame) -> DataFrame:
-    """Entries of the batches that ``stitch`` reads, with their rank in the
+    """Entries of the batches that the loop reads, with their rank in the
     combined history (offset + position)."""
-    return entries(_read_batches(batches)).withColumn("rank", F.col("offset") + F.col("pos"))
+    newest = newest_batches(batches)
+    read = chains(newest).selectExpr("slug", "explode(chain) AS b").selectExpr("slug", "b.offset AS offset")
+    return entries(newest.join(read, ["slug", "offset"], "left_semi")).withColumn("rank", F.col("offset") + F.col("pos"))
 
 
 def page_slice(stitched: DataFrame, limit: int = 25, offset: int = 0) -> DataFrame:
@@ -168,8 +190,8 @@ def summary(stitched: DataFrame) -> DataFrame:
 
 
 def write_batches(stitched: DataFrame, batches: DataFrame) -> DataFrame:
-    """Batches re-serialised with the reference's snake_case keys."""
-    iso = "date_format({t}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    """Batches re-serialised with snake_case keys."""
+    iso = ISO_TEXT
     entry = (
         "named_struct('id', id, 'slug', slug, 'user_id', user_id, 'status', status, 'type', type, "
         "'summary', summary, 'original_content', original_content, 'proposed_content', proposed_content, "
@@ -180,7 +202,7 @@ def write_batches(stitched: DataFrame, batches: DataFrame) -> DataFrame:
     per_batch = stitched.groupBy("page_slug", "offset").agg(
         F.array_sort(F.collect_list(F.expr(f"struct(pos, {entry} AS e)"))).alias("items")
     )
-    meta = batches.selectExpr("slug AS page_slug", "offset", "total_count", "has_more")
+    meta = newest_batches(batches).selectExpr("slug AS page_slug", "offset", "total_count", "has_more")
     return per_batch.join(meta, ["page_slug", "offset"]).selectExpr(
         "page_slug AS slug", "offset",
         "to_json(named_struct('edit_requests', transform(items, i -> i.e), 'total_count', total_count, "

@@ -8,51 +8,69 @@ and every lookup is a join on the canonical URL key.
 
 from __future__ import annotations
 
+import sys
+from xml.etree import ElementTree
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import urls as U
-from folia.functions.sql import lit
-from folia.functions.text import py_strip
+from folia.session import materialize, ship_by_value
+
+_SCHEMA = "sitemap_url string, locs array<string>, error string"
+
 
-LOC_PATH = '//*[local-name()="loc"]/text()'
-# ``xpath`` raises on malformed XML, so documents are first checked to close
-# the root element they open and to close every loc they open (truncated
-# documents are the usual failure).
-WELL_FORMED = r"(?s)^\s*(<\?xml[^>]*\?>\s*)?<([A-Za-z_][\w:.\-]*)[^>]*>.*</\2\s*>\s*$"
-LOC_OPEN = r"<(?:[\w.\-]+:)?loc(?:\s[^>]*)?>"
-LOC_CLOSE = r"</(?:[\w.\-]+:)?loc\s*>"
+def read_locs(xml: str | None) -> tuple[list[str] | None, str | None]:
+    """(locs, None) of a well-formed document, else (None, reason)."""
+    if xml is None:
+        return None, "no document"
+    try:
+        root = ElementTree.fromstring(xml)
+    except (ElementTree.ParseError, ValueError):  # ValueError: characters XML cannot hold
+        return None, "unparsable XML"
+    found = (node.text.strip() for node in root.iterfind(".//{*}loc") if node.text)
+    return [loc for loc in dict.fromkeys(found) if loc], None
+
+
+def _parse(batches):
+    for batch in batches:
+        parsed = [read_locs(x.as_py()) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([locs for locs, _ in parsed], pa.list_(pa.string())), pa.array([e for _, e in parsed], pa.string())],
+            names=["sitemap_url", "locs", "error"])
 
 
 def sitemap_locs(docs: DataFrame) -> DataFrame:
     """(sitemap_url, xml) -> (sitemap_url, locs, error): every loc in any
-    namespace, stripped, non-empty, unique in first-seen order."""
-    opened = f"size(regexp_extract_all(xml, {lit(LOC_OPEN)}, 0))"
-    closed = f"size(regexp_extract_all(xml, {lit(LOC_CLOSE)}, 0))"
-    ok = f"(xml RLIKE {lit(WELL_FORMED)} AND {opened} = {closed})"
-    locs = f"array_distinct(filter(transform(xpath(xml, '{LOC_PATH}'), x -> {py_strip('x')}), x -> x <> ''))"
-    return docs.selectExpr(
-        "sitemap_url",
-        f"CASE WHEN {ok} THEN {locs} END AS locs",
-        f"CASE WHEN NOT {ok} THEN 'unparsable XML' END AS error",
-    )
+    namespace, stripped, non-empty, unique in first-seen order.
+
+    A real XML parser decides per document, in one Arrow stage: comments,
+    processing instructions, a byte order mark, a document type or an empty
+    root are fine; what is not well-formed is reported, and the job goes on.
+    """
+    return docs.selectExpr("CAST(sitemap_url AS STRING) AS sitemap_url", "regexp_replace(xml, '^\\uFEFF', '') AS xml").mapInArrow(_parse, _SCHEMA)
 
 
 def manifest(docs: DataFrame, index_url: str) -> DataFrame:
     """Children of the index in order, each with its page URLs in order:
-    (sitemap_url, sitemap_pos, loc_pos, page_url); a listed child with no
-    document yet has one row with null loc_pos/page_url (an empty list)."""
-    parsed = sitemap_locs(docs)
-    index = parsed.where(F.col("sitemap_url") == index_url).selectExpr(
-        "posexplode(locs) AS (sitemap_pos, sitemap_url)"
-    )
-    children = parsed.where(F.col("sitemap_url") != index_url).where("error IS NULL").selectExpr(
-        "sitemap_url", "posexplode(locs) AS (loc_pos, page_url)"
-    )
-    return index.join(children, "sitemap_url", "left").selectExpr(
+    (sitemap_url, sitemap_pos, loc_pos, page_url, error).
+
+    A listed child with no document yet, or one that lists nothing, has a row
+    with null loc_pos and page_url; a child or an index that cannot be parsed
+    has such a row with its ``error`` (the index at position 0). Documents
+    are parsed once, into a table that both sides of the join read."""
+    parsed = materialize(sitemap_locs(docs))
+    index = parsed.where(F.col("sitemap_url") == index_url)
+    listed = index.selectExpr("posexplode(locs) AS (sitemap_pos, sitemap_url)")
+    children = parsed.where(F.col("sitemap_url") != index_url).selectExpr("sitemap_url", "error", "posexplode_outer(locs) AS (loc_pos, page_url)")
+    rows = listed.join(children, "sitemap_url", "left").selectExpr(
         "sitemap_url", "CAST(sitemap_pos + 1 AS BIGINT) AS sitemap_pos",
-        "CAST(loc_pos + 1 AS BIGINT) AS loc_pos", "page_url",
+        "CAST(loc_pos + 1 AS BIGINT) AS loc_pos", "page_url", "error",
     )
+    broken = index.where("error IS NOT NULL").selectExpr(
+        "sitemap_url", "0L AS sitemap_pos", "CAST(NULL AS BIGINT) AS loc_pos", "CAST(NULL AS STRING) AS page_url", "error")
+    return rows.unionByName(broken)
 
 
 def key_index(man: DataFrame) -> DataFrame:
@@ -100,3 +118,6 @@ def refresh(new_docs: DataFrame, index_url: str) -> DataFrame:
         "posexplode(locs) AS (sitemap_pos, sitemap_url)"
     )
     return listed.selectExpr("sitemap_url", "CAST(sitemap_pos + 1 AS BIGINT) AS sitemap_pos", "0L AS n_urls")
+
+
+ship_by_value(sys.modules[__name__])

@@ -7,28 +7,28 @@ from folia.plans.fixtures import r5_payloads
 from folia.session import materialize
 
 
-_BATCHES: dict = {}
+def _batches(spark, sf_dir):
+    """Parsed batches (the ``edit_batches`` table), written once for the job:
+    stitching reads them on two paths."""
+    return materialize(E.parse_batches(r5_payloads(spark, sf_dir)))
 
 
-def _batches(spark, sf_dir):
-    """Parsed batches (the ``edit_batches`` table), computed and checkpointed
-    once per session: stitching, slices and rollups all read it."""
-    key = (id(spark), sf_dir)
-    if key not in _BATCHES:
-        _BATCHES[key] = materialize(E.parse_batches(r5_payloads(spark, sf_dir)))
-    return _BATCHES[key]
+def edit_payload_read(spark, sf_dir):
+    """How each payload was read: accepted, or quarantined with its reason."""
+    read = E.parse_batches(r5_payloads(spark, sf_dir))
+    return read.selectExpr("slug", "offset", "error IS NULL AS accepted", "error")
 
 
 def edit_batches(spark, sf_dir):
-    return _batches(spark, sf_dir).select("slug", "offset", "n", "total_count", "has_more", "error")
+    return E.parse_batches(r5_payloads(spark, sf_dir)).select("slug", "offset", "n", "total_count", "has_more", "error")
 
 
 def edit_entries(spark, sf_dir):
-    return E.entries(_batches(spark, sf_dir))
+    return E.entries(E.parse_batches(r5_payloads(spark, sf_dir)))
 
 
 def edit_stitch(spark, sf_dir):
-    return E.stitch(_batches(spark, sf_dir))
+    return E.stitch(E.parse_batches(r5_payloads(spark, sf_dir)))
 
 
 def edit_page(spark, sf_dir):
@@ -43,12 +43,6 @@ def edit_summary(spark, sf_dir):
 
 
 def edit_payload_write(spark, sf_dir):
+    """The whole JSON document of every batch that is read."""
     batches = _batches(spark, sf_dir)
-    written = E.write_batches(E.stitched_entries(batches), batches)
-    return written.selectExpr(
-        "slug", "offset",
-        "CAST(json_array_length(get_json_object(json, '$.edit_requests')) AS BIGINT) AS n_entries",
-        "CAST(get_json_object(json, '$.total_count') AS BIGINT) AS total_count",
-        "get_json_object(json, '$.edit_requests[0].id') AS first_id",
-        "get_json_object(json, '$.edit_requests[0].created_at_utc') AS first_created",
-    )
+    return E.write_batches(E.stitched_entries(batches), batches)

@@ -325,11 +325,20 @@ def r2_sitemap_docs(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> Data
         docs = docs.unionByName(
             spark.createDataFrame([(f"{SITEMAP_BASE}/sitemap-new.xml", "<urlset></urlset>")], "sitemap_url string, xml string")
         )
-    broken = spark.createDataFrame(
-        [(f"{SITEMAP_BASE}/sitemap-broken.xml", "<urlset><url><loc>https://wiki.example.org/page/X")],
-        "sitemap_url string, xml string",
-    )
-    return docs.unionByName(broken)
+    odd = spark.createDataFrame([(f"{SITEMAP_BASE}/sitemap-{name}.xml", xml) for name, xml in SITEMAP_ODD], "sitemap_url string, xml string")
+    return docs.unionByName(odd)
+
+
+# Documents the index does not list: what must parse, and what must not.
+SITEMAP_ODD = [
+    ("broken", "<urlset><url><loc>https://wiki.example.org/page/X"),
+    ("mismatch", "<urlset><url><loc>a</loc></urlset>"),
+    ("styled", '<?xml version="1.0"?><?xml-stylesheet type="text/xsl" href="s.xsl"?><urlset><url><loc>https://a.example/styled</loc></url></urlset>'),
+    ("comments", "<!-- before --><urlset><!-- <loc>no</loc> --><url><loc> https://a.example/c </loc></url></urlset><!-- after -->"),
+    ("bom", "\ufeff<urlset><url><loc>https://a.example/bom</loc></url></urlset>"),
+    ("doctype", "<!DOCTYPE urlset><urlset><url><loc>https://a.example/&amp;d</loc></url></urlset>"),
+    ("emptyroot", "<urlset/>"),
+]
 
 
 def r3_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

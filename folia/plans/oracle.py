@@ -267,14 +267,13 @@ _R5_FIELDS = """CAST(e.event_id AS VARCHAR) AS id, e.slug, CAST(e.user_id AS VAR
   CAST(floor(e.value) AS BIGINT) AS upvote_count, 0::BIGINT AS downvote_count, CAST(NULL AS VARCHAR) AS review_reason"""
 
 ORACLE.update({
-    "edit_payload_read": None,
     "edit_batches": _with(R5) + """
         SELECT ev.slug, (((pos - 1) // 25) * 25)::BIGINT AS offset, count(*)::BIGINT AS n, any_value(total)::BIGINT AS total_count,
           ((pos - 1) // 25 + 1) * 25 < any_value(total) AS has_more, CAST(NULL AS VARCHAR) AS error
         FROM ev JOIN tot USING (slug) GROUP BY ev.slug, (pos - 1) // 25
         UNION ALL SELECT slug, total, 1, total, false, NULL FROM tot
-        UNION ALL SELECT 'Bad_object', 0, 0, 1, false, 'editRequests must be an array'
-        UNION ALL SELECT 'Bad_array', 0, 0, 0, false, 'payload must decode to an object'""",
+        UNION ALL SELECT 'Bad_object', 0, 0, 1, false, 'entries_not_array'
+        UNION ALL SELECT 'Bad_array', 0, 0, 0, false, 'not_object'""",
     "edit_entries": _with(R5) + f"""
         SELECT e.slug AS page_slug, (((e.pos - 1) // 25) * 25)::BIGINT AS offset, ((e.pos - 1) % 25 + 1)::BIGINT AS pos,
           {_R5_FIELDS} FROM ev e
@@ -297,16 +296,20 @@ ORACLE.update({
           sum(CAST(floor(value) AS BIGINT)) AS net_votes,
           max(date_trunc('second', ts) + INTERVAL 60 SECOND) AS last_updated
         FROM ev GROUP BY ALL""",
-    "edit_payload_write": _with(R5) + """
-        SELECT slug, (((pos - 1) // 25) * 25)::BIGINT AS offset, count(*)::BIGINT AS n_entries,
-          any_value(total)::BIGINT AS total_count,
-          CAST(arg_min(event_id, pos) AS VARCHAR) AS first_id,
-          strftime(date_trunc('second', arg_min(ts, pos)), '%Y-%m-%dT%H:%M:%SZ') AS first_created
-        FROM ev JOIN tot USING (slug) GROUP BY slug, (pos - 1) // 25""",
+    "edit_payload_write": _with(R5, f"f AS (SELECT e.pos, t.total, {_R5_FIELDS} FROM ev e JOIN tot t USING (slug))") + f"""
+        SELECT slug, ((pos - 1) // 25 * 25)::BIGINT AS "offset", '{{"edit_requests":[' || string_agg('{{"id":' || {_js('id')} || ',"slug":' || {_js('slug')}
+            || ',"user_id":' || {_js('user_id')} || ',"status":' || {_js('status')} || ',"type":' || {_js('type')} || ',"summary":"","original_content":null,"proposed_content":'
+            || {_js("nullif(proposed_content, '')")} || ',"section_title":' || {_js('section_title')}
+            || ',"created_at_utc":"' || strftime(created_at_utc, '%Y-%m-%dT%H:%M:%SZ') || '","updated_at_utc":"' || strftime(updated_at_utc, '%Y-%m-%dT%H:%M:%SZ')
+            || '","upvote_count":' || upvote_count || ',"downvote_count":0,"review_reason":null}}', ',' ORDER BY pos)
+          || '],"total_count":' || any_value(total) || ',"has_more":' || CASE WHEN ((pos - 1) // 25 + 1) * 25 < any_value(total) THEN 'true' ELSE 'false' END || '}}' AS json
+        FROM f GROUP BY slug, (pos - 1) // 25""",
+    "edit_payload_read": _with(R5) + """
+        SELECT DISTINCT slug, (((pos - 1) // 25) * 25)::BIGINT AS "offset", true AS accepted, CAST(NULL AS VARCHAR) AS error FROM ev
+        UNION ALL SELECT slug, total, true, NULL FROM tot
+        UNION ALL SELECT 'Bad_object', 0, false, 'entries_not_array' UNION ALL SELECT 'Bad_array', 0, false, 'not_object'""",
 })
 
-ORACLE["edit_payload_read"] = ORACLE["edit_batches"]
-
 
 R3 = f"""
 o AS (SELECT DISTINCT lower(regexp_extract(url, {_URL}, 1)) || '://' || regexp_extract(url, {_URL}, 2) || '/robots.txt' AS robots_url,
@@ -391,8 +394,11 @@ ORACLE.update({
     "sitemap_locs": _with(R2) + """
         SELECT sitemap_url, loc_pos, page_url AS loc, CAST(NULL AS VARCHAR) AS error FROM m
         UNION ALL SELECT 'https://assets.example.org/sitemap-index.xml', sitemap_pos, sitemap_url, NULL FROM ch
-        UNION ALL SELECT 'https://assets.example.org/sitemap-broken.xml', NULL, NULL, 'unparsable XML'""",
-    "sitemap_manifest": _with(R2) + " SELECT sitemap_url, sitemap_pos, loc_pos, page_url FROM m",
+        UNION ALL SELECT 'https://assets.example.org/sitemap-' || x.name || '.xml', x.pos, x.loc, x.error FROM (VALUES
+          ('broken', NULL, NULL, 'unparsable XML'), ('mismatch', NULL, NULL, 'unparsable XML'),
+          ('styled', 1, 'https://a.example/styled', NULL), ('comments', 1, 'https://a.example/c', NULL),
+          ('bom', 1, 'https://a.example/bom', NULL), ('doctype', 1, 'https://a.example/&d', NULL)) AS x(name, pos, loc, error)""",
+    "sitemap_manifest": _with(R2) + " SELECT sitemap_url, sitemap_pos, loc_pos, page_url, CAST(NULL AS VARCHAR) AS error FROM m",
     "sitemap_index": _with(R2) + " SELECT key, sitemap_url, page_url FROM k",
     "sitemap_lookup": _with(R2, """
         t AS (SELECT c_name AS title, 'https://wiki.example.org/page/' || c_name AS key FROM customer

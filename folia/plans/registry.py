@@ -69,7 +69,7 @@ def queries() -> dict[str, Query]:
         "page_stats_rollup": PG.r1_stats_by_host,
         "html_nodes": PG.html_nodes_sql,
         # fixture R5: edit-history payloads rendered from events
-        "edit_payload_read": ED.edit_batches,
+        "edit_payload_read": ED.edit_payload_read,
         "edit_batches": ED.edit_batches,
         "edit_entries": ED.edit_entries,
         "edit_stitch": ED.edit_stitch,

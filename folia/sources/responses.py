@@ -4,9 +4,7 @@ A response row is (url, status, headers, body BINARY, fetched_at).  Bodies are
 decoded by the Content-Type charset (default UTF-8) as the reference does:
 strictly, else with replacement characters; an unknown charset falls back to
 UTF-8 with replacement.  UTF-8, Latin-1 and ASCII stay in the JVM; other
-charsets use Python's codecs in an Arrow UDF on their own rows.  Status
-routing: 404 -> not_found (page requests), other >= 400 -> http_error,
-else ok.
+charsets use Python's codecs in an Arrow UDF on their own rows.
 """
 
 from __future__ import annotations
@@ -33,25 +31,38 @@ LATIN1_LABELS = ["iso-8859-1", "latin-1", "latin1", "iso8859-1", "l1"]
 ASCII_LABELS = ["us-ascii", "ascii"]
 
 
+def _decode(data: bytes, name: str) -> str:
+    """Strictly, else with replacement characters; as UTF-8 with replacement
+    where the codec is unknown, is none for text, or cannot replace."""
+    for errors in ("strict", "replace"):
+        try:
+            return data.decode(name or "utf-8", errors)
+        except UnicodeError:
+            continue
+        except (LookupError, ValueError):  # ValueError: no codec can have such a name
+            break
+    return data.decode("utf-8", "replace")
+
+
 @pandas_udf(StringType())
 def decode_like_python(body: pd.Series, charset: pd.Series) -> pd.Series:
-    """Bytes -> text with Python's codecs: strict first, then with
-    replacement; an unknown charset falls back to UTF-8 with replacement."""
+    """Bytes -> text with Python's codecs (see ``_decode``)."""
     out = []
     for raw, name in zip(body, charset):
         if raw is None:
             out.append(None)
             continue
-        data = bytes(raw)
-        try:
-            out.append(data.decode(name or "utf-8"))
-        except LookupError:
-            out.append(data.decode("utf-8", errors="replace"))
-        except UnicodeDecodeError:
-            out.append(data.decode(name, errors="replace"))
+        out.append(_decode(bytes(raw), name))
     return pd.Series(out, dtype=object)
 
 
+def classify(responses: DataFrame, page_requests: bool = True) -> DataFrame:
+    """Adds status_class: fetch_error (no status came back), not_found (404 of
+    a page request), http_error (other statuses from 400), ok."""
+    missing = "WHEN status = 404 THEN 'not_found' " if page_requests else ""
+    return responses.selectExpr("*", f"CASE WHEN status IS NULL THEN 'fetch_error' {missing}WHEN status >= 400 THEN 'http_error' ELSE 'ok' END AS status_class")
+
+
 def decode_bodies(responses: DataFrame) -> DataFrame:
     """Adds charset, text and status_class.
 
@@ -66,7 +77,7 @@ def decode_bodies(responses: DataFrame) -> DataFrame:
         "(k, v) -> lower(k) = 'content-type')), 1), '')"
     )
     charset = f"lower(regexp_extract({content_type}, {lit(CHARSET_PARAM)}, 1))"
-    tagged = responses.selectExpr("*", f"{charset} AS charset")
+    tagged = classify(responses).selectExpr("*", f"{charset} AS charset")
     jvm = f"charset IN ({lits(UTF8_LABELS + LATIN1_LABELS + ASCII_LABELS)})"
     fast = tagged.where(jvm).selectExpr(
         "*",
@@ -76,25 +87,26 @@ def decode_bodies(responses: DataFrame) -> DataFrame:
         "ELSE make_valid_utf8(CAST(body AS STRING)) END AS text",
     )
     slow = tagged.where(f"NOT ({jvm})").withColumn("text", decode_like_python("body", "charset"))
-    return fast.unionByName(slow).selectExpr(
-        "*", "CASE WHEN status = 404 THEN 'not_found' WHEN status >= 400 THEN 'http_error' ELSE 'ok' END AS status_class"
-    )
+    return fast.unionByName(slow)
 
 
 def ingest(responses: DataFrame) -> DataFrame:
     """The newest ok response per canonical URL: (key, page_id, url, text,
-    fetched_at).  Keyed aggregation with map-side combine; no window."""
-    ok = decode_bodies(responses).where("status_class = 'ok'").selectExpr(
-        f"{U.url_canonical('url')} AS key", "page_id", "url", "text", "fetched_at"
-    )
-    newest = ok.groupBy("key").agg(
-        F.max_by(F.struct("page_id", "url", "text", "fetched_at"), F.struct("fetched_at", "page_id")).alias("r")
-    )
-    return newest.selectExpr("key", "r.page_id AS page_id", "r.url AS url", "r.text AS text", "r.fetched_at AS fetched_at")
+    fetched_at).
+
+    The winners are found on (key, fetched_at, page_id) alone, with map-side
+    combine; bodies meet them in one semi-join (no shuffle of bodies where
+    Spark can broadcast the winners) and only the winners' are decoded.
+    Responses equal in all three columns are all kept."""
+    ok = classify(responses).where("status_class = 'ok'").drop("status_class").selectExpr("*", f"{U.url_canonical('url')} AS key")
+    newest = ok.groupBy("key").agg(F.max(F.struct("fetched_at", "page_id")).alias("w")).selectExpr("key AS k", "w.fetched_at AS at", "w.page_id AS id")
+    wins = F.col("key").eqNullSafe(F.col("k")) & F.col("fetched_at").eqNullSafe(F.col("at")) & F.col("page_id").eqNullSafe(F.col("id"))
+    kept = ok.join(newest, wins, "left_semi")
+    return decode_bodies(kept).select("key", "page_id", "url", "text", "fetched_at")
 
 
 def status_counts(responses: DataFrame) -> DataFrame:
-    return decode_bodies(responses).groupBy("status_class").agg(F.count(F.lit(1)).alias("n"))
+    return classify(responses.select("status")).groupBy("status_class").agg(F.count(F.lit(1)).alias("n"))
 
 
 ship_by_value(sys.modules[__name__])

@@ -1,24 +1,22 @@
 """Structured Streaming forms of the batch jobs.
 
-The reference has no streaming; its incremental pieces (robots cache, lazily
-loaded sitemaps, fetch timestamps) map onto three streaming jobs built from
-the same functions as the batch ones:
+Three streaming jobs built from the same functions as the batch ones:
 
 * ``stream_pages``: pages -> shred -> page-level fields, stateless, append;
 * ``stream_url_dedupe``: canonical URL keys, first arrival kept, with a
-  watermark bounding the dedupe state;
-* ``stream_edits_latest``: the newest event per user, upserted per
-  micro-batch with ``foreachBatch``.
+  watermark on the data's own time bounding the dedupe state;
+* ``stream_edits_latest``: the newest event per user.
 
-Each job runs with ``trigger(availableNow=True)`` into a sink in the shared
-checkpoint folder and returns the sink read as a batch DataFrame, so a
-streaming run can be compared with the batch result.
+Each job has a fixed folder under the shared checkpoint folder (named by the
+job and its source), so a run resumes where the last one stopped: files seen
+before are not read again, and the sink keeps what they gave. Each runs with
+``trigger(availableNow=True)`` and returns the sink as a batch DataFrame.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,78 +27,87 @@ from folia.operators.shred import shred
 from folia.session import checkpoint_dir
 
 
-def _workdir(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
+def _workdir(spark: SparkSession, name: str, source: str) -> str:
+    tag = hashlib.sha256(source.encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{tag}"
 
 
 def _source(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
+    """A file stream of a table: one file, or a folder that files are added to."""
     path = os.path.join(sf_dir, f"{name}.parquet")
     schema = spark.read.parquet(path).schema
-    # A file stream watches a directory; the glob picks this table's files.
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if _is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    files = [r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().limit(1).collect()]
+    return not files or not files[0].endswith(os.path.basename(path))
 
 
-def _run_to_sink(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    work = _workdir(spark, name)
+def _run_to_sink(df: DataFrame, work: str) -> DataFrame:
+    spark = df.sparkSession
     query = (
         df.writeStream.format("parquet")
-        .option("path", os.path.join(work, "out"))
-        .option("checkpointLocation", os.path.join(work, "chk"))
+        .option("path", f"{work}/out")
+        .option("checkpointLocation", f"{work}/chk")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(os.path.join(work, "out"))
+    return spark.read.schema(df.schema).parquet(f"{work}/out")
 
 
 def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming page heads; equals the batch ``page_heads``."""
     pages = _source(spark, sf_dir, "pages").select("page_id", "url", "html")
     heads = page_frame(shred(pages)).where("quarantine IS NULL").select("page_id", "url", "slug", "title", "intro_text")
-    return _run_to_sink(heads, spark, "pages")
+    return _run_to_sink(heads, _workdir(spark, "pages", sf_dir))
+
+
+def url_dedupe(pages: DataFrame, event_time: str, delay: str = "1 hour") -> DataFrame:
+    """(url, event time) -> canonical keys, each emitted once while its
+    arrivals are within ``delay`` of each other in event time."""
+    keyed = pages.selectExpr(f"{U.url_canonical('url')} AS key", f"{event_time} AS seen_at")
+    return keyed.withWatermark("seen_at", delay).dropDuplicatesWithinWatermark(["key"]).select("key")
 
 
 def stream_url_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical URL keys of the page stream, each emitted once."""
+    """Canonical URL keys of the page stream, each emitted once. The fetch
+    time is the one of fixture R3: a second per page id."""
     pages = _source(spark, sf_dir, "pages").select("page_id", "url")
-    keyed = pages.selectExpr(f"{U.url_canonical('url')} AS key", "current_timestamp() AS seen_at")
-    deduped = keyed.withWatermark("seen_at", "1 hour").dropDuplicatesWithinWatermark(["key"])
-    return _run_to_sink(deduped.select("key"), spark, "url_dedupe")
+    fetched = "TIMESTAMP'2026-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, page_id)"
+    return _run_to_sink(url_dedupe(pages, fetched, "365 days"), _workdir(spark, "url_dedupe", sf_dir))
+
+
+_LATEST_T = "user_id bigint, event_id bigint, ts timestamp, event_type string"
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    newest = rows.groupBy("user_id").agg(F.max_by(F.struct("event_id", "ts", "event_type"), F.struct("ts", "event_id")).alias("e"))
+    return newest.select("user_id", "e.event_id", "e.ts", "e.event_type")
 
 
 def stream_edits_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest event per user, maintained by a per-batch upsert."""
+    """Newest event per user. Every micro-batch writes its own newest rows
+    under its number (so a repeated batch overwrites itself); the state is
+    the sink, read with one aggregate."""
     events = _source(spark, sf_dir, "events").select(
         "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type"
     )
-    work = _workdir(spark, "edits_latest")
-    state = {"path": None}
-
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        latest = batch.groupBy("user_id").agg(F.max_by(F.struct("event_id", "ts", "event_type"), F.struct("ts", "event_id")).alias("e"))
-        rows = latest.select("user_id", "e.event_id", "e.ts", "e.event_type")
-        if state["path"] is not None:
-            prev = batch.sparkSession.read.parquet(state["path"])
-            rows = rows.unionByName(prev).groupBy("user_id").agg(
-                F.max_by(F.struct("event_id", "ts", "event_type"), F.struct("ts", "event_id")).alias("e")
-            ).select("user_id", "e.event_id", "e.ts", "e.event_type")
-        out = os.path.join(work, f"v{epoch}")
-        rows.write.mode("overwrite").parquet(out)
-        state["path"] = out
+    work = _workdir(spark, "edits_latest", sf_dir)
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        _latest(batch).write.mode("overwrite").parquet(f"{work}/out/epoch={epoch}")
 
     query = (
-        events.writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", os.path.join(work, "chk"))
+        events.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", f"{work}/chk")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if state["path"] is None:
-        return spark.createDataFrame([], "user_id bigint, event_id bigint, ts timestamp, event_type string")
-    return spark.read.parquet(state["path"])
+    return _latest(spark.read.schema(f"{_LATEST_T}, epoch int").option("basePath", f"{work}/out").parquet(f"{work}/out"))

@@ -1,146 +1,168 @@
-"""Robots, sitemaps, search and edit-history operators on small inputs."""
+"""Corpus operators on hand-made rows: robots, sitemaps, search, edits,
+responses, streams."""
 
+import datetime as dt
+import itertools
 import json
+import urllib.robotparser
 
+import pytest
+
+from folia.functions.udtf import register
 from folia.operators import edits as E
 from folia.operators import robots as RB
 from folia.operators import search as SR
 from folia.operators import sitemaps as SM
+from folia.operators.shred import shred
+from folia.sources import responses as RS
+from folia.streaming import jobs as ST
 
+ORIGIN = "https://h.example"
 
-def test_robots_first_match_fail_closed_and_groups(spark):
-    docs = spark.createDataFrame(
-        [
-            ("https://a.example/robots.txt", 200, "User-Agent: *\nDisallow: /api/\n"),
-            ("https://b.example/robots.txt", 503, "User-agent: *\nDisallow: /"),
-            ("https://c.example/robots.txt", 200,
-             "User-agent: other\nDisallow: /\n\nUser-agent: bot\nAllow: /x\nDisallow: /x/y\n# c\nDisallow:\n"),
-            ("https://d.example/robots.txt", 200, "User-agent: bot\n\nUser-agent: *\nDisallow: /d\n"),
-        ],
-        "robots_url string, status int, text string",
-    )
-    urls = spark.createDataFrame(
-        [(1, "https://a.example/page/x"), (2, "https://a.example/api/v1"), (3, "https://b.example/page/x"),
-         (4, "https://c.example/x/y"), (5, "https://c.example/z"), (6, "https://d.example/d1"),
-         (7, "https://e.example/none"), (8, "no-scheme")],
-        "page_id long, url string",
-    )
-    got = {r.page_id: r.verdict for r in RB.robots_gate(urls, docs, "Bot/2.0").collect()}
-    assert got == {1: "allowed", 2: "disallowed", 3: "unavailable", 4: "allowed", 5: "allowed",
-                   6: "disallowed", 7: "unavailable", 8: "unavailable"}
-    bypass = {r.verdict for r in RB.robots_gate(urls, docs, "Bot/2.0", allow_override=True).collect()}
-    assert bypass == {"allowed"}
-
-
-def test_sitemap_locs_lookup_and_sync(spark):
-    index = "https://s.example/index.xml"
-    child1 = ('<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
-              '<url><loc> https://W.example/page/Alpha </loc></url><url><loc>https://w.example/page/%22Q%22</loc></url>'
-              '<url><loc>https://W.example/page/Alpha</loc></url><url><loc>https://WW.example/x</loc></url></urlset>')
-    child2 = '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><url><loc>https://w.example/page/Alpha</loc></url></urlset>'
-    idx = lambda *cs: "<sitemapindex>" + "".join(f"<sitemap><loc>{c}</loc></sitemap>" for c in cs) + "</sitemapindex>"
-    docs = spark.createDataFrame(
-        [(index, idx("https://s.example/1.xml", "https://s.example/2.xml")), ("https://s.example/1.xml", child1),
-         ("https://s.example/2.xml", child2), ("https://s.example/bad.xml", "<urlset><loc>x"),
-         ("https://s.example/bad2.xml", "<urlset><url><loc>x</url></urlset>")],
-        "sitemap_url string, xml string",
-    )
-    locs = {r.sitemap_url: (r.locs, r.error) for r in SM.sitemap_locs(docs).collect()}
-    assert locs["https://s.example/1.xml"][0] == ["https://W.example/page/Alpha", "https://w.example/page/%22Q%22",
-                                                  "https://WW.example/x"]
-    assert locs["https://s.example/bad.xml"] == (None, "unparsable XML")
-    assert locs["https://s.example/bad2.xml"] == (None, "unparsable XML")
-    titles = spark.createDataFrame([("Alpha",), ('"Q"',), ("Missing",)], "title string")
-    found = {r.title: r.page_url for r in SM.lookup(titles, SM.key_index(SM.manifest(docs, index)), "https://w.example").collect()}
-    assert found == {"Alpha": "https://W.example/page/Alpha", '"Q"': "https://w.example/page/%22Q%22", "Missing": None}
-    new_docs = spark.createDataFrame([(index, idx("https://s.example/2.xml", "https://s.example/3.xml"))], "sitemap_url string, xml string")
-    changes = {(r.item, r.change) for r in SM.sync(docs, new_docs, index).collect()}
-    assert ("https://s.example/1.xml", "removed") in changes and ("https://s.example/3.xml", "added") in changes
-    assert ("https://w.example/page/\"Q\"", "key_lost") in changes
-    assert not any(item.endswith("/Alpha") for item, _ in changes)
-
-
-def test_search_api_dedupe_fallback_and_limit(spark):
-    api = spark.createDataFrame(
-        [("foo", json.dumps({"results": [{"slug": "Foo"}, {"slug": '"Hello,_World!"_program'}, {"slug": "Foo"},
-                                         7, {"slug": "  "}, {"slug": "Foo;v2"}]})),
-         ("empty", '{"results": []}'), ("broken", "<html>")],
-        "query string, payload string",
-    )
-    hits, valid = SR.api_hits(api, "https://w.example")
-    rows = sorted((r.query, r.pos, r.page_url) for r in hits.collect())
-    assert rows == [("foo", 1, "https://w.example/page/Foo"), ("foo", 2, "https://w.example/page/%22Hello,_World!%22_program")]
-    assert {r.query for r in valid.collect()} == {"foo", "empty"}
-    html = spark.createDataFrame([("broken", 1, "x")], "query string, pos long, page_url string")
-    merged = SR.fallback(hits, valid, html)
-    assert {r.query for r in merged.collect()} == {"foo", "broken"}
-    assert SR.limit_results(merged, 1).count() == 2 and SR.limit_results(merged, 0).count() == 0
-
-
-def test_edit_payloads_aliases_times_and_stitch(spark):
-    entry = {"id": 7, "slug": "A", "userId": None, "user_id": "ignored", "status": "S", "type": "t",
-             "originalContent": "", "proposed_content": " teh", "sectionTitle": "  ", "createdAt": 1767558005,
-             "updated_at_utc": "2026-01-04T20:20:05Z", "upvoteCount": 3}
-    payloads = spark.createDataFrame(
-        [("A", 0, json.dumps({"editRequests": [entry, entry], "totalCount": 3, "hasMore": True})),
-         ("A", 2, json.dumps({"edit_requests": [entry], "total_count": 3, "has_more": False})),
-         ("A", 3, json.dumps({"editRequests": [entry], "totalCount": 3, "hasMore": False})),
-         ("B", 0, json.dumps({"editRequests": {}})), ("C", 0, "[]")],
-        "slug string, offset long, payload string",
-    )
-    batches = E.parse_batches(payloads)
-    errors = {r.slug: r.error for r in batches.collect() if r.error}
-    assert set(errors) == {"B", "C"}
-    rows = E.entries(batches).where("page_slug = 'A' AND offset = 0").collect()
-    r = rows[0]
-    assert r.user_id == "" and r.original_content is None and r.proposed_content == " teh" and r.section_title is None
-    assert r.created_at_utc.isoformat() == "2026-01-04T20:20:05" and r.created_at_utc == r.updated_at_utc
-    assert (r.upvote_count, r.downvote_count) == (3, 0)
-    st = {s.slug: s for s in E.stitch(batches).collect()}
-    assert (st["A"].n_batches, st["A"].n_entries, st["A"].total_count, st["A"].complete) == (2, 3, 3, True)
-    assert st["B"].valid is False
-    ranks = sorted(x.rank for x in E.stitched_entries(batches).where("page_slug = 'A'").collect())
-    assert ranks == [1, 2, 3]
-
-
-def test_response_decoding_routing_and_newest(spark):
-    from folia.sources import responses as RS
-
-    text = "Café naïve"
-    rows = [
-        (1, "https://x.example/page/A", 200, {"Content-Type": "text/html; charset=utf-8"}, text.encode("utf-8"), 1),
-        (2, "https://x.example/page/B", 200, {"content-type": "text/html; charset=ISO-8859-1"}, text.encode("latin-1"), 1),
-        (3, "https://x.example/page/C", 200, {"Content-Type": 'text/html; charset="x-unknown"'}, text.encode("latin-1"), 1),
-        (4, "https://x.example/page/D", 200, {}, text.encode("utf-8"), 1),
-        (5, "https://x.example/page/A?ref=1", 200, {}, b"newer", 2),
-        (6, "https://x.example/page/E", 404, {}, b"", 1),
-        (7, "https://x.example/page/F", 503, {}, b"", 1),
-    ]
-    df = spark.createDataFrame(
-        [(i, u, s, h, bytearray(b), t) for i, u, s, h, b, t in rows],
-        "page_id long, url string, status int, headers map<string,string>, body binary, t int",
-    ).selectExpr("page_id", "url", "status", "headers", "body", "timestamp_seconds(t) AS fetched_at")
-    got = {r.key: (r.page_id, r.text) for r in RS.ingest(df).collect()}
-    assert got["https://x.example/page/A"] == (5, "newer")
-    assert got["https://x.example/page/B"][1] == text
-    assert got["https://x.example/page/C"][1] == bytes(text, "latin-1").decode("utf-8", errors="replace")
-    assert got["https://x.example/page/D"][1] == text
-    counts = {r.status_class: r.n for r in RS.status_counts(df).collect()}
-    assert counts == {"ok": 5, "not_found": 1, "http_error": 1}
-
-
-def test_response_other_charsets_use_python_codecs(spark):
-    from folia.sources import responses as RS
-
-    bodies = [
-        (1, "text/html; charset=utf-16", "Grüße".encode("utf-16")),
-        (2, "text/html; charset=windows-1252", "“quoted” café".encode("cp1252")),
-        (3, "text/html; charset=UTF-16BE", b"\x00A\x00B\xff"),
+
+def test_robots_gate_agrees_with_the_standard_library(spark):
+    texts = [
+        "", "User-agent: heronbot\nCrawl-delay: 9\n\nUser-agent: *\nDisallow: /\n", "User-agent: *\nDisallow: /a?\nDisallow: /b;\nDisallow: /c#\n",
+        "user-agent: x\nUser-Agent: HERON # both\nallow: /a/b\ndisallow: /a\n\nUser-agent: *\nUser-agent: y\nDisallow: /b\nUser-agent: *\nDisallow: /\n",
+        "Disallow: /a\nUser-agent: *\n\nDisallow: /b\nUser-agent: *\nDisallow:\nDisallow: /c\n", "User-agent: *\nDisallow: /%61/\nDisallow: /é\nRequest-rate: 1/2\nAllow: *\n",
+        "User-agent: other\nDisallow: /\nUser-agent: heronbot/2\nDisallow: /c\r\nUser-agent: *\nDisallow: /b?x=1\n", "garbage\n:\nUser-agent *\nUser-agent: *\nDisallow: //a\n",
     ]
-    df = spark.createDataFrame(
-        [(i, f"https://x.example/{i}", 200, {"Content-Type": ct}, bytearray(b)) for i, ct, b in bodies],
-        "page_id long, url string, status int, headers map<string,string>, body binary",
-    ).selectExpr("*", "current_timestamp() AS fetched_at")
-    got = {r.page_id: r.text for r in RS.decode_bodies(df).collect()}
-    assert got[1] == "Grüße" and got[2] == "“quoted” café"
-    assert got[3] == b"\x00A\x00B\xff".decode("utf-16-be", errors="replace")
+    paths = ["", "/", "/a", "/a/b", "/a?", "/ab?x", "/b", "/b;p", "/b?x=1&y", "/c", "/c#f", "/%C3%A9", "/d e"]
+    docs = spark.createDataFrame([(f"{ORIGIN}{k}/robots.txt", 200, t) for k, t in enumerate(texts)], "robots_url string, status int, text string")
+    grid = list(itertools.product(range(len(texts)), paths))
+    urls = spark.createDataFrame([(n, f"{ORIGIN}{k}{p}") for n, (k, p) in enumerate(grid)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in RB.robots_gate(urls, docs, "HeronBot/1.0 it's").collect()}
+    for n, (k, p) in enumerate(grid):
+        parser = urllib.robotparser.RobotFileParser()
+        parser.parse(texts[k].splitlines())
+        assert got[n] == ("allowed" if parser.can_fetch("HeronBot/1.0 it's", f"{ORIGIN}{k}{p}") else "disallowed"), (texts[k], p)
+
+
+def test_robots_fail_closed(spark):
+    docs = spark.createDataFrame([(f"{ORIGIN}/robots.txt", 404, "User-agent: *")], "robots_url string, status int, text string")
+    urls = spark.createDataFrame([(1, f"{ORIGIN}/a"), (2, "https://none.example/"), (3, "no url")], "page_id long, url string")
+    assert {r.verdict for r in RB.robots_gate(urls, docs, "b").collect()} == {"unavailable"}
+
+
+def test_sitemap_manifest_reports_bad_documents(spark):
+    child = lambda n: f"<urlset><url><loc>{n}</loc></url><url><loc> {n} </loc></url></urlset>"
+    docs = [("i", "<?pi x?><sitemapindex xmlns='n'><sitemap><loc>c1</loc></sitemap><sitemap><loc>c2</loc></sitemap><sitemap><loc>c3</loc></sitemap></sitemapindex>"),
+            ("c1", child("p1")), ("c2", "<urlset><url></urlset>"), ("j", "<broken")]
+    df = spark.createDataFrame(docs, "sitemap_url string, xml string")
+    rows = sorted(map(tuple, SM.manifest(df, "i").collect()))
+    assert rows == [("c1", 1, 1, "p1", None), ("c2", 2, None, None, "unparsable XML"), ("c3", 3, None, None, None)]
+    assert [tuple(r) for r in SM.manifest(df, "j").collect()] == [("j", 0, None, None, "unparsable XML")]
+
+
+# ---- search
+
+def test_fallback_for_errors_refusals_and_bad_payloads(spark):
+    ok = json.dumps({"results": [{"slug": "Tern"}, {"slug": " "}, 5, {"slug": "tern"}, {"slug": "Tern"}]})
+    api = [("a", 0, 200, False, ok), ("b", 0, 500, False, ok), ("c", 0, 200, True, ok), ("d", 0, 200, False, "<p>"), ("e", 0, 200, False, '{"results": []}'), ("a", 25, 200, False, '{"results": 1}')]
+    hits, valid = SR.api_hits(spark.createDataFrame(api, "query string, offset long, status int, refused boolean, payload string"))
+    html = spark.createDataFrame([(q, o, 1, f"html-{q}{o}") for q in "abcde" for o in (0, 25)], "query string, offset long, pos long, page_url string")
+    got = sorted((r.query, r.offset, r.page_url) for r in SR.fallback(hits, valid, html).collect() if (r.query, r.offset) in {x[:2] for x in api})
+    page = "https://wiki.example.org/page/"
+    assert got == [("a", 0, page + "Tern"), ("a", 0, page + "tern"), ("a", 25, "html-a25"), ("b", 0, "html-b0"), ("c", 0, "html-c0"), ("d", 0, "html-d0")]
+
+
+def test_html_hits_take_the_first_href_and_strip_it(spark):
+    html = "<a href='' href=' /page/A?x' href='/page/B'></a><a href='\n/page/A#y'></a><a href='/other'></a><a href='//wiki.example.org/page/C'></a>"
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = SR.html_hits(shred(pages), base_url=SR.SEARCH_BASE).orderBy("pos").collect()
+    assert [r.page_url for r in got] == ["https://wiki.example.org/page/A", "https://wiki.example.org/page/C"]
+
+
+def test_corpus_search_pages_and_blocks(spark):
+    docs = spark.createDataFrame([(k, "red " * (k % 5) + "blue") for k in range(40)] + [(None, "red red red red red blue"), (99, None)], "doc_id long, text string")
+    queries = spark.createDataFrame([("Red, blue!",), ("red",), ("!",)], "query string")
+    whole = SR.corpus_search(docs, queries, limit=12).collect()
+    for block in (1, 1 << 20):
+        split = [r for o in (0, 5, 10) for r in SR.corpus_search(docs, queries, limit=5, offset=o, block_bytes=block).collect()]
+        assert sorted((r for r in split if r["rank"] <= 12), key=str) == sorted(whole, key=str)
+    assert [r.doc_id for r in sorted(whole, key=lambda r: r["rank"]) if r.query == "red"][:4] == [None, 4, 9, 14]
+
+
+# ---- edits
+
+def entry(i, **more):
+    return {"id": f"e{i}", "createdAt": 1_700_000_000 + i, "updatedAt": "2024-05-06T07:08:09.250Z"} | more
+
+
+def batch(first, n, more=True, total=9, **fields):
+    return json.dumps({"editRequests": [entry(first + k) for k in range(n)], "hasMore": more, "totalCount": total} | fields)
+
+
+def parsed(spark, rows, extra=""):
+    return E.parse_batches(spark.createDataFrame(rows, f"slug string, offset long, payload string{extra}"))
+
+
+@pytest.mark.parametrize("changes, reason", [
+    ({"upvote_count": None}, "bad_votes"), ({"upvoteCount": "abc"}, "bad_votes"), ({"downvoteCount": None}, "bad_votes"), ({"upvoteCount": " 12 "}, None),
+    ({"upvoteCount": 2.9}, None), ({"createdAt": "12:30"}, "bad_time"), ({"createdAt": "2024"}, "bad_time"), ({"createdAt": "20240102T030405"}, None),
+    ({"createdAt": None}, "bad_time"), ({"createdAt": "2024-01-02"}, None), ({"updatedAt": 10**15}, "bad_time"), ({"updatedAt": "2024-01-02 03:04+0530"}, None),
+])
+def test_entry_rules(spark, changes, reason):
+    row = parsed(spark, [("s", 0, json.dumps({"editRequests": [entry(1, **changes)]}))])
+    assert row.first().error == reason
+    if reason is None and "upvoteCount" in changes:
+        assert E.entries(row).first().upvote_count == int(float(changes["upvoteCount"]))
+
+
+def test_stitching_follows_the_offset_chain(spark):
+    rows = [("s", 0, batch(0, 3), 1), ("s", 0, batch(50, 3), 0), ("s", 2, batch(80, 2), 1), ("s", 3, batch(3, 3), 1), ("s", 6, batch(6, 3, False), 1), ("s", 9, batch(9, 1, False), 1),
+            ("gap", 0, batch(0, 2), 1), ("gap", 5, batch(5, 2, False), 1), ("bad", 0, batch(0, 2), 1), ("bad", 2, "{", 1), ("bad", 4, batch(4, 5, False), 1)]
+    batches = parsed(spark, rows, ", fetched_at long")
+    got = {r.slug: r for r in E.stitch(batches).collect()}
+    assert (got["s"].n_batches, got["s"].n_entries, got["s"].contiguous, got["s"].complete) == (3, 9, True, True)
+    assert (got["gap"].n_entries, got["gap"].contiguous, got["gap"].complete) == (2, False, False)
+    assert (got["bad"].n_batches, got["bad"].valid, got["bad"].complete) == (2, False, False)
+    ids = [(r["rank"], r.id) for r in E.stitched_entries(batches).where("page_slug = 's'").orderBy("rank").collect()]
+    assert ids == [(k + 1, f"e{k}") for k in range(9)]
+
+
+def test_written_times_keep_fractions(spark):
+    batches = parsed(spark, [("s", 0, batch(0, 1, False, 1))])
+    doc = json.loads(E.write_batches(E.stitched_entries(batches), batches).first().json)
+    assert doc["edit_requests"][0]["updated_at_utc"] == "2024-05-06T07:08:09.250000Z"
+    assert doc["edit_requests"][0]["created_at_utc"] == "2023-11-14T22:13:20Z" and doc["has_more"] is False
+
+
+# ---- responses
+
+def test_bodies_never_fail_the_job(spark):
+    bodies = [("utf-8", "é"), ("idna", "xn--"), ("undefined", "a"), ("base64", "a"), ("utf-16-le", "\u00e9"), ("x\0y", "a"), (None, "a")]
+    rows = [(k, f"{ORIGIN}/{k}", 200, {"content-TYPE": f"text/html; charset={c}"} if c else None, bytearray(t.encode("utf-16-le" if c == "utf-16-le" else "utf-8"))) for k, (c, t) in enumerate(bodies)]
+    rows += [(90, f"{ORIGIN}/0", None, None, None), (91, f"{ORIGIN}/0", 404, None, None), (92, f"{ORIGIN}/0", 502, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, status int, headers map<string,string>, body binary").selectExpr("*", "timestamp_seconds(page_id) AS fetched_at")
+    assert {r.page_id: r.status_class for r in RS.decode_bodies(df).collect() if r.page_id > 50} == {90: "fetch_error", 91: "not_found", 92: "http_error"}
+    got = {r.page_id: r.text for r in RS.ingest(df.unionByName(df.where("page_id = 0").selectExpr("8 AS page_id", "url", "status", "headers", "body", "timestamp_seconds(-1) AS fetched_at"))).collect()}
+    assert sorted(got) == list(range(7)) and got[0] == got[4] == "é"
+
+
+# ---- table function and streams
+
+def test_html_nodes_gives_every_element(spark):
+    register(spark)
+    spark.createDataFrame([(5, "<div><p>a<em>b</em></p></div>"), (6, None)], "page_id long, html string").createOrReplaceTempView("docs_n")
+    got = spark.sql("SELECT page_id, tag, parent_pos, text FROM html_nodes(TABLE(SELECT page_id, html FROM docs_n)) ORDER BY pos").collect()
+    assert [tuple(r) for r in got] == [(5, "div", -1, None), (5, "p", 0, "ab"), (5, "em", 1, None)]
+
+
+def test_streams_resume_and_equal_the_batch(spark, tmp_path):
+    day = lambda n: dt.datetime(2024, 1, n)
+    folder = str(tmp_path / "events.parquet")
+    add = lambda rows: spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").coalesce(1).write.mode("append").parquet(folder)
+    add([(1, day(1), 7, "a"), (2, day(3), 8, "b")])
+    add([(3, day(2), 7, "c"), (4, day(3), 8, "d")])
+    got = lambda: sorted((r.user_id, r.event_id) for r in ST.stream_edits_latest(spark, str(tmp_path)).collect())
+    assert got() == [(7, 3), (8, 4)]
+    add([(5, day(9), 9, "e"), (6, day(1), 8, "f")])
+    assert got() == [(7, 3), (8, 4), (9, 5)]  # a new run reads the new file only, and keeps what it had
+    urls = str(tmp_path / "pages.parquet")
+    more = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(urls)
+    more([(1, "https://A.example/x", ""), (2, "https://a.example/x?q", ""), (3, "https://a.example/y", "")])
+    keys = lambda: sorted(r.key for r in ST.stream_url_dedupe(spark, str(tmp_path)).collect())
+    assert keys() == ["https://a.example/x", "https://a.example/y"]
+    more([(4, "https://a.example/x#f", ""), (5, "https://a.example/z", "")])
+    assert keys() == ["https://a.example/x", "https://a.example/y", "https://a.example/z"]

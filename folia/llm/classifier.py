@@ -30,14 +30,16 @@ from pyspark.sql import functions as F
 from .common import by_value, documents, session, staged
 
 #: Documents the scorer is trained on, at most: those with the smallest hashes of their texts.
-TRAIN_ROWS = 20000
+TRAIN_ROWS = 12000
 #: Labelled documents the lexicon is drawn from, at most, and words in it, at most.
 LEXICON_ROWS = 20000
 LEXICON_WORDS = 4096
 BUCKETS = 1 << 18
 THRESHOLD = 0.5
-EPOCHS = 150
-L1 = 2e-5
+EPOCHS = 100
+#: Buckets met in fewer training documents are left out: nothing can be learned from them.
+MIN_ROWS = 4
+L1 = 1e-5
 
 _WORD = re.compile(r"[^\W\d_]+")
 TASKS = {"junk": ("symbols", "shouting", "variety", "loops", "layout", "length", "quality label"),
@@ -87,7 +89,7 @@ class Text:
         extra = [step("symbols", self.symbols * 10), step("marks", self.marks * 10), step("upper", self.upper * 10), step("variety", self.variety * 20, 20),
                  step("spread", self.variety * math.sqrt(max(1, self.n)), 20), step("loops", self.loops * 20), step("mean", self.mean, 25), step("digits", self.digits * 50),
                  step("length", math.log2(self.n + 1), 20)]
-        return np.unique(np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in (*self.words, *("\1" + w for w in self.stems), *extra)), np.uint32) & np.uint32(BUCKETS - 1)).astype(np.int32)
+        return np.unique(np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in (*self.words, *("\1" + w for w in self.stems if len(w) == STEMS[-1]), *extra)), np.uint32) & np.uint32(BUCKETS - 1)).astype(np.int32)
 
 
 # ---------------------------------------------------------------- weak labels
@@ -155,26 +157,29 @@ def train(rows: list[np.ndarray], target: np.ndarray, epochs: int = EPOCHS, l1:
     w, bias = np.zeros(BUCKETS), 0.0
     if not len(rows):
         return w, bias
-    at = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    met = np.bincount(np.concatenate(rows), minlength=BUCKETS)
+    slot = np.cumsum(met >= MIN_ROWS) - 1
+    rows = [slot[r[met[r] >= MIN_ROWS]].astype(np.int32) for r in rows]
+    n = int((met >= MIN_ROWS).sum())
+    at, sizes = np.concatenate(rows), np.array([len(r) for r in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     share = np.clip(target.mean(), 1e-3, 1 - 1e-3)
     weight = target / share / 2 + (1 - target) / (1 - share) / 2
     weight = weight / weight.sum()
     # diagonal step sizes: the curvature along a feature is at most a quarter of sum(weight * row size)
-    sizes = np.bincount(owner, minlength=len(rows)) + 1.0
-    curve = np.bincount(at, (weight * np.sqrt(sizes))[owner], BUCKETS) + 1e-5
-    step = 2.0 / (curve * math.sqrt(sizes.mean()))
-    v, prev, k, vb, pb = w.copy(), w.copy(), 1.0, bias, bias
+    curve = np.bincount(at, (weight * np.sqrt(sizes + 1.0))[owner], n) + 1e-5
+    step = 2.0 / (curve * math.sqrt(sizes.mean() + 1.0))
+    v, prev, k, vb, pb = np.zeros(n), np.zeros(n), 1.0, bias, bias
     for _ in range(epochs):
         z = np.bincount(owner, v[at], len(rows)) + vb
         err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target)
-        g = np.bincount(at, err[owner], BUCKETS)
-        w = v - step * g
-        w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+        u = v - step * np.bincount(at, err[owner], n)
+        u = np.sign(u) * np.maximum(np.abs(u) - step * l1, 0)
         bias = vb - err.sum()
         k2 = (1 + math.sqrt(1 + 4 * k * k)) / 2
-        v, vb = w + (k - 1) / k2 * (w - prev), bias + (k - 1) / k2 * (bias - pb)
-        prev, pb, k = w, bias, k2
+        v, vb = u + (k - 1) / k2 * (u - prev), bias + (k - 1) / k2 * (bias - pb)
+        prev, pb, k = u, bias, k2
+    w[met >= MIN_ROWS] = prev
     return w, bias
 
 

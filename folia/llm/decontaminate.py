@@ -181,5 +181,22 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text's digest: ids may be null or repeat."""
     session(spark)
     keyed = docs.select(F.sha2("text", 256).alias("digest"), "text")
-    bad = contamination(keyed, documents(spark, sf_dir, "benchmark"), id_col="digest").where("n_hit > 0").select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, F.sha2("text", 256) == F.col("bad"), "left_anti")
+    bad = contamination(keyed, documents(spark, sf_dir, "benchmark"), id_col="digest").where("n_hit > 0").select(F.col("doc_id").alias("__dirty")).distinct()
+    return docs.join(bad, F.sha2(docs["text"], 256) == F.col("__dirty"), "left_anti")
+
+
+_RE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_ITEM = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_RE}')"
+ORACLE = f"""
+WITH it AS (SELECT item_id, w, least(10, len(w)) AS m FROM (SELECT item_id, {_ITEM} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT m, CAST(item_id AS VARCHAR) AS item, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS k FROM it),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM} AS w FROM documents),
+x AS (SELECT r, m, unnest(range(1, len(w) - m + 2)) AS p, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS k
+      FROM d CROSS JOIN (SELECT DISTINCT m FROM win) WHERE len(w) >= m),
+hit AS (SELECT r, p, m, item FROM x JOIN win USING (m, k)),
+words AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + m)) AS q FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items.s, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""

@@ -340,3 +340,13 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract(documents(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# What the given pages hold: one <article> of <h1> and <p> blocks, with <b> and <br> inside.
+ORACLE = r"""
+WITH b AS (SELECT page_id, url, regexp_split_to_array(regexp_replace(coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), ''), '<br>', ' ', 'g'), '</?(?:p|h1)>') AS parts FROM pages),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(
+        replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+        '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
+"""

@@ -135,7 +135,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents the mix takes, with the number of times
     each is to be repeated (``copies``) and the words that makes (``taken``)."""
     session(spark)
+    own = [c for c in docs.columns if c not in ("copies", "taken")]
     m = mix(docs).where("copies > 0").select(
-        F.col("doc_id").alias("m_id"), F.col("src").alias("m_src"), F.col("text_hash").alias("m_hash"), "copies", "size").distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("m_id")) & F.xxhash64("text").eqNullSafe(F.col("m_hash")) & F.col("source").eqNullSafe(F.col("m_src"))
-    return docs.join(m, on).select(*docs.columns, "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        F.col("doc_id").alias("__id"), F.col("src").alias("__src"), F.col("text_hash").alias("__hash"), F.col("copies").alias("__copies"), F.col("size").alias("__size")).distinct()
+    on = docs["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__hash")) & docs["source"].eqNullSafe(F.col("__src"))
+    return docs.join(m, on).select(*[docs[c] for c in own], F.col("__copies").alias("copies"), (F.col("__size") * F.col("__copies")).alias("taken"))

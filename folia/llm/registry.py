@@ -16,4 +16,9 @@ QUERIES = {
     "op9_rules": rules.op9_rules,
     "op10_pii": pii.op10_pii,
 }
-ORACLE = {"op2_urlfilter": urlfilter.ORACLE}
+ORACLE = {
+    "op2_urlfilter": urlfilter.ORACLE,
+    "op3_html": htmltext.ORACLE,
+    "op5_decontaminate": decontaminate.ORACLE,
+    "op8_substrings": substrings.ORACLE,
+}

@@ -269,3 +269,17 @@ def _result(all_docs: DataFrame, classes: DataFrame, cut: DataFrame) -> DataFram
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat an earlier document's windows."""
     return dedup(documents(spark, sf_dir))
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT r, doc_id, unnest(range(1, len(w) - 11)) AS p, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS k
+      FROM d WHERE len(w) >= 13 AND doc_id IS NOT NULL),
+f AS (SELECT k, min(doc_id) AS first FROM x GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + 13)) AS i FROM x JOIN f USING (k) WHERE first < doc_id),
+n AS (SELECT r, count(*) AS n_removed FROM gone GROUP BY r),
+word AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS s FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""

@@ -47,10 +47,44 @@ TASKS = {"junk": ("symbols", "shouting", "variety", "loops", "layout", "length",
 #: Lengths of the word beginnings that stand for a word's family.
 STEMS = (5, 6, 7)
 ABSTAIN, GOOD, BAD = 0, 1, 2
-_NO_DIGITS = dict.fromkeys(range(48, 58))
 by_value(__name__)
 
 
+_STEM_BITS = 20
+
+
+def _bucket(feature: str) -> int:
+    return xxhash.xxh32_intdigest(feature.encode()) & (BUCKETS - 1)
+
+
+class _Buckets(dict):
+    """Bucket of a word, and above it that of its stem; negative without a
+    stem. Words met lately are remembered."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1 << 18:
+            self.clear()
+        k = STEMS[-1]
+        # a negative number keeps its low bits under "&"
+        stem = _bucket("\1" + word[:k]) if len(word) > k else -1
+        found = self[word] = (stem << _STEM_BITS) + _bucket(word)
+        return found
+
+
+class _Stems(dict):
+    """Whether a word begins with a stem of the lexicon, remembered like buckets."""
+
+    def __init__(self, stems: frozenset):
+        super().__init__()
+        self.stems = stems
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) > 1 << 18:
+            self.clear()
+        found = self[word] = any(len(word) > k and word[:k] in self.stems for k in STEMS)
+        return found
+
+
 class Text:
     """What labellers and scorer see of a text."""
 
@@ -59,7 +93,6 @@ class Text:
         self.tokens = t.split()
         self.n = len(self.tokens)
         self.words = set(_WORD.findall(t.lower()))
-        self.stems = {w[:k] for w in self.words for k in STEMS if len(w) > k}
         n, chars = max(1, self.n), max(1, len(t))
         self.symbols = sum(t.count(c) for c in "#*$%&|<>{}[]~^\\") / n
         self.marks = (t.count("!") + t.count("?")) / n
@@ -67,9 +100,9 @@ class Text:
         self.variety = len(set(self.tokens)) / n
         self.loops = sum(a == b for a, b in zip(self.tokens, self.tokens[1:])) / n
         self.mean = sum(map(len, self.tokens)) / n
-        self.digits = (len(t) - len(t.translate(_NO_DIGITS))) / chars
+        self.digits = sum(map(t.count, "0123456789")) / chars
 
-    def votes(self, lexicon: list[frozenset], quality: int | None, toxic: int | None) -> tuple[list[int], list[int]]:
+    def votes(self, lexicon: list[frozenset], stems: _Stems, quality: int | None, toxic: int | None) -> tuple[list[int], list[int]]:
         say = lambda bad, good: BAD if bad else GOOD if good else ABSTAIN
         hits = [not self.words.isdisjoint(half) for half in lexicon[:2]]
         junk = [
@@ -81,15 +114,16 @@ class Text:
             say(self.n < 3, self.n >= 20),
             ABSTAIN if quality is None else GOOD if quality else BAD,
         ]
-        return junk, [*(say(h, True) for h in hits), say(not self.stems.isdisjoint(lexicon[2]), True), ABSTAIN if toxic is None else BAD if toxic else GOOD]
+        return junk, [*(say(h, True) for h in hits), say(any(map(stems.__getitem__, self.words)), True), ABSTAIN if toxic is None else BAD if toxic else GOOD]
 
-    def features(self) -> np.ndarray:
-        """Distinct hash buckets of the words and of the statistics, in steps."""
+    def features(self, buckets: _Buckets) -> np.ndarray:
+        """Distinct hash buckets of the words, their stems and the statistics, in steps."""
         step = lambda name, x, top=12: f"\0{name}:{min(top, int(x))}"
         extra = [step("symbols", self.symbols * 10), step("marks", self.marks * 10), step("upper", self.upper * 10), step("variety", self.variety * 20, 20),
                  step("spread", self.variety * math.sqrt(max(1, self.n)), 20), step("loops", self.loops * 20), step("mean", self.mean, 25), step("digits", self.digits * 50),
                  step("length", math.log2(self.n + 1), 20)]
-        return np.unique(np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in (*self.words, *("\1" + w for w in self.stems if len(w) == STEMS[-1]), *extra)), np.uint32) & np.uint32(BUCKETS - 1)).astype(np.int32)
+        words = np.fromiter(map(buckets.__getitem__, self.words), np.int64, len(self.words))
+        return np.unique(np.concatenate([words & (BUCKETS - 1), (words >> _STEM_BITS)[words >= 0], [_bucket(x) for x in extra]])).astype(np.int32)
 
 
 # ---------------------------------------------------------------- weak labels
@@ -113,8 +147,9 @@ def lexicon(docs: DataFrame, labels: DataFrame, max_rows: int = LEXICON_ROWS) ->
 def _vote(shared):
     def run(batches):
         lex = shared.value
+        stems = _Stems(lex[2])
         for b in batches:
-            said = [Text(t.as_py()).votes(lex, q.as_py(), x.as_py()) for t, q, x in zip(b.column(0), b.column(1), b.column(2))]
+            said = [Text(t.as_py()).votes(lex, stems, q.as_py(), x.as_py()) for t, q, x in zip(b.column(0), b.column(1), b.column(2))]
             votes = [pa.array([",".join(map(str, v[k])) for v in said], pa.string()) for k in range(len(TASKS))]
             yield pa.RecordBatch.from_arrays([b.column(3), *votes], names=["h", *TASKS])
     return run
@@ -184,7 +219,8 @@ def train(rows: list[np.ndarray], target: np.ndarray, epochs: int = EPOCHS, l1:
 
 
 def _fit(table: pa.Table) -> pa.Table:
-    rows = [Text(t.as_py()).features() for t in table.column("text")]
+    buckets = _Buckets()
+    rows = [Text(t.as_py()).features(buckets) for t in table.column("text")]
     out = []
     for k, task in enumerate(TASKS):
         w, bias = train(rows, table.column(task).to_numpy())
@@ -195,13 +231,13 @@ def _fit(table: pa.Table) -> pa.Table:
 
 def _score(shared):
     def run(batches):
-        models = []
-        for buckets, weights, bias in shared.value:
+        models, buckets = [], _Buckets()
+        for at, weights, bias in shared.value:
             w = np.zeros(BUCKETS)
-            w[buckets] = weights
+            w[at] = weights
             models.append((w, bias))
         for b in batches:
-            z = np.array([[w[f].sum() + bias for w, bias in models] for f in (Text(t.as_py()).features() for t in b.column(0))]).reshape(-1, len(models))
+            z = np.array([[w[f].sum() + bias for w, bias in models] for f in (Text(t.as_py()).features(buckets) for t in b.column(0))]).reshape(-1, len(models))
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*(pa.array(p[:, k]) for k in range(len(models))), b.column(1)], names=[*(f"p_{t}" for t in TASKS), "row"])
     return run
@@ -235,7 +271,8 @@ def model(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> l
         some = some.withColumnRenamed(f"p_{task}", task)
     # the sample's bound is the broadcast's: 32 bytes a row
     sample = docs.select("text", F.xxhash64("text", "doc_id").alias("h")).join(F.broadcast(some), "h").dropDuplicates(["h"])
-    fitted = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(lambda t: _fit(t.sort_by("h")), "task int, bucket int, weight double").orderBy("task", "bucket").collect()
+    fitted = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(lambda t: _fit(t.sort_by("h")), "task int, bucket int, weight double").collect()
+    fitted.sort()  # here: an orderBy in Spark would fit twice, once to sample its ranges
     models = []
     for k in range(len(TASKS)):
         own = [r for r in fitted if r.task == k] or [None]

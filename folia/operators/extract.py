@@ -179,8 +179,10 @@ def page_frame(shredded: DataFrame) -> DataFrame:
         f"{normalize_image_url('_lead.raw_src', '_base', parsed_base=True)}, "
         f"'caption', _lead.caption, 'alt_text', _lead.alt_text) END AS lead_figure",
     )
+    # No partition has a negative number. A nondeterministic expression keeps Spark from pushing filters on
+    # the quarantine below, where the title, and with it all blocks, would be built a second time.
     quarantine = (
-        "CASE WHEN parse_error IS NOT NULL THEN 'unparsable' WHEN article IS NULL THEN 'no_article' "
+        "CASE WHEN spark_partition_id() < 0 THEN NULL WHEN parse_error IS NOT NULL THEN 'unparsable' WHEN article IS NULL THEN 'no_article' "
         "WHEN title IS NULL OR title = '' THEN 'no_title' END"
     )
     return df.selectExpr(

@@ -102,7 +102,8 @@ class Text:
         self.mean = sum(map(len, self.tokens)) / n
         self.digits = sum(map(t.count, "0123456789")) / chars
 
-    def votes(self, lexicon: list[frozenset], stems: _Stems, quality: int | None, toxic: int | None) -> tuple[list[int], list[int]]:
+    def votes(self, lexicon: list[frozenset], stems: _Stems) -> tuple[list[int], list[int]]:
+        """The heuristics' votes of each task; the human labels are voted by ``weak_labels``."""
         say = lambda bad, good: BAD if bad else GOOD if good else ABSTAIN
         hits = [not self.words.isdisjoint(half) for half in lexicon[:2]]
         junk = [
@@ -112,9 +113,8 @@ class Text:
             say(self.n >= 10 and self.loops > 0.3, self.loops < 0.02),
             say(self.n and (self.mean > 20 or self.mean < 2), 3 <= self.mean <= 12),
             say(self.n < 3, self.n >= 20),
-            ABSTAIN if quality is None else GOOD if quality else BAD,
         ]
-        return junk, [*(say(h, True) for h in hits), say(any(map(stems.__getitem__, self.words)), True), ABSTAIN if toxic is None else BAD if toxic else GOOD]
+        return junk, [*(say(h, True) for h in hits), say(any(map(stems.__getitem__, self.words)), True)]
 
     def features(self, buckets: _Buckets) -> np.ndarray:
         """Distinct hash buckets of the words, their stems and the statistics, in steps."""
@@ -149,9 +149,9 @@ def _vote(shared):
         lex = shared.value
         stems = _Stems(lex[2])
         for b in batches:
-            said = [Text(t.as_py()).votes(lex, stems, q.as_py(), x.as_py()) for t, q, x in zip(b.column(0), b.column(1), b.column(2))]
+            said = [Text(t.as_py()).votes(lex, stems) for t in b.column(0)]
             votes = [pa.array([",".join(map(str, v[k])) for v in said], pa.string()) for k in range(len(TASKS))]
-            yield pa.RecordBatch.from_arrays([b.column(3), *votes], names=["h", *TASKS])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), *votes], names=["h", "doc_id", *TASKS])
     return run
 
 
@@ -249,8 +249,12 @@ def weak_labels(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(lexicon(docs, labels))
     told = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("q"), F.max("toxic").cast("int").alias("x"))
-    rows = docs.select("doc_id", "text").join(told, "doc_id", "left").select("text", "q", "x", F.xxhash64("text", "doc_id").alias("h"))
-    votes = staged(rows.mapInArrow(_vote(shared), "h long, " + ", ".join(f"{t} string" for t in TASKS)))
+    rows = docs.select("text", F.xxhash64("text", "doc_id").alias("h"), F.col("doc_id").cast("long").alias("doc_id"))
+    votes = rows.mapInArrow(_vote(shared), "h long, doc_id long, " + ", ".join(f"{t} string" for t in TASKS))
+    # only ids and votes are shuffled to the labels
+    label = lambda c, good: F.when(F.col(c).isNull(), ABSTAIN).when(F.col(c) == good, GOOD).otherwise(BAD).cast("string")
+    votes = votes.join(told, "doc_id", "left").select("h", F.concat_ws(",", "junk", label("q", 1)).alias("junk"), F.concat_ws(",", "toxic", label("x", 0)).alias("toxic"))
+    votes = staged(votes)
     found = {}
     for task, names in TASKS.items():
         counts = votes.groupBy(task).count().orderBy(task).collect()  # at most 3 ** labellers rows

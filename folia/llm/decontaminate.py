@@ -15,8 +15,6 @@ hit ranges of a text are merged by the text's digest.
 
 from __future__ import annotations
 
-import hashlib
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, session, staged
+from .common import documents, staged
 
 MAX_BLOCKS = 1 << 18
 KEYS_PER_BLOCK = 16

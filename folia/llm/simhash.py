@@ -22,10 +22,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, documents, session, staged
+from .common import by_value, documents, session, staged, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -249,23 +249,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, fp, component_id, root) for every row of ``docs``.
 
     component_id is the smallest doc_id reachable over links of ``max_bits``
     or fewer differing bits. Null, empty and blank texts have fingerprint
     zero and are linked like any other. A null doc_id counts for links but
-    names no component; a component of null ids only has a null id. Rows with
+    names no component; a component of null ids only has a null id. root is
+    the smallest fingerprint of the component and tells components apart
+    where ids repeat or are null. Rows with
     equal texts are one point of the search, however many they are; repeated
     rows give a row each. An empty table gives no rows, and other columns are
     not read.
     """
     fps = staged(fingerprints(docs, id_col, text_col, shingle))
-    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    return fps.join(_classes(fps, F.col("doc_id"), max_bits), "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def _classes(fps: DataFrame, doc_id: Column, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component_id, root) for every fingerprint of ``fps``."""
+    distinct = staged(fps.groupBy("fp").agg(F.min(doc_id).alias("first")))
     roots = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
     named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = named.join(smallest, "root").select("fp", "component_id")
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    return named.join(smallest, "root").select("fp", "component_id", "root")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,17 +281,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the document with the
-    smallest id stays.
+    """Pipeline stage: of each group of near-duplicates one row stays, the one
+    with the smallest id, null ids last.
 
-    Documents without an id cannot stand for a group and stay as they are.
-    Where several rows have the staying id, the one with the smallest values
-    of all columns stays.
+    Rows are judged, not ids: rows with one id and unrelated texts are in
+    groups of their own, and rows without an id are like any other. Where
+    several rows of a group have its smallest id, the one with the smallest
+    values of all columns stays.
     """
     session(spark)
-    near = near_duplicates(docs.where("doc_id IS NOT NULL"))
-    stays = staged(near.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")))
-    one = docs.join(stays.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(stays.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
-    several = several.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
-    return one.unionByName(several).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    # a row's number has to be written, or a repeated task could number its rows anew
+    rows = written(docs.select(F.monotonically_increasing_id().alias("nr"), F.struct(*docs.columns).alias("x")))
+    fps = staged(fingerprints(rows.select(F.struct("nr", "x.doc_id").alias("doc_id"), F.col("x.text").alias("text"))))
+    low = fps.join(_classes(fps, F.col("doc_id.doc_id")), "fp").where("doc_id.doc_id <=> component_id").select("doc_id.nr", "root")
+    count = staged(low.groupBy("root").agg(F.count("*").alias("rows"), F.min("nr").alias("nr")))
+    one = rows.join(count.where("rows = 1").select("nr"), "nr", "left_semi").select("x")
+    tied = low.join(count.where("rows > 1").select("root"), "root")
+    several = rows.join(tied, "nr").groupBy("root").agg(F.min("x").alias("x")).select("x")
+    return one.unionByName(several).select("x.*")

@@ -69,6 +69,17 @@ def test_near_duplicate_stage_keeps_one_of_each(spark, odd):
     assert kept.count(None) == 1
 
 
+def test_near_duplicate_stage_judges_rows(spark):
+    text = lambda w: " ".join(f"{w}{k}" for k in range(40))
+    rows = [(1, text("a"), "en"), (1, text("b"), "en"), (2, text("b"), "en"), (2, text("c"), "en"), (0, text("c"), "en"), (0, text("c"), "de"),
+            (None, text("d"), "en"), (None, text("d"), "de"), (None, text("d"), "en"), (None, text("a"), "en"), (3, text("e"), "en"), (3, text("e"), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS nr", "2 AS root", "3 AS x")
+    got = simhash.stage(spark, docs, DATA)
+    assert got.columns == docs.columns
+    same(got.select("doc_id", "text", "lang").collect(), [(1, text("a"), "en"), (1, text("b"), "en"), (0, text("c"), "de"), (None, text("d"), "de"), (3, text("e"), "en")])
+    assert simhash.stage(spark, docs.where("false"), DATA).count() == 0
+
+
 # ---- URLs
 
 def test_urls(spark, none):

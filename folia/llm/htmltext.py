@@ -38,6 +38,8 @@ MAX_GROUP = 8
 #: A slot with one text on this many different pages is part of the template.
 TEMPLATE_PAGES = 5
 OPTIONAL, REPEATED = 1, 2
+#: State of an open element: inside clutter, inside the main part.
+HIDE, IN_MAIN = 1, 2
 
 # Names with a meaning in HTML and in common class names.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -54,12 +56,15 @@ by_value(__name__)
 
 
 class Page(HTMLParser):
-    """Block tree of a page: nodes [label, children], texts ["#", text, characters in links]."""
+    """Block tree of a page: nodes [label, children], texts ["#", text, characters in links, state].
+
+    The state of a text is carried by the open elements, so it does not depend
+    on how deep the tree may grow."""
 
     def __init__(self, html: str | None):
         super().__init__(convert_charrefs=True)
         self.children: list = []
-        self.stack: list = [("", self.children)]
+        self.stack: list = [("", self.children, 0)]
         self.pieces: list[str] = []
         self.linked, self.in_link = 0, 0
         self.feed(html or "")
@@ -68,8 +73,9 @@ class Page(HTMLParser):
 
     def flush(self):
         text = " ".join("".join(self.pieces).split())
-        if text:
-            self.stack[-1][1].append(["#", text, min(self.linked, len(text))])
+        state = self.stack[-1][2]
+        if text and not (state & HIDE and len(self.stack) > MAX_DEPTH):
+            self.stack[-1][1].append(["#", text, min(self.linked, len(text)), state])
         self.pieces, self.linked = [], 0
 
     def handle_data(self, data):
@@ -95,12 +101,14 @@ class Page(HTMLParser):
             self.pop({"p"})
         if tag in CLOSED_BY:
             self.pop(CLOSED_BY[tag])
+        label = ".".join([tag, *sorted(set(names))])
+        state = self.stack[-1][2] | (HIDE if _is_clutter(label) else 0) | (IN_MAIN if _is_main(label) else 0)
         if len(self.stack) < MAX_DEPTH:
-            node = [".".join([tag, *sorted(set(names))]), []]
+            node = [label, []]
             self.stack[-1][1].append(node)
-            self.stack.append((tag, node[1]))
-        else:  # as deep as wrappers go: its texts are still blocks of their own
-            self.stack.append((tag, self.stack[-1][1]))
+            self.stack.append((tag, node[1], state))
+        else:  # as deep as wrappers go: its texts are still blocks of their own, hidden or marked by their state
+            self.stack.append((tag, self.stack[-1][1], state))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -119,7 +127,7 @@ class Page(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "a":
             self.in_link = 0
-        if any(tag == t for t, _ in self.stack[1:]):
+        if any(tag == t for t, *_ in self.stack[1:]):
             self.flush()
             while self.stack.pop()[0] != tag:
                 pass
@@ -188,8 +196,8 @@ def has_main(parts) -> bool:
     return any(not _is_clutter(p[0]) and (_is_main(p[0]) or has_main(p[2])) for p in parts)
 
 
-def slots(children, parts, path=(), main=False):
-    """Yields (text, link characters, slot, in main) of a page's texts
+def slots(children, parts, path=()):
+    """Yields (text, link characters, slot, state) of a page's texts
     outside clutter. A slot is the path of numbers to its place in the wrapper, or
     "?" for what the wrapper does not know."""
     places: dict[str, list[int]] = {}
@@ -202,10 +210,10 @@ def slots(children, parts, path=(), main=False):
         if known:  # on in the sequence, here again if this repeats, or back to the start of a repeated group
             at = next((k for k in known if k > at or k == at and flat[k][1] & REPEATED), known[0])
         here = (*path, at if known else "?")
-        if c[0] == "#":
-            yield c[1], c[2], here, main
-        elif not _is_clutter(c[0]):
-            yield from slots(c[1], flat[at][2] if known else (), here, main or _is_main(c[0]))
+        if c[0] != "#":
+            yield from slots(c[1], flat[at][2] if known else (), here)
+        elif not c[3] & HIDE:
+            yield c[1], c[2], here, c[3]
 
 
 def _flat(parts):
@@ -307,7 +315,7 @@ def _texts(batches):
         out = []
         for html, w, keep in zip(*(c.to_pylist() for c in b.columns[1:])):
             found = list(slots(Page(html).children, seen[w]))
-            main = [x[0] for x in found if x[3]]
+            main = [x[0] for x in found if x[3] & IN_MAIN]
             if not main and keep:
                 kept = set(keep)
                 main = [x[0] for x in found if _dump(x[2]) in kept]

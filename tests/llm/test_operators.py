@@ -123,6 +123,12 @@ def test_unmarked_article_is_found_by_its_host(spark):
         assert r.text == f"Title {i}\n\nText {i} with a few more words, {i * 7} of them." + (f"\n\nalso {i}" if i % 2 else "")
 
 
+def test_marks_count_at_any_depth(spark):
+    deep = "<div>" * 100 + "<script>no</script><nav>no</nav><article><p>yes</p><aside>no</aside><!-- no --><p>also</p></article><p>no</p><form>no"
+    df = spark.createDataFrame([(1, "http://d.org/1", deep)], "page_id long, url string, html string")
+    assert [r.text for r in htmltext.extract(df).collect()] == ["yes\n\nalso"]
+
+
 def test_alignment():
     p = lambda *parts: tuple((x, 0, ()) if isinstance(x, str) else x for x in parts)
     assert htmltext.fold(p("a", "a", "b")) == (("a", 2, ()), ("b", 0, ()))

@@ -38,8 +38,8 @@ MAX_GROUP = 8
 #: A slot with one text on this many different pages is part of the template.
 TEMPLATE_PAGES = 5
 OPTIONAL, REPEATED = 1, 2
-#: State of an open element: inside clutter, inside the main part.
-HIDE, IN_MAIN = 1, 2
+#: State of an open element: inside clutter, inside what may be clutter, inside a main part by tag or role, or by class or id.
+HIDE, DOUBT, MARKED, NAMED = 1, 2, 4, 8
 
 # Names with a meaning in HTML and in common class names.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -49,12 +49,42 @@ MAIN = frozenset(("article", "main"))
 CLUTTER = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments contentinfo cookie cookies copyright disclaimer dialog discussion disqus footer "
                     "header masthead menu menubar modal nav navbar navigation newsletter notice notices notification pagination popup promo promotion recommended related replies responses search "
                     "share sharing sidebar skip social sponsor sponsored subscribe tags toolbar widget widgets".split())
+# Names that head parts of articles too: their blocks go only if they are made of links, or template by the host's pages.
+DOUBTFUL = frozenset("advertising advertisement comment cookie cookies copyright dialog disclaimer discussion header navigation notice notices notification notifications promotion recommended related responses search skip social tags".split())
+UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6 p pre code blockquote address caption figcaption dt dd".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table article section div body main td th".split())
 by_value(__name__)
 
 
+def verdict(tag: str, tokens: list[tuple[str, str]]) -> int:
+    """State that a tag with (attribute, name) pairs gives to what it holds.
+
+    Names are whole class, id and role values, on parts that hold blocks:
+    headings, paragraphs and code are never judged by name. A compound is what
+    its last word says ("main-nav" is a nav, "related-work" is a work), and
+    clutter wins over main. A name that may as well head a part of an article
+    only raises a doubt, and so does a compound id of a <section>.
+    """
+    if tag in HIDDEN:
+        return HIDE
+    if tag in MAIN:
+        return MARKED
+    state = doubt = 0
+    for key, token in tokens if tag not in UNNAMED else ():
+        words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
+        if not words:
+            continue
+        if words[-1] in CLUTTER:
+            if words[-1] not in DOUBTFUL and not (key == "id" and tag == "section" and len(words) > 1):
+                return HIDE
+            doubt = DOUBT
+        elif "main" in words and {"main", "content"}.issuperset(words):
+            state |= MARKED if key == "role" else NAMED if tag in ("div", "section", "td") else 0
+    return doubt or state
+
+
 class Page(HTMLParser):
     """Block tree of a page: nodes [label, children], texts ["#", text, characters in links, state].
 
@@ -86,13 +116,14 @@ class Page(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.pieces.append(" ")
-        names = []
+        names, tokens = [], []
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 names += re.findall(r"[a-z]+", value.lower())
+                tokens += [(key, t) for t in value.split()]
         if tag == "a":
             self.in_link = 1
-        if tag in VOID or tag in INLINE and CLUTTER.isdisjoint(names):
+        if tag in VOID or tag in INLINE:
             if tag == "hr":
                 self.flush()
             return
@@ -102,7 +133,7 @@ class Page(HTMLParser):
         if tag in CLOSED_BY:
             self.pop(CLOSED_BY[tag])
         label = ".".join([tag, *sorted(set(names))])
-        state = self.stack[-1][2] | (HIDE if _is_clutter(label) else 0) | (IN_MAIN if _is_main(label) else 0)
+        state = self.stack[-1][2] | verdict(tag, tokens)
         if len(self.stack) < MAX_DEPTH:
             node = [label, []]
             self.stack[-1][1].append(node)
@@ -182,20 +213,6 @@ def _load(x):
     return tuple((label, flags, _load(parts)) for label, flags, parts in x)
 
 
-def _is_main(label: str) -> bool:
-    tag, *names = label.split(".")
-    return tag in MAIN or "main" in names
-
-
-def _is_clutter(label: str) -> bool:
-    tag, *names = label.split(".")
-    return tag in HIDDEN or not CLUTTER.isdisjoint(names) and not _is_main(label) and tag not in ("body", "html")
-
-
-def has_main(parts) -> bool:
-    return any(not _is_clutter(p[0]) and (_is_main(p[0]) or has_main(p[2])) for p in parts)
-
-
 def slots(children, parts, path=()):
     """Yields (text, link characters, slot, state) of a page's texts
     outside clutter. A slot is the path of numbers to its place in the wrapper, or
@@ -216,6 +233,16 @@ def slots(children, parts, path=()):
             yield c[1], c[2], here, c[3]
 
 
+def blocks(html: str | None, parts) -> list[tuple]:
+    """(text, link characters, slot, in main) of a page's texts outside clutter.
+
+    A main part known by its name only counts if it holds text that is no
+    menu; a block with a doubtful name goes if it is made of links."""
+    found = [x for x in slots(Page(html).children, parts) if not (x[3] & DOUBT and x[1] * 2 >= len(x[0]))]
+    main = MARKED | (NAMED if any(x[3] & NAMED and x[1] * 2 < len(x[0]) for x in found) else 0)
+    return [(text, links, slot, bool(state & main)) for text, links, slot, state in found]
+
+
 def _flat(parts):
     out = []
     for p in parts:
@@ -252,12 +279,6 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host").applyInArrow(lambda t: _infer(t), "host string, skeleton string")
 
 
-def _main_known(batches):
-    for b in batches:
-        out = [has_main(_load(json.loads(s.as_py()))) for s in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.bool_())], names=["host", "skeleton", "main"])
-
-
 class _Wrappers(dict):
     """Parsed wrappers of the hosts met lately."""
 
@@ -273,7 +294,7 @@ def _slot_rows(batches):
     for b in batches:
         out: list = [[], [], [], [], [], []]
         for h, html, w in zip(*(c.to_pylist() for c in b.columns)):
-            found = list(slots(Page(html).children, seen[w]))
+            found = blocks(html, seen[w])
             page = xxhash.xxh64_intdigest("\n".join(x[0] for x in found)) >> 1
             for text, links, slot, _ in found:
                 for c, v in zip(out, (h, _dump(slot), xxhash.xxh64_intdigest(text) >> 1, len(text), links, page)):
@@ -314,8 +335,8 @@ def _texts(batches):
     for b in batches:
         out = []
         for html, w, keep in zip(*(c.to_pylist() for c in b.columns[1:])):
-            found = list(slots(Page(html).children, seen[w]))
-            main = [x[0] for x in found if x[3] & IN_MAIN]
+            found = blocks(html, seen[w])
+            main = [x[0] for x in found if x[3]]
             if not main and keep:
                 kept = set(keep)
                 main = [x[0] for x in found if _dump(x[2]) in kept]
@@ -335,9 +356,8 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     however long and however deep in the page.
     """
     rows = pages.select(F.struct(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).alias("row"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    known = written(wrappers(rows.select("host", "html")).mapInArrow(_main_known, "host string, skeleton string, main boolean"))
-    unmarked = rows.select("host", "html").join(known.where("NOT main").select("host", "skeleton"), "host")
-    keep = article_slots(unmarked.select("host", "html", "skeleton"))
+    known = written(wrappers(rows.select("host", "html")))
+    keep = article_slots(rows.join(known, "host").select("host", "html", "skeleton"))
     known = written(known.join(keep, "host", "left").select("host", "skeleton", "keep"))
     # one row a host; the files' size tells Spark whether to broadcast it, and AQE splits a hot host's pages otherwise
     ready = rows.join(known, "host", "left").select("row", "html", "skeleton", "keep")

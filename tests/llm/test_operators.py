@@ -123,6 +123,16 @@ def test_unmarked_article_is_found_by_its_host(spark):
         assert r.text == f"Title {i}\n\nText {i} with a few more words, {i * 7} of them." + (f"\n\nalso {i}" if i % 2 else "")
 
 
+def test_names_are_whole_and_on_containers(spark):
+    named = """<article><h2 id="discussion">Discussion</h2><p id="notice-1">first</p><section id="related-work"><p>work</p></section><section id="discussion"><p>talk</p></section>
+<p>see <code>a <span class="hljs-comment"># b</span></code> c</p><div class="notice">kept</div><div class="post-comments">no</div><div class="related"><a href=/>no</a></div></article>"""
+    menu = """<div class="main-menu"><p>no <a href=/>a long entry of the menu</a></div><ul id="main-nav"><li>no</ul><div class="main"><a href=/>no</a></div><div id="text"><h1>Title</h1><p>the article</div>"""
+    pages = [(1, "http://a.org/1", named), (2, "http://b.org/1", menu), (3, "http://c.org/1", '<div>no</div><div id="main-content">yes</div>')]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[1] == "Discussion\n\nfirst\n\nwork\n\ntalk\n\nsee a # b c\n\nkept"
+    assert (got[2], got[3]) == ("Title\n\nthe article", "yes")
+
+
 def test_marks_count_at_any_depth(spark):
     deep = "<div>" * 100 + "<script>no</script><nav>no</nav><article><p>yes</p><aside>no</aside><!-- no --><p>also</p></article><p>no</p><form>no"
     df = spark.createDataFrame([(1, "http://d.org/1", deep)], "page_id long, url string, html string")

@@ -13,8 +13,7 @@ The wrapper tells slots apart. Menus, headers, footers, forms, notices and the
 like are known by tag, class, id or role; if the host's wrapper has an article
 or main part, the text is what is left inside it. Otherwise the slots'
 statistics over the host decide: a slot with one text on many pages is
-template, one made of links is a menu, and the smallest part of the wrapper
-that holds most of the other text is the article.
+template, one made of links is a menu, and all the other text is the article.
 """
 
 from __future__ import annotations
@@ -303,31 +302,13 @@ def _slot_rows(batches):
 
 
 def article_slots(pages: DataFrame) -> DataFrame:
-    """(host, html, skeleton) -> (host, keep): the path of the article part of
-    hosts without a marked one, and the slots in it that are text."""
+    """(host, html, skeleton) -> (host, keep): the slots that are text, for
+    pages without a marked article. Whatever varies and is no menu is kept."""
     rows = pages.mapInArrow(_slot_rows, "host string, slot string, text long, n long, links long, page long")
     # a sketch is enough for "many different pages"; links and text are summed exactly
     stats = rows.groupBy("host", "slot").agg(F.min("text").alias("a"), F.max("text").alias("z"), F.sum("n").alias("n"), F.sum("links").alias("links"), F.approx_count_distinct("page").alias("pages"))
     text = stats.where(f"NOT (a = z AND pages >= {TEMPLATE_PAGES}) AND links * 2 < n")
-
-    def choose(t: pa.Table) -> pa.Table:
-        found = sorted(zip(t.column("slot").to_pylist(), t.column("n").to_pylist()))
-        total, best = sum(n for _, n in found), ""
-        while True:  # down to the smallest part with most of the text
-            deeper: dict[str, int] = {}
-            for s, n in found:
-                rest = s[len(best):].split("/") if s.startswith(best) else []
-                if len(rest) > 2:  # a part that holds blocks; a block holds its slot
-                    head = best + rest[0] + "/"
-                    deeper[head] = deeper.get(head, 0) + n
-            head = max(sorted(deeper), key=deeper.get, default=None)
-            if head is None or deeper[head] * 10 < total * 7:
-                break
-            best = head
-        keep = [s for s, _ in found if s.startswith(best)]
-        return pa.table({"host": pa.array([t.column("host")[0].as_py()], pa.string()), "keep": pa.array([keep], pa.list_(pa.string()))})
-
-    return text.groupBy("host").applyInArrow(lambda t: choose(t), "host string, keep array<string>")
+    return text.groupBy("host").agg(F.collect_list("slot").alias("keep"))
 
 
 def _texts(batches):

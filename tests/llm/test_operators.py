@@ -139,6 +139,15 @@ def test_marks_count_at_any_depth(spark):
     assert [r.text for r in htmltext.extract(df).collect()] == ["yes\n\nalso"]
 
 
+def test_unmarked_article_is_whole(spark):
+    items = lambda i: "".join(f"<li>entry {i * k} of a long list with many words</li>" for k in range(20))
+    page = lambda i: f"<body><div><a href=/>home</a></div><div><h1>Title {i}</h1><p>intro {i}</p><ul>{items(i)}</ul></div><section><div>end {i}</div></section><div>All rights reserved</div>"
+    df = spark.createDataFrame([(i, f"http://w.net/{i}", page(i)) for i in range(1, 8)], "page_id long, url string, html string")
+    for r in htmltext.extract(df).collect():
+        i = r.page_id
+        assert r.text == "\n\n".join([f"Title {i}", f"intro {i}", *(f"entry {i * k} of a long list with many words" for k in range(20)), f"end {i}"])
+
+
 def test_alignment():
     p = lambda *parts: tuple((x, 0, ()) if isinstance(x, str) else x for x in parts)
     assert htmltext.fold(p("a", "a", "b")) == (("a", 2, ()), ("b", 0, ()))

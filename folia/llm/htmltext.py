@@ -10,10 +10,11 @@ aligned in 16 salted parts and the parts' wrappers with each other, so a host
 with a third of all pages is neither collected nor aligned in one task.
 
 The wrapper tells slots apart. Menus, headers, footers, forms, notices and the
-like are known by tag, class, id or role; if the host's wrapper has an article
-or main part, the text is what is left inside it. Otherwise the slots'
-statistics over the host decide: a slot with one text on many pages is
-template, one made of links is a menu, and all the other text is the article.
+like are known by tag, class, id or role. The slots' statistics over the host
+decide on the rest, inside a page's article or main part as well as on pages
+without one: a text that is in its slot on nearly all of many pages is
+template, a slot made of links is a menu, and all the other text is the
+article. A page with a main part gives what is left inside it.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ MAX_GROUP = 8
 #: A slot with one text on this many different pages is part of the template.
 TEMPLATE_PAGES = 5
 OPTIONAL, REPEATED = 1, 2
-#: State of an open element: inside clutter, inside what may be clutter, inside a main part by tag or role, or by class or id.
-HIDE, DOUBT, MARKED, NAMED = 1, 2, 4, 8
+#: State of an open element: inside clutter, inside what may be clutter, inside a main part by tag or role, or by class or id, inside a heading.
+HIDE, DOUBT, MARKED, NAMED, HEADING = 1, 2, 4, 8, 16
 
 # Names with a meaning in HTML and in common class names.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -50,7 +51,8 @@ CLUTTER = frozenset("ad ads adv advert adverts advertisement advertising banner
                     "share sharing sidebar skip social sponsor sponsored subscribe tags toolbar widget widgets".split())
 # Names that head parts of articles too: their blocks go only if they are made of links, or template by the host's pages.
 DOUBTFUL = frozenset("advertising advertisement comment cookie cookies copyright dialog disclaimer discussion header navigation notice notices notification notifications promotion recommended related responses search skip social tags".split())
-UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6 p pre code blockquote address caption figcaption dt dd".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+UNNAMED = frozenset("html body p pre code blockquote address caption figcaption dt dd".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table article section div body main td th".split())
@@ -70,6 +72,8 @@ def verdict(tag: str, tokens: list[tuple[str, str]]) -> int:
         return HIDE
     if tag in MAIN:
         return MARKED
+    if tag in HEADINGS:
+        return HEADING
     state = doubt = 0
     for key, token in tokens if tag not in UNNAMED else ():
         words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
@@ -235,11 +239,12 @@ def slots(children, parts, path=()):
 def blocks(html: str | None, parts) -> list[tuple]:
     """(text, link characters, slot, in main) of a page's texts outside clutter.
 
-    A main part known by its name only counts if it holds text that is no
+    The slot is given as text, "=" before those in a main part, "=h" before headings there. A main part known by its name only counts if it holds text that is no
     menu; a block with a doubtful name goes if it is made of links."""
     found = [x for x in slots(Page(html).children, parts) if not (x[3] & DOUBT and x[1] * 2 >= len(x[0]))]
     main = MARKED | (NAMED if any(x[3] & NAMED and x[1] * 2 < len(x[0]) for x in found) else 0)
-    return [(text, links, slot, bool(state & main)) for text, links, slot, state in found]
+    marks = [("=h" if state & HEADING else "=") if state & main else "" for *_, state in found]
+    return [(text, links, mark + "/".join(map(str, slot)), mark != "") for (text, links, slot, _), mark in zip(found, marks)]
 
 
 def _flat(parts):
@@ -249,10 +254,6 @@ def _flat(parts):
     return out
 
 
-def _dump(slot) -> str:
-    return "/".join(map(str, slot))
-
-
 # ------------------------------------------------------------------- the jobs
 
 def _skeletons(batches):
@@ -289,40 +290,78 @@ class _Wrappers(dict):
 
 
 def _slot_rows(batches):
+    """A row for each slot of a page, without a text, and one for each of its texts."""
     seen = _Wrappers()
     for b in batches:
         out: list = [[], [], [], [], [], []]
         for h, html, w in zip(*(c.to_pylist() for c in b.columns)):
             found = blocks(html, seen[w])
             page = xxhash.xxh64_intdigest("\n".join(x[0] for x in found)) >> 1
+            sums: dict[tuple, list[int]] = {}
             for text, links, slot, _ in found:
-                for c, v in zip(out, (h, _dump(slot), xxhash.xxh64_intdigest(text) >> 1, len(text), links, page)):
+                for key in ((slot, None), (slot, _digest(text))):
+                    of = sums.setdefault(key, [0, 0])
+                    of[0] += len(text)
+                    of[1] += links
+            for (slot, text), (n, links) in sums.items():
+                for c, v in zip(out, (h, slot, text, n, links, page)):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.string(), pa.string(), *[pa.int64()] * 4))], names=["host", "slot", "text", "n", "links", "page"])
 
 
-def article_slots(pages: DataFrame) -> DataFrame:
-    """(host, html, skeleton) -> (host, keep): the slots that are text, for
-    pages without a marked article. Whatever varies and is no menu is kept."""
+def _digest(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) >> 1
+
+
+def template(pages: DataFrame) -> DataFrame:
+    """(host, html, skeleton) -> (host, off): what is no article text on the
+    host's pages, lines of "slot" for menus and "slot text" for template.
+
+    Pages with equal texts count once. Outside main parts, slots made of links
+    go, and the texts of slots with one text on TEMPLATE_PAGES pages, wherever
+    the wrapper placed them ("* text"). In a main part more is
+    needed: a text goes that is on nine of ten pages with its slot (a heading
+    only if its slot has no other), and a slot made of links that is no
+    heading, both on TEMPLATE_PAGES at least. Where texts alike are half of the
+    main parts, the pages are copies of one another, and they stay.
+    """
     rows = pages.mapInArrow(_slot_rows, "host string, slot string, text long, n long, links long, page long")
-    # a sketch is enough for "many different pages"; links and text are summed exactly
-    stats = rows.groupBy("host", "slot").agg(F.min("text").alias("a"), F.max("text").alias("z"), F.sum("n").alias("n"), F.sum("links").alias("links"), F.approx_count_distinct("page").alias("pages"))
-    text = stats.where(f"NOT (a = z AND pages >= {TEMPLATE_PAGES}) AND links * 2 < n")
-    return text.groupBy("host").agg(F.collect_list("slot").alias("keep"))
+    once = rows.groupBy("host", "slot", "text", "page").agg(F.max("n").alias("n"), F.max("links").alias("links"))
+    sums = once.groupBy("host", "slot", "text").agg(F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("links").alias("links"))
+    sums = written(sums.where(f"text IS NULL OR pages >= {TEMPLATE_PAGES}"))
+    menu = f"links * 2 >= n AND (NOT startswith(slot, '=') OR NOT startswith(slot, '=h') AND pages >= {TEMPLATE_PAGES})"
+    slot = sums.where("text IS NULL").select("host", "slot", F.col("pages").alias("of"), F.col("n").alias("size"), F.expr(menu).alias("menu"), F.expr("startswith(slot, '=')").alias("main"))
+    alike = sums.where("text IS NOT NULL").join(slot.where("NOT menu"), ["host", "slot"]).where("pages * 10 >= of * 9")
+    outside = alike.where("NOT main AND n = size").select("host", F.lit("*").alias("slot"), "text")
+    share = slot.where("main AND NOT menu").groupBy("host").agg(F.sum("size").alias("all")).join(alike.where("main").groupBy("host").agg(F.sum("n").alias("same")), "host").where("same * 2 < all")
+    inside = alike.where("main AND (n = size OR NOT startswith(slot, '=h'))").join(share, "host").select("host", "slot", "text")
+    off = slot.where("menu").select("host", F.col("slot").alias("x")).unionByName(outside.unionByName(inside).select("host", F.concat_ws(" ", "slot", F.col("text").cast("string")).alias("x")))
+    return off.groupBy("host").agg(F.concat_ws("\n", F.sort_array(F.collect_list("x"))).alias("off"))
+
+
+class _Off(dict):
+    """Parsed results of ``template`` of the hosts met lately."""
+
+    def __missing__(self, text: str | None) -> frozenset:
+        if len(self) > 1000:
+            self.clear()
+        off = self[text] = frozenset(text.split("\n") if text else ())
+        return off
 
 
 def _texts(batches):
-    seen = _Wrappers()
+    seen, offs = _Wrappers(), _Off()
     for b in batches:
         out = []
-        for html, w, keep in zip(*(c.to_pylist() for c in b.columns[1:])):
-            found = blocks(html, seen[w])
-            main = [x[0] for x in found if x[3]]
-            if not main and keep:
-                kept = set(keep)
-                main = [x[0] for x in found if _dump(x[2]) in kept]
-            if not main:  # a page unlike its host's others: all that is no menu
-                main = [x[0] for x in found if x[1] * 2 < len(x[0])]
+        for html, w, off in zip(*(c.to_pylist() for c in b.columns[1:])):
+            found, off = blocks(html, seen[w]), offs[off]
+            marked = [x for x in found if x[3]]
+            main = []
+            for text, _, slot, _ in marked or found:
+                if not off or slot not in off and f"{slot if marked else '*'} {_digest(text)}" not in off:
+                    main.append(text)
+            if not main:  # a page of template only: all that is marked, or else is no menu
+                main = [x[0] for x in marked] or [x[0] for x in found if x[1] * 2 < len(x[0])]
             out.append("\n\n".join(main))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
@@ -338,10 +377,10 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     """
     rows = pages.select(F.struct(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).alias("row"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     known = written(wrappers(rows.select("host", "html")))
-    keep = article_slots(rows.join(known, "host").select("host", "html", "skeleton"))
-    known = written(known.join(keep, "host", "left").select("host", "skeleton", "keep"))
+    off = template(rows.join(known, "host").select("host", "html", "skeleton"))
+    known = written(known.join(off, "host", "left").select("host", "skeleton", "off"))
     # one row a host; the files' size tells Spark whether to broadcast it, and AQE splits a hot host's pages otherwise
-    ready = rows.join(known, "host", "left").select("row", "html", "skeleton", "keep")
+    ready = rows.join(known, "host", "left").select("row", "html", "skeleton", "off")
     out = ready.mapInArrow(_texts, f"row {rows.schema['row'].dataType.simpleString()}, text string")
     return out.select("row.page_id", "row.url", "text")
 

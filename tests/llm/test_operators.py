@@ -148,6 +148,20 @@ def test_unmarked_article_is_whole(spark):
         assert r.text == "\n\n".join([f"Title {i}", f"intro {i}", *(f"entry {i * k} of a long list with many words" for k in range(20)), f"end {i}"])
 
 
+def test_wrapper_decides_inside_marked_articles(spark):
+    more = "<ul><li><a href=/a>Read this</a></li><li><a href=/b>and that</a></li></ul>"
+    marked = lambda i: f"<article><h1>Title {i}</h1><p>Text {i}, {i * 7} words of it.</p><p>Our shop is open.</p><p>Also {i}.</p>{more}<div>Sign up!</div></article><div>All rights reserved</div>"
+    plain = lambda i: f"<div><h2>Plain {i}</h2><p>Plain text {i}, {i * 7} words of it.</p></div><div>All rights reserved</div>"
+    copy = lambda i: f"<article><h1>One title</h1><p>One long text that all copies have.</p><p>{i}</p></article>"
+    pages = [(i, f"http://m.org/{i}", marked(i)) for i in range(8)] + [(10 + i, f"http://m.org/p{i}", plain(i)) for i in range(3)] + [(20 + i, f"http://c.org/{i}", copy(i)) for i in range(8)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert got[i] == f"Title {i}\n\nText {i}, {i * 7} words of it.\n\nAlso {i}."
+        assert got[20 + i] == f"One title\n\nOne long text that all copies have.\n\n{i}"
+    for i in range(3):
+        assert got[10 + i] == f"Plain {i}\n\nPlain text {i}, {i * 7} words of it."
+
+
 def test_alignment():
     p = lambda *parts: tuple((x, 0, ()) if isinstance(x, str) else x for x in parts)
     assert htmltext.fold(p("a", "a", "b")) == (("a", 2, ()), ("b", 0, ()))

@@ -8,7 +8,8 @@ graph joins patterns and instances. In each round a pattern is scored by the
 share of its instances that are believed to be of one kind, patterns with
 enough instances and a high share are accepted, and their instances become
 believed (noisy-or over their patterns) and vote for further patterns.
-Identifier-like tokens after an accepted pattern are added as spans.
+Identifier-like tokens after an accepted pattern are added as spans, and so
+are all key-like tokens.
 
 Everything is DataFrame expressions. A match's place is the length of all
 pieces before it: ``split`` gives the pieces between matches,
@@ -41,7 +42,6 @@ SECRET = r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{16,}|[0-9A-Z]{16,})$"
 CONTEXT = r"([\p{L}_]{2,24})([^\p{L}\p{N}_]{1,4})$"
 
 KINDS = ("email", "ip", "card", "phone", "secret")
-ROUNDS = 2
 MIN_INSTANCES = 5
 MIN_SHARE = 0.8
 _BLOCK = 256
@@ -122,42 +122,48 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), spans.alias("base"), tokens.alias("tokens")))
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS, min_instances: int = MIN_INSTANCES, min_share: float = MIN_SHARE) -> DataFrame:
+def bootstrap(found: DataFrame, min_instances: int = MIN_INSTANCES, min_share: float = MIN_SHARE) -> DataFrame:
     """Accepted patterns (word, mark, kind, share) of the entities found.
 
     Edges of the graph are distinct (pattern, instance) pairs, so copies of a
     document add nothing. A pattern's share for a kind is the mean belief, in
-    that kind, of its instances.
+    that kind, of its instances. Rounds go on until the accepted patterns are
+    those of an earlier round.
     """
     both = found.select(F.explode(F.concat("base", "tokens")).alias("x")).where("x.c.word <> ''")
     edges = staged(both.select("x.c.word", "x.c.mark", "x.v", "x.kind").groupBy("word", "mark", "v").agg(F.min("kind").alias("kind")))
     seeds = staged(edges.where("kind IS NOT NULL").groupBy("v").agg(F.min("kind").alias("kind")).select("v", "kind", F.lit(1.0).alias("belief")))
     edges = edges.select("word", "mark", "v")
     total = edges.groupBy("word", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_instances)
-    belief, accepted = seeds, None
-    for _ in range(rounds):
+    belief, met = seeds, set()
+    while True:
         votes = edges.join(belief, "v").groupBy("word", "mark", "kind").agg(F.sum("belief").alias("b"))
         accepted = votes.join(total, ["word", "mark"]).select("word", "mark", "kind", (F.col("b") / F.col("n")).alias("share")).where(F.col("share") >= min_share)
         accepted = staged(accepted)
+        mark = tuple(accepted.agg(F.count("*"), F.sum(F.xxhash64("word", "mark", "kind").cast("decimal(38,0)"))).first())
+        if mark in met:
+            return accepted
+        met.add(mark)
         doubt = edges.join(accepted, ["word", "mark"]).groupBy("v", "kind").agg(F.sum(F.log(F.greatest(1 - F.col("share"), F.lit(1e-6)))).alias("d"))
         told = doubt.select("v", "kind", (1 - F.exp("d")).alias("belief")).join(seeds.select("v"), "v", "left_anti")
         belief = seeds.unionByName(told)
-    return accepted
 
 
-def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, base, added): arrays of (kind number, s, e) sorted by kind and start.
 
     Null and empty texts have no spans. Rows are judged one by one: null and
     repeated ids, and repeated rows, give a row each. Ties between kinds of an
-    accepted pattern cannot occur (a share of 0.8 leaves one). A span added
+    accepted pattern cannot occur (a share of 0.8 leaves one). Key-like tokens
+    are secrets wherever they stand, after a pattern or not. A span added
     never overlaps a base span. An empty table gives no rows; other columns
     are not read.
     """
     found = entities(docs, id_col, text_col)
-    accepted = bootstrap(found, rounds)
-    tokens = found.select("row", "base", F.explode("tokens").alias("x")).select("row", "base", "x.s", "x.e", "x.c.word", "x.c.mark")
-    hits = tokens.join(accepted.select("word", "mark", "kind"), ["word", "mark"])
+    accepted = bootstrap(found)
+    tokens = found.select("row", "base", F.explode("tokens").alias("x")).select("row", "base", "x.s", "x.e", "x.c.word", "x.c.mark", F.col("x.kind").alias("seed"))
+    hits = tokens.join(accepted.select("word", "mark", "kind"), ["word", "mark"]).select("row", "base", "s", "e", "kind")
+    hits = hits.unionByName(tokens.where("seed IS NOT NULL").select("row", "base", "s", "e", F.col("seed").alias("kind")))
     hits = hits.where(~F.exists("base", lambda b: (b["s"] < F.col("e")) & (b["e"] > F.col("s"))))
     hits = hits.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("kind", "s", "e"))).alias("added"))  # of one document
     plain = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["s"].alias("s"), b["e"].alias("e")))

@@ -327,6 +327,23 @@ def test_base_spans(spark, odd, none, texts):
     assert pii.find(none).count() == 0
 
 
+def test_key_like_tokens_need_no_pattern(spark):
+    key = "00a1b2c3d4e5f60718"
+    rows = [(1, f"{key} starts", 0), (2, f"room 7 {key}, {key[::-1]}", 0), (3, f"mail {key}@example.org", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = [r.text for r in pii.stage(spark, docs, DATA).orderBy("doc_id").collect()]
+    assert got == ["<secret> starts", "room 7 <secret>, <secret>", "mail <email>"]
+
+
+def test_rounds_go_on_until_no_pattern_is_added(spark):
+    key = lambda i: f"{i * 7919:08d}abcdef{i:06d}"
+    near, far = [f"near{i:03d}" for i in range(50)], [f"far{i:03d}" for i in range(5)]
+    places = [("one", [*map(key, range(1000)), *near]), ("two", near + far), ("three", far)]
+    rows = [(k, " ".join(f"{word}={x}" for x in values)) for k, (word, values) in enumerate(places)]
+    got = {r.doc_id: len(r.added) for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 1050, 1: 55, 2: 5}
+
+
 def test_context_finds_what_no_expression_knows(spark):
     key = lambda i: f"{i * 7919:08d}abcdef{i:06d}"
     rows = [(i, f"some words login_key={key(i)} and more") for i in range(20)] + [(100, "here login_key=short99 ends"), (101, "no key, room b12345 only")]

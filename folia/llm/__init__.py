@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and their registered queries.
+"""Training-data operators: corpus operators and their registered queries.
 
 Nothing outside this package imports it; ``__spark_entry__`` adds its queries
 only when it can be imported. Each operator module has a general function and

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classifier, decontaminate, htmltext, mixing, pii, rules, simhash, substrings, tokens, urlfilter
+from . import classifier, collocations, decontaminate, htmltext, licenses, mixing, pii, rules, simhash, substrings, tokens, urlfilter, whitening
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,10 +15,15 @@ QUERIES = {
     "op8_substrings": substrings.op8_substrings,
     "op9_rules": rules.op9_rules,
     "op10_pii": pii.op10_pii,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_licenses": licenses.op13_licenses,
 }
 ORACLE = {
     "op2_urlfilter": urlfilter.ORACLE,
     "op3_html": htmltext.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op8_substrings": substrings.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op13_licenses": licenses.ORACLE,
 }

@@ -135,3 +135,60 @@ def pieces(vocabulary, word):
         word = word[next((k for k in range(len(word), 0, -1) if word[:k] in vocabulary), 1) :]
         n += 1
     return n
+
+
+def collocations(rows, words=3, support=10, inside=50, top=2000):
+    """rows: (lang, text)."""
+    f, total = collections.Counter(), collections.Counter()
+    for lang, text in rows:
+        lang = lang if lang is not None else "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for n in range(1, words + 1):
+                for k in range(len(w) - n + 1):
+                    f[lang, tuple(w[k : k + n])] += 1
+    found = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= support}
+    outer = collections.Counter()
+    for (lang, p), a in found.items():
+        for n in range(2, len(p)):
+            for k in range(len(p) - n + 1):
+                outer[lang, p[k : k + n]] = max(outer[lang, p[k : k + n]], a)
+    ranked = collections.defaultdict(list)
+    for (lang, p), a in found.items():
+        if 100 * outer[lang, p] >= inside * a and outer[lang, p]:
+            continue
+        score, _, left, right = min((1000000 * a * a // (f[lang, p[:k]] * f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))
+        ranked[lang].append((-score, -a, " ".join(p).encode(), left, right))
+    return sorted((lang, k + 1, p.decode(), -a, left, right, total[lang], -s) for lang, x in ranked.items() for k, (s, a, p, left, right) in enumerate(sorted(x)[:top]))
+
+
+def phrases(rows, wanted):
+    """(doc_id, n_words, sorted (label, places))."""
+    out = []
+    for i, t in rows:
+        w, by = LATIN.findall(lower(t)), collections.defaultdict(list)
+        for label, phrase in wanted:
+            p = phrase.split()
+            by[label] += [k for k in range(len(w) - len(p) + 1) if w[k : k + len(p)] == p]
+        out.append((i, len(w), sorted((k, sorted(v)) for k, v in by.items() if v)))
+    return out
+
+
+def notices(rows, templates, more, threshold):
+    """(doc_id, block, label, containment) of every stretch of a notice's
+    length, the best in each block and template, without those explained by another."""
+    span = max(len(LATIN.findall(t)) for t in [x[1] for x in templates] + [x[1] for x in more])
+    out = set()
+    for i, t in rows:
+        w = LATIN.findall(lower(t))
+        for b in range(-(-len(w) // span)):
+            hits = []
+            for label, notice, must in templates:
+                seq = notice.split()
+                best = max((len(set(seq) & set(w[o : o + len(seq)])), -o) if set(must.split()) <= set(w[o : o + len(seq)]) else (0, -o) for o in range(b * span, (b + 1) * span))
+                if best[0] >= threshold * len(set(seq)) - 1e-9:
+                    shared = set(seq) & set(w[-best[1] : -best[1] + len(seq)])
+                    hits.append((label, shared, len(shared) / len(set(seq))))
+            out |= {(i, b, k, round(c, 9)) for k, s, c in hits if not any(s <= s2 and (len(s2) > len(s) or c2 > c) for _, s2, c2 in hits)}
+    return out

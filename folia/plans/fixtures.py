@@ -9,6 +9,7 @@ R2  sitemap documents from ``customer``
 R3  robots.txt documents for the hosts of ``pages``
 R4  search payloads from ``part``
 R5  edit-history payloads from ``events``
+R6  page documents (JSON) with sections 3 to 50 levels deep, from ``customer``
 """
 
 from __future__ import annotations
@@ -356,3 +357,25 @@ def r3_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN page_id % 4 IN (1, 3) THEN encode(html, 'ISO-8859-1') ELSE encode(html, 'UTF-8') END AS body",
         "TIMESTAMP'2026-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, page_id) AS fetched_at",
     )
+
+
+# ---------------------------------------------------------------- R6
+
+#: A document whose sections nest ``3 + k % 48`` deep: on every level below the first, the section that
+#: goes on is followed by a leaf. Every tenth document breaks a rule on its 40th (or last) level.
+R6_JSON = """concat(
+ '{"url":"https://wiki.example.org/page/Deep_', k, '","slug":"Deep_', k, '","title":"Deep ', k,
+ '","intro_text":null,"infobox":[],"lead_figure":null,"sections":[',
+ array_join(transform(sequence(1, depth), d -> concat('{"id":"s', d, '","title":"', name, ' ', d, '","level":', d + 1,
+   CASE WHEN k % 10 = 0 AND d = least(40, depth) THEN ',"media":7'
+        WHEN d % 7 = 0 THEN concat(',"media":[5,{"image_url":"https://img.example.org/d/', k, '/', d, '.png"}]') ELSE '' END,
+   CASE WHEN d % 2 = 0 THEN concat(',"text":"Text ', d, '"') ELSE '' END, ',"subsections":[')), ''),
+ array_join(transform(sequence(depth, 1, -1), d -> CASE WHEN d > 1
+   THEN concat(']},{"title":"Leaf ', d, '","level":', d + 1, '}') ELSE ']}' END), ''),
+ '],"references":[],"links":[],"metadata":{"status_code":200,"fetched_at_utc":"2026-01-01T00:00:00Z"}}')"""
+
+
+def r6_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6: documents (page_id, json)."""
+    src = table(spark, sf_dir, "customer", "c_custkey", "c_name").selectExpr("c_custkey AS k", "c_name AS name", "CAST(3 + c_custkey % 48 AS INT) AS depth")
+    return src.selectExpr("k AS page_id", f"{R6_JSON} AS json")

@@ -464,3 +464,31 @@ ORACLE.update({
         FROM (SELECT 'https' AS scheme, 'wiki.example.org' AS host, n FROM g)
         GROUP BY ROLLUP (scheme, host)""",
 })
+
+
+R6 = """
+dd AS (SELECT c_custkey AS k, c_name AS name, 3 + c_custkey % 48 AS depth, c_custkey % 10 = 0 AS bad FROM customer),
+dn AS (
+  SELECT k, depth, d AS seq, d, 's' || d AS id, name || ' ' || d AS title, CASE WHEN d % 2 = 0 THEN 'Text ' || d ELSE '' END AS text, d % 7 = 0 AS pic
+  FROM (SELECT *, unnest(range(1, depth + 1)) AS d FROM dd WHERE NOT bad)
+  UNION ALL
+  SELECT k, depth, 2 * depth - d + 1, d, NULL, 'Leaf ' || d, '', false FROM (SELECT *, unnest(range(2, depth + 1)) AS d FROM dd WHERE NOT bad))"""
+
+ORACLE.update({
+    "page_outline": _with(R6) + """
+        SELECT k AS page_id, seq::BIGINT AS seq, d::BIGINT AS depth, id, title, (d + 1)::BIGINT AS level, text,
+          CASE WHEN pic THEN 1 ELSE 0 END::BIGINT AS n_media FROM dn""",
+    "page_json_deep": _with(R6) + f""",
+        md AS (SELECT k, string_agg(repeat('#', CAST(d AS INT) + 1) || ' ' || title || CASE WHEN text <> '' THEN {NL2} || text ELSE '' END
+          || CASE WHEN pic THEN {NL2} || '![](https://img.example.org/d/' || k || '/' || d || '.png)' ELSE '' END, {NL2} ORDER BY seq) AS m FROM dn GROUP BY k)
+        SELECT dd.k AS page_id, CASE WHEN bad THEN 'bad_sections' END AS error, CASE WHEN NOT bad THEN '# Deep ' || dd.k || {NL2} || m END AS markdown
+        FROM dd LEFT JOIN md USING (k)""",
+    "page_json_deep_write": _with(R6) + """,
+        own AS (SELECT *, '{"id":' || coalesce('"' || id || '"', 'null') || ',"title":"' || title || '","level":' || (d + 1) || ',"text":"' || text || '","media":['
+          || CASE WHEN pic THEN '{"index":2,"image_url":"https://img.example.org/d/' || k || '/' || d || '.png","caption":null,"alt_text":null}' ELSE '' END
+          || '],"subsections":[' AS j FROM dn),
+        doc AS (SELECT k, string_agg(CASE WHEN seq <= depth THEN '' WHEN seq = depth + 1 THEN ']},' ELSE ']}]},' END || j, '' ORDER BY seq) || ']}]}' AS s FROM own GROUP BY k)
+        SELECT k AS page_id, '{"url":"https://wiki.example.org/page/Deep_' || k || '","slug":"Deep_' || k || '","title":"Deep ' || k
+          || '","intro_text":null,"infobox":[],"lead_figure":null,"sections":[' || s || '],"references":[],"links":[],"metadata":{"status_code":200,'
+          || '"fetched_at_utc":"2026-01-01T00:00:00Z","canonical_url":null,"description":null,"keywords":null}}' AS json FROM doc""",
+})

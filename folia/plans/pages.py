@@ -18,7 +18,7 @@ from folia.operators import render as R
 from folia.operators import sections as S
 from folia.operators.extract import page_frame
 from folia.operators.shred import shred
-from folia.plans.fixtures import r1_pages
+from folia.plans.fixtures import r1_pages, r6_documents
 from folia.session import materialize, table
 
 
@@ -273,6 +273,31 @@ def r1_json_write(spark, sf_dir):
     return J.page_json_write(_r1_records(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- R6 documents
+
+def r6_markdown(spark, sf_dir):
+    """Documents with sections of any depth: their Markdown, or why they are rejected."""
+    from folia.sources import pagejson as J
+
+    return R.with_markdown(J.page_json_read(r6_documents(spark, sf_dir))).select("page_id", "error", "markdown")
+
+
+def r6_outline(spark, sf_dir):
+    """All their sections in document order."""
+    from folia.operators.outline import outline_rows
+    from folia.sources import pagejson as J
+
+    records = J.page_json_read(r6_documents(spark, sf_dir)).where("error IS NULL")
+    return outline_rows(records).selectExpr("page_id", "seq", "depth", "id", "title", "CAST(level AS BIGINT) AS level", "text", "CAST(size(media) AS BIGINT) AS n_media")
+
+
+def r6_json_write(spark, sf_dir):
+    """The accepted documents, written again with every field."""
+    from folia.sources import pagejson as J
+
+    return J.page_json_write(J.page_json_read(r6_documents(spark, sf_dir)).where("error IS NULL"))
+
+
 # ---------------------------------------------------------------- rollups
 
 def r1_link_hosts(spark, sf_dir):

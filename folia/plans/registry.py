@@ -64,6 +64,9 @@ def queries() -> dict[str, Query]:
         "markdown_render": PG.r1_markdown,
         "page_json_write": PG.r1_json_write,
         "page_json_read": PG.r1_json_roundtrip,
+        "page_json_deep": PG.r6_markdown,
+        "page_json_deep_write": PG.r6_json_write,
+        "page_outline": PG.r6_outline,
         "link_hosts": PG.r1_link_hosts,
         "infobox_labels": PG.r1_infobox_labels,
         "page_stats_rollup": PG.r1_stats_by_host,

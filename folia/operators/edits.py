@@ -10,12 +10,14 @@ dropped silently.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folia.functions.sql import aggregate
 from folia.functions.text import py_strip
 from folia.functions.times import ISO_TEXT, iso_time
+from folia.session import materialize
 
 _INT_TYPES = "('BIGINT', 'INT', 'SMALLINT', 'TINYINT', 'BOOLEAN')"
 
@@ -53,10 +55,11 @@ def _count(v: str) -> str:
 
 
 def parse_batches(payloads: DataFrame) -> DataFrame:
-    """(slug, offset, payload) -> edit_batches: slug, offset, n, total_count,
-    has_more, error, items (entry VARIANTs, valid batches only)."""
+    """(slug, offset, payload) -> edit_batches: slug, offset, digest (of the
+    payload), n, total_count, has_more, error, items (entry VARIANTs)."""
     kept = [c for c in payloads.columns if c == "fetched_at"]
-    v = payloads.selectExpr("slug", "offset", *kept, "try_parse_json(payload) AS v")
+    kept.append("digest")
+    v = payloads.selectExpr("slug", "offset", *kept[:-1], "coalesce(md5(payload), '') AS digest", "try_parse_json(payload) AS v")
     reqs = _pick("v", "editRequests", "edit_requests")
     total = _pick("v", "totalCount", "total_count")
     more = _pick("v", "hasMore", "has_more")
@@ -90,64 +93,75 @@ def parse_batches(payloads: DataFrame) -> DataFrame:
     )
 
 
-def entries(batches: DataFrame) -> DataFrame:
-    """edit_entries: one row per entry of every valid batch, with the 14
-    EditHistoryEntry fields plus slug (page), offset and pos (1-based)."""
-    rows = batches.where("error IS NULL").selectExpr("slug AS page_slug", "offset", "posexplode(items) AS (p, x)")
-
+def _entry(x: str) -> dict[str, str]:
+    """The fields of an entry VARIANT."""
     def opt(camel: str, snake: str, strip: bool) -> str:
-        raw = _s(_pick("x", camel, snake))
+        raw = _s(_pick(x, camel, snake))
         return f"nullif({py_strip(raw)}, '')" if strip else f"nullif({raw}, '')"
 
-    return rows.selectExpr(
-        "page_slug", "offset", "CAST(p + 1 AS BIGINT) AS pos",
-        "coalesce(try_variant_get(x, '$.id', 'string'), '') AS id",
-        "coalesce(try_variant_get(x, '$.slug', 'string'), '') AS slug",
-        f"coalesce({_s(_pick('x', 'userId', 'user_id'))}, '') AS user_id",
-        "coalesce(try_variant_get(x, '$.status', 'string'), '') AS status",
-        "coalesce(try_variant_get(x, '$.type', 'string'), '') AS type",
-        "coalesce(try_variant_get(x, '$.summary', 'string'), '') AS summary",
-        f"{opt('originalContent', 'original_content', False)} AS original_content",
-        f"{opt('proposedContent', 'proposed_content', False)} AS proposed_content",
-        f"{opt('sectionTitle', 'section_title', True)} AS section_title",
-        f"{_time(_pick('x', 'createdAt', 'created_at_utc'))} AS created_at_utc",
-        f"{_time(_pick('x', 'updatedAt', 'updated_at_utc'))} AS updated_at_utc",
-        f"{_count(_pick('x', 'upvoteCount', 'upvote_count'))} AS upvote_count",
-        f"{_count(_pick('x', 'downvoteCount', 'downvote_count'))} AS downvote_count",
-        f"{opt('reviewReason', 'review_reason', True)} AS review_reason",
-    )
-
-
-def newest_batches(batches: DataFrame) -> DataFrame:
-    """One batch for each (slug, offset): the one fetched last where there is
-    a ``fetched_at`` column, else one of several chosen by content."""
-    order = "struct(fetched_at, to_json(items))" if "fetched_at" in batches.columns else "struct(error IS NULL, n, to_json(items))"
-    columns = [c for c in batches.columns if c not in ("slug", "offset")]
-    picked = batches.groupBy("slug", "offset").agg(F.max_by(F.struct(*columns), F.expr(order)).alias("b"))
-    return picked.select("slug", "offset", "b.*")
-
-
-_CHAIN_T = "array<struct<offset:bigint,n:bigint,total_count:bigint,has_more:boolean,valid:boolean>>"
-
+    plain = lambda key: f"coalesce(try_variant_get({x}, '$.{key}', 'string'), '')"
+    return {
+        "id": plain("id"), "slug": plain("slug"), "user_id": f"coalesce({_s(_pick(x, 'userId', 'user_id'))}, '')",
+        "status": plain("status"), "type": plain("type"), "summary": plain("summary"),
+        "original_content": opt("originalContent", "original_content", False), "proposed_content": opt("proposedContent", "proposed_content", False),
+        "section_title": opt("sectionTitle", "section_title", True),
+        "created_at_utc": _time(_pick(x, "createdAt", "created_at_utc")), "updated_at_utc": _time(_pick(x, "updatedAt", "updated_at_utc")),
+        "upvote_count": _count(_pick(x, "upvoteCount", "upvote_count")), "downvote_count": _count(_pick(x, "downvoteCount", "downvote_count")),
+        "review_reason": opt("reviewReason", "review_reason", True),
+    }
 
-def chains(batches: DataFrame) -> DataFrame:
-    """The pagination loop as a table: per page the batches it reads, in order.
 
-    The loop starts at the page's first offset, goes on at offset + n, and
-    stops at a batch that says so, is empty or cannot be parsed, or where no
-    batch starts. One narrow struct for each batch (25 entries) is gathered
-    per page; the entries themselves are not."""
-    meta = F.struct("offset", "n", "total_count", "has_more", F.expr("error IS NULL AS valid"))
-    per_page = batches.groupBy("slug").agg(F.array_sort(F.collect_list(meta)).alias("all"))
-
-    def step(a: str, b: str) -> str:
-        # sorted by offset, so what the loop asks for next lies ahead or is missing
-        going = f"{b}.has_more AND {b}.n > 0 AND {b}.valid"
-        return (f"CASE WHEN {a}.next = {b}.offset THEN named_struct('next', CASE WHEN {going} THEN {b}.offset + {b}.n END, "
-                f"'out', concat({a}.out, array({b}))) ELSE {a} END")
-
-    run = aggregate("all", f"named_struct('next', all[0].offset, 'out', CAST(array() AS {_CHAIN_T}))", step)
-    return per_page.selectExpr("slug", f"{run} AS r").selectExpr("slug", "r.out AS chain", "r.next IS NOT NULL AS cut")
+def entries(batches: DataFrame) -> DataFrame:
+    """edit_entries: one row per entry of every valid batch, with the 14
+    EditHistoryEntry fields plus slug (page), offset and pos (1-based)."""
+    rows = batches.where("error IS NULL").selectExpr("slug AS page_slug", "offset", "posexplode(items) AS (p, x)")
+    return rows.selectExpr("page_slug", "offset", "CAST(p + 1 AS BIGINT) AS pos", *[f"{e} AS {name}" for name, e in _entry("x").items()])
+
+
+def newest(batches: DataFrame) -> DataFrame:
+    """One batch for each (slug, offset), narrow: the one fetched last where
+    there is a ``fetched_at`` column, else a valid one before the others and
+    the longest; the payload's digest decides between equals. Columns: slug,
+    offset, n, total_count, has_more, valid, next (the offset the loop asks
+    for after it, null where it stops) and, if the batches have it, uid."""
+    names = ["fetched_at"] if "fetched_at" in batches.columns else ["valid", "n"]
+    kept = ["n", "total_count", "has_more", "valid"] + ["uid"] * ("uid" in batches.columns)
+    narrow = batches.withColumn("valid", F.expr("error IS NULL")).select("slug", "offset", "digest", *{*names, *kept})
+    picked = narrow.groupBy("slug", "offset").agg(F.max(F.struct(*names, "digest", *[c for c in kept if c not in names])).alias("b"))
+    rows = picked.select("slug", "offset", *[f"b.{c}" for c in kept])
+    return rows.withColumn("next", F.expr("CASE WHEN has_more AND n > 0 AND valid THEN offset + n END"))
+
+
+def _follow(reached: DataFrame, jumps: DataFrame) -> DataFrame:
+    """Where the jumps lead from what is reached."""
+    j = jumps.withColumnRenamed("slug", "s")
+    return reached.join(j, F.col("slug").eqNullSafe(F.col("s")) & (F.col("at") == F.col("offset"))).select("slug", F.col("to").alias("offset"))
+
+
+def chain(rows: DataFrame) -> DataFrame:
+    """The pagination loop as a table: of ``newest`` rows (written), those it reads.
+
+    The loop starts at a page's first offset and goes on at ``next`` while a
+    batch starts there. Pointers are doubled: after round k the first 2^k
+    batches of every page are reached, and a jump covers 2^k batches, so a
+    page of a million batches takes twenty rounds. Each round is two joins of
+    narrow rows on (page, offset); nothing is gathered per page.
+    """
+    there = rows.select(F.col("slug").alias("s"), F.col("offset").alias("o"))
+    jumps = rows.where("next IS NOT NULL").select("slug", F.col("offset").alias("at"), F.col("next").alias("to")).join(
+        there, F.col("slug").eqNullSafe(F.col("s")) & (F.col("to") == F.col("o")), "left_semi")
+    start = rows.groupBy("slug").agg(F.min("offset").alias("offset"))
+    found = [materialize(start)]
+    while True:
+        jumps = materialize(jumps)
+        new = materialize(_follow(reduce(DataFrame.unionByName, found), jumps))
+        if new.isEmpty():
+            break
+        found.append(new)
+        onward = jumps.select(F.col("slug").alias("s"), F.col("at").alias("mid"), F.col("to").alias("far"))
+        jumps = jumps.join(onward, F.col("slug").eqNullSafe(F.col("s")) & (F.col("to") == F.col("mid"))).select("slug", "at", F.col("far").alias("to"))
+    read = reduce(DataFrame.unionByName, found).select(F.col("slug").alias("s"), F.col("offset").alias("o"))
+    return rows.join(read, F.col("slug").eqNullSafe(F.col("s")) & (F.col("offset") == F.col("o")), "left_semi")
 
 
 def stitch(batches: DataFrame) -> DataFrame:
@@ -155,21 +169,27 @@ def stitch(batches: DataFrame) -> DataFrame:
     batch read, whether the loop found every batch it asked for
     (``contiguous``), whether all could be parsed (``valid``) and whether the
     history is complete (entries read = total)."""
-    rows = chains(newest_batches(batches)).selectExpr(
-        "slug", "CAST(size(chain) AS BIGINT) AS n_batches",
-        f"{aggregate('chain', '0L', lambda a, b: f'{a} + {b}.n')} AS n_entries",
-        "element_at(chain, -1).total_count AS total_count", "element_at(chain, -1).has_more AS has_more",
-        "NOT cut AS contiguous", "forall(chain, b -> b.valid) AS valid",
-    )
+    read = chain(materialize(newest(batches)))
+    rows = read.groupBy("slug").agg(
+        F.count("*").alias("n_batches"), F.sum("n").alias("n_entries"), F.max_by(F.struct("total_count", "has_more", "next"), "offset").alias("last"),
+        F.min("valid").alias("valid"))
+    rows = rows.selectExpr("slug", "n_batches", "n_entries", "last.total_count", "last.has_more", "last.next IS NULL AS contiguous", "valid")
     return rows.withColumn("complete", F.expr("valid AND contiguous AND n_entries = total_count"))
 
 
+def read_batches(batches: DataFrame) -> DataFrame:
+    """The batches that the loop reads, with their items. The bodies are
+    written once under a row number; all that is decided about them is decided
+    on narrow rows, and the numbers found choose the bodies."""
+    numbered = materialize(batches.withColumn("uid", F.monotonically_increasing_id()))
+    read = chain(materialize(newest(numbered.drop("items"))))
+    return numbered.join(read.select("uid"), "uid", "left_semi")
+
+
 def stitched_entries(batches: DataFrame) -> DataFrame:
     """Entries of the batches that the loop reads, with their rank in the
     combined history (offset + position)."""
-    newest = newest_batches(batches)
-    read = chains(newest).selectExpr("slug", "explode(chain) AS b").selectExpr("slug", "b.offset AS offset")
-    return entries(newest.join(read, ["slug", "offset"], "left_semi")).withColumn("rank", F.col("offset") + F.col("pos"))
+    return entries(read_batches(batches)).withColumn("rank", F.col("offset") + F.col("pos"))
 
 
 def page_slice(stitched: DataFrame, limit: int = 25, offset: int = 0) -> DataFrame:
@@ -189,22 +209,13 @@ def summary(stitched: DataFrame) -> DataFrame:
     )
 
 
-def write_batches(stitched: DataFrame, batches: DataFrame) -> DataFrame:
-    """Batches re-serialised with snake_case keys."""
-    iso = ISO_TEXT
-    entry = (
-        "named_struct('id', id, 'slug', slug, 'user_id', user_id, 'status', status, 'type', type, "
-        "'summary', summary, 'original_content', original_content, 'proposed_content', proposed_content, "
-        "'section_title', section_title, "
-        f"'created_at_utc', {iso.format(t='created_at_utc')}, 'updated_at_utc', {iso.format(t='updated_at_utc')}, "
-        "'upvote_count', upvote_count, 'downvote_count', downvote_count, 'review_reason', review_reason)"
-    )
-    per_batch = stitched.groupBy("page_slug", "offset").agg(
-        F.array_sort(F.collect_list(F.expr(f"struct(pos, {entry} AS e)"))).alias("items")
-    )
-    meta = newest_batches(batches).selectExpr("slug AS page_slug", "offset", "total_count", "has_more")
-    return per_batch.join(meta, ["page_slug", "offset"]).selectExpr(
-        "page_slug AS slug", "offset",
-        "to_json(named_struct('edit_requests', transform(items, i -> i.e), 'total_count', total_count, "
+def write_batches(read: DataFrame) -> DataFrame:
+    """Batches (of ``read_batches``) re-serialised with snake_case keys, each
+    in its row: (slug, offset, json). Batches without entries are left out."""
+    fields = _entry("x") | {name: ISO_TEXT.format(t=_entry("x")[name]) for name in ("created_at_utc", "updated_at_utc")}
+    made = "named_struct(" + ", ".join(f"'{name}', {e}" for name, e in fields.items()) + ")"
+    return read.where("error IS NULL AND size(items) > 0").selectExpr(
+        "slug", "offset",
+        f"to_json(named_struct('edit_requests', transform(items, x -> {made}), 'total_count', total_count, "
         "'has_more', has_more), map('ignoreNullFields', 'false')) AS json",
     )

@@ -7,19 +7,14 @@ query terms matched, then total term frequency, then page_id.
 
 from __future__ import annotations
 
-import heapq
-import sys
-from collections import Counter
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folia.functions import nodes as N
 from folia.functions import urls as U
 from folia.functions.text import py_strip
-from folia.session import ship_by_value
-from folia.functions.sql import filter_, let, transform
+from folia.functions.sql import aggregate, filter_, let, transform
+from folia.session import materialize
 
 SEARCH_BASE = "https://wiki.example.org"
 SEARCH_RESULTS = 25
@@ -111,62 +106,75 @@ def _tokens(e: str) -> str:
     return f"filter(split(lower({e}), '[^\\\\p{{L}}\\\\p{{N}}]+'), t -> t <> '')"
 
 
-def _best(shared, k: int):
-    """The best k documents of each query in a partition of (doc_id, tokens)."""
-    def run(batches):
-        queries = shared.value
-        wanted = {t for _, terms in queries for t in terms}
-        best: list[list] = [[] for _ in queries]
-        for batch in batches:
-            for doc, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = Counter(t for t in tokens or () if t in wanted)
-                if not counts:
-                    continue
-                for q, (_, terms) in enumerate(queries):
-                    found = [counts[t] for t in terms if t in counts]
-                    if found:
-                        # larger is better; a smaller id wins a tie, a null id loses it
-                        best[q].append((len(found), sum(found), doc is not None, -(doc or 0), doc))
-                        if len(best[q]) >= 4 * k + 100:
-                            best[q] = heapq.nlargest(k, best[q])
-        rows = [(queries[q][0], e[4], e[0], e[1]) for q in range(len(queries)) for e in heapq.nlargest(k, best[q])]
-        columns = list(zip(*rows)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["query", "doc_id", "n_terms", "tf"])
-    return run
-
-
-def corpus_search(docs: DataFrame, queries: DataFrame, limit: int = SEARCH_RESULTS, offset: int = 0, block_bytes: int = 8 << 20) -> DataFrame:
-    """Keyword search of a document table: (query, doc_id, rank, n_terms, tf),
-    ranks offset + 1 to offset + limit of every query.
-
-    Documents and queries are tokenised alike (lower-case, runs of letters or
-    digits). Ranking: distinct query terms matched, then total term
-    frequency, then doc_id. A document's query terms are counted in its row,
-    each task keeps its best rows of each query, and one shuffle of those
-    gives the ranks. Queries go out in blocks of ``block_bytes`` of text, a
-    pass over the documents for each.
+def build_index(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> the inverted index, written: (term, uid, doc_id, tf).
+
+    A row's tokens are sorted in the row; runs of equal ones are its postings,
+    so counting needs no exchange. Postings are dealt out by term and a part
+    of the rows, so a word of every document spreads over tasks, and lie
+    sorted by term, so a search skips files by their statistics. ``uid``
+    numbers the rows: ids may be null or repeat.
+    """
+    runs = let("array_sort(tokens)", lambda s: let(
+        f"filter(sequence(0, size({s}) - 1), i -> i = 0 OR {s}[i] <> {s}[i - 1])", lambda at: (
+            f"transform({at}, (p, j) -> named_struct('term', {s}[p], 'tf', CAST(coalesce(get({at}, j + 1), size({s})) - p AS BIGINT)))")))
+    rows = docs.selectExpr("monotonically_increasing_id() AS uid", "CAST(doc_id AS BIGINT) AS doc_id", f"{_tokens('text')} AS tokens").where("size(tokens) > 0")
+    postings = rows.selectExpr("uid", "doc_id", f"inline({runs})")
+    return materialize(postings.repartition("term", F.expr("uid % 8")).sortWithinPartitions("term"))
+
+
+def _top(scored: DataFrame, keep: int) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy(F.desc("n_terms"), F.desc("tf"), F.asc_nulls_last("doc_id"), "uid")
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)
+
+
+def _matches(wanted: DataFrame, index: DataFrame) -> DataFrame:
+    """(qid, terms wanted of it) -> (qid, uid, doc_id, n_terms, tf) over these terms."""
+    return wanted.selectExpr("qid", "explode(wanted) AS term").join(index, "term").groupBy("qid", "uid").agg(
+        F.count("*").alias("n_terms"), F.sum("tf").alias("tf"), F.any_value("doc_id").alias("doc_id"))
+
+
+def search_index(index: DataFrame, queries: DataFrame, limit: int = SEARCH_RESULTS, offset: int = 0) -> DataFrame:
+    """Ranks offset + 1 to offset + limit of every distinct query over an
+    index: (query, doc_id, rank, n_terms, tf).
+
+    Rank: distinct query terms matched, then total term frequency, then
+    doc_id. A query's terms are ordered by their number of documents, rarest
+    first. The rarest ones, with at least four times as many postings as
+    results, choose that many documents; the fewest terms that one of these
+    matches, theta, is a lower bound for any result. The theta / 2 most
+    frequent terms are then left out: whatever belongs in the results matches
+    theta less that many of the others, and only for documents that do are the
+    frequent terms looked up.
     """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be >= 0")
-    spark, keep = docs.sparkSession, limit + offset
-    tokens = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", f"{_tokens('text')} AS tokens")
-    rows = queries.select("query").distinct().selectExpr("query", f"array_distinct({_tokens('query')}) AS terms").where("size(terms) > 0").orderBy("query")
-    found, block, size = None, [], 0
-
-    def search(block):
-        part = tokens.mapInArrow(_best(spark.sparkContext.broadcast(block), keep), "query string, doc_id long, n_terms long, tf long")
-        return part if found is None else found.unionByName(part)
-
-    for r in rows.toLocalIterator():
-        block.append((r.query, r.terms))
-        size += len(r.query)
-        if size >= block_bytes:
-            found, block, size = search(block), [], 0
-    if block or found is None:
-        found = search(block)
-    w = Window.partitionBy("query").orderBy(F.desc("n_terms"), F.desc("tf"), F.asc_nulls_last("doc_id"))
-    ranked = found.withColumn("rank", F.row_number().over(w)).where((F.col("rank") > offset) & (F.col("rank") <= keep))
-    return ranked.select("query", "doc_id", "rank", "n_terms", "tf")
-
-
-ship_by_value(sys.modules[__name__])
+    keep = limit + offset
+    asked = queries.select("query").distinct().selectExpr("query", f"array_distinct({_tokens('query')}) AS terms").where("size(terms) > 0")
+    asked = materialize(asked.selectExpr("monotonically_increasing_id() AS qid", "query", "terms"))
+    wanted = asked.selectExpr("qid", "explode(terms) AS term")
+    spread = index.join(wanted.select("term").distinct(), "term").groupBy("term").agg(F.count("*").alias("df"))
+    ordered = wanted.join(spread, "term").groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("df", "term"))).alias("t"))  # a query's own terms
+    few = aggregate("t", "named_struct('n', 0, 'sum', 0L)", lambda a, x: f"CASE WHEN {a}.sum >= {4 * keep} THEN {a} ELSE named_struct('n', {a}.n + 1, 'sum', {a}.sum + {x}.df) END")
+    ordered = materialize(ordered.selectExpr("qid", "t.term AS terms", f"({few}).n AS few"))
+
+    seeds = _top(_matches(ordered.selectExpr("qid", "slice(terms, 1, few) AS wanted"), index), keep).select("qid", "uid", "n_terms")
+    rest = seeds.select("qid", "uid").join(ordered.selectExpr("qid", "explode(slice(terms, few + 1, size(terms))) AS term"), "qid").join(index, ["term", "uid"])
+    seeds = seeds.unionByName(rest.selectExpr("qid", "uid", "1L AS n_terms")).groupBy("qid", "uid").agg(F.sum("n_terms").alias("n_terms"))
+    bound = seeds.groupBy("qid").agg(F.count("*").alias("n"), F.min("n_terms").alias("m")).selectExpr("qid", f"CASE WHEN n >= {keep} THEN m ELSE 0 END AS theta")
+    plan = materialize(ordered.join(bound, "qid").selectExpr("qid", "terms", "theta", "CAST(theta DIV 2 AS INT) AS off"))
+
+    first = _matches(plan.selectExpr("qid", "slice(terms, 1, size(terms) - off) AS wanted"), index)
+    first = first.join(plan.selectExpr("qid", "theta - off AS least"), "qid").where("n_terms >= least").drop("least")
+    first = materialize(first.select("qid", "uid", "doc_id", "n_terms", "tf"))
+    frequent = plan.where("off > 0").selectExpr("qid", "explode(slice(terms, size(terms) - off + 1, off)) AS term")
+    looked = first.select("qid", "uid").join(frequent, "qid").join(index, ["term", "uid"]).selectExpr("qid", "uid", "doc_id", "1L AS n_terms", "tf")
+    scored = first.unionByName(looked).groupBy("qid", "uid").agg(F.sum("n_terms").alias("n_terms"), F.sum("tf").alias("tf"), F.any_value("doc_id").alias("doc_id"))
+    return _top(scored, keep).where(F.col("rank") > offset).join(asked.select("qid", "query"), "qid").select("query", "doc_id", "rank", "n_terms", "tf")
+
+
+def corpus_search(docs: DataFrame, queries: DataFrame, limit: int = SEARCH_RESULTS, offset: int = 0) -> DataFrame:
+    """Keyword search of a document table (doc_id, text): ``search_index``
+    over its index. Documents and queries are tokenised alike (lower-case,
+    runs of letters or digits); null texts match nothing."""
+    return search_index(build_index(docs), queries, limit, offset)

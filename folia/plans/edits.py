@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from folia.operators import edits as E
 from folia.plans.fixtures import r5_payloads
-from folia.session import materialize
 
 
 def _batches(spark, sf_dir):
-    """Parsed batches (the ``edit_batches`` table), written once for the job:
-    stitching reads them on two paths."""
-    return materialize(E.parse_batches(r5_payloads(spark, sf_dir)))
+    return E.parse_batches(r5_payloads(spark, sf_dir))
 
 
 def edit_payload_read(spark, sf_dir):
@@ -44,5 +41,4 @@ def edit_summary(spark, sf_dir):
 
 def edit_payload_write(spark, sf_dir):
     """The whole JSON document of every batch that is read."""
-    batches = _batches(spark, sf_dir)
-    return E.write_batches(E.stitched_entries(batches), batches)
+    return E.write_batches(E.read_batches(_batches(spark, sf_dir)))

@@ -3,10 +3,14 @@ responses, streams."""
 
 import datetime as dt
 import itertools
+import collections
 import json
+import random
+import re
 import urllib.robotparser
 
 import pytest
+from pyspark.sql import functions as F
 
 from folia.functions.udtf import register
 from folia.operators import edits as E
@@ -73,13 +77,39 @@ def test_html_hits_take_the_first_href_and_strip_it(spark):
     assert [r.page_url for r in got] == ["https://wiki.example.org/page/A", "https://wiki.example.org/page/C"]
 
 
-def test_corpus_search_pages_and_blocks(spark):
+def ranked(docs, queries, limit, offset=0):
+    """Plain keyword search: every document against every query."""
+    words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    out = []
+    for q in set(queries):
+        terms = set(words(q))
+        scored = []
+        for i, text in docs:
+            counts = collections.Counter(w for w in words(text) if w in terms)
+            if counts:
+                scored.append((-len(counts), -sum(counts.values()), i is None, i or 0))
+        out += [(q, None if null else i, k + 1, -n, -tf) for k, (n, tf, null, i) in enumerate(sorted(scored)) if offset <= k < offset + limit]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("limit, offset", [(25, 0), (5, 0), (1, 0), (3, 4), (0, 0)])
+def test_corpus_search_is_the_full_ranking(spark, limit, offset):
+    """Left-out frequent terms and the bound of the seeds lose no result."""
+    rng = random.Random(limit + offset)
+    vocabulary = [f"w{int(rng.paretovariate(0.6)) % 60}" for _ in range(400)]
+    docs = [(k, " ".join(rng.choices(vocabulary, k=rng.randint(0, 40)))) for k in range(150)] + [(None, "W1 w2, w3"), (7, "w1 w1"), (8, None), (9, "")]
+    queries = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 20))) for _ in range(25)] + ["W1!", "w1", "", "?!", "unheard words", "w1 unheard"]
+    got = SR.corpus_search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(q,) for q in queries + [queries[0], None]], "query string"), limit, offset)
+    assert sorted(map(tuple, got.select("query", "doc_id", "rank", "n_terms", "tf").collect()), key=str) == ranked(docs, queries, limit, offset)
+
+
+def test_an_index_serves_many_searches(spark):
     docs = spark.createDataFrame([(k, "red " * (k % 5) + "blue") for k in range(40)] + [(None, "red red red red red blue"), (99, None)], "doc_id long, text string")
-    queries = spark.createDataFrame([("Red, blue!",), ("red",), ("!",)], "query string")
-    whole = SR.corpus_search(docs, queries, limit=12).collect()
-    for block in (1, 1 << 20):
-        split = [r for o in (0, 5, 10) for r in SR.corpus_search(docs, queries, limit=5, offset=o, block_bytes=block).collect()]
-        assert sorted((r for r in split if r["rank"] <= 12), key=str) == sorted(whole, key=str)
+    index = SR.build_index(docs)
+    assert index.count() == 41 + 33
+    whole = SR.search_index(index, spark.createDataFrame([("Red, blue!",), ("red",), ("!",)], "query string"), limit=12).collect()
+    split = [r for o in (0, 5, 10) for r in SR.search_index(index, spark.createDataFrame([("Red, blue!",), ("red",)], "query string"), limit=5, offset=o).collect()]
+    assert sorted((r for r in split if r["rank"] <= 12), key=str) == sorted(whole, key=str)
     assert [r.doc_id for r in sorted(whole, key=lambda r: r["rank"]) if r.query == "red"][:4] == [None, 4, 9, 14]
 
 
@@ -121,9 +151,30 @@ def test_stitching_follows_the_offset_chain(spark):
     assert ids == [(k + 1, f"e{k}") for k in range(9)]
 
 
+def test_a_long_history_takes_few_rounds(spark, monkeypatch):
+    """20,000 batches of one page in a number of rounds that grows with their logarithm."""
+    rows = spark.range(20000).selectExpr("'long' AS slug", "id * 25 AS offset", "25L AS n", "500000L AS total_count", "id < 19999 AS has_more", "CAST(NULL AS STRING) AS error", "'' AS digest")
+    other = spark.range(1000).selectExpr("CASE WHEN id % 3 > 0 THEN concat('p', id DIV 3) END AS slug", "id * 10 AS offset", "10L AS n", "7L AS total_count", "true AS has_more", "CAST(NULL AS STRING) AS error", "'' AS digest")
+    written = []
+    monkeypatch.setattr(E, "materialize", lambda df, f=E.materialize: written.append(1) or f(df))
+    got = {r.slug: r for r in E.stitch(rows.unionByName(other).unionByName(rows)).collect()}
+    assert (got["long"].n_batches, got["long"].n_entries, got["long"].complete) == (20000, 500000, True)
+    assert got["p1"].n_batches == 2 and got["p1"].contiguous is False  # 40 and 50; nothing starts at 60
+    assert got[None].n_batches == 1 and len(written) < 40
+
+
+def test_equal_batches_are_read_once(spark):
+    rows = [("s", 0, batch(0, 2))] * 3 + [("s", 2, batch(2, 1, False, 3)), ("s", 2, batch(2, 1, False, 3)), ("s", 2, batch(5, 1, False, 3)), (None, 0, batch(0, 1, False, 1))]
+    batches = parsed(spark, rows)
+    ids = sorted((r["rank"], r.id) for r in E.stitched_entries(batches).where("page_slug = 's'").collect())
+    assert [k for k, _ in ids] == [1, 2, 3] and ids[2][1] in ("e2", "e5")
+    assert E.stitched_entries(batches).where("page_slug IS NULL").count() == 1
+    assert sorted(map(tuple, E.stitched_entries(batches.orderBy(F.desc("digest"))).select("rank", "id").collect())) == sorted(map(tuple, E.stitched_entries(batches).select("rank", "id").collect()))
+
+
 def test_written_times_keep_fractions(spark):
     batches = parsed(spark, [("s", 0, batch(0, 1, False, 1))])
-    doc = json.loads(E.write_batches(E.stitched_entries(batches), batches).first().json)
+    doc = json.loads(E.write_batches(E.read_batches(batches)).first().json)
     assert doc["edit_requests"][0]["updated_at_utc"] == "2024-05-06T07:08:09.250000Z"
     assert doc["edit_requests"][0]["created_at_utc"] == "2023-11-14T22:13:20Z" and doc["has_more"] is False
 

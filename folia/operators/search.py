@@ -103,7 +103,7 @@ def limit_results(hits: DataFrame, n: int) -> DataFrame:
 
 
 def _tokens(e: str) -> str:
-    return f"filter(split(lower({e}), '[^\\\\p{{L}}\\\\p{{N}}]+'), t -> t <> '')"
+    return f"array_remove(split(lower({e}), '[^\\\\p{{L}}\\\\p{{N}}]+'), '')"
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -113,8 +113,12 @@ def build_index(docs: DataFrame) -> DataFrame:
     so counting needs no exchange. Postings are dealt out by term and a part
     of the rows, so a word of every document spreads over tasks, and lie
     sorted by term, so a search skips files by their statistics. ``uid``
-    numbers the rows: ids may be null or repeat.
+    numbers the rows: ids may be null or repeat. A scan keeps its splits; the
+    session setting ``folia.shred.partitions`` deals a table of few files out.
     """
+    wanted = int(docs.sparkSession.conf.get("folia.shred.partitions", "0"))
+    docs = docs.select("doc_id", "text")
+    docs = docs.repartition(wanted) if wanted else docs
     runs = let("array_sort(tokens)", lambda s: let(
         f"filter(sequence(0, size({s}) - 1), i -> i = 0 OR {s}[i] <> {s}[i - 1])", lambda at: (
             f"transform({at}, (p, j) -> named_struct('term', {s}[p], 'tf', CAST(coalesce(get({at}, j + 1), size({s})) - p AS BIGINT)))")))
@@ -140,12 +144,13 @@ def search_index(index: DataFrame, queries: DataFrame, limit: int = SEARCH_RESUL
 
     Rank: distinct query terms matched, then total term frequency, then
     doc_id. A query's terms are ordered by their number of documents, rarest
-    first. The rarest ones, with at least four times as many postings as
-    results, choose that many documents; the fewest terms that one of these
-    matches, theta, is a lower bound for any result. The theta / 2 most
-    frequent terms are then left out: whatever belongs in the results matches
-    theta less that many of the others, and only for documents that do are the
-    frequent terms looked up.
+    first. The rarest ones, with 40 times as many postings as results, choose
+    twice that many documents; theta, the terms that the best of these match
+    at least, is a lower bound for every result. All but two of the theta
+    most frequent terms are then left out: whatever belongs in the results
+    matches two of the others, and only for documents that do are the
+    frequent terms looked up. The work grows with the postings read, not
+    with documents times queries.
     """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be >= 0")
@@ -153,16 +158,20 @@ def search_index(index: DataFrame, queries: DataFrame, limit: int = SEARCH_RESUL
     asked = queries.select("query").distinct().selectExpr("query", f"array_distinct({_tokens('query')}) AS terms").where("size(terms) > 0")
     asked = materialize(asked.selectExpr("monotonically_increasing_id() AS qid", "query", "terms"))
     wanted = asked.selectExpr("qid", "explode(terms) AS term")
-    spread = index.join(wanted.select("term").distinct(), "term").groupBy("term").agg(F.count("*").alias("df"))
+    index = materialize(index.join(wanted.select("term").distinct(), "term"))  # the matching postings: all that follows reads them
+    spread = index.groupBy("term").agg(F.count("*").alias("df"))
     ordered = wanted.join(spread, "term").groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("df", "term"))).alias("t"))  # a query's own terms
-    few = aggregate("t", "named_struct('n', 0, 'sum', 0L)", lambda a, x: f"CASE WHEN {a}.sum >= {4 * keep} THEN {a} ELSE named_struct('n', {a}.n + 1, 'sum', {a}.sum + {x}.df) END")
+    few = aggregate("t", "named_struct('n', 0, 'sum', 0L)", lambda a, x: f"CASE WHEN {a}.sum >= {40 * keep} THEN {a} ELSE named_struct('n', {a}.n + 1, 'sum', {a}.sum + {x}.df) END")
     ordered = materialize(ordered.selectExpr("qid", "t.term AS terms", f"({few}).n AS few"))
 
-    seeds = _top(_matches(ordered.selectExpr("qid", "slice(terms, 1, few) AS wanted"), index), keep).select("qid", "uid", "n_terms")
+    seeds = _top(_matches(ordered.selectExpr("qid", "slice(terms, 1, few) AS wanted"), index), 2 * keep)
+    seeds = materialize(seeds.select("qid", "uid", "n_terms"))
     rest = seeds.select("qid", "uid").join(ordered.selectExpr("qid", "explode(slice(terms, few + 1, size(terms))) AS term"), "qid").join(index, ["term", "uid"])
     seeds = seeds.unionByName(rest.selectExpr("qid", "uid", "1L AS n_terms")).groupBy("qid", "uid").agg(F.sum("n_terms").alias("n_terms"))
-    bound = seeds.groupBy("qid").agg(F.count("*").alias("n"), F.min("n_terms").alias("m")).selectExpr("qid", f"CASE WHEN n >= {keep} THEN m ELSE 0 END AS theta")
-    plan = materialize(ordered.join(bound, "qid").selectExpr("qid", "terms", "theta", "CAST(theta DIV 2 AS INT) AS off"))
+    place = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("n_terms")))
+    bound = seeds.withColumn("place", place).where(F.col("place") == keep).selectExpr("qid", "n_terms AS theta")
+    plan = ordered.join(bound, "qid", "left").selectExpr("qid", "terms", "coalesce(theta, 0) AS theta")
+    plan = materialize(plan.selectExpr("*", "CAST(greatest(theta - 2, 0) AS INT) AS off"))
 
     first = _matches(plan.selectExpr("qid", "slice(terms, 1, size(terms) - off) AS wanted"), index)
     first = first.join(plan.selectExpr("qid", "theta - off AS least"), "qid").where("n_terms >= least").drop("least")

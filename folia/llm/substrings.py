@@ -250,7 +250,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wi
     # hashing is what costs: made once, and of the second use only what may be in a window of two documents is shuffled
     windows = written(texts.join(suspects, "doc_id").select("doc_id", "t", "keys").mapInArrow(_second_pass(window), "doc_id long, ha long, hb int"))
     first = staged(windows.groupBy("ha", "hb").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("ha", "hb", "a"))
-    again = possibly_in(windows, first.select("ha").distinct(), F.col("ha")).where("maybe")
+    again = possibly_in(windows, first.select(F.col("ha").alias("key")).distinct(), F.col("ha")).where("maybe")
     later = again.join(first, ["ha", "hb"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_set("ha").alias("hashes"))
     cut = texts.join(later, "doc_id").select("doc_id", "t", "hashes").mapInArrow(_last_pass(window), "doc_id long, whole string, n_removed long, kept_sha256 string")
     return _result(all_docs, classes, cut)

@@ -66,9 +66,9 @@ def parse_entries(text: str) -> str:
     return let(end, lambda a: f"CASE WHEN {a}.state = 2 THEN concat({a}.out, array(named_struct('agents', {a}.agents, 'rules', {a}.rules))) ELSE {a}.out END")
 
 
-def robots_entries(docs: DataFrame) -> DataFrame:
+def robots_entries(docs: DataFrame, *keep_columns: str) -> DataFrame:
     """(robots_url, status, text) -> one row for each successful document:
-    robots_url, entries (agents, rules, is_default), in order."""
+    robots_url, ``keep_columns``, entries (agents, rules, is_default), in order."""
     def keep(es: str) -> str:
         star = filter_(transform(es, lambda e, i: f"CASE WHEN array_contains({e}.agents, '*') THEN {i} END", arity=2), lambda i: f"{i} IS NOT NULL")
         return let(f"coalesce({first(star)}, -1)", lambda d: filter_(
@@ -76,7 +76,7 @@ def robots_entries(docs: DataFrame) -> DataFrame:
             lambda e: f"({e}.is_default OR NOT array_contains({e}.agents, '*'))"))
 
     good = docs.where("status < 400 AND text IS NOT NULL")
-    return good.selectExpr("robots_url", f"{let(parse_entries('text'), keep)} AS entries")
+    return good.selectExpr("robots_url", *keep_columns, f"{let(parse_entries('text'), keep)} AS entries")
 
 
 def robots_rules(docs: DataFrame) -> DataFrame:
@@ -94,13 +94,22 @@ def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robot
     measured sizes and splits an origin that holds many URLs."""
     if not respect_robots or allow_override:
         return urls.selectExpr("page_id", "url", "'allowed' AS verdict")
+    targets = gate_targets(urls, "page_id", "url")
+    return gate_verdicts(targets.join(robots_entries(docs), "robots_url", "left"), user_agent)
+
+
+def gate_targets(urls: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of the URLs with the origin's robots URL and the target its rules are held against."""
+    return urls.selectExpr(*columns, f"{U.url_robots('url')} AS robots_url", f"{_robot_path('url')} AS path_q")
+
+
+def gate_verdicts(joined: DataFrame, user_agent: str) -> DataFrame:
+    """Targets with their origin's ``entries`` (null: none known) -> (page_id, url, verdict)."""
     token = lit(user_agent.split("/")[0].lower())
-    targets = urls.selectExpr("page_id", "url", f"{U.url_robots('url')} AS robots_url", f"{_robot_path('url')} AS path_q")
     named = first(filter_("entries", lambda e: f"(NOT {e}.is_default AND {exists(f'{e}.agents', lambda a: f'contains({token}, lower({a}))')})"))
     default = first(filter_("entries", lambda e: f"{e}.is_default"))
-    joined = targets.join(robots_entries(docs), "robots_url", "left").selectExpr("*", f"coalesce({named}, {default}) AS entry")
     decides = first(filter_("entry.rules", lambda r: f"startswith(path_q, {r}.prefix)"))
-    return joined.selectExpr("page_id", "url", "entries IS NOT NULL AS known", f"coalesce({decides}.allow, true) AS allow").selectExpr(
+    return joined.selectExpr("*", f"coalesce({named}, {default}) AS entry").selectExpr("page_id", "url", "entries IS NOT NULL AS known", f"coalesce({decides}.allow, true) AS allow").selectExpr(
         "page_id", "url", "CASE WHEN NOT known THEN 'unavailable' WHEN allow THEN 'allowed' ELSE 'disallowed' END AS verdict")
 
 

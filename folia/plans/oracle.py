@@ -492,3 +492,14 @@ ORACLE.update({
           || '","intro_text":null,"infobox":[],"lead_figure":null,"sections":[' || s || '],"references":[],"links":[],"metadata":{"status_code":200,'
           || '"fetched_at_utc":"2026-01-01T00:00:00Z","canonical_url":null,"description":null,"keywords":null}}' AS json FROM doc""",
 })
+
+_NEW_CHILD = """'https://assets.example.org/sitemap-new.xml', (SELECT count(*) FROM ch WHERE nation <> 24) + 1"""
+ORACLE.update({
+    "sitemap_table": _with(R2) + f"""
+        SELECT sitemap_url, sitemap_pos, loc_pos, page_url, 'https://wiki.example.org' || url_decode(regexp_extract(page_url, '^https://[^/]*(.*)$', 1)) AS key
+        FROM m WHERE sitemap_url NOT LIKE '%sitemap-24.xml' UNION ALL SELECT {_NEW_CHILD}, NULL, NULL, NULL""",
+    "sitemap_table_index": _with(R2) + f"""
+        SELECT sitemap_url, sitemap_pos, 1::BIGINT AS loaded FROM ch WHERE nation <> 24 UNION ALL SELECT {_NEW_CHILD}, 2""",
+    "sitemap_table_changes": ORACLE["sitemap_sync"],
+    "stream_robots_gate": ORACLE["robots_gate"],
+})

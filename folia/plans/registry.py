@@ -102,9 +102,13 @@ def queries() -> dict[str, Query]:
         "sitemap_lookup": SMP.sitemap_lookup,
         "sitemap_sync": SMP.sitemap_sync,
         "sitemap_refresh": SMP.sitemap_refresh,
+        "sitemap_table": SMP.sitemap_table,
+        "sitemap_table_index": SMP.sitemap_table_index,
+        "sitemap_table_changes": SMP.sitemap_table_changes,
         # Structured Streaming forms (run with availableNow, read back)
         "stream_pages": ST.stream_pages,
         "stream_url_dedupe": ST.stream_url_dedupe,
         "stream_edits_latest": ST.stream_edits_latest,
+        "stream_robots_gate": ST.stream_robots_gate,
     }
     return q

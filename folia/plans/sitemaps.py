@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-
 from folia.operators import sitemaps as SM
+from folia.operators.sitemap_table import SitemapTable
 from folia.plans.fixtures import SITEMAP_INDEX, r2_sitemap_docs
-from folia.session import table
+from folia.session import scratch_folder, table
 
 BASE = "https://wiki.example.org"
 
@@ -46,3 +46,26 @@ def sitemap_sync(spark, sf_dir):
 
 def sitemap_refresh(spark, sf_dir):
     return SM.refresh(r2_sitemap_docs(spark, sf_dir, snapshot=2), SITEMAP_INDEX)
+
+
+def _loaded(spark, sf_dir):
+    """A manifest table with both snapshots loaded, in a folder of this run."""
+    made = SitemapTable(spark, scratch_folder(spark, "sitemaps"))
+    for snapshot in (1, 2):
+        made.load(r2_sitemap_docs(spark, sf_dir, snapshot=snapshot), SITEMAP_INDEX)
+    return made
+
+
+def sitemap_table(spark, sf_dir):
+    """The manifest of the table's second version."""
+    return _loaded(spark, sf_dir).manifest().select("sitemap_url", "sitemap_pos", "loc_pos", "page_url", "key")
+
+
+def sitemap_table_index(spark, sf_dir):
+    """In which version each listed child was read: unchanged ones not again."""
+    return _loaded(spark, sf_dir).index().select("sitemap_url", "sitemap_pos", "loaded")
+
+
+def sitemap_table_changes(spark, sf_dir):
+    """From the first version to the second, computed on the table."""
+    return _loaded(spark, sf_dir).changes(1, 2)

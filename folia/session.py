@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -67,11 +69,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in ``folder``; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(path) if x.isDirectory()) if fs.exists(path) else []
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder name under the shared checkpoint folder, removed when this
+    process ends: results may be read until then."""
+    if not _scratch:
+        atexit.register(clear_scratch)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _scratch.append((spark, folder))
+    return folder
+
+
+def clear_scratch() -> None:
+    """Remove the scratch folders of this process."""
+    while _scratch:
+        spark, folder = _scratch.pop()
+        with contextlib.suppress(Exception):  # the session may have ended; nothing is read from them any more
+            remove_folder(spark, folder)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the shared checkpoint folder and read
     from there: several branches read it by column, and a lost executor
     re-reads files instead of recomputing."""
-    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/frame-{uuid.uuid4().hex}"
+    folder = scratch_folder(df.sparkSession, "frame")
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

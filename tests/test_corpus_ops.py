@@ -1,9 +1,9 @@
 """Corpus operators on hand-made rows: robots, sitemaps, search, edits,
 responses, streams."""
 
+import collections
 import datetime as dt
 import itertools
-import collections
 import json
 import random
 import re
@@ -17,9 +17,11 @@ from folia.operators import edits as E
 from folia.operators import robots as RB
 from folia.operators import search as SR
 from folia.operators import sitemaps as SM
+from folia.operators.sitemap_table import SitemapTable
 from folia.operators.shred import shred
 from folia.sources import responses as RS
 from folia.streaming import jobs as ST
+from folia.streaming.store import LatestStore
 
 ORIGIN = "https://h.example"
 
@@ -217,3 +219,99 @@ def test_streams_resume_and_equal_the_batch(spark, tmp_path):
     assert keys() == ["https://a.example/x", "https://a.example/y"]
     more([(4, "https://a.example/x#f", ""), (5, "https://a.example/z", "")])
     assert keys() == ["https://a.example/x", "https://a.example/y", "https://a.example/z"]
+
+
+# ---- tables and streams on disk
+
+def xml(*locs):
+    return "<urlset>" + "".join(f"<url><loc>{u}</loc></url>" for u in locs) + "</urlset>"
+
+
+def partitions(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("part-*")}
+
+
+def test_sitemap_table_rewrites_what_changed(spark, tmp_path):
+    docs = lambda **d: spark.createDataFrame([(k.replace("_", "/"), v) for k, v in d.items()], "sitemap_url string, xml string")
+    t = SitemapTable(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError):
+        t.load(docs(s_i="<broken"), "s/i")
+    assert t.versions() == [] and t.manifest().count() == 0
+    t.load(docs(s_i=xml("s/a", "s/b", "s/c", "s/gone"), s_a=xml("http://x.example/1", "http://X.example/1?q"), s_b=xml("http://x.example/2"), s_gone=xml("http://x.example/3")), "s/i")
+    first = partitions(tmp_path / "m" / "children")
+    assert [(r.sitemap_url, r.sitemap_pos, r.loc_pos, r.page_url) for r in t.manifest().orderBy("sitemap_pos", "loc_pos").collect()] == [
+        ("s/a", 1, 1, "http://x.example/1"), ("s/a", 1, 2, "http://X.example/1?q"), ("s/b", 2, 1, "http://x.example/2"), ("s/c", 3, None, None), ("s/gone", 4, 1, "http://x.example/3")]
+    second = docs(s_i=xml("s/b", "s/a", "s/c", "s/new"), s_a=xml("http://x.example/1", "http://X.example/1?q"), s_b=xml("http://x.example/22"), s_c="<broken", s_new=xml())
+    t.load(second, "s/i")
+    after = partitions(tmp_path / "m" / "children")
+    assert first.items() <= after.items()  # nothing old is touched
+    assert len({k.rpartition("/")[0] for k in after.keys() - first.keys()}) == 3  # b, c and new; not a
+    assert {r.sitemap_url: r.loaded for r in t.index().collect()} == {"s/b": 2, "s/a": 1, "s/c": 2, "s/new": 2}
+    assert [(r.sitemap_url, r.page_url, r.error) for r in t.manifest().orderBy("sitemap_pos", "loc_pos").collect()] == [
+        ("s/b", "http://x.example/22", None), ("s/a", "http://x.example/1", None), ("s/a", "http://X.example/1?q", None), ("s/c", None, "unparsable XML"), ("s/new", None, None)]
+    assert t.manifest(1).count() == 5  # an earlier version stays readable
+    assert {tuple(r) for r in t.changes(1, 2).collect()} == {("s/a", "kept"), ("s/b", "changed"), ("s/c", "changed"), ("s/new", "added"), ("s/gone", "removed"),
+                                                            ("http://x.example/2", "key_lost"), ("http://x.example/3", "key_lost")}
+    assert [r.page_url for r in t.key_index().orderBy("key").collect()] == ["http://X.example/1?q", "http://x.example/22"]
+    t.load(docs(s_i=xml("s/a", "s/b")), "s/i")  # the index alone: children keep what was read
+    assert t.manifest().where("page_url IS NOT NULL").count() == 3 and t.index().where("loaded < 3").count() == 2
+    t.vacuum(keep=1)
+    assert t.versions() == [3] and t.manifest().where("page_url IS NOT NULL").count() == 3
+    assert len({k.rpartition("/")[0] for k in partitions(tmp_path / "m" / "children")}) == 2
+    t.refresh(second, "s/i")
+    assert [(r.sitemap_url, r.loaded) for r in t.index().orderBy("sitemap_pos").collect()] == [("s/b", None), ("s/a", None), ("s/c", None), ("s/new", None)]
+    assert t.manifest().where("page_url IS NOT NULL").count() == 0
+
+
+def test_store_grows_with_keys(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(rng.randrange(40), k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(5000)), "x") for k in range(600)]
+    store = LatestStore(spark, str(tmp_path / "s"), ST._LATEST_T, "user_id", ["ts", "event_id"], buckets=4)
+    assert store.read().count() == 0
+    frame = lambda part: spark.createDataFrame(part, ST._LATEST_T)
+    newest, sizes = {}, []
+    for epoch in range(12):
+        part = rows[epoch * 50 : epoch * 50 + 50]
+        store.merge(frame(part), epoch)
+        if epoch % 4 == 1:  # an epoch that is repeated after a failure
+            store.merge(frame(part), epoch)
+        for r in part:
+            newest[r[0]] = max(newest.get(r[0], r), r, key=lambda x: (x[2], x[1]))
+        assert sorted((r.user_id, r.event_id) for r in store.read().collect()) == sorted((r[0], r[1]) for r in newest.values())
+        sizes.append(len(partitions(tmp_path / "s" / "rows")))
+    assert max(sizes) <= 8  # two epochs of four buckets, however many went by
+    one = rows[599][0]
+    store.merge(frame([(one, 10_000, dt.datetime(2030, 1, 1), "y")]), 12)
+    assert len(list((tmp_path / "s" / "rows" / "epoch=12").glob("bucket=*"))) == 1
+    store.merge(frame([]), 13)
+    assert {r.user_id: r.event_id for r in store.read().collect()}[one] == 10_000
+
+
+def test_latest_edits_take_late_rows_and_restart(spark, tmp_path):
+    day = lambda n: dt.datetime(2024, 1, n)
+    folder = str(tmp_path / "events.parquet")
+    add = lambda rows: spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").coalesce(1).write.mode("append").parquet(folder)
+    got = lambda: sorted((r.user_id, r.event_id) for r in ST.stream_edits_latest(spark, str(tmp_path)).collect())
+    add([(1, day(20), 1, "a"), (2, day(20), 2, "a")])
+    assert got() == [(1, 1), (2, 2)] == got()  # a run without new files changes nothing
+    add([(3, day(1), 1, "late"), (4, day(21), 2, "a"), (5, day(1), 3, "late")])
+    assert got() == [(1, 1), (2, 4), (3, 5)]
+
+
+def test_gate_stream_serves_in_time(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    far = at(100_000)
+    robots = "User-agent: *\nDisallow: /no\n"
+    # answers: one early, one that a page waits for, one too late; and one behind the watermark of its stream
+    answers = [[("https://a.example/robots.txt", 200, robots, at(0)), ("https://b.example/robots.txt", 200, robots, at(65)), ("https://e.example/robots.txt", 503, None, at(60))],
+               [("https://c.example/robots.txt", 200, robots, at(200)), ("https://clock/robots.txt", 200, "", far)], [("https://d.example/robots.txt", 200, robots, at(60))]]
+    urls = [[(1, "https://a.example/no/x", at(10)), (2, "https://a.example/x", at(59)), (3, "https://a.example/x", at(61)), (4, "https://b.example/no", at(60)), (5, "https://c.example/x", at(60))],
+            [(6, "https://d.example/x", at(60)), (7, "https://e.example/x", at(60)), (8, "https://clock/", far)], []]
+    for k in range(3):
+        for name, rows, schema in (("urls", urls[k], "page_id long, url string, asked_at timestamp"), ("robots", answers[k], "robots_url string, status int, text string, fetched_at timestamp")):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        read = lambda name: spark.readStream.schema(spark.read.parquet(str(tmp_path / name)).schema).parquet(str(tmp_path / name))
+        out = ST._run_to_sink(ST.gate_stream(read("urls"), read("robots"), "bot/1"), str(tmp_path / "work"))
+    got = sorted((r.page_id, r.verdict) for r in out.collect())
+    assert got == [(1, "disallowed"), (2, "allowed"), (3, "unavailable"), (4, "disallowed"), (5, "unavailable"), (6, "unavailable"), (7, "unavailable"), (8, "allowed")]

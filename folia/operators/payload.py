@@ -71,37 +71,51 @@ def payload_texts(nodes: str = "nodes") -> str:
     return filter_(decoded, lambda d: f"(contains({d}, '## ') AND contains({d}, '!['))")
 
 
+def _places(items: str) -> str:
+    """Index of a list of titled items: (title, place), sorted."""
+    return f"array_sort({transform(items, lambda x, i: f'named_struct({lit("title")}, {x}.title, {lit("at")}, {i})', arity=2)})"
+
+
 def section_titles(heads: str = "heads") -> str:
     """Sections of ``sections.heads``, in order: array of (sec_no, title, subs
-    array of (sub_no, title)); titles normalised and lower-cased."""
-    def section(o: str, j: str) -> str:
+    array of (sub_no, title), places of the subs by title); titles normalised
+    and lower-cased. A section's headings follow one another."""
+    def section(at: str, i: str, j: str) -> str:
+        own = f"slice({heads}, {i} + 1, coalesce(get({at}, {j} + 1), size({heads})) - {i})"
         subs = transform(
-            filter_(heads, lambda h: f"({h}.level = 3 AND {h}.sec = {j} + 1)"),
+            filter_(own, lambda h: f"({h}.level = 3 AND {h}.sec = {j} + 1)"),
             lambda h, k: f"named_struct('sub_no', {k} + 1, 'title', lower({ws_normalize(f'{h}.title')}))",
             arity=2,
         )
-        return (
-            f"named_struct('sec_no', {j} + 1, "
-            f"'title', CASE WHEN {o}.level = 2 THEN lower({ws_normalize(f'{o}.title')}) ELSE 'overview' END, 'subs', {subs})"
-        )
+        title = f"CASE WHEN {heads}[{i}].level = 2 THEN lower({ws_normalize(f'{heads}[{i}].title')}) ELSE 'overview' END"
+        return let(subs, lambda s: f"named_struct('sec_no', {j} + 1, 'title', {title}, 'subs', {s}, 'places', {_places(s)})")
 
-    return transform(filter_(heads, lambda h: f"{h}.opens"), section, arity=2)
+    opens = filter_(f"{transform(heads, lambda h, i: f'CASE WHEN {h}.opens THEN {i} END', arity=2)}", lambda i: f"{i} IS NOT NULL")
+    return let(opens, lambda at: transform(at, lambda i, j: section(at, i, j), arity=2))
 
 
-def _match(items: str, title: str, start: str) -> str:
-    """Index of the first item titled ``title`` at or after ``start``, else
-    of the first such item anywhere, else -1."""
-    idxs = filter_(
-        transform(items, lambda x, i: f"CASE WHEN {x}.title = {title} THEN {i} ELSE -1 END", arity=2),
-        lambda i: f"{i} >= 0",
-    )
-    return let(idxs, lambda ix: f"coalesce({first(filter_(ix, lambda i: f'{i} >= {start}'))}, {first(ix)}, -1)")
+def _match(places: str, title: str, start: str) -> str:
+    """Place of the first item titled ``title`` at or after ``start``, else of
+    the first such item anywhere, else -1: binary searches in the index."""
+    def seek(after: str) -> str:
+        key = f"named_struct('title', {title}, 'at', {after})"
+        rounds = f"sequence(1, CAST(ceil(log2(size({places}) + 1)) AS INT) + 1)"
+
+        def step(a: str, _: str) -> str:
+            return let(f"({a}.lo + {a}.hi) DIV 2", lambda m: (
+                f"CASE WHEN {a}.lo >= {a}.hi THEN {a} WHEN {places}[CAST({m} AS INT)] < {key} THEN named_struct('lo', CAST({m} + 1 AS INT), 'hi', {a}.hi) "
+                f"ELSE named_struct('lo', {a}.lo, 'hi', CAST({m} AS INT)) END"))
+
+        return let(f"get({places}, {aggregate(rounds, f'named_struct({lit("lo")}, 0, {lit("hi")}, size({places}))', step)}.lo)",
+                   lambda e: f"CASE WHEN {e}.title = {title} THEN {e}.at END")
+
+    return f"coalesce({seek(start)}, {seek('0')}, -1)"
 
 
 _HIT = "struct<no:int,sec_no:int,sub_no:int,alt:string,raw_url:string,caption:string>"
 
 
-def cursor_fold(events: str, secs: str) -> str:
+def cursor_fold(events: str, secs: str, places: str) -> str:
     """The reference's line scan as a fold over classified line events
     (no, kind, title, alt, raw_url, caption): '## ' moves the section cursor,
     '### ' the subsection cursor inside it, an image attaches to the current
@@ -128,9 +142,9 @@ def cursor_fold(events: str, secs: str) -> str:
             f"'alt', {ln}.alt, 'raw_url', {ln}.raw_url, 'caption', {ln}.caption)"
         )
         return (
-            f"CASE WHEN {ln}.kind = 'h2' THEN {let(_match(secs, f'{ln}.title', f'{acc}.sc + 1'), on_h2)} "
+            f"CASE WHEN {ln}.kind = 'h2' THEN {let(_match(places, f'{ln}.title', f'{acc}.sc + 1'), on_h2)} "
             f"WHEN {ln}.kind = 'h3' AND {acc}.cur >= 0 "
-            f"THEN {let(_match(f'{cur_sec}.subs', f'{ln}.title', f'{acc}.ssc + 1'), on_h3)} "
+            f"THEN {let(let(f'{cur_sec}.places', lambda p: _match(p, f'{ln}.title', f'{acc}.ssc + 1')), on_h3)} "
             f"WHEN {ln}.kind = 'img' AND {acc}.cur >= 0 AND {ln}.raw_url IS NOT NULL "
             f"THEN named_struct('sc', {acc}.sc, 'cur', {acc}.cur, 'ssc', {acc}.ssc, 'csub', {acc}.csub, "
             f"'out', concat({acc}.out, array({hit}))) "
@@ -184,7 +198,7 @@ def events(payload: str) -> str:
 def payload_hits(payloads: str = "payloads", secs: str = "secs", base: str = "_base") -> str:
     """The payloads' images in order, placed under the page's headings:
     array of (sec_no, sub_no, image_url, caption, alt_text)."""
-    hits = f"flatten({transform(payloads, lambda p: let(events(p), lambda e: cursor_fold(e, secs)))})"
+    hits = let(_places(secs), lambda x: f"flatten({transform(payloads, lambda p: let(events(p), lambda e: cursor_fold(e, secs, x)))})")
     return transform(hits, lambda h: (
         f"named_struct('sec_no', {h}.sec_no, 'sub_no', {h}.sub_no, "
         f"'image_url', {normalize_image_url(f'{h}.raw_url', base, parsed_base=True)}, 'caption', {h}.caption, 'alt_text', {h}.alt)"))

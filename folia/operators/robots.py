@@ -1,25 +1,26 @@
 """robots.txt: one row of entries per origin, and the per-URL crawl gate.
 
-A document is parsed in its row: its lines become events, and a fold over the
-events replays the standard library's states. User-agent lines collect until a
-rule follows; a blank line or the next user-agent line after a rule closes the
-entry; a blank line after user-agent lines alone drops them; allow, disallow,
-crawl-delay and request-rate lines are rules, but only the first two leave a
-path. The first entry naming '*' is the default entry, later ones are dropped.
-
-The gate joins every URL to its origin's row and decides there: the first
-entry that names the crawler, else the default one, and in it the first path
-that prefixes the URL. No rule, no entry or no match means allowed. A missing
+A document is parsed in its row. An entry opens at a user-agent line that does
+not follow another one and ends before the next entry or a blank line; without
+a rule in it, it is none. Allow, disallow, crawl-delay and request-rate lines
+are rules, but only the first two leave a path; rules outside of an entry
+count for nothing, and lines of other kinds are not there at all. The first
+entry naming '*' is the default entry, later ones are dropped.
+
+The gate takes the first entry that names the crawler, else the default one,
+and in it the first path that prefixes the URL. No rule, no entry or no match means allowed. A missing
 or failed (>= 400) robots.txt makes the URL ``unavailable`` (fail closed).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from folia.functions import urls as U
-from folia.functions.sql import aggregate, exists, filter_, first, let, lit, transform
+from folia.functions.sql import exists, filter_, first, let, lit, transform
 from folia.functions.text import py_strip, split_lines
+from folia.session import materialize
 
 _RULES_T = "array<struct<allow:boolean,prefix:string>>"
 _ENTRY_T = f"struct<agents:array<string>,rules:{_RULES_T}>"
@@ -42,28 +43,29 @@ def _event(line: str) -> str:
 
 
 def parse_entries(text: str) -> str:
-    """The document's entries in order: array of (agents, rules)."""
-    none, no_rules, no_agents = f"CAST(array() AS array<{_ENTRY_T}>)", f"CAST(array() AS {_RULES_T})", "CAST(array() AS array<string>)"
-    init = f"named_struct('state', 0, 'agents', {no_agents}, 'rules', {no_rules}, 'out', {none})"
-
-    def state(s: str, agents: str, rules: str, out: str) -> str:
-        return f"named_struct('state', {s}, 'agents', {agents}, 'rules', {rules}, 'out', {out})"
-
-    def step(a: str, x: str) -> str:
-        closed = f"concat({a}.out, array(named_struct('agents', {a}.agents, 'rules', {a}.rules)))"
-        rule = f"array(named_struct('allow', {x}.key = 'allow' OR {x}.value = '', 'prefix', {_py_quote(U.reassemble(f'{x}.value'))}))"
-        return (
-            f"CASE WHEN {x}.blank AND {a}.state = 2 THEN {state('0', no_agents, no_rules, closed)} "
-            f"WHEN {x}.blank THEN {state('0', no_agents, no_rules, f'{a}.out')} "
-            f"WHEN {x}.key = 'user-agent' AND {a}.state = 2 THEN {state('1', f'array({x}.value)', no_rules, closed)} "
-            f"WHEN {x}.key = 'user-agent' THEN {state('1', f'concat({a}.agents, array({x}.value))', f'{a}.rules', f'{a}.out')} "
-            f"WHEN {a}.state = 0 THEN {a} "
-            f"WHEN {x}.key IN ('allow', 'disallow') THEN {state('2', f'{a}.agents', f'concat({a}.rules, {rule})', f'{a}.out')} "
-            f"WHEN {x}.key IN ('crawl-delay', 'request-rate') THEN {state('2', f'{a}.agents', f'{a}.rules', f'{a}.out')} ELSE {a} END"
-        )
-
-    end = aggregate(transform(split_lines(text), _event), init, step)
-    return let(end, lambda a: f"CASE WHEN {a}.state = 2 THEN concat({a}.out, array(named_struct('agents', {a}.agents, 'rules', {a}.rules))) ELSE {a}.out END")
+    """The document's entries in order: array of (agents, rules). Every line
+    is looked at a fixed number of times, however long the document is."""
+    kinds = "('user-agent', 'allow', 'disallow', 'crawl-delay', 'request-rate')"
+    told = filter_(transform(split_lines(text), _event), lambda x: f"({x}.blank OR {x}.key IN {kinds})")
+    agent = lambda x: f"(NOT {x}.blank AND {x}.key = 'user-agent')"
+
+    def entry(x: str, first_line: str, past: str) -> str:
+        """Lines of an entry: from its first user-agent line to the next entry or a blank line."""
+        whole = f"slice({x}, {first_line} + 1, {past} - {first_line})"
+        lines = let(whole, lambda w: let(f"CAST(array_position({transform(w, lambda e: f'{e}.blank')}, true) AS INT)",
+                                         lambda b: f"CASE WHEN {b} > 0 THEN slice({w}, 1, {b} - 1) ELSE {w} END"))
+        rule = lambda r: f"named_struct('allow', {r}.key = 'allow' OR {r}.value = '', 'prefix', {_py_quote(U.reassemble(f'{r}.value'))})"
+        return let(lines, lambda ls: (
+            f"CASE WHEN {exists(ls, lambda e: f'NOT {agent(e)}')} THEN named_struct("
+            f"'agents', {transform(filter_(ls, agent), lambda e: f'{e}.value')}, "
+            f"'rules', {transform(filter_(ls, lambda e: f"{e}.key IN ('allow', 'disallow')"), rule)}) END"))
+
+    def entries(x: str) -> str:
+        opens = f"filter(sequence(0, size({x}) - 1), i -> {agent(f'{x}[i]')} AND (i = 0 OR NOT {agent(f'{x}[i - 1]')}))"
+        made = let(opens, lambda at: transform(at, lambda i, k: entry(x, i, f"coalesce(get({at}, {k} + 1), size({x}))"), arity=2))
+        return f"CASE WHEN size({x}) = 0 THEN CAST(array() AS array<{_ENTRY_T}>) ELSE {filter_(made, lambda e: f'{e} IS NOT NULL')} END"
+
+    return let(told, entries)
 
 
 def robots_entries(docs: DataFrame, *keep_columns: str) -> DataFrame:
@@ -87,15 +89,49 @@ def robots_rules(docs: DataFrame) -> DataFrame:
     return rows.selectExpr("robots_url", "entry_no", "is_default", "agents", "s + 1 AS seq", "r.allow AS allow", "r.prefix AS prefix")
 
 
-def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robots: bool = True, allow_override: bool = False) -> DataFrame:
+#: An entry of at most so many rules is decided in the URL's row; a longer one by a hash join on the URL's prefixes.
+ROW_RULES = 64
+
+
+def robots_gate(urls: DataFrame, docs: DataFrame, user_agent: str, respect_robots: bool = True, allow_override: bool = False,
+                row_rules: int = ROW_RULES) -> DataFrame:
     """(page_id, url) -> (page_id, url, verdict in allowed/disallowed/unavailable).
 
-    One equi-join on the robots URL; Spark picks broadcast or shuffle from
-    measured sizes and splits an origin that holds many URLs."""
+    The crawler's entry is chosen once per origin; one equi-join on the
+    robots URL gives it to the URLs (Spark picks broadcast or shuffle from
+    measured sizes and splits an origin that holds many URLs). A long entry's
+    rules stay out of the rows: a URL takes along the lengths that its rules
+    have, and its prefixes of these lengths meet the rules in a hash join.
+    The rule with the smallest sequence number decides, as everywhere."""
     if not respect_robots or allow_override:
         return urls.selectExpr("page_id", "url", "'allowed' AS verdict")
-    targets = gate_targets(urls, "page_id", "url")
-    return gate_verdicts(targets.join(robots_entries(docs), "robots_url", "left"), user_agent)
+    chosen = robots_entries(docs).selectExpr("robots_url", f"{_entry_of(user_agent)} AS entry").selectExpr(
+        "robots_url", "coalesce(entry.rules, CAST(array() AS " + _RULES_T + ")) AS rules")
+    chosen = materialize(chosen)  # one row per origin, read by both joins
+    origins = chosen.selectExpr(
+        "robots_url", f"CASE WHEN size(rules) <= {row_rules} THEN rules END AS rules",
+        f"CASE WHEN size(rules) > {row_rules} THEN array_distinct({transform('rules', lambda r: f'length({r}.prefix)')}) END AS lengths")
+    joined = gate_targets(urls, "page_id", "url").join(origins, "robots_url", "left")
+    decides = first(filter_("rules", lambda r: f"startswith(path_q, {r}.prefix)"))
+    short = joined.where("lengths IS NULL").selectExpr(
+        "page_id", "url", f"CASE WHEN rules IS NULL THEN 'unavailable' WHEN coalesce({decides}.allow, true) THEN 'allowed' ELSE 'disallowed' END AS verdict")
+    long = chosen.where(f"size(rules) > {row_rules}").selectExpr("robots_url", "posexplode(rules) AS (seq, r)").groupBy("robots_url", F.col("r.prefix").alias("prefix")).agg(
+        F.min(F.struct("seq", "r.allow")).alias("rule"))
+    asked = joined.where("lengths IS NOT NULL").selectExpr("monotonically_increasing_id() AS uid", "*").selectExpr(  # a number for each URL, not for each prefix
+        "uid", "page_id", "url", "robots_url",
+        f"explode({transform(filter_('lengths', lambda n: f'{n} <= length(path_q)'), lambda n: f'left(path_q, {n})')}) AS prefix")
+    # a URL whose path no rule's length fits has no row here, and is allowed
+    none = joined.where("lengths IS NOT NULL AND NOT exists(lengths, n -> n <= length(path_q))").selectExpr("page_id", "url", "'allowed' AS verdict")
+    met = asked.join(long, ["robots_url", "prefix"], "left").groupBy("uid").agg(
+        F.any_value("page_id").alias("page_id"), F.any_value("url").alias("url"), F.min("rule").alias("rule"))
+    return short.unionByName(none).unionByName(met.selectExpr("page_id", "url", "CASE WHEN coalesce(rule.allow, true) THEN 'allowed' ELSE 'disallowed' END AS verdict"))
+
+
+def _entry_of(user_agent: str) -> str:
+    """Of ``entries``: the first that names the crawler, else the default one."""
+    token = lit(user_agent.split("/")[0].lower())
+    named = first(filter_("entries", lambda e: f"(NOT {e}.is_default AND {exists(f'{e}.agents', lambda a: f'contains({token}, lower({a}))')})"))
+    return f"coalesce({named}, {first(filter_('entries', lambda e: f'{e}.is_default'))})"
 
 
 def gate_targets(urls: DataFrame, *columns: str) -> DataFrame:
@@ -105,11 +141,8 @@ def gate_targets(urls: DataFrame, *columns: str) -> DataFrame:
 
 def gate_verdicts(joined: DataFrame, user_agent: str) -> DataFrame:
     """Targets with their origin's ``entries`` (null: none known) -> (page_id, url, verdict)."""
-    token = lit(user_agent.split("/")[0].lower())
-    named = first(filter_("entries", lambda e: f"(NOT {e}.is_default AND {exists(f'{e}.agents', lambda a: f'contains({token}, lower({a}))')})"))
-    default = first(filter_("entries", lambda e: f"{e}.is_default"))
     decides = first(filter_("entry.rules", lambda r: f"startswith(path_q, {r}.prefix)"))
-    return joined.selectExpr("*", f"coalesce({named}, {default}) AS entry").selectExpr("page_id", "url", "entries IS NOT NULL AS known", f"coalesce({decides}.allow, true) AS allow").selectExpr(
+    return joined.selectExpr("*", f"{_entry_of(user_agent)} AS entry").selectExpr("page_id", "url", "entries IS NOT NULL AS known", f"coalesce({decides}.allow, true) AS allow").selectExpr(
         "page_id", "url", "CASE WHEN NOT known THEN 'unavailable' WHEN allow THEN 'allowed' ELSE 'disallowed' END AS verdict")
 
 

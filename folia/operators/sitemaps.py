@@ -21,16 +21,41 @@ from folia.session import materialize, ship_by_value
 _SCHEMA = "sitemap_url string, locs array<string>, error string"
 
 
-def read_locs(xml: str | None) -> tuple[list[str] | None, str | None]:
-    """(locs, None) of a well-formed document, else (None, reason)."""
+def read_locs(xml: str | None, piece: int = 1 << 16) -> tuple[list[str] | None, str | None]:
+    """(locs, None) of a well-formed document, else (None, reason).
+
+    The parser is fed in pieces, and an element is dropped where it ends: of
+    a large document only the locs found are held, no tree.
+    """
     if xml is None:
         return None, "no document"
+    parser = ElementTree.XMLPullParser(events=("start", "end"))
+    found: list[str | None] = []
+    path: list = []  # open elements, a loc with its place in found
     try:
-        root = ElementTree.fromstring(xml)
+        for at in range(0, max(1, len(xml)), piece):
+            parser.feed(xml[at : at + piece])
+            _take(parser, path, found)
+        parser.close()
+        _take(parser, path, found)
     except (ElementTree.ParseError, ValueError):  # ValueError: characters XML cannot hold
         return None, "unparsable XML"
-    found = (node.text.strip() for node in root.iterfind(".//{*}loc") if node.text)
-    return [loc for loc in dict.fromkeys(found) if loc], None
+    return [loc for loc in dict.fromkeys(x.strip() for x in found if x) if loc], None
+
+
+def _take(parser, path: list, found: list[str | None]) -> None:
+    for event, node in parser.read_events():
+        if event == "start":
+            is_loc = bool(path) and isinstance(node.tag, str) and node.tag.rpartition("}")[2] == "loc"  # the root is none
+            path.append((node, len(found) if is_loc else None))
+            if is_loc:
+                found.append(None)  # in document order, nested ones after their outer one
+        else:
+            node, place = path.pop()
+            if place is not None:
+                found[place] = node.text
+            if path:
+                path[-1][0].remove(node)
 
 
 def _parse(batches):

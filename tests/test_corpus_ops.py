@@ -7,13 +7,18 @@ import itertools
 import json
 import random
 import re
+import time
+import tracemalloc
 import urllib.robotparser
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
 from folia.functions.udtf import register
+from folia.functions.urls import parse_base
 from folia.operators import edits as E
+from folia.operators import payload as P
 from folia.operators import robots as RB
 from folia.operators import search as SR
 from folia.operators import sitemaps as SM
@@ -38,12 +43,39 @@ def test_robots_gate_agrees_with_the_standard_library(spark):
     grid = list(itertools.product(range(len(texts)), paths))
     urls = spark.createDataFrame([(n, f"{ORIGIN}{k}{p}") for n, (k, p) in enumerate(grid)], "page_id long, url string")
     got = {r.page_id: r.verdict for r in RB.robots_gate(urls, docs, "HeronBot/1.0 it's").collect()}
+    for rules in (0, 1):  # entries longer than that are decided by the prefix join
+        assert got == {r.page_id: r.verdict for r in RB.robots_gate(urls, docs, "HeronBot/1.0 it's", row_rules=rules).collect()}
     for n, (k, p) in enumerate(grid):
         parser = urllib.robotparser.RobotFileParser()
         parser.parse(texts[k].splitlines())
         assert got[n] == ("allowed" if parser.can_fetch("HeronBot/1.0 it's", f"{ORIGIN}{k}{p}") else "disallowed"), (texts[k], p)
 
 
+def test_long_robots_files(spark):
+    """Entries agree with the standard library on random line soup; 100,000 rules meet 20,000 URLs by prefix, the first match wins."""
+    rng = random.Random(3)
+    lines = ["", "# c", "User-agent: *", "User-agent: a", "User-agent: bot", "Disallow: /x", "Allow: /x/y", "Disallow:", "Crawl-delay: 3", "Sitemap: s", "nonsense", " "]
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 40))) for _ in range(150)]
+    docs = spark.createDataFrame([(f"{ORIGIN}{k}/robots.txt", 200, t) for k, t in enumerate(texts)], "robots_url string, status int, text string")
+    got = {r.robots_url: [(list(e.agents), [(x.allow, x.prefix) for x in e.rules]) for e in r.entries] for r in RB.robots_entries(docs).collect()}
+    for k, t in enumerate(texts):
+        parser = urllib.robotparser.RobotFileParser()
+        parser.parse(t.splitlines())
+        want = [([a.lower() for a in e.useragents], [(r.allowance, r.path) for r in e.rulelines]) for e in [*parser.entries, *([parser.default_entry] if parser.default_entry else [])]]
+        assert sorted(([a.lower() for a in agents], rules) for agents, rules in got[f"{ORIGIN}{k}/robots.txt"]) == sorted(want), t
+    rules = [(rng.random() < 0.5, f"/{rng.randrange(3000)}/{'p' * rng.randrange(9)}") for _ in range(100_000)]
+    text = "User-agent: *\n" + "\n".join(f"{'Allow' if a else 'Disallow'}: {p}" for a, p in rules)
+    docs = spark.createDataFrame([(f"{ORIGIN}/robots.txt", 200, text)], "robots_url string, status int, text string")
+    urls = spark.createDataFrame([(k, f"{ORIGIN}/{rng.randrange(4000)}/{'p' * rng.randrange(12)}q") for k in range(20_000)] + [(-1, ORIGIN)], "page_id long, url string")
+    first = {}
+    for a, p in rules:
+        first.setdefault(p, (len(first), a))
+    for r in RB.robots_gate(urls, docs, "bot").join(urls.withColumnRenamed("url", "u"), "page_id").collect():
+        path = r.u.removeprefix(ORIGIN)
+        hit = min((first[path[:n]] for n in range(len(path) + 1) if path[:n] in first), default=(0, True))
+        assert r.verdict == ("allowed" if hit[1] else "disallowed")
+
+
 def test_robots_fail_closed(spark):
     docs = spark.createDataFrame([(f"{ORIGIN}/robots.txt", 404, "User-agent: *")], "robots_url string, status int, text string")
     urls = spark.createDataFrame([(1, f"{ORIGIN}/a"), (2, "https://none.example/"), (3, "no url")], "page_id long, url string")
@@ -62,6 +94,48 @@ def test_sitemap_manifest_reports_bad_documents(spark):
 
 # ---- search
 
+def test_large_sitemaps_need_no_tree():
+    many = "<urlset xmlns='n'>" + "".join(f"<url><loc> https://x.example/{k} </loc><lastmod>2024</lastmod><i><a/><b>t</b></i></url>" for k in range(60_000)) + "</urlset>"
+    tracemalloc.start()
+    locs, error = SM.read_locs(many)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert error is None and locs[:2] == ["https://x.example/0", "https://x.example/1"] and len(locs) == 60_000
+    assert held < 2.5 * sum(map(len, locs)) + (16 << 20)
+    assert SM.read_locs(many[:-3]) == (None, "unparsable XML") and SM.read_locs("") == (None, "unparsable XML")
+    for xml in ("<loc>a<loc>b</loc></loc>", "<r><loc>a<loc>b</loc>c</loc><x><loc/> <loc>a</loc></x></r>", "<!-- <loc>n</loc> --><r><n:loc xmlns:n='u'>é</n:loc></r>", "<r>&u;</r>"):
+        try:
+            root = ElementTree.fromstring(xml)
+        except ElementTree.ParseError:
+            assert SM.read_locs(xml, piece=3) == (None, "unparsable XML")
+        else:
+            assert SM.read_locs(xml, piece=3)[0] == list(dict.fromkeys(x.text.strip() for x in root.iterfind(".//{*}loc") if x.text and x.text.strip()))
+
+
+def test_payload_headings_find_the_next_title(spark):
+    """Title places by binary search: the next such title after the cursor, else the first; thousands of headings."""
+    rng = random.Random(6)
+    titles = [rng.choice("abcdef") for _ in range(40)]
+    wanted, cursor = [], -1
+    asked = [(rng.choice("abcdefg")) for _ in range(200)]
+    for t in asked:
+        at = [k for k, x in enumerate(titles) if x == t]
+        hit = next((k for k in at if k > cursor), at[0] if at else -1)
+        cursor = hit if hit >= 0 else cursor
+        wanted.append(hit)
+    head = "named_struct('level', 2, 'opens', true, 'sec', i + 1, 'title', t)"
+    frame = spark.createDataFrame([(titles, "\n".join(f"## {t}\n![x{k}](http://i/{k})" for k, t in enumerate(asked)))], "titles array<string>, text string")
+    frame = frame.selectExpr(f"transform(titles, (t, i) -> {head}) AS heads", "array(text) AS payloads").selectExpr("payloads", f"{P.section_titles()} AS secs", f"{parse_base(repr('http://h/'))} AS _base")
+    hits = frame.selectExpr(f"{P.payload_hits()} AS h").first().h
+    assert [(h.image_url, h.sec_no) for h in hits] == [(f"http://i/{k}", w + 1) for k, w in enumerate(wanted) if w >= 0]
+    n = 4000
+    big = spark.range(1).selectExpr(f"transform(sequence(0, {n - 1}), i -> named_struct('level', 2, 'opens', true, 'sec', i + 1, 'title', concat('t', i))) AS heads",
+                                    f"array(array_join(transform(sequence(0, {n - 1}), i -> concat('## T', {n - 1} - i, '\\n![a](http://i/', i, ')')), '\\n')) AS payloads")
+    began = time.time()
+    hits = big.selectExpr("payloads", f"{P.section_titles()} AS secs", f"{parse_base(repr('http://h/'))} AS _base").selectExpr(f"{P.payload_hits()} AS h").first().h
+    assert [h.sec_no for h in hits] == list(range(n, 0, -1)) and time.time() - began < 60
+
+
 def test_fallback_for_errors_refusals_and_bad_payloads(spark):
     ok = json.dumps({"results": [{"slug": "Tern"}, {"slug": " "}, 5, {"slug": "tern"}, {"slug": "Tern"}]})
     api = [("a", 0, 200, False, ok), ("b", 0, 500, False, ok), ("c", 0, 200, True, ok), ("d", 0, 200, False, "<p>"), ("e", 0, 200, False, '{"results": []}'), ("a", 25, 200, False, '{"results": 1}')]

@@ -1,15 +1,18 @@
 """Personal data: four regular expressions, and identifiers found by context.
 
 Base spans (email, ip, card, phone) are leftmost, non-overlapping matches with
-their checks. Bootstrapping then looks for identifiers no expression knows:
-base matches and key-like tokens are the seed instances; a pattern is the word
-and the punctuation before an instance ("password=", 'token = "'); a bipartite
-graph joins patterns and instances. In each round a pattern is scored by the
-share of its instances that are believed to be of one kind, patterns with
-enough instances and a high share are accepted, and their instances become
-believed (noisy-or over their patterns) and vote for further patterns.
-Identifier-like tokens after an accepted pattern are added as spans, and so
-are all key-like tokens.
+their checks. Bootstrapping then looks for identifiers no expression knows.
+Seeds are the base matches, tokens of a published key format, and half of the
+other key-like values, chosen by their hash; the other half is held back: it
+counts neither for nor against a pattern, and how much of it the patterns
+find is their recall. A pattern is the word and the punctuation before an
+instance ("password=", 'token = "'); a bipartite graph joins patterns and
+instances. In each round a pattern is scored by the share of its decided
+instances that are believed to be of one kind, patterns with enough instances
+and a high share are accepted, and their instances become believed (noisy-or
+over their patterns) and vote for further patterns. Seeds are spans, and so
+are the identifier-like tokens after an accepted pattern; a held-back token
+is one only where a pattern finds it.
 
 Everything is DataFrame expressions. A match's place is the length of all
 pieces before it: ``split`` gives the pieces between matches,
@@ -36,18 +39,23 @@ CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: An identifier-like token: ASCII letters and digits, at least six, at least one digit.
 TOKEN = r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])([A-Za-z0-9]{6,}+)"
-#: Key-like tokens, the seeds of the kind "secret".
-SECRET = r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{16,}|[0-9A-Z]{16,})$"
-#: What stands before an instance: a word, then up to four other characters.
-CONTEXT = r"([\p{L}_]{2,24})([^\p{L}\p{N}_]{1,4})$"
+# Fixed value: published formats of access keys, seeds of the kind "secret".
+FORMATS = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$"
+#: Other key-like tokens: every second value is a seed, the rest is held back.
+KEY_LIKE = r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{16,}|[0-9A-Z]{16,})$"
+SEED_PARTS = 2
+#: What stands before an instance, read backwards: other characters, then a word.
+CONTEXT = r"\A([^\p{L}\p{N}_]++)([\p{L}_]++)"
 
 KINDS = ("email", "ip", "card", "phone", "secret")
+#: A pattern needs so many instances, so many of them decided, and this share of believed ones.
 MIN_INSTANCES = 5
+MIN_DECIDED = 3
 MIN_SHARE = 0.8
 _BLOCK = 256
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IP_OK = rf"^{_PART}(?:\.{_PART}){{3}}$"
-_SPAN = "struct<s:bigint,e:bigint,v:string,gap:string>"
+_SPAN = "struct<s:bigint,e:bigint,v:string,before:string>"
 
 
 def _luhn(digits: Column) -> Column:
@@ -78,7 +86,8 @@ def _starts(step: Column, first: Column) -> Column:
 
 def matches(text: Column, regex: str, group: int = 0) -> Column:
     """All matches as structs (s, e, v, gap): code points from s, to e; ``v``
-    the group's text; ``gap`` the last 32 characters since the match before."""
+    the group's text; ``before``, backwards, the word and the punctuation
+    since the match before."""
     def placed(m: Column) -> Column:
         return let(F.split(text, regex, -1), lambda gaps: located(m, gaps))
 
@@ -87,8 +96,8 @@ def matches(text: Column, regex: str, group: int = 0) -> Column:
         values = m if group == 0 else F.regexp_extract_all(text, F.lit(regex), F.lit(group))
         at = _starts(step, F.length(F.element_at(gaps, 1)).cast("bigint"))
         return F.zip_with(F.zip_with(m, at, lambda x, s: F.struct(s.alias("s"), (s + F.length(x)).alias("e"))),
-                          F.zip_with(values, F.slice(gaps, 1, F.size(m)), lambda v, g: F.struct(v.alias("v"), F.substring(g, -32, 32).alias("gap"))),
-                          lambda a, b: F.struct(a["s"].alias("s"), a["e"].alias("e"), b["v"].alias("v"), b["gap"].alias("gap")))
+                          F.zip_with(values, F.slice(gaps, 1, F.size(m)), lambda v, g: F.struct(v.alias("v"), F.regexp_extract(F.reverse(g), CONTEXT, 0).alias("before"))),
+                          lambda a, b: F.struct(a["s"].alias("s"), a["e"].alias("e"), b["v"].alias("v"), b["before"].alias("before")))
 
     found = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
     return let(found, lambda m: F.when(F.size(m) == 0, F.array().cast(f"array<{_SPAN}>")).otherwise(placed(m)))
@@ -112,13 +121,17 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     identifier-like tokens outside them, each with what stands before it.
     ``row`` numbers the rows; the frame is written once, so it stays."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    context = lambda x: F.struct(F.lower(F.regexp_extract(x["gap"], CONTEXT, 1)).alias("word"), F.regexp_extract(x["gap"], CONTEXT, 2).alias("mark"))
-    span = lambda x, kind: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.xxhash64(F.lower(x["v"])).alias("v"), context(x).alias("c"))
+    part = lambda x, k: F.reverse(F.regexp_extract(x["before"], CONTEXT, k))
+    context = lambda x: F.struct(F.lower(part(x, 2)).alias("word"), part(x, 1).alias("mark"))
+    span = lambda x, kind: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.xxhash64(F.lower(x["v"])).alias("v"), context(x).alias("c"), F.lit(False).alias("held"))
     found = base(text)
     spans = F.concat(*[F.transform(found[k], partial(lambda kind, x: span(x, kind), n)) for n, k in enumerate(KINDS[:4])])
     tokens = F.filter(matches(text, f"(?:{EMAIL})|{TOKEN}", 1), lambda x: F.length(x["v"]) > 0)  # addresses hold no tokens
-    seed = lambda x: F.when(x["v"].rlike(SECRET), KINDS.index("secret"))
-    tokens = F.transform(tokens, lambda x: F.struct(seed(x).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.xxhash64(F.lower(x["v"])).alias("v"), context(x).alias("c")))
+    value = lambda x: F.xxhash64(F.lower(x["v"]))
+    half = lambda x: F.pmod(value(x), F.lit(SEED_PARTS)) == 0
+    seed = lambda x: F.when(x["v"].rlike(FORMATS) | (x["v"].rlike(KEY_LIKE) & half(x)), KINDS.index("secret"))
+    tokens = F.transform(tokens, lambda x: F.struct(seed(x).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), value(x).alias("v"), context(x).alias("c"),
+                                                    (x["v"].rlike(KEY_LIKE) & ~x["v"].rlike(FORMATS) & ~half(x)).alias("held")))
     return staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), spans.alias("base"), tokens.alias("tokens")))
 
 
@@ -127,19 +140,22 @@ def bootstrap(found: DataFrame, min_instances: int = MIN_INSTANCES, min_share: f
 
     Edges of the graph are distinct (pattern, instance) pairs, so copies of a
     document add nothing. A pattern's share for a kind is the mean belief, in
-    that kind, of its instances. Rounds go on until the accepted patterns are
-    those of an earlier round.
+    that kind, of its decided instances: all but held-back ones that nothing
+    speaks for. Rounds go on until the accepted patterns are those of an
+    earlier round.
     """
     both = found.select(F.explode(F.concat("base", "tokens")).alias("x")).where("x.c.word <> ''")
-    edges = staged(both.select("x.c.word", "x.c.mark", "x.v", "x.kind").groupBy("word", "mark", "v").agg(F.min("kind").alias("kind")))
+    edges = staged(both.select("x.c.word", "x.c.mark", "x.v", "x.kind", "x.held").groupBy("word", "mark", "v").agg(F.min("kind").alias("kind"), F.min("held").alias("held")))
     seeds = staged(edges.where("kind IS NOT NULL").groupBy("v").agg(F.min("kind").alias("kind")).select("v", "kind", F.lit(1.0).alias("belief")))
-    edges = edges.select("word", "mark", "v")
-    total = edges.groupBy("word", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_instances)
+    many = edges.groupBy("word", "mark").agg(F.count("*").alias("n"), F.sum((~F.col("held")).cast("int")).alias("told")).where(F.col("n") >= min_instances)
+    many, held, edges = staged(many), edges.where("held").select("word", "mark", "v"), edges.select("word", "mark", "v")
     belief, met = seeds, set()
     while True:
         votes = edges.join(belief, "v").groupBy("word", "mark", "kind").agg(F.sum("belief").alias("b"))
-        accepted = votes.join(total, ["word", "mark"]).select("word", "mark", "kind", (F.col("b") / F.col("n")).alias("share")).where(F.col("share") >= min_share)
-        accepted = staged(accepted)
+        spoken = held.join(belief.select("v").distinct(), "v").groupBy("word", "mark").agg(F.count("*").alias("more"))
+        decided = many.join(spoken, ["word", "mark"], "left").select("word", "mark", (F.col("told") + F.coalesce("more", F.lit(0))).alias("decided"))
+        accepted = votes.join(decided.where(F.col("decided") >= MIN_DECIDED), ["word", "mark"]).select("word", "mark", "kind", (F.col("b") / F.col("decided")).alias("share"))
+        accepted = staged(accepted.where(F.col("share") >= min_share))
         mark = tuple(accepted.agg(F.count("*"), F.sum(F.xxhash64("word", "mark", "kind").cast("decimal(38,0)"))).first())
         if mark in met:
             return accepted
@@ -154,10 +170,11 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     Null and empty texts have no spans. Rows are judged one by one: null and
     repeated ids, and repeated rows, give a row each. Ties between kinds of an
-    accepted pattern cannot occur (a share of 0.8 leaves one). Key-like tokens
-    are secrets wherever they stand, after a pattern or not. A span added
-    never overlaps a base span. An empty table gives no rows; other columns
-    are not read.
+    accepted pattern cannot occur (a share of 0.8 leaves one). Seeds are
+    spans wherever they stand; other tokens after an accepted pattern, key-like
+    or not. A span added never overlaps a base span. Very long texts are
+    matched like any other, in time linear in their length. An empty table
+    gives no rows; other columns are not read.
     """
     found = entities(docs, id_col, text_col)
     accepted = bootstrap(found)
@@ -191,7 +208,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without spans stay as they are; ``n_chars`` follows the new text."""
     session(spark)
     columns = docs.columns
-    p = find(docs.select(F.struct(*columns).alias("d"), F.col("text").alias("t")), id_col="d", text_col="t")
+    quoted = [docs[f"`{c}`"] for c in columns]
+    p = find(docs.select(F.struct(*quoted).alias("d"), F.col("text").alias("t")), id_col="d", text_col="t")
     spans = F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
     names = F.array(*map(F.lit, KINDS))
 
@@ -207,4 +225,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = let(spans, lambda s: F.when(F.size(s) == 0, t).otherwise(cut(t, s)))
     out = p.select("doc_id", clean.alias("clean"))
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)}
-    return out.select(*[new.get(c, F.col(f"doc_id.{c}")).alias(c) for c in columns])
+    return out.select(*[new.get(c, F.col(f"doc_id.`{c}`")).alias(c) for c in columns])

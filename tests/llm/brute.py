@@ -5,6 +5,7 @@ import hashlib
 import re
 
 import numpy as np
+import regex
 import xxhash
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -192,3 +193,89 @@ def notices(rows, templates, more, threshold):
                     hits.append((label, shared, len(shared) / len(set(seq))))
             out |= {(i, b, k, round(c, 9)) for k, s, c in hits if not any(s <= s2 and (len(s2) > len(s) or c2 > c) for _, s2, c2 in hits)}
     return out
+
+
+_BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+_TOKEN = r"(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])([A-Za-z0-9]{6,})"
+_BEFORE = regex.compile(r"([\p{L}_]+)([^\p{L}\p{N}_]+)\Z")
+
+
+def _placed(pattern, text):
+    """Matches with the word and the punctuation since the match before."""
+    last = 0
+    for m in re.finditer(pattern, text):
+        gap = text[last : m.start()]
+        tail = len(gap)
+        while tail and not regex.match(r"[\p{L}\p{N}_]", gap[tail - 1]):
+            tail -= 1
+        start = tail
+        while start and regex.match(r"[\p{L}_]", gap[start - 1]):
+            start -= 1
+        yield m, (gap[start:tail].lower(), gap[tail:]) if start < tail < len(gap) else ("", "")
+        last = m.end()
+
+
+def _sound(kind, v):
+    digits = re.sub("[^0-9]", "", v)
+    return {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in v.split(".")), "card": 16 <= len(digits) <= 19 and _luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
+
+
+def spans(rows):
+    """doc_id -> (base spans, added spans) by kind number, and the share of
+    held-back values with a context that the patterns find."""
+    base, tokens = {}, {}
+    for i, t in rows:
+        t = t or ""
+        base[i] = [(n, *m.span(), m.group().lower(), c) for n, k in enumerate(_BASE) for m, c in _placed(_BASE[k], t) if _sound(k, m.group())]
+        tokens[i] = []
+        for m, c in _placed(f"(?:{_BASE['email']})|{_TOKEN}", t):
+            if v := m.group(1):
+                known = re.match(r"(?:AKIA|ASIA)[0-9A-Z]{16}\Z", v)
+                key = re.search("[0-9]", v) and re.search("[A-Za-z]", v) and re.match(r"(?:[0-9a-f]{16,}|[0-9A-Z]{16,})\Z", v)
+                even = xxhash.xxh64_intdigest(v.lower(), 42) % 2 == 0
+                tokens[i].append((4 if known or key and even else None, *m.span(), v.lower(), c, bool(key and not known and not even)))
+    edges = {}
+    for k, _, _, v, c, held in [(*x, False) for b in base.values() for x in b] + [x for b in tokens.values() for x in b]:
+        if c[0]:
+            ks, h = edges.get((c, v), (None, True))
+            edges[c, v] = (k if ks is None else ks if k is None else min(k, ks), h and held)
+    seeds = {}
+    for (_, v), (k, _) in edges.items():
+        if k is not None:
+            seeds[v] = min(k, seeds.get(v, k))
+    by = collections.defaultdict(list)
+    for (c, v), (_, held) in edges.items():
+        by[c].append((v, held))
+    belief, met = {(v, k): 1.0 for v, k in seeds.items()}, []
+    while True:
+        known, accepted = collections.defaultdict(dict), {}
+        for (v, k), b in belief.items():
+            known[v][k] = b
+        for c, vs in by.items():
+            decided = sum(not held or v in known for v, held in vs)
+            for k in range(5):
+                share = sum(known[v].get(k, 0) for v, _ in vs if v in known) / max(decided, 1)
+                if len(vs) >= 5 and decided >= 3 and share >= 0.8:
+                    accepted[c, k] = share
+        if set(accepted) in met:
+            break
+        met.append(set(accepted))
+        doubt = collections.Counter()
+        for (c, k), share in accepted.items():
+            for v, _ in by[c]:
+                if v not in seeds:
+                    doubt[v, k] += np.log(max(1 - share, 1e-6))
+        belief = {(v, k): 1.0 for v, k in seeds.items()} | {vk: 1 - np.exp(d) for vk, d in doubt.items()}
+    out, held_back, hit = {}, set(), set()
+    for i, _ in rows:
+        added = set()
+        for k, s, e, v, c, held in tokens[i]:
+            kinds = {n for p, n in accepted if p == c} | ({k} if k is not None else set())
+            if any(b[1] < e and b[2] > s for b in base[i]):
+                continue
+            added |= {(n, s, e) for n in kinds}
+            if held and c[0]:
+                held_back.add(v)
+                hit |= {v} if kinds else set()
+        out[i] = (sorted(b[:3] for b in base[i]), sorted(added))
+    return out, len(hit) / max(len(held_back), 1)

@@ -6,7 +6,7 @@ A page's token stream, read as a tree, already folds its own repeats; the
 streams of a host are then aligned one after another, and what does not
 match becomes optional, what recurs a repeat, what differs in text is a slot.
 Equal streams are merged by Spark before any alignment, the rest of a host is
-aligned in 16 salted parts and the parts' wrappers with each other, so a host
+aligned in salted parts and the parts' wrappers with each other, so a host
 with a third of all pages is neither collected nor aligned in one task.
 
 The wrapper tells slots apart. Menus, headers, footers, forms, notices and the
@@ -38,19 +38,24 @@ MAX_GROUP = 8
 #: A slot with one text on this many different pages is part of the template.
 TEMPLATE_PAGES = 5
 OPTIONAL, REPEATED = 1, 2
-#: State of an open element: inside clutter, inside what may be clutter, inside a main part by tag or role, or by class or id, inside a heading.
-HIDE, DOUBT, MARKED, NAMED, HEADING = 1, 2, 4, 8, 16
+#: State of an open element: inside clutter, inside what may be clutter, inside a main part by tag or role, or by class or id,
+#: inside a heading, inside an article, inside an article's own header.
+HIDE, DOUBT, MARKED, NAMED, HEADING, ARTICLE, HEADER = 1, 2, 4, 8, 16, 32, 64
 
 # Names with a meaning in HTML and in common class names.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main "
+                   "menu nav noscript object ol optgroup option p pre script search section select style summary svg table tbody td template textarea tfoot th thead title tr ul button canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template head title nav header footer aside form button select textarea iframe object svg canvas audio video menu dialog".split())
+HIDDEN = frozenset("script style noscript template head title nav header footer aside form button search select textarea iframe object svg canvas audio video menu dialog".split())
 MAIN = frozenset(("article", "main"))
 CLUTTER = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments contentinfo cookie cookies copyright disclaimer dialog discussion disqus footer "
                     "header masthead menu menubar modal nav navbar navigation newsletter notice notices notification pagination popup promo promotion recommended related replies responses search "
                     "share sharing sidebar skip social sponsor sponsored subscribe tags toolbar widget widgets".split())
-# Names that head parts of articles too: their blocks go only if they are made of links, or template by the host's pages.
-DOUBTFUL = frozenset("advertising advertisement comment cookie cookies copyright dialog disclaimer discussion header navigation notice notices notification notifications promotion recommended related responses search skip social tags".split())
+# Words that say no more than that something is a part of the page: a name of a clutter word and these is clutter.
+PARTS = frozenset("a actions area bar block bottom box button buttons card cards col column container content controls entry fixed foot form global group head holder icon icons inline inner item items layout left "
+                  "line link links list main mobile module outer page panel part pane primary region right row secondary section site sign signup slot small sticky text thread title top unit up wrap wrapper zone".split())
+# Words that may as well name a section of the text.
+TOPICS = frozenset("advertising advertisement copyright cookies discussion disclaimer header navigation notice notices notifications promotion related responses search social tags".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNNAMED = frozenset("html body p pre code blockquote address caption figcaption dt dd".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -59,33 +64,51 @@ SCOPE = frozenset("ul ol dl table article section div body main td th".split())
 by_value(__name__)
 
 
-def verdict(tag: str, tokens: list[tuple[str, str]]) -> int:
-    """State that a tag with (attribute, name) pairs gives to what it holds.
+def _clutter(words: list[str]) -> bool:
+    """Does a name say clutter: by its last word ("main-nav"), or by its first
+    with words after it that only say that it is a part ("sidebar-left")?
+    "related-work" is a work, and stays."""
+    return words[-1] in CLUTTER or words[0] in CLUTTER and PARTS.issuperset(words[1:])
+
+
+def verdict(tag: str, tokens: list[tuple[str, str]], outer: int = 0) -> int:
+    """State that a tag with (attribute, name) pairs gives to what it holds,
+    ``outer`` being the state around it.
 
     Names are whole class, id and role values, on parts that hold blocks:
-    headings, paragraphs and code are never judged by name. A compound is what
-    its last word says ("main-nav" is a nav, "related-work" is a work), and
-    clutter wins over main. A name that may as well head a part of an article
-    only raises a doubt, and so does a compound id of a <section>.
+    headings, paragraphs and code are never judged by name. Clutter wins over
+    main, and over <article>: a reader's comment may be one. The id of a
+    <section> that is compound or may as well name a part of the text
+    ("discussion") raises a doubt only. A header inside an article keeps its headings.
     """
-    if tag in HIDDEN:
-        return HIDE
-    if tag in MAIN:
-        return MARKED
     if tag in HEADINGS:
         return HEADING
+    inside = outer & (MARKED | NAMED | ARTICLE)
+    if tag == "header" and inside:
+        return HEADER
+    if tag in HIDDEN:
+        return HIDE
     state = doubt = 0
     for key, token in tokens if tag not in UNNAMED else ():
         words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
         if not words:
             continue
-        if words[-1] in CLUTTER:
-            if words[-1] not in DOUBTFUL and not (key == "id" and tag == "section" and len(words) > 1):
+        if _clutter(words):
+            if words == ["header"] and inside:
+                state |= HEADER
+            elif key == "id" and tag == "section" and (len(words) > 1 or words[0] in TOPICS):
+                doubt = DOUBT
+            else:
                 return HIDE
-            doubt = DOUBT
         elif "main" in words and {"main", "content"}.issuperset(words):
             state |= MARKED if key == "role" else NAMED if tag in ("div", "section", "td") else 0
-    return doubt or state
+    if tag in MAIN:
+        state |= ARTICLE | MARKED if tag == "article" else MARKED
+    return state | doubt
+
+
+def hidden(state: int) -> bool:
+    return bool(state & HIDE or state & HEADER and not state & HEADING)
 
 
 class Page(HTMLParser):
@@ -107,7 +130,7 @@ class Page(HTMLParser):
     def flush(self):
         text = " ".join("".join(self.pieces).split())
         state = self.stack[-1][2]
-        if text and not (state & HIDE and len(self.stack) > MAX_DEPTH):
+        if text and not (hidden(state) and len(self.stack) > MAX_DEPTH):
             self.stack[-1][1].append(["#", text, min(self.linked, len(text)), state])
         self.pieces, self.linked = [], 0
 
@@ -126,7 +149,7 @@ class Page(HTMLParser):
                 tokens += [(key, t) for t in value.split()]
         if tag == "a":
             self.in_link = 1
-        if tag in VOID or tag in INLINE:
+        if tag in VOID or tag not in BLOCKS:  # an unknown tag ends no block
             if tag == "hr":
                 self.flush()
             return
@@ -136,7 +159,7 @@ class Page(HTMLParser):
         if tag in CLOSED_BY:
             self.pop(CLOSED_BY[tag])
         label = ".".join([tag, *sorted(set(names))])
-        state = self.stack[-1][2] | verdict(tag, tokens)
+        state = self.stack[-1][2] | verdict(tag, tokens, self.stack[-1][2])
         if len(self.stack) < MAX_DEPTH:
             node = [label, []]
             self.stack[-1][1].append(node)
@@ -165,7 +188,7 @@ class Page(HTMLParser):
             self.flush()
             while self.stack.pop()[0] != tag:
                 pass
-        elif tag not in INLINE and tag not in VOID:
+        elif tag in BLOCKS and tag not in VOID:
             self.flush()
 
 
@@ -232,17 +255,19 @@ def slots(children, parts, path=()):
         here = (*path, at if known else "?")
         if c[0] != "#":
             yield from slots(c[1], flat[at][2] if known else (), here)
-        elif not c[3] & HIDE:
+        elif not hidden(c[3]):
             yield c[1], c[2], here, c[3]
 
 
 def blocks(html: str | None, parts) -> list[tuple]:
     """(text, link characters, slot, in main) of a page's texts outside clutter.
 
-    The slot is given as text, "=" before those in a main part, "=h" before headings there. A main part known by its name only counts if it holds text that is no
-    menu; a block with a doubtful name goes if it is made of links."""
+    The slot is given as text, "=" before those in a main part, "=h" before
+    headings there. The article is the main part where there is one, else what
+    is marked by tag or role; a main part known by its name only counts if it holds
+    text that is no menu. A block in doubt goes if it is made of links."""
     found = [x for x in slots(Page(html).children, parts) if not (x[3] & DOUBT and x[1] * 2 >= len(x[0]))]
-    main = MARKED | (NAMED if any(x[3] & NAMED and x[1] * 2 < len(x[0]) for x in found) else 0)
+    main = next((kind for kind in (ARTICLE, MARKED, NAMED) if any(x[3] & kind and x[1] * 2 < len(x[0]) for x in found)), MARKED)
     marks = [("=h" if state & HEADING else "=") if state & main else "" for *_, state in found]
     return [(text, links, mark + "/".join(map(str, slot)), mark != "") for (text, links, slot, _), mark in zip(found, marks)]
 
@@ -289,20 +314,30 @@ class _Wrappers(dict):
         return w
 
 
+_BLOCKS = "array<struct<text:string,links:int,slot:string,main:boolean>>"
+_BLOCKS_ARROW = pa.list_(pa.struct([("text", pa.string()), ("links", pa.int32()), ("slot", pa.string()), ("main", pa.bool_())]))
+
+
+def _block_rows(batches):
+    """(row, host, html, skeleton) -> (row, host, blocks)."""
+    seen = _Wrappers()
+    for b in batches:
+        found = [[{"text": t, "links": n, "slot": slot, "main": m} for t, n, slot, m in blocks(html, seen[w])] for html, w in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, _BLOCKS_ARROW)], names=["row", "host", "blocks"])
+
+
 def _slot_rows(batches):
     """A row for each slot of a page, without a text, and one for each of its texts."""
-    seen = _Wrappers()
     for b in batches:
         out: list = [[], [], [], [], [], []]
-        for h, html, w in zip(*(c.to_pylist() for c in b.columns)):
-            found = blocks(html, seen[w])
-            page = xxhash.xxh64_intdigest("\n".join(x[0] for x in found)) >> 1
+        for h, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            page = xxhash.xxh64_intdigest("\n".join(x["text"] for x in found)) >> 1
             sums: dict[tuple, list[int]] = {}
-            for text, links, slot, _ in found:
-                for key in ((slot, None), (slot, _digest(text))):
+            for x in found:
+                for key in ((x["slot"], None), (x["slot"], _digest(x["text"]))):
                     of = sums.setdefault(key, [0, 0])
-                    of[0] += len(text)
-                    of[1] += links
+                    of[0] += len(x["text"])
+                    of[1] += x["links"]
             for (slot, text), (n, links) in sums.items():
                 for c, v in zip(out, (h, slot, text, n, links, page)):
                     c.append(v)
@@ -314,7 +349,7 @@ def _digest(text: str) -> int:
 
 
 def template(pages: DataFrame) -> DataFrame:
-    """(host, html, skeleton) -> (host, off): what is no article text on the
+    """(host, blocks) -> (host, off): what is no article text on the
     host's pages, lines of "slot" for menus and "slot text" for template.
 
     Pages with equal texts count once. Outside main parts, slots made of links
@@ -350,18 +385,18 @@ class _Off(dict):
 
 
 def _texts(batches):
-    seen, offs = _Wrappers(), _Off()
+    offs = _Off()
     for b in batches:
         out = []
-        for html, w, off in zip(*(c.to_pylist() for c in b.columns[1:])):
-            found, off = blocks(html, seen[w]), offs[off]
-            marked = [x for x in found if x[3]]
+        for found, off in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            off = offs[off]
+            marked = [x for x in found if x["main"]]
             main = []
-            for text, _, slot, _ in marked or found:
-                if not off or slot not in off and f"{slot if marked else '*'} {_digest(text)}" not in off:
-                    main.append(text)
+            for x in marked or found:
+                if not off or x["slot"] not in off and f"{x['slot'] if marked else '*'} {_digest(x['text'])}" not in off:
+                    main.append(x["text"])
             if not main:  # a page of template only: all that is marked, or else is no menu
-                main = [x[0] for x in marked] or [x[0] for x in found if x[1] * 2 < len(x[0])]
+                main = [x["text"] for x in marked] or [x["text"] for x in found if x["links"] * 2 < len(x["text"])]
             out.append("\n\n".join(main))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
@@ -377,11 +412,12 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     """
     rows = pages.select(F.struct(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).alias("row"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     known = written(wrappers(rows.select("host", "html")))
-    off = template(rows.join(known, "host").select("host", "html", "skeleton"))
-    known = written(known.join(off, "host", "left").select("host", "skeleton", "off"))
     # one row a host; the files' size tells Spark whether to broadcast it, and AQE splits a hot host's pages otherwise
-    ready = rows.join(known, "host", "left").select("row", "html", "skeleton", "off")
-    out = ready.mapInArrow(_texts, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    kind = rows.schema["row"].dataType.simpleString()
+    found = rows.join(known, "host", "left").select("row", "host", "html", "skeleton").mapInArrow(_block_rows, f"row {kind}, host string, blocks {_BLOCKS}")
+    found = written(found)  # pages are parsed for the wrappers and for their blocks, not again for the text
+    off = written(template(found.select("host", "blocks")))
+    out = found.join(off, "host", "left").select("row", "blocks", "off").mapInArrow(_texts, f"row {kind}, text string")
     return out.select("row.page_id", "row.url", "text")
 
 

@@ -126,14 +126,28 @@ def test_unmarked_article_is_found_by_its_host(spark):
 
 def test_names_are_whole_and_on_containers(spark):
     named = """<article><h2 id="discussion">Discussion</h2><p id="notice-1">first</p><section id="related-work"><p>work</p></section><section id="discussion"><p>talk</p></section>
-<p>see <code>a <span class="hljs-comment"># b</span></code> c</p><div class="notice">kept</div><div class="post-comments">no</div><div class="related"><a href=/>no</a></div></article>"""
+<p>see <code>a <span class="hljs-comment"># b</span></code> c</p><div class="notice">no</div><div class="post-comments">no</div><div class="related"><a href=/>no</a></div></article>"""
     menu = """<div class="main-menu"><p>no <a href=/>a long entry of the menu</a></div><ul id="main-nav"><li>no</ul><div class="main"><a href=/>no</a></div><div id="text"><h1>Title</h1><p>the article</div>"""
     pages = [(1, "http://a.org/1", named), (2, "http://b.org/1", menu), (3, "http://c.org/1", '<div>no</div><div id="main-content">yes</div>')]
     got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert got[1] == "Discussion\n\nfirst\n\nwork\n\ntalk\n\nsee a # b c\n\nkept"
+    assert got[1] == "Discussion\n\nfirst\n\nwork\n\ntalk\n\nsee a # b c"
     assert (got[2], got[3]) == ("Title\n\nthe article", "yes")
 
 
+@pytest.mark.parametrize("inside, text", [
+    *[(f'<p>a</p><div class="{c}"><p>no</p></div><p>b</p>', "a\n\nb") for c in (
+        "sidebar-left", "cookie-bar", "newsletter-signup", "footer-links", "ad-container", "nav-wrapper", "comment-list", "comment", "notice", "advertisement", "social", "promoBox", "x comments")],
+    ('<p>a</p><div id="discussion"><p>no</p></div><p>b</p>', "a\n\nb"), ('<p>a</p><article class="comment"><p>no</p></article>', "a"),
+    ('<header><p>by me</p><h1>Title</h1></header><p>a</p>', "Title\n\na"), ('<div class="header"><h1>Title</h1><span>share</span></div><p>a</p>', "Title\n\na"),
+    ("<p>a <ruby>b<rp>(</rp><rt>c</rt><rp>)</rp></ruby> <nobr>d</nobr> <x-y>e</x-y><wbr>f</p>", "a b(c) d ef"), ('<p>a</p><div class="ad-hoc"><p>b</p></div>', "a\n\nb"),
+    ('<section id="discussion"><h2>Discussion</h2><p>a</p></section>', "Discussion\n\na"), ('<search><p>no</p></search><p>a</p>', "a"),
+])
+def test_single_pages_of_small_hosts(inside, text):
+    """Names decide where a host has too few pages for statistics."""
+    page = f'<body><header><h1>Site</h1></header><main><div>home &gt; here</div><article>{inside}</article><p>more stories</p></main><footer>no</footer>'
+    assert "\n\n".join(x[0] for x in htmltext.blocks(page, htmltext.skeleton(htmltext.Page(page).children)) if x[3]) == text
+
+
 def test_marks_count_at_any_depth(spark):
     deep = "<div>" * 100 + "<script>no</script><nav>no</nav><article><p>yes</p><aside>no</aside><!-- no --><p>also</p></article><p>no</p><form>no"
     df = spark.createDataFrame([(1, "http://d.org/1", deep)], "page_id long, url string, html string")

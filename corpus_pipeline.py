@@ -7,13 +7,11 @@ again. All but the last return the columns of ``documents``; the last adds
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from folia.llm import classifier, decontaminate, mixing, pii, simhash
 from folia.llm.common import session
-from folia.session import checkpoint_dir
+from folia.session import scratch_folder
 
 STAGES = [
     ("quality classifier", classifier.stage),
@@ -32,7 +30,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, each written to the shared
     checkpoint folder and read again by the next."""
     session(spark)
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

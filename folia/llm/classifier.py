@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import by_value, documents, session, staged
+from .common import by_value, documents, own_columns, session, staged
 
 #: Documents the scorer is trained on, at most: those with the smallest hashes of their texts.
 TRAIN_ROWS = 12000
@@ -296,9 +297,9 @@ def classify(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model(docs, labels, train_rows))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = F.struct(*own_columns(docs)).alias("row")
     scored = docs.select(F.col("text"), row)
-    scored = scored.mapInArrow(_score(shared), f"p_junk double, p_toxic double, row {scored.schema['row'].dataType.simpleString()}")
+    scored = scored.mapInArrow(_score(shared), T.StructType([T.StructField("p_junk", T.DoubleType()), T.StructField("p_toxic", T.DoubleType()), scored.schema["row"]]))
     return scored.withColumn("rejected", F.greatest("p_junk", "p_toxic") > threshold)
 
 

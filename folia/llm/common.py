@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import sys
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folia.session import checkpoint_dir, ship_by_value
+from folia.session import checkpoint_dir, scratch_folder, ship_by_value
 
 #: Words are maximal runs of characters other than space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,11 +39,16 @@ def staged(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """Like ``staged``, as Parquet: compressed, and read by column."""
-    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/written-{uuid.uuid4().hex}"
+    folder = scratch_folder(df.sparkSession, "written")
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns by their exact names, dots and backticks included."""
+    return [df["`" + c.replace("`", "``") + "`"] for c in df.columns]
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row. Catalyst would
     otherwise copy the expression into every lambda that uses it."""

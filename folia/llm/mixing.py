@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, session, staged
+from .common import WORD, documents, own_columns, session, staged, written
 
 BITS = 12
 LEVELS = 4
@@ -65,7 +65,7 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     Each round sums tokens by source and bucket inside the boundary bucket of
     the round before: one row for each of at most 4,096 buckets and source.
     """
-    state = budgets.select("src", F.col("budget").alias("need"), F.lit(0).cast("long").alias("prefix"))
+    state = written(budgets.select("src", F.col("budget").alias("need"), F.lit(0).cast("long").alias("prefix")))
     for level in range(LEVELS):
         shift = BITS * (LEVELS - level)
         inside = rows.join(state.withColumnRenamed("src", "s"), F.col("src").eqNullSafe(F.col("s"))).where(
@@ -83,7 +83,7 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         step = F.lit(1 << (BITS * (LEVELS - 1 - level))).cast("long")
         start = F.col("prefix") + F.col("b") * step
         if level < LEVELS - 1:
-            state = staged(cut.select("src", (F.col("need") - F.col("below")).alias("need"), start.alias("prefix")))
+            state = written(cut.select("src", (F.col("need") - F.col("below")).alias("need"), start.alias("prefix")))
         else:  # a single hash value: take it if that comes nearer
             nearer = (F.col("upto") - F.col("need")) <= (F.col("need") - F.col("below"))
             return cut.select("src", F.when(nearer, start + 1).otherwise(start).alias("threshold"))
@@ -109,14 +109,14 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         .withColumn("h", h)
     )
     sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"))
-    goal = staged(targets(sizes, weights, share))
+    goal = written(targets(sizes, weights, share))
     whole = F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)).cast("long")
     goal = goal.withColumn("whole", F.least(whole, F.lit(MAX_REPEAT)))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     cuts = thresholds(rows, goal.select("src", rest.alias("budget")).where("budget > 0"))
     plan = goal.join(cuts.withColumnRenamed("src", "s"), F.col("src").eqNullSafe(F.col("s")), "left").drop("s")
-    # One row per source; left to Spark's measured sizes, since nothing bounds their number.
-    plan = plan.withColumnRenamed("src", "s")
+    # One row per source, in a file whose size tells Spark whether to broadcast it: nothing bounds their number.
+    plan = written(plan.withColumnRenamed("src", "s"))
     extra = F.coalesce((F.col("h") < F.col("threshold")).cast("long"), F.lit(0))
     return (
         rows.join(plan, F.col("src").eqNullSafe(F.col("s")), "left")
@@ -133,10 +133,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents the mix takes, with the number of times
-    each is to be repeated (``copies``) and the words that makes (``taken``)."""
+    each is to be repeated (``copies``) and the words that makes (``taken``).
+    Columns of these names that the documents bring along are replaced.
+    Documents of size 0, without an id or a source, and repeated rows are
+    mixed as ``mix`` says; an empty table gives no rows."""
     session(spark)
-    own = [c for c in docs.columns if c not in ("copies", "taken")]
+    own = [c for c, name in zip(own_columns(docs), docs.columns) if name not in ("copies", "taken")]
     m = mix(docs).where("copies > 0").select(
         F.col("doc_id").alias("__id"), F.col("src").alias("__src"), F.col("text_hash").alias("__hash"), F.col("copies").alias("__copies"), F.col("size").alias("__size")).distinct()
     on = docs["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__hash")) & docs["source"].eqNullSafe(F.col("__src"))
-    return docs.join(m, on).select(*[docs[c] for c in own], F.col("__copies").alias("copies"), (F.col("__size") * F.col("__copies")).alias("taken"))
+    return docs.join(m, on).select(*own, F.col("__copies").alias("copies"), (F.col("__size") * F.col("__copies")).alias("taken"))

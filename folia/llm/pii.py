@@ -29,7 +29,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, let, session, staged
+from .common import documents, let, own_columns, session, staged
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _LABEL = "[A-Za-z0-9-]"
@@ -208,8 +208,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without spans stay as they are; ``n_chars`` follows the new text."""
     session(spark)
     columns = docs.columns
-    quoted = [docs[f"`{c}`"] for c in columns]
-    p = find(docs.select(F.struct(*quoted).alias("d"), F.col("text").alias("t")), id_col="d", text_col="t")
+    p = find(docs.select(F.struct(*own_columns(docs)).alias("d"), F.col("text").alias("t")), id_col="d", text_col="t")
     spans = F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
     names = F.array(*map(F.lit, KINDS))
 
@@ -225,4 +224,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = let(spans, lambda s: F.when(F.size(s) == 0, t).otherwise(cut(t, s)))
     out = p.select("doc_id", clean.alias("clean"))
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)}
-    return out.select(*[new.get(c, F.col(f"doc_id.`{c}`")).alias(c) for c in columns])
+    return out.select(*[new.get(c, F.col("doc_id").getField(c)).alias(c) for c in columns])

@@ -26,7 +26,8 @@ MAX_LABELLED = 20000
 #: Candidate thresholds of a feature, and what a rule must reach on either part.
 GRID = 24
 MIN_PRECISION = 0.95
-MIN_COVER = 20
+#: A rule covers at least this share of the bad documents it was learned from.
+MIN_COVER = 0.02
 MAX_RULES = 12
 MAX_CONDITIONS = 3
 
@@ -99,7 +100,7 @@ def _gain(p0, n0, p1, n1):
 
 
 def cover(cells: np.ndarray, bad: np.ndarray, good: np.ndarray, prune: np.ndarray, n_bins: list[int],
-          min_precision: float = MIN_PRECISION, min_cover: int = MIN_COVER) -> list[list[tuple[int, str, int]]]:
+          min_precision: float = MIN_PRECISION, min_cover: float = MIN_COVER) -> list[list[tuple[int, str, int]]]:
     """Rules for the bad class from counts by cell. ``cells``: a bin number
     for each feature; ``prune``: which cells' counts belong to the pruning
     part. A condition is (feature, ">=" or "<", bin)."""
@@ -134,7 +135,7 @@ def cover(cells: np.ndarray, bad: np.ndarray, good: np.ndarray, prune: np.ndarra
         while len(conditions) > 1 and precision(holds(conditions[:-1]) & prune) >= precision(holds(conditions) & prune):
             conditions.pop()
         m = holds(conditions) if conditions else np.zeros(len(cells), bool)
-        if bad[m].sum() < min_cover or precision(m) < min_precision or precision(m & prune) < min_precision - 0.05:
+        if bad[m].sum() < max(1.0, min_cover * bad.sum()) or precision(m) < min_precision or precision(m & prune) < min_precision - 0.05:
             break
         rules.append(conditions)
         alive &= ~m

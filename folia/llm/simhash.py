@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, documents, session, staged, written
+from .common import by_value, documents, own_columns, session, staged, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -291,7 +291,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     session(spark)
     # a row's number has to be written, or a repeated task could number its rows anew
-    rows = written(docs.select(F.monotonically_increasing_id().alias("nr"), F.struct(*docs.columns).alias("x")))
+    rows = written(docs.select(F.monotonically_increasing_id().alias("nr"), F.struct(*own_columns(docs)).alias("x")))
     fps = staged(fingerprints(rows.select(F.struct("nr", "x.doc_id").alias("doc_id"), F.col("x.text").alias("text"))))
     low = fps.join(_classes(fps, F.col("doc_id.doc_id")), "fp").where("doc_id.doc_id <=> component_id").select("doc_id.nr", "root")
     count = staged(low.groupBy("root").agg(F.count("*").alias("rows"), F.min("nr").alias("nr")))

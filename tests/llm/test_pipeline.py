@@ -78,3 +78,22 @@ def test_the_mix_nears_its_targets(spark, steps):
 def test_run_gives_the_last_stage(spark, steps):
     got = sorted((r.doc_id, r.copies) for r in corpus_pipeline.run(spark, DATA).select("doc_id", "copies").collect())
     assert got == sorted((r.doc_id, r.copies) for r in steps[-1].select("doc_id", "copies").collect())
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_names(spark, odd, none, name):
+    """Nulls, empty, long and repeated texts, an empty table, names that clash or hold dots and backticks."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = odd.selectExpr("*", "7 AS `a.b`", "8 AS `c``d`", "'x' AS `doc_id.x`", "9 AS taken", "10 AS d", "11 AS x", "12 AS nr", "13 AS root")
+    got = stage(spark, docs, DATA)
+    last = name == corpus_pipeline.STAGES[-1][0]
+    names = [c for c in docs.columns if c not in ("copies", "taken")] + ["copies", "taken"] if last else docs.columns
+    assert got.columns == names
+    rows = got.collect()
+    assert {tuple(r.asDict()[c] for c in ("a.b", "c`d", "doc_id.x", "d")) for r in rows} <= {(7, 8, "x", 10)}
+    ids = collections.Counter(r.doc_id for r in rows)
+    given = collections.Counter(r.doc_id for r in docs.collect())
+    assert not ids - given
+    if name in ("PII", "benchmark decontamination"):
+        assert ids == given
+    assert stage(spark, none.selectExpr("*", "7 AS `a.b`"), DATA).count() == 0

@@ -97,11 +97,18 @@ def ingest(responses: DataFrame) -> DataFrame:
     The winners are found on (key, fetched_at, page_id) alone, with map-side
     combine; bodies meet them in one semi-join (no shuffle of bodies where
     Spark can broadcast the winners) and only the winners' are decoded.
-    Responses equal in all three columns are all kept."""
+    Responses equal in all three columns are one: the body with the largest
+    digest stays."""
     ok = classify(responses).where("status_class = 'ok'").drop("status_class").selectExpr("*", f"{U.url_canonical('url')} AS key")
-    newest = ok.groupBy("key").agg(F.max(F.struct("fetched_at", "page_id")).alias("w")).selectExpr("key AS k", "w.fetched_at AS at", "w.page_id AS id")
-    wins = F.col("key").eqNullSafe(F.col("k")) & F.col("fetched_at").eqNullSafe(F.col("at")) & F.col("page_id").eqNullSafe(F.col("id"))
-    kept = ok.join(newest, wins, "left_semi")
+    ok = ok.withColumn("digest", F.expr("coalesce(md5(body), '')"))
+    each = ok.groupBy("key", "fetched_at", "page_id", "digest").agg(F.count("*").alias("n"))
+    newest = each.groupBy("key").agg(F.max(F.struct("fetched_at", "page_id", "digest", "n")).alias("w")).selectExpr(
+        "key AS k", "w.fetched_at AS at", "w.page_id AS id", "w.digest AS d", "w.n AS n")
+    wins = F.col("key").eqNullSafe(F.col("k")) & F.col("fetched_at").eqNullSafe(F.col("at")) & F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d"))
+    alone = ok.join(newest.where("n = 1"), wins, "left_semi")
+    # rows repeated in the log: the only bodies that have to meet each other
+    repeated = ok.join(newest.where("n > 1"), wins, "left_semi").dropDuplicates(["key"])
+    kept = alone.unionByName(repeated).drop("digest")
     return decode_bodies(kept).select("key", "page_id", "url", "text", "fetched_at")
 
 

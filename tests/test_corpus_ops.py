@@ -265,6 +265,8 @@ def test_bodies_never_fail_the_job(spark):
     assert {r.page_id: r.status_class for r in RS.decode_bodies(df).collect() if r.page_id > 50} == {90: "fetch_error", 91: "not_found", 92: "http_error"}
     got = {r.page_id: r.text for r in RS.ingest(df.unionByName(df.where("page_id = 0").selectExpr("8 AS page_id", "url", "status", "headers", "body", "timestamp_seconds(-1) AS fetched_at"))).collect()}
     assert sorted(got) == list(range(7)) and got[0] == got[4] == "é"
+    twice = df.unionByName(df).unionByName(df.where("page_id = 0").withColumn("body", F.lit(bytearray(b"other"))))
+    assert sorted(r.page_id for r in RS.ingest(twice).collect()) == list(range(7))
 
 
 # ---- table function and streams

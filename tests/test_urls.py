@@ -21,7 +21,7 @@ def test_url_resolve_matches_urljoin(spark):
 
 
 def test_canonical_slug_quote_unquote(spark):
-    urls = ["HTTP://Wiki.Example.org/page/Caf%C3%A9;p?q#f", "https://x/page/%22Hello,_World!%22_program", "https://x/a/b/"]
+    urls = ["HTTP://Wiki.Example.org/page/Caf%C3%A9;p?q#f", "https://x/page/%27Salt,_Sea!%27_%C3%A0_la_carte", "https://x/a/b/"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = df.select(
         "u",
@@ -40,11 +40,11 @@ def test_canonical_slug_quote_unquote(spark):
 
 
 def test_title_slug_and_slug_url(spark):
-    df = spark.createDataFrame([("  Hello,\tWorld! ",), ('"Quoted" name',), ("   ",)], "t string")
+    df = spark.createDataFrame([("  Salt,\tSea! ",), ('a "b" [c]',), ("   ",)], "t string")
     got = df.select(
         F.expr(U.title_slug("t")).alias("s"),
         F.expr(U.slug_url(U.title_slug("t"), "https://site.example/")).alias("url"),
     ).collect()
-    assert got[0].s == "Hello,_World!"
-    assert got[1].url == "https://site.example/page/%22Quoted%22_name"
+    assert got[0].s == "Salt,_Sea!"
+    assert got[1].url == "https://site.example/page/a_%22b%22_%5Bc%5D"
     assert got[2].s is None and got[2].url is None

@@ -37,10 +37,10 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Like ``staged``, as Parquet: compressed, and read by column."""
     folder = scratch_folder(df.sparkSession, "written")
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -415,7 +415,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     # one row a host; the files' size tells Spark whether to broadcast it, and AQE splits a hot host's pages otherwise
     kind = rows.schema["row"].dataType.simpleString()
     found = rows.join(known, "host", "left").select("row", "host", "html", "skeleton").mapInArrow(_block_rows, f"row {kind}, host string, blocks {_BLOCKS}")
-    found = written(found)  # pages are parsed for the wrappers and for their blocks, not again for the text
+    found = written(found, "zstd")  # pages are parsed for the wrappers and for their blocks, not again for the text
     off = written(template(found.select("host", "blocks")))
     out = found.join(off, "host", "left").select("row", "blocks", "off").mapInArrow(_texts, f"row {kind}, text string")
     return out.select("row.page_id", "row.url", "text")

@@ -121,7 +121,8 @@ def cover(cells: np.ndarray, bad: np.ndarray, good: np.ndarray, prune: np.ndarra
         m = alive & ~prune
         while len(conditions) < MAX_CONDITIONS and good[m].sum() > 0 and bad[m].sum() > 0:
             p0, n0, best = bad[m].sum(), good[m].sum(), (0.0, None)
-            for f, bins in enumerate(n_bins):
+            used = {f for f, _, _ in conditions}
+            for f, bins in sorted(enumerate(n_bins), key=lambda x: x[0] in used):  # a new feature says more than a used one
                 p = np.bincount(cells[m, f], bad[m], bins).cumsum()
                 n = np.bincount(cells[m, f], good[m], bins).cumsum()
                 for op, gain in (("<", _gain(p0, n0, p, n)), (">=", _gain(p0, n0, p0 - p, n0 - n))):
@@ -132,7 +133,9 @@ def cover(cells: np.ndarray, bad: np.ndarray, good: np.ndarray, prune: np.ndarra
                 break
             conditions.append(best[1])
             m = holds(conditions) & ~prune
-        while len(conditions) > 1 and precision(holds(conditions[:-1]) & prune) >= precision(holds(conditions) & prune):
+        # a condition goes where the pruning part does without it and the rule stays precise
+        while len(conditions) > 1 and precision(holds(conditions[:-1]) & prune) >= precision(holds(conditions) & prune) and (
+                precision(holds(conditions[:-1])) >= min_precision or precision(holds(conditions)) < min_precision):
             conditions.pop()
         m = holds(conditions) if conditions else np.zeros(len(cells), bool)
         if bad[m].sum() < max(1.0, min_cover * bad.sum()) or precision(m) < min_precision or precision(m & prune) < min_precision - 0.05:
@@ -179,8 +182,8 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     Null and empty texts have no words and fail the base check. Rows without a
     doc_id are judged, but not learned from; a doc_id with contradictory
-    labels counts as bad. Ties between conditions go to the feature and
-    threshold that come first. Without labels there are no rules. Repeated
+    labels counts as bad. Ties between conditions go to a feature that the
+    rule has not used yet, then to the feature and threshold that come first. Without labels there are no rules. Repeated
     rows give a row each; other columns are not read.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))

@@ -73,6 +73,7 @@ def api_hits(api: DataFrame, base_url: str = SEARCH_BASE) -> tuple[DataFrame, Da
     skipped; hits are unique by canonical URL key, the first spelling kept,
     in result order.
     """
+    # payloads are parsed once: what is valid and what it lists are read from the written result
     parsed = api.selectExpr(*REQUEST, "CASE WHEN status < 400 AND NOT refused THEN try_parse_json(payload) END AS v").selectExpr(
         *REQUEST,
         "CASE WHEN v IS NOT NULL AND schema_of_variant(v) LIKE 'OBJECT%' "
@@ -82,10 +83,11 @@ def api_hits(api: DataFrame, base_url: str = SEARCH_BASE) -> tuple[DataFrame, Da
         f"CASE WHEN schema_of_variant({x}) LIKE 'OBJECT%' AND schema_of_variant(variant_get({x}, '$.slug')) = 'STRING' "
         f"THEN try_variant_get({x}, '$.slug', 'string') END"))
     urls = transform(filter_(slugs, lambda x: f"({x} IS NOT NULL AND {py_strip(x)} <> '')"), lambda x: U.slug_url(x, base_url))
-    keyed = parsed.selectExpr(*REQUEST, f"{urls} AS urls").selectExpr("*", f"{transform('urls', U.url_canonical)} AS keys")
+    listed = materialize(parsed.selectExpr(*REQUEST, f"{urls} AS urls"))
+    keyed = listed.selectExpr("*", f"{transform('urls', U.url_canonical)} AS keys")
     unique = filter_("urls", lambda u, i: f"array_position(keys, get(keys, {i})) = {i} + 1", arity=2)
     hits = keyed.selectExpr(*REQUEST, f"posexplode({unique}) AS (i, page_url)").selectExpr(*REQUEST, "CAST(i + 1 AS BIGINT) AS pos", "page_url")
-    return hits, parsed.select(*REQUEST)
+    return hits, listed.select(*REQUEST)
 
 
 def fallback(api_result: DataFrame, valid: DataFrame, html_result: DataFrame) -> DataFrame:

@@ -6,13 +6,15 @@ from __future__ import annotations
 from folia.operators import search as SR
 from folia.operators.shred import shred
 from folia.plans.fixtures import r4_search_payloads
-from folia.session import table
+from folia.session import materialize, table
 
 LIMIT = 5
 
 
-def _html_hits(spark, sf_dir):
+def _html_hits(spark, sf_dir, answered=None):
+    """Hits of the result pages; with ``answered``, of the other requests' pages alone: only these are tokenised."""
     _, html = r4_search_payloads(spark, sf_dir)
+    html = html if answered is None else materialize(html.join(answered, SR.REQUEST, "left_anti"))
     hits = SR.html_hits(shred(html.select("page_id", "url", "html")), base_url=SR.SEARCH_BASE, path_prefix="/page/")
     return hits.join(html.select("page_id", *SR.REQUEST), "page_id").select(*SR.REQUEST, "pos", "page_url")
 
@@ -29,7 +31,7 @@ def search_html_results(spark, sf_dir):
 def _fallback(spark, sf_dir):
     api, _ = r4_search_payloads(spark, sf_dir)
     hits, valid = SR.api_hits(api)
-    return SR.fallback(hits, valid, _html_hits(spark, sf_dir))
+    return SR.fallback(hits, valid, _html_hits(spark, sf_dir, valid))
 
 
 def search_fallback(spark, sf_dir):

@@ -118,7 +118,7 @@ def _benchmark_blocks(bench: DataFrame, item_col: str, text_col: str, block_byte
 
 def contamination(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  block_bytes: int = 32 << 20) -> DataFrame:
+                  block_bytes: int = 2 << 20) -> DataFrame:
     """(doc_id, n_words, n_hit, items) for every row of ``docs``; ``items`` is
     the sorted list of item ids (as strings) with a window in the text.
 

@@ -84,3 +84,24 @@ def test_every_element_on_request():
 def test_unterminated_script_is_lost():
     nodes, _ = shred_html("<p>kept</p><script>never closed")
     assert by_tag(nodes, "script")[0]["raw"] == ""
+
+
+def test_plain_tokens_read_as_the_tokenizer_reads_them(monkeypatch):
+    import re
+
+    from folia.operators import shred as module
+
+    pages = [
+        "<!DOCTYPE html><head><title>a &amp; b</title><META Name='x' content=\"1 &gt; 0\" hidden></head><p>t</P >end",
+        "<!-- c --><!----><!--->still</p>--><a href='1' HREF=\"2\" >l</a><img src='i'/><br /><x-y z>",
+        "<script>if (a < b) f('</b>')</SCRIPT ><p>x</p><script>never closed <p>",
+        "<p a=b>bare<p a=\"1\"b=\"2\">joined<p a=\"open><ul><li>", "1 < 2 <<p>q</p>&lt;tail", "<style>p > a {}</style><h1>T<button>e</button></h1>",
+    ]
+    fast = [shred_html(page, keep_all) for page in pages for keep_all in (False, True)]
+    monkeypatch.setattr(module, "_PLAIN", re.compile("(?!)"))
+    assert fast == [shred_html(page, keep_all) for page in pages for keep_all in (False, True)]
+
+
+def test_only_the_tags_asked_for_leave_the_fold():
+    nodes, _ = shred_html("<article><h1>T <a href='x'>l</a></h1><p>p</p></article>", tags=frozenset(["article", "h1"]))
+    assert [(n["tag"], n["idx"], n["span"], n["pos"], n["text"]) for n in nodes] == [("article", 1, 2, 0, None), ("h1", 2, 1, 1, "T l")]

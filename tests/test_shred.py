@@ -105,3 +105,13 @@ def test_plain_tokens_read_as_the_tokenizer_reads_them(monkeypatch):
 def test_only_the_tags_asked_for_leave_the_fold():
     nodes, _ = shred_html("<article><h1>T <a href='x'>l</a></h1><p>p</p></article>", tags=frozenset(["article", "h1"]))
     assert [(n["tag"], n["idx"], n["span"], n["pos"], n["text"]) for n in nodes] == [("article", 1, 2, 0, None), ("h1", 2, 1, 1, "T l")]
+
+
+def test_text_that_nobody_reads_is_not_kept():
+    from folia.operators import shred as module
+
+    folder = module._Folder(module._Nodes(), tags=frozenset(["article", "h1"]))
+    folder.feed("<article><p>skipped <a href='x'>l</a></p><h1>T <a href='/y'></a>&amp;<b>")
+    assert folder.inl == ["T ", "/y", "&"]
+    folder.feed("</h1>tail<ul><li>i<li>")
+    assert folder.inl == [] and folder.out.dicts()[1]["text"] == "T /y&"

@@ -49,3 +49,30 @@ def test_fixture_rows_are_dealt_into_all_partitions(spark, tmp_path):
     made = fixtures.r6_documents(spark, str(tmp_path))
     assert made.rdd.getNumPartitions() == n and made.count() == 200
     assert shred(pages(spark), 3).rdd.getNumPartitions() == 3
+
+
+def test_text_rules_are_pythons_and_cheap(spark):
+    from folia.functions import nodes as N
+    from folia.functions import text as T
+    from folia.functions import urls as U
+
+    texts = ["", " ", "a", " a  b ", "a b", "\x1c　a\t\tb\x85", "a​b", "a b", "\U0001f600  x ", "\x7f \x00"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", T.ws_normalize("t"), T.py_strip("t")).collect()
+    assert [tuple(r) for r in got] == [(t, " ".join(t.split()), t.strip()) for t in texts]
+    words = spark.createDataFrame([("KEYWORDS",), ("Keywords",), ("keyword",), ("references",)], "t string")
+    for word in ("keywords", "references"):
+        assert words.where(f"{N.reads_as('t', word)} <> (lower(t) = '{word}')").count() == 0
+    assert "regexp" not in T.py_strip("t")
+    assert U.resolve_with("b", "r").count("lower(substring_index(r") == 1
+
+
+def test_a_sections_fields_are_read_in_one_go(spark):
+    assert "'$.subsections', 'array" not in O.faulty_sections("v", "json") + O.outline()
+    faults = {
+        "{}": False, '{"media":null,"subsections":null,"level":"3"}': False, '{"subsections":[{"subsections":[]}]}': False,
+        "7": True, "null": True, "[]": True, '{"media":{}}': True, '{"subsections":7}': True, '{"level":null}': True, '{"level":"x"}': True,
+        '{"subsections":[{"subsections":[{"media":1}]}]}': True,
+    }
+    docs = spark.createDataFrame([(k, f'[{{"subsections":[{doc}]}}]') for k, doc in enumerate(faults)], "k int, json string")
+    judged = docs.selectExpr("k", f"{O.faulty_sections('parse_json(json)', 'json')} AS bad").sort("k").collect()
+    assert [r.bad for r in judged] == list(faults.values())

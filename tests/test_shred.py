@@ -115,3 +115,32 @@ def test_text_that_nobody_reads_is_not_kept():
     assert folder.inl == ["T ", "/y", "&"]
     folder.feed("</h1>tail<ul><li>i<li>")
     assert folder.inl == [] and folder.out.dicts()[1]["text"] == "T /y&"
+
+
+def test_elements_that_leave_no_node_are_passed_over_whole():
+    import random
+    import time
+
+    from folia.operators import shred as module
+
+    head = frozenset(["head", "title", "article", "h1", "h2"])
+    page = "<p>a <a href='x>y'>l</a><br></p><ul><li><b>1</b><li-x>2</li-x></li></ul>t<h1>T</h1>"
+    found = module._after_quiet(head).match(page)
+    assert found[1].endswith("</p>") and page.count("<", 0, found.end(1)) == 5  # a name with a dash is read as its own token
+    assert module._after_quiet(head).match(page.replace("li-x", "i"))[1].endswith("</ul>")
+    rng = random.Random(7)
+    pieces = ["<p>", "</p>", "<div class='a'>", "</div>", "<li>x</li>", "<ul>", "</ul>", "<dt>k</dt>", "<dd>v</dd>", "<dt>", "<dd>", "<br>", "<img src='i'>", "<h1>",
+              "</h1>", "<article>", "</article>", "<a href='/x'>l</a>", "<figure><img src=a><figcaption>c</figcaption></figure>", "<b/>", "<P>q</P>", " t & u ",
+              "<figcaption>d</figcaption>", "<figure>", "</figure>", "<span data-tts-block='true'>s</span>", "<i title='</i>'>w</i>", "<h2>R</h2>", "<script>1<2</script>", "1 < 2"]
+    sets = [head, head | {"dt", "dd"}, head | {"a"}, head | {"figure", "img", "figcaption"}, head | {"li"}, head | {"p", "span"}]
+    for _ in range(600):
+        html = "".join(rng.choices(pieces[:-1] if rng.random() < 0.9 else pieces, k=rng.randint(1, 30)))
+        every, _ = shred_html(html)
+        for tags in sets:
+            nodes, _ = shred_html(html, tags=tags)
+            plain = lambda ns: [{k: v for k, v in n.items() if k not in ("idx", "span")} for n in ns]
+            assert plain(nodes) == plain(n for n in every if n["tag"] in tags), (html, tags)
+    for unit in ("<p>w", "<ul><li>x</li>", "<div><p>a</p><p>b</p>", "<p><b>x</b><i>y</p>", "<p a='1' b='2' c", "<li>x</li>", "<p><p>a</p>"):
+        began = time.process_time()
+        shred_html("<article>" + unit * 25_000, tags=head)
+        assert time.process_time() - began < 5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folia.functions.sql import lit
+from folia.functions.sql import let, lit
 
 # Fixed value: every character Python's str.split() treats as whitespace.
 # Java's \s is ASCII-only, so the rest are listed.
@@ -28,8 +28,7 @@ def py_strip(e: str) -> str:
 
 def split_lines(e: str) -> str:
     """``s.splitlines()``: split on line breaks, minus one trailing empty piece."""
-    parts = f"split({e}, {lit(LINE_BREAK)}, -1)"
-    return (
+    return let(f"split({e}, {lit(LINE_BREAK)}, -1)", lambda parts: (
         f"CASE WHEN size({parts}) > 0 AND element_at({parts}, -1) = '' "
         f"THEN slice({parts}, 1, size({parts}) - 1) ELSE {parts} END"
-    )
+    ))

@@ -29,15 +29,20 @@ MD_IMAGE_START = r"(?s)!\[([^\]]*)\]\((.*)$"
 
 def link_of(rest: str) -> str:
     """The text up to the parenthesis that closes a link, at any depth;
-    escaped parentheses do not count. Null if none closes it."""
-    init = "named_struct('d', 1, 'i', 0, 'end', -1, 'prev', '')"
-
-    def step(a: str, c: str) -> str:
-        depth = f"({a}.d + CASE WHEN {a}.prev = '\\\\' THEN 0 WHEN {c} = '(' THEN 1 WHEN {c} = ')' THEN -1 ELSE 0 END)"
-        return (f"CASE WHEN {a}.end >= 0 THEN {a} ELSE named_struct('d', {depth}, 'i', {a}.i + 1, "
-                f"'end', CASE WHEN {depth} = 0 THEN {a}.i ELSE -1 END, 'prev', {c}) END")
-
-    return let(f"{aggregate(f"split({rest}, '')", init, step)}.end", lambda e: f"CASE WHEN {e} >= 0 THEN substring({rest}, 1, {e}) END")
+    escaped parentheses do not count. Null if none closes it. The fold goes
+    from one parenthesis to the next, not over the characters."""
+    init = "named_struct('d', 1, 'i', 0, 'end', -1)"
+
+    def step(a: str, piece: str) -> str:
+        depth = f"({a}.d + CASE WHEN endswith({piece}, '\\\\(') OR endswith({piece}, '\\\\)') THEN 0 WHEN endswith({piece}, '(') THEN 1 ELSE -1 END)"
+        return (f"CASE WHEN {a}.end >= 0 THEN {a} ELSE {let(depth, lambda d: let(f'{a}.i + char_length({piece})', lambda i: (
+            f"named_struct('d', {d}, 'i', {i}, 'end', CASE WHEN {d} = 0 THEN {i} - 1 ELSE -1 END)")))} END")
+
+    pieces = f"regexp_extract_all({rest}, {lit('[^()]*+[()]')}, 0)"
+    nested = let(f"{aggregate(pieces, init, step)}.end", lambda e: f"CASE WHEN {e} >= 0 THEN substring({rest}, 1, {e}) END")
+    # mostly the first closing parenthesis ends the link: nothing before it opens or escapes one
+    plain = f"substring_index({rest}, ')', 1)"
+    return let(plain, lambda x: f"CASE WHEN contains({rest}, ')') AND NOT contains({x}, '(') AND NOT endswith({x}, '\\\\') THEN {x} ELSE {nested} END")
 
 
 def _json_unescape(e: str) -> str:

@@ -15,6 +15,7 @@ from xml.etree import ElementTree
 import pytest
 from pyspark.sql import functions as F
 
+from folia.functions.text import split_lines
 from folia.functions.udtf import register
 from folia.functions.urls import parse_base
 from folia.operators import edits as E
@@ -391,3 +392,21 @@ def test_gate_stream_serves_in_time(spark, tmp_path):
         out = ST._run_to_sink(ST.gate_stream(read("urls"), read("robots"), "bot/1"), str(tmp_path / "work"))
     got = sorted((r.page_id, r.verdict) for r in out.collect())
     assert got == [(1, "disallowed"), (2, "allowed"), (3, "unavailable"), (4, "disallowed"), (5, "unavailable"), (6, "unavailable"), (7, "unavailable"), (8, "allowed")]
+
+
+def test_links_end_at_the_parenthesis_that_closes_them(spark):
+    def expected(rest):
+        depth, before = 1, ""
+        for i, c in enumerate(rest):
+            depth += 0 if before == "\\" else {"(": 1, ")": -1}.get(c, 0)
+            before = c
+            if depth == 0:
+                return rest[:i]
+        return None
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ab()()\\é😀\n ", k=rng.randint(0, 12))) for _ in range(500)] + [")", "", "(", "\\)", "a\\\\)b)", "c_(1).png \"t\")"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"{P.link_of('t')} AS link").collect()
+    assert [(r.t, r.link) for r in found] == [(t, expected(t)) for t in texts]
+    assert "split(" not in P.link_of("t")  # no step for every character
+    assert split_lines("t").count("split(") == 1  # lines are split once

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.functions.sql import let
 from folia.functions.text import py_strip
 from folia.functions.times import ISO_TEXT, iso_time
 from folia.session import materialize
@@ -24,10 +25,7 @@ _INT_TYPES = "('BIGINT', 'INT', 'SMALLINT', 'TINYINT', 'BOOLEAN')"
 
 def _pick(x: str, camel: str, snake: str) -> str:
     """_mapping_value: the camelCase value if the key is present, else snake_case."""
-    return (
-        f"CASE WHEN variant_get({x}, '$.{camel}') IS NOT NULL THEN variant_get({x}, '$.{camel}') "
-        f"ELSE variant_get({x}, '$.{snake}') END"
-    )
+    return f"coalesce(variant_get({x}, '$.{camel}'), variant_get({x}, '$.{snake}'))"
 
 
 def _s(v: str) -> str:
@@ -37,21 +35,21 @@ def _s(v: str) -> str:
 def _time(v: str) -> str:
     """Epoch seconds (integer, years 1-9999) or an ISO-8601 string ('Z' or
     offset; naive = UTC); null otherwise, which quarantines the batch."""
-    return (
-        f"CASE WHEN schema_of_variant({v}) IN {_INT_TYPES} THEN (CASE WHEN try_variant_get({v}, '$', 'bigint') "
-        f"BETWEEN -62135596800 AND 253402300799 THEN timestamp_seconds(try_variant_get({v}, '$', 'bigint')) END) "
-        f"WHEN schema_of_variant({v}) = 'STRING' THEN {iso_time(_s(v))} END"
-    )
+    return let(f"named_struct('v', {v}, 'type', schema_of_variant({v}))", lambda p: (
+        f"CASE WHEN {p}.type IN {_INT_TYPES} THEN {let(f"try_variant_get({p}.v, '$', 'bigint')", lambda n: (
+            f"CASE WHEN {n} BETWEEN -62135596800 AND 253402300799 THEN timestamp_seconds({n}) END"))} "
+        f"WHEN {p}.type = 'STRING' THEN {iso_time(_s(f'{p}.v'))} END"
+    ))
 
 
 def _count(v: str) -> str:
     """A vote count: 0 where the key is missing; a number cut to an integer,
     or a string of digits; null for anything else, null values included."""
-    return (
-        f"CASE WHEN {v} IS NULL THEN 0 WHEN schema_of_variant({v}) = 'STRING' THEN "
-        f"(CASE WHEN {_s(v)} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim({_s(v)}) AS bigint) END) "
-        f"ELSE try_variant_get({v}, '$', 'bigint') END"
-    )
+    return let(v, lambda x: (
+        f"CASE WHEN {x} IS NULL THEN 0 WHEN schema_of_variant({x}) = 'STRING' THEN "
+        f"{let(_s(x), lambda t: f"(CASE WHEN {t} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim({t}) AS bigint) END)")} "
+        f"ELSE try_variant_get({x}, '$', 'bigint') END"
+    ))
 
 
 def parse_batches(payloads: DataFrame) -> DataFrame:
@@ -72,8 +70,10 @@ def parse_batches(payloads: DataFrame) -> DataFrame:
         "ELSE try_variant_get(reqs, '$', 'array<variant>') END AS items",
     )
     votes = " OR ".join(f"({_count(_pick('x', camel, snake))}) IS NULL" for camel, snake in (("upvoteCount", "upvote_count"), ("downvoteCount", "downvote_count")))
+    # No partition has a negative number. A nondeterministic expression keeps Spark from pushing filters on
+    # the error or the items below, where every payload would be parsed again for each use.
     error = (
-        "CASE WHEN v IS NULL THEN 'not_json' "
+        "CASE WHEN spark_partition_id() < 0 THEN NULL WHEN v IS NULL THEN 'not_json' "
         "WHEN schema_of_variant(v) NOT LIKE 'OBJECT%' THEN 'not_object' "
         f"WHEN total_v IS NOT NULL AND schema_of_variant(total_v) NOT IN {_INT_TYPES} THEN 'bad_total' "
         "WHEN more_v IS NOT NULL AND schema_of_variant(more_v) <> 'BOOLEAN' THEN 'bad_has_more' "
@@ -212,7 +212,8 @@ def summary(stitched: DataFrame) -> DataFrame:
 def write_batches(read: DataFrame) -> DataFrame:
     """Batches (of ``read_batches``) re-serialised with snake_case keys, each
     in its row: (slug, offset, json). Batches without entries are left out."""
-    fields = _entry("x") | {name: ISO_TEXT.format(t=_entry("x")[name]) for name in ("created_at_utc", "updated_at_utc")}
+    fields = _entry("x")
+    fields |= {name: let(fields[name], lambda t: ISO_TEXT.format(t=t)) for name in ("created_at_utc", "updated_at_utc")}
     made = "named_struct(" + ", ".join(f"'{name}', {e}" for name, e in fields.items()) + ")"
     return read.where("error IS NULL AND size(items) > 0").selectExpr(
         "slug", "offset",

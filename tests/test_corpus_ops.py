@@ -410,3 +410,14 @@ def test_links_end_at_the_parenthesis_that_closes_them(spark):
     assert [(r.t, r.link) for r in found] == [(t, expected(t)) for t in texts]
     assert "split(" not in P.link_of("t")  # no step for every character
     assert split_lines("t").count("split(") == 1  # lines are split once
+
+
+def test_payloads_are_parsed_once(spark):
+    batches = E.parse_batches(spark.range(3).selectExpr("concat('s', id) AS slug", "id AS offset", "concat('{\"editRequests\": [], \"totalCount\": ', id, '}') AS payload"))
+    fields = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = E.entries(batches)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.debug.maxToStringFields", fields)
+    assert len(re.findall(r"(?i)parse_?json\W", plan)) == 1
+    time_of = E._entry("x")["created_at_utc"]
+    assert time_of.count("'$.createdAt'") <= 2  # the value is looked up once, then bound

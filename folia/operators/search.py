@@ -121,7 +121,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     wanted = int(docs.sparkSession.conf.get("folia.shred.partitions", "0"))
     docs = docs.select("doc_id", "text")
     docs = docs.repartition(wanted) if wanted else docs
-    runs = let("array_sort(tokens)", lambda s: let(
+    runs = let("sort_array(tokens)", lambda s: let(
         f"filter(sequence(0, size({s}) - 1), i -> i = 0 OR {s}[i] <> {s}[i - 1])", lambda at: (
             f"transform({at}, (p, j) -> named_struct('term', {s}[p], 'tf', CAST(coalesce(get({at}, j + 1), size({s})) - p AS BIGINT)))")))
     rows = docs.selectExpr("monotonically_increasing_id() AS uid", "CAST(doc_id AS BIGINT) AS doc_id", f"{_tokens('text')} AS tokens").where("size(tokens) > 0")

@@ -3,6 +3,7 @@ responses, streams."""
 
 import collections
 import datetime as dt
+import inspect
 import itertools
 import json
 import random
@@ -421,3 +422,10 @@ def test_payloads_are_parsed_once(spark):
     assert len(re.findall(r"(?i)parse_?json\W", plan)) == 1
     time_of = E._entry("x")["created_at_utc"]
     assert time_of.count("'$.createdAt'") <= 2  # the value is looked up once, then bound
+
+
+def test_index_tokens_are_sorted_natively(spark):
+    docs = spark.createDataFrame([(1, "b a b ü"), (2, None), (3, " "), (None, "A")], "doc_id long, text string")
+    rows = {(r.term, r.doc_id, r.tf) for r in SR.build_index(docs).collect()}
+    assert rows == {("b", 1, 2), ("a", 1, 1), ("ü", 1, 1), ("a", None, 1)}
+    assert "array_sort(tokens)" not in inspect.getsource(SR.build_index)  # its comparator runs as an interpreted lambda

@@ -106,7 +106,7 @@ def infobox(article: str, nodes: str = N.NODES) -> str:
         )
         return transform(kept, lambda x: f"named_struct('label', {x}.prev.text, 'value', {x}.cur.text)")
 
-    return let(f"array_sort({picked})", pairs)
+    return let(f"sort_array({picked})", pairs)  # array_sort would compare by an interpreted lambda
 
 
 def links(article: str, base: str, nodes: str = N.NODES) -> str:

@@ -144,3 +144,27 @@ def test_elements_that_leave_no_node_are_passed_over_whole():
         began = time.process_time()
         shred_html("<article>" + unit * 25_000, tags=head)
         assert time.process_time() - began < 5
+
+
+def test_an_element_of_text_alone_is_read_in_one_go():
+    import random
+
+    from folia.operators import shred as module
+
+    tags = frozenset(["head", "title", "article", "meta", "h1", "h2", "h3", "dt", "dd"])
+    for element in ("<h1>T</h1>", "<dt class='k'></dt>", "<title>a &amp; b</title>", "<li-x>2</li-x>"):
+        assert module._after_quiet(tags).match("<p>passed</p>" + element + "t</h1>")[0] == "<p>passed</p>" + element
+    for rest in ("<h1/>T</h1>", "<h1>T<b>", "<h1>T</H1>", "<h1>T</h1 >"):
+        assert module._after_quiet(tags).match(rest)[0] == rest[:rest.index(">") + 1]
+    pieces = ["<title>a &amp; b</title>", "<h1>T</h1>", "<h2> References </h2>", "<h3>another heading here</h3>", "<blockquote>", "</blockquote>", "<h1/>y</h1>",
+              "<meta name='a'>m</meta>", "<br>x</br>", "<script>z</script>", "<script>&amp;</SCRIPT>", "<style>s</style>", "<pre>\n q </pre>", "<pre>", "</pre>", "<code>c d</code>",
+              "<a href='/x' href='/y'>l</a>", "<a href=''></a>", "<dt>K</DT>", "</dt>", "<dt> k  k </dt>", "<dd>&lt;v</dd>", "<dd></dd>", "<DT>q</DT>", "<span data-tts-block='true'>s</span>",
+              "<figure>", "<figcaption>c</figcaption>", "</figure>", "<ul>", "<li>i</li>", "</ul>", "<article>", "</article>", "<article>t</article>", "<p>", "</p>", "<x-y>w</x-y>", "tail"]
+    sets = [tags, tags | {"pre", "code"}, tags | {"a", "script"}, tags | {"figure", "figcaption"}, tags | {"li", "ul"}, tags | {"span", "p", "blockquote"}]
+    rng = random.Random(11)
+    for _ in range(800):
+        html = "".join(rng.choices(pieces, k=rng.randint(1, 25)))
+        every, _ = shred_html(html)
+        for some in sets:
+            plain = lambda ns: [{k: v for k, v in n.items() if k not in ("idx", "span")} for n in ns]
+            assert plain(shred_html(html, tags=some)[0]) == plain(n for n in every if n["tag"] in some), (html, some)

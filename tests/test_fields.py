@@ -74,3 +74,13 @@ def test_no_nodes_leave_the_stage(spark, monkeypatch, pages, job):
     assert "nodes#" not in plan and "blocks#" not in stage
     if job == "r1_references":
         assert "scripts#" not in stage and "tree#" not in stage
+
+
+def test_a_page_url_is_parsed_once_for_all_images():
+    from folia.functions import urls as U
+    from folia.operators import payload as P
+
+    # of a base used once Spark would put the expression into the lambda over the images
+    assert P.payload_hits(base="the_base").startswith("transform(array(the_base)") and P.payload_hits(base="the_base").count("the_base") == 1
+    wrapped = U.normalize_image_url("raw", "b", parsed_base=True)
+    assert wrapped.count("(?:^|&)url=") == 1
